@@ -78,3 +78,204 @@ def q_risk_long(spark, sf):
 @query("risk_summary")
 def q_risk_summary(spark, sf):
     return risk.risk_summary(scored_events(spark, sf))
+
+
+# -- data quality ----------------------------------------------------------------
+
+from activity_engine.config import DQConfig  # noqa: E402
+from activity_engine.operators import quality as dq  # noqa: E402
+
+DQ_NOW = "2024-01-25 00:00:00"        # fixed clock: events run to 2024-01-30
+DQ_MIN = "2024-01-05 00:00:00"        # fixed lower bound: events start 2024-01-01
+DQ_OUT = ["dimension", "records_evaluated", "records_failed", "dimension_score", "details"]
+DOC_REQUIRED = ("doc_id", "text", "lang", "source", "quality", "toxic")
+
+
+@query("dq_completeness")
+def q_dq_completeness(spark, sf):
+    docs = fx.read_table(spark, sf, "documents")
+    labels = fx.read_table(spark, sf, "labels")
+    batch = docs.join(labels, "doc_id", "left")
+    return dq.check_completeness(batch, DOC_REQUIRED).select(*DQ_OUT)
+
+
+@query("dq_uniqueness")
+def q_dq_uniqueness(spark, sf):
+    li = fx.read_table(spark, sf, "lineitem")
+    return dq.check_uniqueness(li, ["l_orderkey", "l_linenumber"]).select(*DQ_OUT)
+
+
+@query("dq_validity")
+def q_dq_validity(spark, sf):
+    return dq.check_validity(fx.events(spark, sf), "event_type").select(*DQ_OUT)
+
+
+@query("dq_timeliness")
+def q_dq_timeliness(spark, sf):
+    return dq.check_timeliness(fx.events(spark, sf), "event_timestamp", DQ_NOW, DQ_MIN) \
+        .select(*DQ_OUT)
+
+
+@query("dq_referential")
+def q_dq_referential(spark, sf):
+    s = build_star(spark, sf)
+    return dq.check_referential(s.batch, s.dim_agent, s.dim_campaign).select(
+        "dimension", "records_evaluated", "records_failed", "dimension_score")
+
+
+@query("dq_audit")
+def q_dq_audit(spark, sf):
+    s = build_star(spark, sf)
+    cfg = DQConfig(min_event_ts=DQ_MIN)
+    a = dq.evaluate_batch(s.batch, s.dim_agent, s.dim_campaign, "fact_outreach_activity",
+                          "audit-fixture", DQ_NOW, cfg)
+    return a.select("pipeline_run_id", "table_name", "dimension", "records_evaluated",
+                    "records_failed", "dimension_score", "composite_score", "passed")
+
+
+@query("dq_samples")
+def q_dq_samples(spark, sf):
+    s = build_star(spark, sf)
+    ref = dq.referential_samples(s.batch, s.dim_agent, s.dim_campaign)
+    li = fx.read_table(spark, sf, "lineitem")
+    dup = (li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("c"))
+           .where(F.col("c") > 1)
+           .select(F.concat_ws("|", F.col("l_orderkey").cast("string"),
+                               F.col("l_linenumber").cast("string")).alias("sample"))
+           .orderBy("sample").limit(5)
+           .select(F.lit("l_orderkey|l_linenumber").alias("key_column"), "sample"))
+    return ref.unionByName(dup)
+
+
+# -- ingest: keys, quarantine, dedupe, idempotent load -----------------------------
+
+from activity_engine.operators import ingest  # noqa: E402
+from activity_engine.operators.keys import assign_surrogate_keys  # noqa: E402
+
+
+@query("sk_lookup")
+def q_sk_lookup(spark, sf):
+    s = build_star(spark, sf)
+    return s.resolved.select("event_id", "agent_id", "lead_id", "campaign_id",
+                             "agent_sk", "lead_sk", "campaign_sk")
+
+
+@query("quarantine")
+def q_quarantine(spark, sf):
+    d = build_star(spark, sf).dead
+    return d.select(F.col("record.event_id").alias("event_id"),
+                    F.col("record.agent_id").alias("agent_id"),
+                    F.col("record.lead_id").alias("lead_id"),
+                    F.col("record.campaign_id").alias("campaign_id"),
+                    "failure_reason")
+
+
+@query("valid_split")
+def q_valid_split(spark, sf):
+    s = build_star(spark, sf)
+    flagged = s.resolved.select(ingest.quarantine_flag(s.resolved).alias("bad"))
+    return flagged.agg(F.count(F.lit(1)).alias("records_ingested"),
+                       F.count_if(~F.col("bad")).alias("records_valid"),
+                       F.count_if(F.col("bad")).alias("records_quarantined"))
+
+
+def replay_batch(spark, sf) -> DataFrame:
+    """Every event delivered twice: the original and a replay with a changed
+    value; the replay of the later half of ids arrives first."""
+    e = fx.events(spark, sf)
+    top = e.select(F.max("event_id")).scalar()
+    orig = e.withColumn("delivery", F.lit("original")) \
+        .withColumn("ingest_order", F.col("event_id") * 2)
+    rep = e.withColumn("delivery", F.lit("replay")) \
+        .withColumn("ingest_order", (top - F.col("event_id")) * 2 + 1) \
+        .withColumn("message_length", F.coalesce(F.col("message_length"), F.lit(0)) + 1)
+    return orig.unionByName(rep)
+
+
+@query("dedupe_first_wins")
+def q_dedupe(spark, sf):
+    d = ingest.dedupe_first_wins(replay_batch(spark, sf), "event_id", "ingest_order")
+    return d.select("event_id", "delivery", "ingest_order", "message_length")
+
+
+@query("idempotent_load")
+def q_idempotent(spark, sf):
+    """First load: originals before the stream's midpoint. Second load: the
+    full replay batch; only events not yet in the fact are inserted."""
+    s = build_star(spark, sf)
+    b = replay_batch(spark, sf)
+    mid = stream_midpoint(fx.events(spark, sf))
+
+    def load(batch):
+        r = ingest.split_quarantine(
+            ingest_resolve(batch, s), batch.columns)[0]
+        return ingest.dedupe_first_wins(r, "event_id", "ingest_order")
+
+    first = load(b.where((F.col("delivery") == "original") & (F.col("event_timestamp") < mid)))
+    second = ingest.insert_new(load(b), first.select("event_id", "date_key"))
+    fact = first.unionByName(second)
+    return fact.select("event_id", "delivery", "date_key")
+
+
+def stream_midpoint(e: DataFrame):
+    """Scalar subquery: the microsecond midpoint of the event time range."""
+    lo, hi = F.unix_micros(F.min("event_timestamp")), F.unix_micros(F.max("event_timestamp"))
+    return e.select(F.timestamp_micros(lo + F.floor((hi - lo) / 2).cast("long"))).scalar()
+
+
+def ingest_resolve(batch, s):
+    from activity_engine.operators.keys import resolve_keys
+    return resolve_keys(batch, s.dim_agent, s.dim_lead, s.dim_campaign)
+
+
+EXISTING_SEGMENTS = ("< 1 Month", "1 Month", "2–6 Months")
+
+
+@query("dim_insert_if_absent")
+def q_dim_insert(spark, sf):
+    """Dimension holds three tiers' agents; the payload carries every agent."""
+    from activity_engine.operators.dims import insert_if_absent
+    incoming = fx.agents(spark, sf)
+    existing = assign_surrogate_keys(
+        incoming.where(F.col("account_age_tier").isin(*EXISTING_SEGMENTS)), "agent_id", "agent_sk")
+    new = insert_if_absent(existing, incoming, "agent_id", "agent_sk")
+    return existing.unionByName(new, allowMissingColumns=True) \
+        .select("agent_id", "agent_sk", "account_age_tier")
+
+
+@query("scd2_merge")
+def q_scd2(spark, sf):
+    """Current agents vs a payload whose status rule changed (balance < 1000)."""
+    from activity_engine.operators.dims import scd2_merge
+    from activity_engine.plans.star import agent_dim
+    current = agent_dim(spark, sf)
+    c = fx.read_table(spark, sf, "customer")
+    incoming = fx.agents(spark, sf).drop("status").join(
+        c.select(F.col("c_custkey").alias("agent_id"),
+                 F.when(F.col("c_acctbal") < 1000, "PAUSED").otherwise("ACTIVE").alias("status")),
+        "agent_id")
+    merged = scd2_merge(current, incoming, "agent_id", "agent_sk", ["status"],
+                        F.to_timestamp(F.lit("2024-02-01 00:00:00")))
+    return merged.select("agent_id", "agent_sk", "status", "is_current")
+
+
+@query("snapshot_upsert")
+def q_upsert(spark, sf):
+    """Old snapshot (span-14 model) upserted with today's model on days that
+    saw replies."""
+    from activity_engine.operators.dims import upsert
+    old = scored_events(spark, sf, RiskConfig(ewma_span=14)).select(*RISK_OUT)
+    new = scored_events(spark, sf).where(F.col("replies_received") > 0).select(*RISK_OUT)
+    return upsert(old, new, ["agent_id", "date_key"])
+
+
+@query("high_watermark")
+def q_watermark(spark, sf):
+    return ingest.high_watermark(fx.events(spark, sf), "event_timestamp")
+
+
+@query("incremental_filter")
+def q_incremental(spark, sf):
+    e = fx.events(spark, sf)
+    wm = stream_midpoint(e)
+    return ingest.incremental_filter(e, wm, "event_timestamp").select("event_id", "date_key")

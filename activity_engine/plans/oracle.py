@@ -131,7 +131,7 @@ def ewm_ctes(src: str, x: str, key: str = "agent_id", prefix: str = "e", q: floa
              min_points: int = 5) -> list[str]:
     """EW mean / bias-corrected variance of previous rows as a weighted self-join."""
     p = prefix
-    w = f"power({q}{D}, a.t - 1 - b.t)"
+    w = f"power({q!r}{D}, a.t - 1 - b.t)"
     return [
         f"""{p}0 AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY date_key) - 1 AS t
   FROM {src})""",
@@ -150,39 +150,41 @@ def ewm_ctes(src: str, x: str, key: str = "agent_id", prefix: str = "e", q: floa
     ]
 
 
-def risk_ctes(src: str, key: str = "agent_id") -> list[str]:
+def risk_ctes(src: str, key: str = "agent_id", span: int = 7, out: str = "scored",
+              p: str = "") -> list[str]:
     """W11 in SQL: rates, EWMA, backfill, z, risk level, capacities."""
-    return [rates_cte(src, "rr")] + ewm_ctes("rr", "acceptance_rate", key) + [
-        f"""k1 AS (
+    q = 1.0 - 2.0 / (span + 1.0)
+    return [rates_cte(src, f"{p}rr")] + ewm_ctes(f"{p}rr", "acceptance_rate", key, f"{p}e", q) + [
+        f"""{p}k1 AS (
   SELECT *,
     coalesce(ew_mean, max(CASE WHEN t = 5 THEN ew_mean END) OVER w,
              avg(acceptance_rate) OVER w) AS rolling_mean_acc,
     greatest(coalesce(sqrt(ew_var), max(CASE WHEN t = 5 THEN sqrt(ew_var) END) OVER w,
                       0.08{D}), 0.05{D}) AS rolling_std_acc
-  FROM e3 WINDOW w AS (PARTITION BY {key}))""",
-        f"""k2 AS (
+  FROM {p}e3 WINDOW w AS (PARTITION BY {key}))""",
+        f"""{p}k2 AS (
   SELECT *,
     round_even(coalesce((acceptance_rate - rolling_mean_acc) / rolling_std_acc, 0.0{D}), 3)
       + 0.0{D} AS anomaly_score,
     (invites_sent > 0 AND acceptance_rate <= 0.05{D}) AS low
-  FROM k1)""",
-        f"""k3 AS (
+  FROM {p}k1)""",
+        f"""{p}k3 AS (
   SELECT *, low AND coalesce(lag(low) OVER (PARTITION BY {key} ORDER BY date_key), false)
-    AS two_low FROM k2)""",
-        f"""k4 AS (
+    AS two_low FROM {p}k2)""",
+        f"""{p}k4 AS (
   SELECT *,
     CASE WHEN anomaly_score <= -2.0{D} OR two_low THEN 'CRITICAL'
          WHEN anomaly_score <= -1.5{D}
            OR (rolling_mean_acc >= 0.20{D} AND acceptance_rate <= 0.15{D}) THEN 'WARNING'
          ELSE 'NORMAL' END AS risk_level
-  FROM k3)""",
-        f"""scored AS (
+  FROM {p}k3)""",
+        f"""{out} AS (
   SELECT *,
     CAST(greatest(1, floor(daily_invite_ceiling * CASE risk_level WHEN 'CRITICAL' THEN 0.30{D}
       WHEN 'WARNING' THEN 0.70{D} ELSE 1.0{D} END)) AS INTEGER) AS recommended_invite_capacity,
     CAST(greatest(2, floor(daily_message_ceiling * CASE risk_level WHEN 'CRITICAL' THEN 0.30{D}
       WHEN 'WARNING' THEN 0.70{D} ELSE 1.0{D} END)) AS INTEGER) AS recommended_message_capacity
-  FROM k4)""",
+  FROM {p}k4)""",
     ]
 
 

@@ -39,3 +39,196 @@ SELECT count(*) AS records_processed,
   count(*) FILTER (WHERE risk_level <> 'NORMAL') AS anomalies_flagged,
   count(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical_risk_count
 FROM scored"""))
+
+
+# -- data quality ------------------------------------------------------------------
+
+def score(f: str, cells: str) -> str:
+    return (f"round_even(greatest(0.0::DOUBLE, 100.0::DOUBLE * (1.0::DOUBLE - ({f})::DOUBLE"
+            f" / greatest(1, {cells})::DOUBLE)), 2) + 0.0::DOUBLE")
+
+
+DOC_COLS = ("doc_id", "text", "lang", "source", "quality", "toxic")
+miss = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS m_{c}" for c in DOC_COLS)
+msum = " + ".join(f"m_{c}" for c in DOC_COLS)
+mjson = ", ".join(f"'{c}', m_{c}" for c in DOC_COLS)
+sql("dq_completeness", f"""
+WITH b AS (SELECT d.doc_id, d.text, d.lang, d.source, l.quality, l.toxic
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+c AS (SELECT count(*) AS n, {miss} FROM b)
+SELECT 'COMPLETENESS' AS dimension, n AS records_evaluated,
+  CAST({msum} AS BIGINT) AS records_failed, {score(msum, 'n * 6')} AS dimension_score,
+  CASE WHEN n = 0 THEN '{{}}' ELSE CAST(json_object({mjson}) AS VARCHAR) END AS details
+FROM c""")
+
+
+def sample_json(src: str, col: str, wrap: str | None = None) -> str:
+    lst = f"coalesce(list({col} ORDER BY {col}), []::VARCHAR[])"
+    body = f"CAST(json_object('{wrap}', {lst}) AS VARCHAR)" if wrap else f"CAST(to_json({lst}) AS VARCHAR)"
+    return f"(SELECT {body} FROM (SELECT {col} FROM {src} ORDER BY {col} NULLS FIRST LIMIT 5))"
+
+
+sql("dq_uniqueness", f"""
+WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY ALL),
+dup AS (SELECT concat_ws('|', l_orderkey, l_linenumber) AS k FROM g WHERE c > 1),
+a AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n,
+             CAST(coalesce(sum(c) FILTER (WHERE c > 1), 0) AS BIGINT) AS f FROM g)
+SELECT 'UNIQUENESS' AS dimension, n AS records_evaluated, f AS records_failed,
+  {score('f', 'n')} AS dimension_score, {sample_json('dup', 'k')} AS details
+FROM a""")
+
+ALLOWED = "('INVITE_SENT', 'INVITE_ACCEPTED', 'MESSAGE_SENT', 'REPLY_RECEIVED', 'CONNECTION_WITHDRAWN')"
+INVALID = f"NOT coalesce(event_type IN {ALLOWED}, false)"
+
+sql("dq_validity", with_ctes(BASE_CTES, f""",
+bad AS (SELECT DISTINCT event_type AS v FROM v_event WHERE {INVALID}),
+a AS (SELECT count(*) AS n, count(*) FILTER (WHERE {INVALID}) AS f FROM v_event)
+SELECT 'VALIDITY' AS dimension, n AS records_evaluated, f AS records_failed,
+  {score('f', 'n')} AS dimension_score,
+  {sample_json('bad', 'v', 'invalid_event_types')} AS details
+FROM a""").replace("\n,\nbad", ",\nbad"))
+
+TS_NOW, TS_MIN = "TIMESTAMP '2024-01-25 00:00:00'", "TIMESTAMP '2024-01-05 00:00:00'"
+sql("dq_timeliness", with_ctes(BASE_CTES, f""",
+a AS (SELECT count(*) AS n,
+        count(*) FILTER (WHERE event_timestamp > {TS_NOW}) AS future_events,
+        count(*) FILTER (WHERE event_timestamp < {TS_MIN}) AS stale_events,
+        count(*) FILTER (WHERE event_timestamp IS NULL) AS unparseable_dates FROM v_event)
+SELECT 'TIMELINESS' AS dimension, n AS records_evaluated,
+  future_events + stale_events + unparseable_dates AS records_failed,
+  {score('future_events + stale_events + unparseable_dates', 'n')} AS dimension_score,
+  CAST(json_object('future_events', future_events, 'stale_events', stale_events,
+                   'unparseable_dates', unparseable_dates) AS VARCHAR) AS details
+FROM a""").replace("\n,\na AS", ",\na AS"))
+
+REF = """,
+ua AS (SELECT DISTINCT agent_id FROM v_event
+       WHERE agent_id IS NULL OR agent_id NOT IN (SELECT agent_id FROM dim_agent)),
+uc AS (SELECT DISTINCT campaign_id FROM v_event
+       WHERE campaign_id IS NULL OR campaign_id NOT IN (SELECT campaign_id FROM dim_campaign)),
+ref AS (SELECT (SELECT count(*) FROM v_event) AS n,
+               (SELECT count(*) FROM ua) + (SELECT count(*) FROM uc) AS f)"""
+
+sql("dq_referential", with_ctes(BASE_CTES, f"""{REF}
+SELECT 'REFERENTIAL_INTEGRITY' AS dimension, n AS records_evaluated, f AS records_failed,
+  {score('f', 'n')} AS dimension_score FROM ref""").replace("\n,\nua", ",\nua"))
+
+sql("dq_audit", with_ctes(BASE_CTES, f"""{REF},
+comp AS (SELECT count(*) AS n,
+  count(*) FILTER (WHERE event_id IS NULL) + count(*) FILTER (WHERE agent_id IS NULL)
+  + count(*) FILTER (WHERE lead_id IS NULL) + count(*) FILTER (WHERE campaign_id IS NULL)
+  + count(*) FILTER (WHERE event_timestamp IS NULL)
+  + count(*) FILTER (WHERE event_type IS NULL) AS f FROM v_event),
+uq AS (SELECT coalesce(sum(c) FILTER (WHERE c > 1), 0) AS f
+       FROM (SELECT event_id, count(*) AS c FROM v_event GROUP BY 1)),
+va AS (SELECT count(*) FILTER (WHERE {INVALID}) AS f FROM v_event),
+ti AS (SELECT count(*) FILTER (WHERE event_timestamp > {TS_NOW})
+            + count(*) FILTER (WHERE event_timestamp < {TS_MIN})
+            + count(*) FILTER (WHERE event_timestamp IS NULL) AS f FROM v_event),
+dims AS (
+  SELECT 'COMPLETENESS' AS dimension, n, f, {score('f', 'n * 6')} AS s FROM comp
+  UNION ALL SELECT 'UNIQUENESS', (SELECT n FROM comp), f, {score('f', '(SELECT n FROM comp)')} FROM uq
+  UNION ALL SELECT 'VALIDITY', (SELECT n FROM comp), f, {score('f', '(SELECT n FROM comp)')} FROM va
+  UNION ALL SELECT 'TIMELINESS', (SELECT n FROM comp), f, {score('f', '(SELECT n FROM comp)')} FROM ti
+  UNION ALL SELECT 'REFERENTIAL_INTEGRITY', n, f, {score('f', 'n')} FROM ref),
+w AS (SELECT round_even(
+    (SELECT s FROM dims WHERE dimension = 'COMPLETENESS') * 0.25::DOUBLE
+  + (SELECT s FROM dims WHERE dimension = 'UNIQUENESS') * 0.25::DOUBLE
+  + (SELECT s FROM dims WHERE dimension = 'VALIDITY') * 0.20::DOUBLE
+  + (SELECT s FROM dims WHERE dimension = 'REFERENTIAL_INTEGRITY') * 0.20::DOUBLE
+  + (SELECT s FROM dims WHERE dimension = 'TIMELINESS') * 0.10::DOUBLE, 2) + 0.0::DOUBLE AS c)
+SELECT 'audit-fixture' AS pipeline_run_id, 'fact_outreach_activity' AS table_name, dimension,
+  CAST(n AS BIGINT) AS records_evaluated, CAST(f AS BIGINT) AS records_failed,
+  s AS dimension_score, (SELECT c FROM w) AS composite_score,
+  CASE WHEN (SELECT c FROM w) >= 95.0 THEN 1 ELSE 0 END AS passed
+FROM dims""").replace("\n,\nua", ",\nua"))
+
+sql("dq_samples", with_ctes(BASE_CTES, f"""{REF}
+SELECT * FROM (SELECT 'agent_id' AS key_column, CAST(agent_id AS VARCHAR) AS sample FROM ua
+               ORDER BY sample NULLS FIRST LIMIT 5)
+UNION ALL
+SELECT * FROM (SELECT 'campaign_id', CAST(campaign_id AS VARCHAR) AS sample FROM uc
+               ORDER BY sample NULLS FIRST LIMIT 5)
+UNION ALL
+SELECT * FROM (SELECT 'l_orderkey|l_linenumber', concat_ws('|', l_orderkey, l_linenumber) AS s
+               FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+               ORDER BY s LIMIT 5)""").replace("\n,\nua", ",\nua"))
+
+
+# -- ingest -------------------------------------------------------------------------
+
+sql("sk_lookup", with_ctes(BASE_CTES, """
+SELECT event_id, agent_id, lead_id, campaign_id, agent_sk, lead_sk, campaign_sk FROM resolved"""))
+
+QREASON = "Foreign key lookup failed or missing mandatory timestamp/event_type/event_id"
+sql("quarantine", with_ctes(BASE_CTES, f"""
+SELECT event_id, agent_id, lead_id, campaign_id, '{QREASON}' AS failure_reason
+FROM resolved WHERE event_id NOT IN (SELECT event_id FROM fact)"""))
+
+sql("valid_split", with_ctes(BASE_CTES, """
+SELECT (SELECT count(*) FROM resolved) AS records_ingested,
+  (SELECT count(*) FROM fact) AS records_valid,
+  (SELECT count(*) FROM resolved) - (SELECT count(*) FROM fact) AS records_quarantined"""))
+
+REPLAY = """,
+rb AS (
+  SELECT event_id, 'original' AS delivery, event_id * 2 AS ingest_order, message_length,
+         event_timestamp, date_key FROM v_event
+  UNION ALL
+  SELECT event_id, 'replay', ((SELECT max(event_id) FROM v_event) - event_id) * 2 + 1,
+         coalesce(message_length, 0) + 1, event_timestamp, date_key FROM v_event),
+first_arrival AS (
+  SELECT * FROM rb QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_order) = 1)"""
+
+sql("dedupe_first_wins", with_ctes(BASE_CTES, f"""{REPLAY}
+SELECT event_id, delivery, ingest_order, message_length FROM first_arrival""")
+    .replace("\n,\nrb", ",\nrb"))
+
+MID = ("make_timestamp(epoch_us(min(event_timestamp)) + "
+       "CAST(floor((epoch_us(max(event_timestamp)) - epoch_us(min(event_timestamp))) / 2) AS BIGINT))")
+
+sql("idempotent_load", with_ctes(BASE_CTES, f"""{REPLAY},
+mid AS (SELECT {MID} AS m FROM v_event),
+valid_ids AS (SELECT event_id FROM fact),
+load1 AS (SELECT event_id, delivery, date_key FROM rb
+          WHERE delivery = 'original' AND event_timestamp < (SELECT m FROM mid)
+            AND event_id IN (SELECT event_id FROM valid_ids)),
+load2 AS (SELECT event_id, delivery, date_key FROM first_arrival
+          WHERE event_id IN (SELECT event_id FROM valid_ids)
+            AND event_id NOT IN (SELECT event_id FROM load1))
+SELECT * FROM load1 UNION ALL SELECT * FROM load2""").replace("\n,\nrb", ",\nrb"))
+
+sql("dim_insert_if_absent", with_ctes(BASE_CTES, """,
+ex AS (SELECT agent_id, account_age_tier FROM v_agent
+       WHERE account_age_tier IN ('< 1 Month', '1 Month', '2–6 Months')),
+ex_k AS (SELECT agent_id, row_number() OVER (ORDER BY agent_id) AS agent_sk, account_age_tier
+         FROM ex),
+nw AS (SELECT agent_id, (SELECT coalesce(max(agent_sk), 0) FROM ex_k)
+              + row_number() OVER (ORDER BY agent_id) AS agent_sk, account_age_tier
+       FROM v_agent WHERE agent_id NOT IN (SELECT agent_id FROM ex))
+SELECT agent_id, agent_sk, account_age_tier FROM ex_k
+UNION ALL SELECT agent_id, agent_sk, account_age_tier FROM nw""").replace("\n,\nex", ",\nex"))
+
+sql("scd2_merge", with_ctes(BASE_CTES, """,
+inc AS (SELECT c_custkey AS agent_id,
+          CASE WHEN c_acctbal < 1000 THEN 'PAUSED' ELSE 'ACTIVE' END AS new_status FROM customer),
+j AS (SELECT d.agent_id, d.agent_sk, d.status, i.new_status,
+        i.agent_id IS NOT NULL AND d.status IS DISTINCT FROM i.new_status AS changed
+      FROM dim_agent d LEFT JOIN inc i ON d.agent_id = i.agent_id)
+SELECT agent_id, agent_sk, status, CASE WHEN changed THEN 0 ELSE 1 END AS is_current FROM j
+UNION ALL
+SELECT agent_id, (SELECT max(agent_sk) FROM dim_agent) + row_number() OVER (ORDER BY agent_id),
+  new_status, 1 FROM j WHERE changed""").replace("\n,\ninc", ",\ninc"))
+
+sql("snapshot_upsert", with_ctes(
+    BASE_CTES + risk_ctes("daily", span=14, out="old_s", p="o_") + risk_ctes("daily"), f"""
+SELECT {RISK_OUT} FROM old_s
+WHERE (agent_id, date_key) NOT IN (SELECT (agent_id, date_key) FROM scored WHERE replies_received > 0)
+UNION ALL
+SELECT {RISK_OUT} FROM scored WHERE replies_received > 0"""))
+
+sql("high_watermark", with_ctes(BASE_CTES, "SELECT max(event_timestamp) AS watermark FROM v_event"))
+
+sql("incremental_filter", with_ctes(BASE_CTES, f"""
+SELECT event_id, date_key FROM v_event
+WHERE event_timestamp > (SELECT {MID} FROM v_event)"""))
