@@ -279,3 +279,56 @@ def q_incremental(spark, sf):
     e = fx.events(spark, sf)
     wm = stream_midpoint(e)
     return ingest.incremental_filter(e, wm, "event_timestamp").select("event_id", "date_key")
+
+
+# -- measures (M1-M22) --------------------------------------------------------------
+
+from activity_engine.operators import measures  # noqa: E402
+
+
+def star_dims(s) -> dict:
+    return {"agent": s.dim_agent, "campaign": s.dim_campaign, "date": s.dim_date,
+            "lead": s.dim_lead}
+
+
+@query("kpi_core")
+def q_kpi_core(spark, sf):
+    s = build_star(spark, sf)
+    return measures.core(s.fact, star_dims(s))
+
+
+@query("kpi_core_by_tier")
+def q_kpi_core_tier(spark, sf):
+    s = build_star(spark, sf)
+    return measures.core(s.fact, star_dims(s), ["account_age_tier"])
+
+
+@query("kpi_core_by_month")
+def q_kpi_core_month(spark, sf):
+    s = build_star(spark, sf)
+    return measures.core(s.fact, star_dims(s), ["month_name"])
+
+
+@query("kpi_core_rollup")
+def q_kpi_core_rollup(spark, sf):
+    s = build_star(spark, sf)
+    return measures.core(s.fact, star_dims(s), ["campaign_name", "account_age_tier"], rollup=True)
+
+
+@query("kpi_capacity")
+def q_kpi_capacity(spark, sf):
+    s = build_star(spark, sf)
+    return measures.capacity(s.fact, star_dims(s), ["account_age_tier"])
+
+
+@query("kpi_risk")
+def q_kpi_risk(spark, sf):
+    s = build_star(spark, sf)
+    scored = risk.score_daily(s.daily(), agent_key="agent_id")
+    return measures.risk(scored, star_dims(s), ["account_age_tier"], agent_key="agent_id")
+
+
+@query("kpi_campaign")
+def q_kpi_campaign(spark, sf):
+    s = build_star(spark, sf)
+    return measures.campaign(s.fact, star_dims(s), ["campaign_name"])

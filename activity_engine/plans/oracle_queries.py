@@ -232,3 +232,94 @@ sql("high_watermark", with_ctes(BASE_CTES, "SELECT max(event_timestamp) AS water
 sql("incremental_filter", with_ctes(BASE_CTES, f"""
 SELECT event_id, date_key FROM v_event
 WHERE event_timestamp > (SELECT {MID} FROM v_event)"""))
+
+
+# -- measures -------------------------------------------------------------------------
+
+def sdiv(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0::DOUBLE)"
+
+
+CORE_AGG = """
+  CAST(count(*) FILTER (WHERE f.event_type = 'INVITE_SENT') AS BIGINT) AS total_invites_sent,
+  CAST(count(*) FILTER (WHERE f.event_type = 'INVITE_ACCEPTED') AS BIGINT) AS total_invites_accepted,
+  CAST(count(*) FILTER (WHERE f.event_type = 'MESSAGE_SENT') AS BIGINT) AS total_messages_sent,
+  CAST(count(*) FILTER (WHERE f.event_type = 'REPLY_RECEIVED') AS BIGINT) AS total_replies_received,
+  CAST(count(*) FILTER (WHERE f.is_converted = 1) AS BIGINT) AS total_conversions"""
+
+
+def core_sql(by: list[str], group: str) -> str:
+    sel = "".join(f"{b}, " for b in by)
+    return with_ctes(BASE_CTES, f""",
+agg AS (SELECT {sel}{CORE_AGG}
+  FROM fact f LEFT JOIN dim_agent a ON f.agent_sk = a.agent_sk
+  LEFT JOIN dim_campaign c ON f.campaign_sk = c.campaign_sk
+  LEFT JOIN dim_date d ON f.date_key = d.date_key
+  {group})
+SELECT {sel}total_invites_sent, total_invites_accepted,
+  {sdiv('total_invites_accepted', 'total_invites_sent')} AS acceptance_rate,
+  total_messages_sent, total_replies_received,
+  {sdiv('total_replies_received', 'total_messages_sent')} AS reply_rate,
+  total_conversions, {sdiv('total_conversions', 'total_invites_sent')} AS conversion_rate
+FROM agg""").replace("\n,\nagg", ",\nagg")
+
+
+sql("kpi_core", core_sql([], ""))
+sql("kpi_core_by_tier", core_sql(["account_age_tier"], "GROUP BY account_age_tier"))
+sql("kpi_core_by_month", core_sql(["month_name"], "GROUP BY month_name"))
+sql("kpi_core_rollup", core_sql(["campaign_name", "account_age_tier"],
+                                "GROUP BY ROLLUP (campaign_name, account_age_tier)"))
+
+sql("kpi_capacity", with_ctes(BASE_CTES, f""",
+a AS (SELECT account_age_tier,
+        count(DISTINCT CASE WHEN is_current = 1 AND status = 'ACTIVE' THEN agent_sk END)
+          AS active_agents,
+        count(DISTINCT CASE WHEN is_current = 1 AND status IN ('PAUSED', 'GHOSTED')
+          THEN agent_sk END) AS paused_or_ghosted_agents,
+        sum(daily_invite_ceiling) AS ic, sum(daily_message_ceiling) AS mc
+      FROM dim_agent GROUP BY 1),
+f AS (SELECT a.account_age_tier,
+        count(*) FILTER (WHERE f.event_type = 'INVITE_SENT') AS inv,
+        count(*) FILTER (WHERE f.event_type = 'MESSAGE_SENT') AS msg
+      FROM fact f LEFT JOIN dim_agent a ON f.agent_sk = a.agent_sk GROUP BY 1),
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date)
+SELECT a.account_age_tier, active_agents, paused_or_ghosted_agents,
+  CAST(coalesce(inv, 0) AS BIGINT) AS total_invites_sent,
+  CAST(coalesce(msg, 0) AS BIGINT) AS total_messages_sent,
+  {sdiv('coalesce(inv, 0)', 'ic * (SELECT days FROM nd)')} AS invite_capacity_utilization,
+  {sdiv('coalesce(msg, 0)', 'mc * (SELECT days FROM nd)')} AS message_capacity_utilization
+FROM a LEFT JOIN f ON a.account_age_tier IS NOT DISTINCT FROM f.account_age_tier""")
+    .replace("\n,\na AS", ",\na AS"))
+
+sql("kpi_risk", with_ctes(BASE_CTES + risk_ctes("daily"), f""",
+m AS (SELECT a.account_age_tier, avg(s.anomaly_score) AS z,
+        count(*) FILTER (WHERE s.risk_level = 'CRITICAL') AS crit,
+        count(*) FILTER (WHERE s.risk_level = 'WARNING') AS warn,
+        sum(s.recommended_invite_capacity) AS rec
+      FROM scored s LEFT JOIN dim_agent a ON s.agent_id = a.agent_id GROUP BY 1),
+c AS (SELECT account_age_tier, sum(daily_invite_ceiling) AS ceil FROM dim_agent GROUP BY 1),
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date)
+SELECT c.account_age_tier, round_even(m.z, 9) + 0.0 AS avg_anomaly_z,
+  CAST(coalesce(crit, 0) AS BIGINT) AS critical_risk_days,
+  CAST(coalesce(warn, 0) AS BIGINT) AS warning_risk_days,
+  CAST(coalesce(rec, 0) AS BIGINT) AS recommended_safe_invites,
+  {sdiv('ceil * (SELECT days FROM nd) - coalesce(rec, 0)', 'ceil * (SELECT days FROM nd)')}
+    AS throttled_capacity_variance
+FROM c LEFT JOIN m ON c.account_age_tier IS NOT DISTINCT FROM m.account_age_tier""")
+    .replace("\n,\nm AS", ",\nm AS"))
+
+sql("kpi_campaign", with_ctes(BASE_CTES, f""",
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date),
+b AS (SELECT campaign_name, sum(daily_budget * (SELECT days FROM nd)) AS budget
+      FROM dim_campaign GROUP BY 1),
+f AS (SELECT c.campaign_name,
+        count(*) FILTER (WHERE f.event_type = 'INVITE_SENT') AS inv,
+        count(*) FILTER (WHERE f.is_converted = 1) AS conv
+      FROM fact f LEFT JOIN dim_campaign c ON f.campaign_sk = c.campaign_sk GROUP BY 1)
+SELECT b.campaign_name, budget AS total_campaign_budget,
+  {sdiv('budget', 'coalesce(inv, 0)')} AS cost_per_invite,
+  {sdiv('budget', 'coalesce(conv, 0)')} AS cost_per_conversion,
+  CAST(coalesce(conv, 0) * 5000 AS BIGINT) AS estimated_pipeline_value,
+  {sdiv('coalesce(conv, 0) * 5000', 'budget')} AS campaign_roi_multiplier
+FROM b LEFT JOIN f ON b.campaign_name IS NOT DISTINCT FROM f.campaign_name""")
+    .replace("\n,\nnd AS", ",\nnd AS"))
