@@ -332,3 +332,40 @@ def q_kpi_risk(spark, sf):
 def q_kpi_campaign(spark, sf):
     s = build_star(spark, sf)
     return measures.campaign(s.fact, star_dims(s), ["campaign_name"])
+
+
+# -- risk extras: tier matrix, breaches, cooldown, ghosting, reply decay --------------
+
+@query("tier_limits_join")
+def q_tier_join(spark, sf):
+    return risk.tier_check(fx.agents(spark, sf)).select(
+        "agent_id", "account_age_tier", "tier_risk_classification", "tier_invite_ceiling",
+        "tier_message_ceiling", "cooldown_hours",
+        F.col("ceiling_mismatch").cast("int").alias("ceiling_mismatch"))
+
+
+@query("ceiling_breach")
+def q_breach(spark, sf):
+    return risk.ceiling_breaches(scored_events(spark, sf)).select(
+        "agent_id", "date_key", "invites_sent", "messages_sent",
+        "invite_limit_utilization_pct", "message_limit_utilization_pct")
+
+
+@query("cooldown_until")
+def q_cooldown(spark, sf):
+    s = build_star(spark, sf)
+    return risk.cooldown_until(s.fact, s.dim_agent)
+
+
+@query("ghosting_runs")
+def q_ghosting(spark, sf):
+    return risk.ghosting_runs(build_star(spark, sf).daily(), agent_key="agent_id")
+
+
+@query("reply_decay")
+def q_reply_decay(spark, sf):
+    from activity_engine.functions.numeric import np_round
+    d = risk.reply_decay(build_star(spark, sf).daily(), agent_key="agent_id")
+    return d.select("agent_id", "date_key", "reply_rate",
+                    np_round("reply_baseline_change", 9).alias("reply_baseline_change"),
+                    "reply_decay_flag")

@@ -323,3 +323,46 @@ SELECT b.campaign_name, budget AS total_campaign_budget,
   {sdiv('coalesce(conv, 0) * 5000', 'budget')} AS campaign_roi_multiplier
 FROM b LEFT JOIN f ON b.campaign_name IS NOT DISTINCT FROM f.campaign_name""")
     .replace("\n,\nnd AS", ",\nnd AS"))
+
+
+# -- risk extras ----------------------------------------------------------------------
+
+sql("tier_limits_join", with_ctes(BASE_CTES, """
+SELECT a.agent_id, a.account_age_tier, t.risk_classification AS tier_risk_classification,
+  t.daily_invite_ceiling AS tier_invite_ceiling, t.daily_message_ceiling AS tier_message_ceiling,
+  t.cooldown_hours,
+  CASE WHEN t.daily_invite_ceiling IS NULL OR d.daily_invite_ceiling <> t.daily_invite_ceiling
+    OR d.daily_message_ceiling <> t.daily_message_ceiling THEN 1 ELSE 0 END AS ceiling_mismatch
+FROM v_agent a LEFT JOIN tiers t ON a.account_age_tier = t.account_age_tier
+JOIN dim_agent d ON a.agent_id = d.agent_id"""))
+
+sql("ceiling_breach", with_ctes(BASE_CTES + risk_ctes("daily"), """
+SELECT agent_id, date_key, invites_sent, messages_sent, invite_limit_utilization_pct,
+  message_limit_utilization_pct
+FROM scored WHERE invite_limit_utilization_pct > 100 OR message_limit_utilization_pct > 100"""))
+
+sql("cooldown_until", with_ctes(BASE_CTES, """,
+last AS (SELECT agent_sk, max(event_timestamp) AS last_event_ts FROM fact GROUP BY 1)
+SELECT a.agent_id, a.account_age_tier, l.last_event_ts, t.cooldown_hours,
+  l.last_event_ts + to_hours(CAST(coalesce(t.cooldown_hours, 0) AS BIGINT)) AS cooldown_until
+FROM last l JOIN dim_agent a ON l.agent_sk = a.agent_sk
+LEFT JOIN tiers t ON a.account_age_tier = t.account_age_tier""").replace("\n,\nlast", ",\nlast"))
+
+sql("ghosting_runs", with_ctes(BASE_CTES, """,
+g AS (SELECT agent_id, date_key,
+        CAST(strptime(CAST(date_key AS VARCHAR), '%Y%m%d') AS DATE) - DATE '1970-01-01'
+        - row_number() OVER (PARTITION BY agent_id ORDER BY date_key) AS grp
+      FROM daily
+      WHERE invites_sent + messages_sent > 0 AND invites_accepted + replies_received = 0)
+SELECT agent_id, min(date_key) AS run_start, max(date_key) AS run_end,
+  count(*) AS run_days, CASE WHEN count(*) >= 5 THEN 1 ELSE 0 END AS is_ghosting
+FROM g GROUP BY agent_id, grp""").replace("\n,\ng AS", ",\ng AS"))
+
+sql("reply_decay", with_ctes(BASE_CTES + [rates_cte("daily", "rd")]
+                             + __import__("activity_engine.plans.oracle", fromlist=["x"])
+                             .ewm_ctes("rd", "reply_rate", "agent_id", "r"), """,
+c AS (SELECT *, ew_mean / nullif(lag(ew_mean, 7) OVER (PARTITION BY agent_id ORDER BY date_key), 0.0) - 1.0
+        AS ch FROM r3)
+SELECT agent_id, date_key, reply_rate, round_even(ch, 9) + 0.0 AS reply_baseline_change,
+  CASE WHEN coalesce(ch <= -0.4::DOUBLE, false) THEN 1 ELSE 0 END AS reply_decay_flag
+FROM c""").replace("\n,\nc AS", ",\nc AS"))
