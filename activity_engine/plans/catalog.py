@@ -369,3 +369,109 @@ def q_reply_decay(spark, sf):
     return d.select("agent_id", "date_key", "reply_rate",
                     np_round("reply_baseline_change", 9).alias("reply_baseline_change"),
                     "reply_decay_flag")
+
+
+# -- write paths: pipeline runs, sinks, streaming ------------------------------------
+
+import uuid  # noqa: E402
+
+from activity_engine.session import scratch_path  # noqa: E402
+from activity_engine.sources.payload import Payload  # noqa: E402
+
+RUN_NOW = "2024-02-01 00:00:00"
+
+
+def fixture_payload(spark, sf) -> Payload:
+    return Payload(fx.agents(spark, sf).withColumn("ingest_order", F.col("agent_id")),
+                   fx.campaigns(spark, sf).withColumn("ingest_order", F.col("campaign_id")),
+                   fx.leads(spark, sf).withColumn("ingest_order", F.col("lead_id")),
+                   fx.events(spark, sf))
+
+
+def fixture_warehouse(spark, sf, tag: str):
+    from activity_engine.plans import pipeline as pl
+    from activity_engine.sources.tables import Warehouse
+    root = scratch_path(spark, "queries", f"{tag}-{uuid.uuid4().hex[:8]}")
+    wh = Warehouse(spark, f"{root}/wh")
+    pl.init_warehouse(wh, fx.calendar_bounds(spark, sf))
+    return wh, root
+
+
+def with_natural_keys(wh, fact: DataFrame) -> DataFrame:
+    a = wh.read("dim_agent").select("agent_sk", "agent_id")
+    return fact.join(a, "agent_sk")
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark, sf):
+    """E1-E3 twice over the same payload (the rerun inserts nothing)."""
+    from activity_engine.plans import pipeline as pl
+    wh, root = fixture_warehouse(spark, sf, "pipeline")
+    p = fixture_payload(spark, sf)
+    for run in ("run-1", "run-2"):
+        pl.run_pipeline(wh, p, run, f"{root}/dlq", RUN_NOW)
+    f = with_natural_keys(wh, wh.read("fact_outreach_activity"))
+    return f.select("event_id", "agent_id", "date_key", "event_type", "message_length",
+                    "is_converted")
+
+
+@query("risk_model_run")
+def q_risk_model_run(spark, sf):
+    """Score the loaded fact and read the persisted snapshot back."""
+    from activity_engine.plans import pipeline as pl
+    wh, root = fixture_warehouse(spark, sf, "risk")
+    pl.run_pipeline(wh, fixture_payload(spark, sf), "run-1", f"{root}/dlq", RUN_NOW)
+    pl.run_risk_model(wh, now=RUN_NOW)
+    pl.run_risk_model(wh, now=RUN_NOW)          # rerun upserts, no duplicates
+    m = with_natural_keys(wh, wh.read("fact_daily_agent_metric"))
+    return m.select(*RISK_OUT)
+
+
+@query("dlq_roundtrip")
+def q_dlq(spark, sf):
+    """Dead letters written as JSON lines, read back and parsed."""
+    from activity_engine.sources.sinks import read_dead_letters, write_dead_letters
+    root = scratch_path(spark, "queries", f"dlq-{uuid.uuid4().hex[:8]}")
+    write_dead_letters(build_star(spark, sf).dead, f"{root}/dlq", "fixture-run")
+    d = read_dead_letters(spark, f"{root}/dlq")
+    return d.select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"),
+                    F.get_json_object("record", "$.campaign_id").cast("long").alias("campaign_id"),
+                    "failure_reason", "run_id")
+
+
+@query("feed_export_roundtrip")
+def q_feed(spark, sf):
+    """The scored snapshot exported as CSV and read back typed."""
+    from activity_engine.sources.sinks import export_feed
+    root = scratch_path(spark, "queries", f"feed-{uuid.uuid4().hex[:8]}")
+    s = scored_events(spark, sf).select(*RISK_OUT)
+    export_feed(s, f"{root}/fact_daily_agent_metric", "csv")
+    return spark.read.schema(s.schema).option("header", True) \
+        .csv(f"{root}/fact_daily_agent_metric")
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """The events files as a stream, loaded per micro-batch."""
+    from activity_engine.plans import pipeline as pl
+    from activity_engine.streaming import stream as st
+    wh, root = fixture_warehouse(spark, sf, "stream")
+    pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
+    src = st.dedupe_stream(st.stream_events_view(spark, sf), "event_timestamp", "2 days")
+    q = st.start_ingest(src, wh, f"{root}/dlq", f"{root}/_ckpt_ingest", RUN_NOW)
+    q.awaitTermination()
+    f = with_natural_keys(wh, wh.read("fact_outreach_activity"))
+    return f.select("event_id", "agent_id", "date_key", "event_type", "message_length",
+                    "is_converted")
+
+
+@query("stream_daily_counts")
+def q_stream_daily(spark, sf):
+    """Tumbling daily counts per agent, merged per micro-batch."""
+    from activity_engine.streaming import stream as st
+    from activity_engine.sources.tables import Warehouse
+    root = scratch_path(spark, "queries", f"sdc-{uuid.uuid4().hex[:8]}")
+    wh = Warehouse(spark, f"{root}/wh")
+    q = st.start_daily_counts(st.stream_events_view(spark, sf), wh, f"{root}/_ckpt_counts")
+    q.awaitTermination()
+    return wh.read("stream_daily_counts")

@@ -366,3 +366,28 @@ c AS (SELECT *, ew_mean / nullif(lag(ew_mean, 7) OVER (PARTITION BY agent_id ORD
 SELECT agent_id, date_key, reply_rate, round_even(ch, 9) + 0.0 AS reply_baseline_change,
   CASE WHEN coalesce(ch <= -0.4::DOUBLE, false) THEN 1 ELSE 0 END AS reply_decay_flag
 FROM c""").replace("\n,\nc AS", ",\nc AS"))
+
+
+# -- write paths ------------------------------------------------------------------------
+
+FACT_OUT = """
+SELECT CAST(f.event_id AS VARCHAR) AS event_id, f.agent_id, f.date_key, f.event_type,
+  coalesce(f.message_length, 0) AS message_length, coalesce(f.is_converted, 0) AS is_converted
+FROM fact f"""
+
+sql("pipeline_run", with_ctes(BASE_CTES, FACT_OUT))
+sql("stream_ingest", with_ctes(BASE_CTES, FACT_OUT))
+sql("risk_model_run", ORACLE["agent_risk_daily"])
+sql("feed_export_roundtrip", ORACLE["agent_risk_daily"])
+
+sql("dlq_roundtrip", with_ctes(BASE_CTES, f"""
+SELECT event_id, campaign_id, '{QREASON}' AS failure_reason, 'fixture-run' AS run_id
+FROM resolved WHERE event_id NOT IN (SELECT event_id FROM fact)"""))
+
+sql("stream_daily_counts", with_ctes(BASE_CTES, """
+SELECT agent_id, date_key,
+  count(*) FILTER (WHERE event_type = 'INVITE_SENT') AS invites_sent,
+  count(*) FILTER (WHERE event_type = 'INVITE_ACCEPTED') AS invites_accepted,
+  count(*) FILTER (WHERE event_type = 'MESSAGE_SENT') AS messages_sent,
+  count(*) FILTER (WHERE event_type = 'REPLY_RECEIVED') AS replies_received
+FROM v_event GROUP BY agent_id, date_key"""))

@@ -93,7 +93,11 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as an activity batch (``v_event``)."""
-    e = read_table(spark, sf_dir, "events")
+    return events_view(read_table(spark, sf_dir, "events"))
+
+
+def events_view(e: DataFrame) -> DataFrame:
+    """The ``v_event`` projection of a batch or streaming ``events`` frame."""
     et = F.col("event_type")
     ts = F.col("ts").cast("timestamp")
     return e.select(
