@@ -33,7 +33,7 @@ def daily_activity(fact: DataFrame, agents: DataFrame, dates: DataFrame | None,
                    agent_key: str = "agent_sk") -> DataFrame:
     """A1 + J2: counts joined to agent attributes and the calendar (inner)."""
     counts = daily_counts(fact, agent_key)
-    a = agents.select(agent_key, *[c for c in AGENT_ATTRS if c != agent_key])
+    a = agents.select(agent_key, *[c for c in AGENT_ATTRS if c != agent_key and c in agents.columns])
     out = counts.join(a, agent_key)
     if dates is not None:
         # The calendar is bounded by its date range; broadcasting it is safe.

@@ -54,7 +54,8 @@ def q_rates(spark, sf):
 
 
 def scored_events(spark, sf, cfg: RiskConfig = RiskConfig()) -> DataFrame:
-    return risk.score_daily(build_star(spark, sf).daily(), cfg, agent_key="agent_id")
+    # Windows partition on agent_sk: the dimension join already shuffled on it.
+    return risk.score_daily(build_star(spark, sf).daily(), cfg, agent_key="agent_sk")
 
 
 @query("agent_risk_daily")
@@ -155,7 +156,7 @@ from activity_engine.operators.keys import assign_surrogate_keys  # noqa: E402
 
 @query("sk_lookup")
 def q_sk_lookup(spark, sf):
-    s = build_star(spark, sf)
+    s = build_star(spark, sf, dense_keys=True)
     return s.resolved.select("event_id", "agent_id", "lead_id", "campaign_id",
                              "agent_sk", "lead_sk", "campaign_sk")
 
@@ -324,8 +325,8 @@ def q_kpi_capacity(spark, sf):
 @query("kpi_risk")
 def q_kpi_risk(spark, sf):
     s = build_star(spark, sf)
-    scored = risk.score_daily(s.daily(), agent_key="agent_id")
-    return measures.risk(scored, star_dims(s), ["account_age_tier"], agent_key="agent_id")
+    scored = risk.score_daily(s.daily(), agent_key="agent_sk")
+    return measures.risk(scored, star_dims(s), ["account_age_tier"], agent_key="agent_sk")
 
 
 @query("kpi_campaign")
@@ -359,13 +360,13 @@ def q_cooldown(spark, sf):
 
 @query("ghosting_runs")
 def q_ghosting(spark, sf):
-    return risk.ghosting_runs(build_star(spark, sf).daily(), agent_key="agent_id")
+    return risk.ghosting_runs(build_star(spark, sf).daily(), agent_key="agent_sk").drop("agent_sk")
 
 
 @query("reply_decay")
 def q_reply_decay(spark, sf):
     from activity_engine.functions.numeric import np_round
-    d = risk.reply_decay(build_star(spark, sf).daily(), agent_key="agent_id")
+    d = risk.reply_decay(build_star(spark, sf).daily(), agent_key="agent_sk")
     return d.select("agent_id", "date_key", "reply_rate",
                     np_round("reply_baseline_change", 9).alias("reply_baseline_change"),
                     "reply_decay_flag")

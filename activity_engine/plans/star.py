@@ -38,18 +38,31 @@ class Star:
         return daily_activity(self.fact, self.dim_agent, self.dim_date)
 
 
-def agent_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = assign_surrogate_keys(fx.agents(spark, sf_dir), "agent_id", "agent_sk")
+def _keyed(df: DataFrame, key: str, sk: str, dense: bool) -> DataFrame:
+    """Surrogate keys for an analogue dimension.
+
+    ``dense`` runs the autoincrement operator (W10). Otherwise the integer
+    natural key itself serves as the surrogate key, as in a warehouse that
+    was loaded earlier: no extra sort, and joins stay on the same column.
+    """
+    if dense:
+        return assign_surrogate_keys(df, key, sk)
+    return df.withColumn(sk, F.col(key).cast("long"))
+
+
+def agent_dim(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFrame:
+    a = _keyed(fx.agents(spark, sf_dir), "agent_id", "agent_sk", dense)
     return a.select("agent_sk", *[c for c in a.columns if c != "agent_sk"],
                     F.lit(None).cast("timestamp").alias("effective_date"),
                     F.lit(None).cast("timestamp").alias("end_date"),
                     F.lit(1).alias("is_current"))
 
 
-def build_star(spark: SparkSession, sf_dir: str, now: str = "2024-02-01 00:00:00") -> Star:
-    dim_agent = agent_dim(spark, sf_dir)
-    dim_lead = assign_surrogate_keys(fx.leads(spark, sf_dir), "lead_id", "lead_sk")
-    dim_campaign = assign_surrogate_keys(fx.campaigns(spark, sf_dir), "campaign_id", "campaign_sk")
+def build_star(spark: SparkSession, sf_dir: str, now: str = "2024-02-01 00:00:00",
+               dense_keys: bool = False) -> Star:
+    dim_agent = agent_dim(spark, sf_dir, dense_keys)
+    dim_lead = _keyed(fx.leads(spark, sf_dir), "lead_id", "lead_sk", dense_keys)
+    dim_campaign = _keyed(fx.campaigns(spark, sf_dir), "campaign_id", "campaign_sk", dense_keys)
     dim_date = fx.dates(spark, sf_dir)
     batch = fx.events(spark, sf_dir)
     resolved = resolve_keys(batch, dim_agent, dim_lead, dim_campaign)
