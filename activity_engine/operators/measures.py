@@ -22,13 +22,17 @@ from activity_engine.functions.numeric import np_round, safe_divide
 
 FK = {"agent": "agent_sk", "lead": "lead_sk", "campaign": "campaign_sk", "date": "date_key"}
 
-CORE_COUNTS = {
-    "total_invites_sent": F.col("event_type") == "INVITE_SENT",
-    "total_invites_accepted": F.col("event_type") == "INVITE_ACCEPTED",
-    "total_messages_sent": F.col("event_type") == "MESSAGE_SENT",
-    "total_replies_received": F.col("event_type") == "REPLY_RECEIVED",
-    "total_conversions": F.col("is_converted") == 1,
-}
+def core_counts(*names: str) -> dict[str, Column]:
+    """M1, M2, M4, M5, M7 as count predicates (built lazily: needs a session)."""
+    et = F.col("event_type")
+    allc = {
+        "total_invites_sent": et == "INVITE_SENT",
+        "total_invites_accepted": et == "INVITE_ACCEPTED",
+        "total_messages_sent": et == "MESSAGE_SENT",
+        "total_replies_received": et == "REPLY_RECEIVED",
+        "total_conversions": F.col("is_converted") == 1,
+    }
+    return {k: allc[k] for k in names} if names else allc
 
 
 def _owner(dims: dict[str, DataFrame], col: str) -> str:
@@ -60,7 +64,7 @@ def core(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (),
          rollup: bool = False) -> DataFrame:
     """M1-M8: outreach volumes, acceptance, replies, conversions."""
     by = list(by)
-    c = sliced_counts(fact, dims, by, CORE_COUNTS, rollup)
+    c = sliced_counts(fact, dims, by, core_counts(), rollup)
     return c.select(
         *by,
         "total_invites_sent", "total_invites_accepted",
@@ -94,7 +98,7 @@ def capacity(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ()) ->
         F.sum("daily_invite_ceiling").cast("long").alias("invite_ceiling_sum"),
         F.sum("daily_message_ceiling").cast("long").alias("message_ceiling_sum"))
     f = sliced_counts(fact, {"agent": agents}, by,
-                      {k: CORE_COUNTS[k] for k in ("total_invites_sent", "total_messages_sent")})
+                      core_counts("total_invites_sent", "total_messages_sent"))
     days = calendar_days(dims["date"])
     j = a.join(f, by, "left") if by else a.unionByName(f, allowMissingColumns=True) \
         .agg(*[F.max(c).alias(c) for c in a.columns + f.columns])
@@ -144,7 +148,7 @@ def campaign(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ("camp
     b = dims["campaign"].groupBy(*by).agg(
         F.sum(F.col("daily_budget").cast("double") * days).alias("total_campaign_budget"))
     f = sliced_counts(fact, {"campaign": dims["campaign"]}, by,
-                      {k: CORE_COUNTS[k] for k in ("total_invites_sent", "total_conversions")})
+                      core_counts("total_invites_sent", "total_conversions"))
     j = b.join(f, by, "left") if by else b.unionByName(f, allowMissingColumns=True) \
         .agg(*[F.max(c).alias(c) for c in b.columns + f.columns])
     inv = F.coalesce(F.col("total_invites_sent"), F.lit(0))
