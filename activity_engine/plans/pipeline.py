@@ -212,8 +212,11 @@ def run_risk_model(wh: Warehouse, cfg: RiskConfig = RiskConfig(), now=None,
     out = scored.select("agent_sk", "date_key", *risk.RISK_COLUMNS,
                         _now_lit(now).alias("updated_at")).persist()
     old = wh.read("fact_daily_agent_metric")
+    merged = out if old is None else upsert(old, out, ["agent_sk", "date_key"])
+    # O1 without a global sort: rows are clustered by day (the partition
+    # column) and sorted by agent inside each task before the write.
     wh.rewrite("fact_daily_agent_metric",
-               out if old is None else upsert(old, out, ["agent_sk", "date_key"]),
+               merged.repartition("date_key").sortWithinPartitions("date_key", "agent_sk"),
                partition_by=["date_key"])
     s = risk.risk_summary(out).first()
     out.unpersist()
