@@ -26,7 +26,7 @@ DIM_DATE = _st(("date_key", I, False), ("full_date", DT, False), ("day_of_week",
                ("quarter", I, True), ("year", I, True), ("is_weekend", I, True))
 
 DIM_AGENT = _st(("agent_sk", L, False), ("agent_id", S, False), ("agent_name", S, True),
-                ("linkedin_profile_url", S, True), ("account_age_tier", S, True),
+                ("profile_url", S, True), ("account_age_tier", S, True),
                 ("risk_classification", S, True), ("daily_invite_ceiling", I, True),
                 ("daily_message_ceiling", I, True), ("status", S, True),
                 ("effective_date", TS, True), ("end_date", TS, True), ("is_current", I, False))
@@ -74,7 +74,7 @@ ACTIVITY_BATCH = _st(("event_id", S, True), ("agent_id", S, True), ("lead_id", S
                      ("is_converted", I, True))
 
 AGENT_RECORD = _st(("agent_id", S, True), ("agent_name", S, True),
-                   ("linkedin_profile_url", S, True), ("account_age_tier", S, True),
+                   ("profile_url", S, True), ("account_age_tier", S, True),
                    ("risk_classification", S, True), ("daily_invite_ceiling", I, True),
                    ("daily_message_ceiling", I, True), ("status", S, True))
 CAMPAIGN_RECORD = _st(("campaign_id", S, True), ("campaign_name", S, True),

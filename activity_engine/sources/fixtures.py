@@ -50,14 +50,14 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = c.select(
         F.col("c_custkey").alias("agent_id"),
         F.col("c_name").alias("agent_name"),
-        F.concat(F.lit("profiles/"), F.col("c_custkey").cast("string")).alias("linkedin_profile_url"),
+        F.concat(F.lit("profiles/"), F.col("c_custkey").cast("string")).alias("profile_url"),
         _map_expr(SEGMENT_TIER, F.col("c_mktsegment"), F.lit(None).cast("string"))
         .alias("account_age_tier"),
         F.when(F.col("c_acctbal") < 0, "PAUSED").otherwise("ACTIVE").alias("status"),
     )
     lim = tier_limits(spark)
     return (rec.join(lim, "account_age_tier", "left")
-            .select("agent_id", "agent_name", "linkedin_profile_url", "account_age_tier",
+            .select("agent_id", "agent_name", "profile_url", "account_age_tier",
                     F.col("tier_risk_classification").alias("risk_classification"),
                     F.col("tier_invite_ceiling").alias("daily_invite_ceiling"),
                     F.col("tier_message_ceiling").alias("daily_message_ceiling"),

@@ -13,7 +13,7 @@ from activity_engine.sources.tables import Warehouse
 
 from test_dq import BAD
 
-AGENT = dict(agent_id="AGT-001", agent_name="Agent One", linkedin_profile_url="u",
+AGENT = dict(agent_id="AGT-001", agent_name="Agent One", profile_url="u",
              account_age_tier="1+ Year", risk_classification="Minimal Risk",
              daily_invite_ceiling=30, daily_message_ceiling=60, status="ACTIVE")
 CAMPAIGN = dict(campaign_id="CMP-101", campaign_name="Launch", target_segment="SaaS",
