@@ -9,6 +9,7 @@ to the same tables.
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +53,25 @@ def init_warehouse(wh: Warehouse, start: str = CALENDAR_START, end: str = CALEND
 
 def load_dimensions(wh: Warehouse, payload: Payload, now=None,
                     track_agent_columns: list[str] | None = None) -> None:
-    """Insert-if-absent for all three dimensions; optional SCD2 for agents."""
+    """Insert-if-absent for all three dimensions; optional SCD2 for agents.
+
+    The three loads touch different tables, so their (small) jobs are
+    submitted concurrently instead of one after another.
+    """
     now_c = _now_lit(now)
-    agents = payload.agents.where(F.col("agent_id").isNotNull())
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = [pool.submit(_load_agents, wh, payload.agents, now_c, track_agent_columns),
+                   pool.submit(_load_simple_dim, wh, "dim_campaign", "campaign_id",
+                               "campaign_sk", payload.campaigns, "campaign_name"),
+                   pool.submit(_load_simple_dim, wh, "dim_lead", "lead_id", "lead_sk",
+                               payload.leads, None)]
+        for f in futures:
+            f.result()
+
+
+def _load_agents(wh: Warehouse, agents: DataFrame, now_c, track_agent_columns) -> None:
+    """J6 (insert when no current version) or J7 (SCD2 on tracked columns)."""
+    agents = agents.where(F.col("agent_id").isNotNull())
     cur = wh.read("dim_agent")
     meta = [now_c.alias("effective_date"), F.lit(None).cast("timestamp").alias("end_date"),
             F.lit(1).alias("is_current")]
@@ -62,26 +79,28 @@ def load_dimensions(wh: Warehouse, payload: Payload, now=None,
         merged = scd2_merge(cur, agents.drop("ingest_order"), "agent_id", "agent_sk",
                             track_agent_columns, now_c)
         wh.rewrite("dim_agent", merged)
-    else:
-        base = cur if cur is not None else \
-            agents.limit(0).withColumn("agent_sk", F.lit(0).cast("long")).withColumn(
-                "is_current", F.lit(1))
-        new = insert_if_absent(base, agents, "agent_id", "agent_sk", current_only=True,
-                               order_col="ingest_order")
-        cols = ["agent_sk", *[c for c in agents.columns if c != "ingest_order"]]
-        out = new.select(*cols, *meta)
-        wh.append("dim_agent", out if cur is None else out.select(*cur.columns))
-    for table, key, sk, recs, required in (
-            ("dim_campaign", "campaign_id", "campaign_sk", payload.campaigns, "campaign_name"),
-            ("dim_lead", "lead_id", "lead_sk", payload.leads, None)):
-        recs = recs.where(F.col(key).isNotNull())
-        if required:  # NOT NULL columns: such records are skipped, as an ignored insert
-            recs = recs.where(F.col(required).isNotNull())
-        cur = wh.read(table)
-        base = cur if cur is not None else recs.limit(0).withColumn(sk, F.lit(0).cast("long"))
-        new = insert_if_absent(base, recs, key, sk, order_col="ingest_order")
-        cols = [sk, *[c for c in recs.columns if c != "ingest_order"]]
-        wh.append(table, new.select(*cols) if cur is None else new.select(*cur.columns))
+        return
+    base = cur if cur is not None else \
+        agents.limit(0).withColumn("agent_sk", F.lit(0).cast("long")).withColumn(
+            "is_current", F.lit(1))
+    new = insert_if_absent(base, agents, "agent_id", "agent_sk", current_only=True,
+                           order_col="ingest_order")
+    cols = ["agent_sk", *[c for c in agents.columns if c != "ingest_order"]]
+    out = new.select(*cols, *meta)
+    wh.append("dim_agent", out if cur is None else out.select(*cur.columns))
+
+
+def _load_simple_dim(wh: Warehouse, table: str, key: str, sk: str, recs: DataFrame,
+                     required: str | None) -> None:
+    """Insert-or-ignore on the natural key."""
+    recs = recs.where(F.col(key).isNotNull())
+    if required:  # NOT NULL columns: such records are skipped, as an ignored insert
+        recs = recs.where(F.col(required).isNotNull())
+    cur = wh.read(table)
+    base = cur if cur is not None else recs.limit(0).withColumn(sk, F.lit(0).cast("long"))
+    new = insert_if_absent(base, recs, key, sk, order_col="ingest_order")
+    cols = [sk, *[c for c in recs.columns if c != "ingest_order"]]
+    wh.append(table, new.select(*cols) if cur is None else new.select(*cur.columns))
 
 
 # -- E2 ----------------------------------------------------------------------------
@@ -152,6 +171,13 @@ def run_pipeline(wh: Warehouse, payload: Payload, run_id: str, dlq_path: str, no
     batch = payload.activities.persist()
     audit = quality.evaluate_batch(batch, wh.read("dim_agent"), wh.read("dim_campaign"),
                                    "fact_outreach_activity", run_id, now_c, cfg)
+    has_prev = wh.read("pipeline_runs") is not None
+    prev_wm = get_watermark(wh)
+    pool = ThreadPoolExecutor(max_workers=2)
+    load = None
+    if not gate:  # without the gate the load does not wait for the audit
+        load = pool.submit(load_facts, wh, batch, run_id, dlq_path, now,
+                           prev_wm if incremental else None)
     old = wh.read("dq_audit_log")
     audit_rows = audit.collect()                      # five rows
     audit_df = spark.createDataFrame(audit_rows, audit.schema)
@@ -160,13 +186,14 @@ def run_pipeline(wh: Warehouse, payload: Payload, run_id: str, dlq_path: str, no
     composite = audit_rows[0]["composite_score"] if audit_rows else 100.0
     passed = bool(audit_rows[0]["passed"]) if audit_rows else True
     ingested = int(audit_rows[0]["records_evaluated"]) if audit_rows else 0
-    has_prev = wh.read("pipeline_runs") is not None
-    prev_wm = get_watermark(wh)
-    if gate and not passed:                            # X4: load gate, default off
+    if load is not None:
+        counts = load.result()
+    elif not passed:                                   # X4: load gate, default off
         counts = {"valid": 0, "inserted": 0, "quarantined": 0}
     else:
         counts = load_facts(wh, batch, run_id, dlq_path, now,
                             prev_wm if incremental else None)
+    pool.shutdown()
     wm_row = ingest.high_watermark(batch, "event_timestamp", parsed=True).first()
     new_wm = wm_row[0]
     wm = prev_wm
