@@ -30,9 +30,12 @@ def daily_counts(fact: DataFrame, agent_key: str = "agent_sk") -> DataFrame:
 
 
 def daily_activity(fact: DataFrame, agents: DataFrame, dates: DataFrame | None,
-                   agent_key: str = "agent_sk") -> DataFrame:
-    """A1 + J2: counts joined to agent attributes and the calendar (inner)."""
-    counts = daily_counts(fact, agent_key)
+                   agent_key: str = "agent_sk", precounted: bool = False) -> DataFrame:
+    """A1 + J2: counts joined to agent attributes and the calendar (inner).
+
+    ``precounted``: ``fact`` already holds ``daily_counts`` rows.
+    """
+    counts = fact if precounted else daily_counts(fact, agent_key)
     a = agents.select(agent_key, *[c for c in AGENT_ATTRS if c != agent_key and c in agents.columns])
     out = counts.join(a, agent_key)
     if dates is not None:

@@ -18,7 +18,7 @@ from activity_engine.config import (DEFAULT_WATERMARK, SOURCE_SYSTEM, CALENDAR_E
                                     CALENDAR_START, DQConfig, RiskConfig)
 from activity_engine.functions.dates import calendar
 from activity_engine.operators import ingest, quality, risk
-from activity_engine.operators.daily import daily_activity
+from activity_engine.operators.daily import daily_activity, daily_counts
 from activity_engine.operators.dims import insert_if_absent, scd2_merge, upsert
 from activity_engine.operators.keys import resolve_keys
 from activity_engine.sources.payload import Payload
@@ -135,19 +135,36 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
     rows = rows.observe(obs_valid, F.count(F.lit(1)).alias("n"))
     deduped = ingest.dedupe_first_wins(rows, "event_id", "ingest_order")
     existing = wh.read("fact_outreach_activity")
+    keys = _prune_keys(valid)
     if existing is not None:
-        keys = _prune_keys(valid)
         if keys is not None:
             existing = existing.where(F.col("date_key").isin(keys))
     new = ingest.insert_new(deduped, existing).drop("ingest_order")
     obs_new = Observation("inserted")
     wh.append("fact_outreach_activity", new.observe(obs_new, F.count(F.lit(1)).alias("n")),
               partition_by=["date_key"])
+    refresh_daily_counts(wh, keys)
     resolved.unpersist()
     return {"valid": int(obs_valid.get["n"]), "inserted": int(obs_new.get["n"]),
             "quarantined": int(obs_dead.get["n"])}
 
 
+def refresh_daily_counts(wh: Warehouse, date_keys: list | None) -> None:
+    """Keep ``agent_daily_counts`` (A1 before the joins) in step with the fact.
+
+    Counts of the touched days are recomputed from the fact (partition
+    pruned on ``date_key``) and replace only those day partitions, so the
+    step is idempotent and a rerun after a failure converges. ``None``
+    (too many days) recomputes every partition.
+    """
+    fact = wh.read("fact_outreach_activity")
+    if fact is None or date_keys == []:
+        return
+    if date_keys is not None:
+        fact = fact.where(F.col("date_key").isin(date_keys))
+    wh.overwrite_partitions("agent_daily_counts", daily_counts(fact), "date_key")
+
+
 # -- watermark (S9, S10) ---------------------------------------------------------
 
 def get_watermark(wh: Warehouse) -> str:
@@ -228,13 +245,17 @@ def run_risk_model(wh: Warehouse, cfg: RiskConfig = RiskConfig(), now=None,
     agents with new events (T5); their whole history is rescored because
     the windows need it.
     """
-    fact = wh.read("fact_outreach_activity")
-    if fact is None:
+    counts = wh.read("agent_daily_counts")
+    if counts is None:
         return {"status": "SUCCESS", "records_processed": 0, "anomalies_flagged": 0,
                 "critical_risk_count": 0}
     if affected_agents is not None:
-        fact = fact.join(affected_agents.select("agent_sk").distinct(), "agent_sk", "left_semi")
-    daily = daily_activity(fact, wh.read("dim_agent"), wh.read("dim_date"))
+        counts = counts.join(affected_agents.select("agent_sk").distinct(), "agent_sk",
+                             "left_semi")
+    # Agent-day counts are maintained per load, so the model never rescans
+    # the event fact; joining them to the dimensions is the star join.
+    daily = daily_activity(counts, wh.read("dim_agent"), wh.read("dim_date"),
+                           precounted=True)
     scored = risk.score_daily(daily, cfg, agent_key="agent_sk")
     out = scored.select("agent_sk", "date_key", *risk.RISK_COLUMNS,
                         _now_lit(now).alias("updated_at")).persist()

@@ -80,6 +80,19 @@ class Warehouse:
         w.parquet(path)
         return path
 
+    def overwrite_partitions(self, table: str, df: DataFrame, partition_col: str) -> str:
+        """Replace only the partitions present in ``df`` (dynamic overwrite).
+
+        For derived tables recomputed from another table: ``df`` must not read
+        the path it overwrites. The first write creates the version.
+        """
+        path = self.current_path(table)
+        if path is None:
+            return self.rewrite(table, df, [partition_col])
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+        return path
+
     def create_empty(self, table: str, schema, partition_by: list[str] | None = None) -> None:
         if not self.exists(table):
             self.rewrite(table, self.spark.createDataFrame([], schema), partition_by)

@@ -75,6 +75,24 @@ def test_idempotent_rerun(spark, tmp_path):
     assert w.read("dq_audit_log").count() == 10
 
 
+def test_daily_counts_track_the_fact(spark, tmp_path):
+    from activity_engine.operators.daily import daily_counts
+    w = wh(spark, tmp_path)
+    for run, days in (("a", range(1, 6)), ("b", range(4, 9))):
+        rows = acts([(f"{run}{d}-{k}", "AGT-001", "LEAD-0001", f"2026-08-{d:02d}T1{k}:00:00Z",
+                      ("INVITE_SENT", "MESSAGE_SENT", "INVITE_ACCEPTED")[k % 3])
+                     for d in days for k in range(3)])
+        pl.run_pipeline(w, from_records(spark, [AGENT], [CAMPAIGN], [LEAD], rows), run,
+                        str(tmp_path / "dlq"), now="2026-08-20 00:00:00")
+    kept = {tuple(r) for r in w.read("agent_daily_counts").select(
+        "agent_sk", "date_key", "invites_sent", "invites_accepted", "messages_sent",
+        "replies_received").collect()}
+    full = {tuple(r) for r in daily_counts(w.read("fact_outreach_activity")).select(
+        "agent_sk", "date_key", "invites_sent", "invites_accepted", "messages_sent",
+        "replies_received").collect()}
+    assert kept == full and len(full) == 8
+
+
 def test_first_arrival_wins_within_batch(spark, tmp_path):
     w = wh(spark, tmp_path)
     rows = acts([("DUP", "AGT-001", "LEAD-0001", "2026-08-19T10:00:00Z", "INVITE_SENT"),
