@@ -476,3 +476,29 @@ def q_stream_daily(spark, sf):
     q = st.start_daily_counts(st.stream_events_view(spark, sf), wh, f"{root}/_ckpt_counts")
     q.awaitTermination()
     return wh.read("stream_daily_counts")
+
+
+@query("stream_risk_refresh")
+def q_stream_risk(spark, sf):
+    """T5: each micro-batch loads its events, refreshes the touched days'
+    counts and rescoring the agents it touched; the snapshot is read back."""
+    from activity_engine.plans import pipeline as pl
+    from activity_engine.streaming import stream as st
+    wh, root = fixture_warehouse(spark, sf, "srisk")
+    pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
+    q = st.start_ingest(st.stream_events_view(spark, sf), wh, f"{root}/dlq",
+                        f"{root}/_ckpt_risk", RUN_NOW, refresh_risk=True)
+    q.awaitTermination()
+    m = with_natural_keys(wh, wh.read("fact_daily_agent_metric"))
+    return m.select(*RISK_OUT)
+
+
+@query("dim_date_insert_or_ignore")
+def q_calendar_insert(spark, sf):
+    """The calendar loaded twice, the second time one year longer."""
+    from activity_engine.plans import pipeline as pl
+    wh, _ = fixture_warehouse(spark, sf, "cal")
+    b = fx.calendar_bounds(spark, sf)
+    longer = b.select("start", F.add_months("end", 12).alias("end"))
+    added = pl.init_warehouse(wh, longer)
+    return wh.read("dim_date").withColumn("second_load_added", F.lit(added).cast("long"))

@@ -391,3 +391,16 @@ SELECT agent_id, date_key,
   count(*) FILTER (WHERE event_type = 'MESSAGE_SENT') AS messages_sent,
   count(*) FILTER (WHERE event_type = 'REPLY_RECEIVED') AS replies_received
 FROM v_event GROUP BY agent_id, date_key"""))
+
+sql("stream_risk_refresh", ORACLE["agent_risk_daily"])
+
+sql("dim_date_insert_or_ignore", with_ctes(BASE_CTES, """,
+b2 AS (SELECT s, CAST(e + INTERVAL 1 YEAR AS DATE) AS e FROM bounds),
+d2 AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM b2)
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date,
+  CAST(isodow(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name,
+  CAST(month(d) AS INTEGER) AS month_number, monthname(d) AS month_name,
+  CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
+  CASE WHEN isodow(d) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend,
+  (SELECT count(*) FROM d2) - (SELECT count(*) FROM days) AS second_load_added
+FROM d2""").replace("\n,\nb2", ",\nb2"))
