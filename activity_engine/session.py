@@ -67,3 +67,36 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the session's shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/"), *parts])
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Scan splits and post-shuffle partitions target ``target_partition_bytes``
+    (256 MiB: a task's working set stays well inside a 4-core executor's
+    memory), the initial shuffle width covers the whole input at that size
+    (at least 3 tasks per core), and AQE coalesces small partitions and splits
+    skewed ones at runtime. 100 TB on 1000 executors gives ~400k initial
+    shuffle partitions, which AQE coalesces after the partial aggregates.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # Broadcast only what AQE measured small at runtime.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
