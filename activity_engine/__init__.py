@@ -1,0 +1,3 @@
+"""activity_engine: outreach-activity analytics as Spark DataFrame operators."""
+
+__version__ = "0.1.0"

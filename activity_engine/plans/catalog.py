@@ -7,16 +7,21 @@ detail) with every computed column aliased to the oracle's name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.config import RiskConfig
-from activity_engine.operators import risk
+from activity_engine.config import DQConfig, RiskConfig
+from activity_engine.operators import ingest, measures, risk
+from activity_engine.operators import quality as dq
 from activity_engine.operators.daily import with_rates
+from activity_engine.operators.keys import assign_surrogate_keys
 from activity_engine.plans.star import build_star
+from activity_engine.session import scratch_path
 from activity_engine.sources import fixtures as fx
+from activity_engine.sources.payload import Payload
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -83,8 +88,6 @@ def q_risk_summary(spark, sf):
 
 # -- data quality ----------------------------------------------------------------
 
-from activity_engine.config import DQConfig  # noqa: E402
-from activity_engine.operators import quality as dq  # noqa: E402
 
 DQ_NOW = "2024-01-25 00:00:00"        # fixed clock: events run to 2024-01-30
 DQ_MIN = "2024-01-05 00:00:00"        # fixed lower bound: events start 2024-01-01
@@ -150,9 +153,6 @@ def q_dq_samples(spark, sf):
 
 # -- ingest: keys, quarantine, dedupe, idempotent load -----------------------------
 
-from activity_engine.operators import ingest  # noqa: E402
-from activity_engine.operators.keys import assign_surrogate_keys  # noqa: E402
-
 
 @query("sk_lookup")
 def q_sk_lookup(spark, sf):
@@ -284,8 +284,6 @@ def q_incremental(spark, sf):
 
 # -- measures (M1-M22) --------------------------------------------------------------
 
-from activity_engine.operators import measures  # noqa: E402
-
 
 def star_dims(s) -> dict:
     return {"agent": s.dim_agent, "campaign": s.dim_campaign, "date": s.dim_date,
@@ -374,10 +372,6 @@ def q_reply_decay(spark, sf):
 
 # -- write paths: pipeline runs, sinks, streaming ------------------------------------
 
-import uuid  # noqa: E402
-
-from activity_engine.session import scratch_path  # noqa: E402
-from activity_engine.sources.payload import Payload  # noqa: E402
 
 RUN_NOW = "2024-02-01 00:00:00"
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from activity_engine.config import (DEFAULT_WATERMARK, SOURCE_SYSTEM, CALENDAR_END,
