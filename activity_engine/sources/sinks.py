@@ -12,14 +12,17 @@ FEED_TABLES = ("dim_agent", "dim_lead", "dim_campaign", "dim_date", "fact_outrea
 
 
 def write_dead_letters(dead: DataFrame, path: str, run_id: str) -> None:
-    """Append dead-letter rows as JSON lines under ``run_id=<id>``.
+    """Write dead-letter rows as JSON lines under ``run_id=<id>``.
 
     The record is kept as JSON text with nulls written out, next to the
-    reason and the time. Writing nothing for an empty input is Spark's
-    normal behaviour for a partitioned write with no rows.
+    reason and the time. Only this run's partition is replaced (dynamic
+    overwrite), so a retried run or a replayed micro-batch rewrites its own
+    dead letters instead of adding a second copy; other runs are untouched.
+    An empty input writes nothing.
     """
     (dead_letter_json(dead).withColumn("run_id", F.lit(run_id))
-     .write.mode("append").partitionBy("run_id").json(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").json(path))
 
 
 def read_dead_letters(spark, path: str) -> DataFrame:

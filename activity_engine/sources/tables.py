@@ -93,6 +93,20 @@ class Warehouse:
          .partitionBy(partition_col).parquet(path))
         return path
 
+    def vacuum(self, table: str, keep: int = 2) -> list[str]:
+        """Delete committed versions older than the newest ``keep``.
+
+        Not called by the pipeline: run it when no reader still uses an old
+        version (readers resolve the newest version when they start).
+        """
+        keep = max(1, keep)
+        removed = []
+        for v in self.versions(table)[:-keep]:
+            fs, p = self._fs(self._vpath(table, v))
+            fs.delete(p, True)
+            removed.append(str(p))
+        return removed
+
     def create_empty(self, table: str, schema, partition_by: list[str] | None = None) -> None:
         if not self.exists(table):
             self.rewrite(table, self.spark.createDataFrame([], schema), partition_by)

@@ -93,6 +93,28 @@ def test_daily_counts_track_the_fact(spark, tmp_path):
     assert kept == full and len(full) == 8
 
 
+def test_rerun_same_run_id_keeps_one_dlq_copy(spark, tmp_path):
+    w = wh(spark, tmp_path)
+    p = from_records(spark, [AGENT], [CAMPAIGN], [LEAD], acts(BAD))
+    dlq = str(tmp_path / "dlq")
+    for _ in range(2):
+        pl.run_pipeline(w, p, "same-run", dlq, now="2026-08-19 14:00:00")
+    assert read_dead_letters(spark, dlq).count() == 3
+    pl.run_pipeline(w, p, "other-run", dlq, now="2026-08-19 14:00:00")
+    assert read_dead_letters(spark, dlq).count() == 6
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    w = wh(spark, tmp_path)
+    p = from_records(spark, [AGENT], [CAMPAIGN], [LEAD], acts(BAD))
+    for r in ("v1", "v2", "v3"):
+        pl.run_pipeline(w, p, r, str(tmp_path / "dlq"), now="2026-08-19 14:00:00")
+    assert len(w.versions("pipeline_runs")) == 3
+    w.vacuum("pipeline_runs", keep=1)
+    assert len(w.versions("pipeline_runs")) == 1
+    assert w.read("pipeline_runs").count() == 3
+
+
 def test_first_arrival_wins_within_batch(spark, tmp_path):
     w = wh(spark, tmp_path)
     rows = acts([("DUP", "AGT-001", "LEAD-0001", "2026-08-19T10:00:00Z", "INVITE_SENT"),
