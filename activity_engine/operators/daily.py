@@ -39,8 +39,9 @@ def daily_activity(fact: DataFrame, agents: DataFrame, dates: DataFrame | None,
     a = agents.select(agent_key, *[c for c in AGENT_ATTRS if c != agent_key and c in agents.columns])
     out = counts.join(a, agent_key)
     if dates is not None:
-        # The calendar is bounded by its date range; broadcasting it is safe.
-        out = out.join(F.broadcast(dates.select("date_key", "full_date")), "date_key")
+        # No hint: the calendar's size depends on how it was initialised, so
+        # AQE broadcasts it from its measured size (a few thousand rows).
+        out = out.join(dates.select("date_key", "full_date"), "date_key")
     return out
 
 

@@ -52,21 +52,27 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, key: str, sk_col: str,
     Returns the whole new dimension: history and unchanged rows as they
     were, changed current rows closed (``end_date = now, is_current = 0``),
     and new versions for changed and unseen keys with fresh dense keys.
+    One full outer join of current versions with the incoming records
+    classifies every key; both outputs read that join (same plan, so the
+    shuffle is reused).
     """
     inc = _first_per_key(incoming.where(F.col(key).isNotNull()), key, order_col)
     cur = dim.where(F.col("is_current") == 1)
     hist = dim.where(F.col("is_current") != 1)
-    n = inc.select(key, *[F.col(c).alias(f"_n_{c}") for c in track])
-    j = cur.join(n.withColumn("_matched", F.lit(True)), key, "left")
-    is_changed = F.coalesce(F.col("_matched"), F.lit(False)) & changed_flag("", "_n_", track)
-    keep = j.where(~is_changed).select(*dim.columns)
-    closed = j.where(is_changed).select(
-        *[(now.alias(c) if c == "end_date" else
-           F.lit(0).alias(c) if c == "is_current" else F.col(c)) for c in dim.columns])
-    # New versions: changed keys plus keys never seen as current.
-    changed_keys = j.where(is_changed).select(key)
-    unseen = inc.join(cur.select(key), key, "left_anti")
-    fresh = inc.join(changed_keys, key, "left_semi").unionByName(unseen)
+    attrs = [c for c in inc.columns if c != key]
+    n = inc.select(key, *[F.col(c).alias(f"_n_{c}") for c in attrs],
+                   F.lit(True).alias("_in_new"))
+    c = cur.withColumn("_in_cur", F.lit(True))
+    j = c.join(n, key, "full_outer")
+    in_cur = F.coalesce(F.col("_in_cur"), F.lit(False))
+    in_new = F.coalesce(F.col("_in_new"), F.lit(False))
+    changed = in_cur & in_new & changed_flag("", "_n_", track)
+    old_rows = j.where(in_cur).select(*[
+        (F.when(changed, now).otherwise(F.col(c)).alias(c) if c == "end_date" else
+         F.when(changed, F.lit(0)).otherwise(F.col(c)).alias(c) if c == "is_current" else
+         F.col(c)) for c in dim.columns])
+    fresh = j.where(changed | (in_new & ~in_cur)).select(
+        key, *[F.col(f"_n_{c}").alias(c) for c in attrs])
     start = dim.select(F.coalesce(F.max(sk_col), F.lit(0))).scalar()
     new_rows = assign_surrogate_keys(fresh, key, sk_col, start)
     new_rows = new_rows.select(*[
@@ -76,7 +82,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, key: str, sk_col: str,
          F.lit(None).cast("timestamp").alias(c) if c == "end_date" else
          F.lit(1).alias(c) if c == "is_current" else
          F.lit(None).cast(dim.schema[c].dataType).alias(c)) for c in dim.columns])
-    return hist.unionByName(keep).unionByName(closed).unionByName(new_rows)
+    return hist.unionByName(old_rows).unionByName(new_rows)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
