@@ -108,6 +108,12 @@ class RiskConfig:
     reply_decay_pct: float = RISK_REPLY_DECAY_PCT
     ghosting_days: int = RISK_GHOSTING_DAYS
 
+    def __post_init__(self):
+        if not self.ewma_span > 1:
+            raise ValueError("ewma_span must be greater than 1")
+        if self.min_points < 1:
+            raise ValueError("min_points must be at least 1")
+
     @property
     def alpha(self) -> float:
         return 2.0 / (self.ewma_span + 1.0)

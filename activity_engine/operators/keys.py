@@ -11,13 +11,14 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
     """Dense ids ``start_after + 1 ..`` in natural-key order (autoincrement).
 
     A global ``row_number()`` would sort everything in one task. Instead the
-    rows are range-sorted by the (unique) natural key; each partition gets
-    its offset from a table of per-partition counts, whose size is bounded
-    by the number of partitions, and adds the row's position inside the
-    partition. The sort is deterministic, so a retried task reproduces the
-    same ids.
+    rows are range-sorted by the natural key; each partition gets its offset
+    from a table of per-partition counts, whose size is bounded by the number
+    of partitions, and adds the row's position inside the partition. Ties on
+    the key break on a hash of the whole row, so the order (and a retried
+    task's ids) is deterministic even if the caller passes duplicate keys.
     """
-    ordered = (df.orderBy(key_col)
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    ordered = (df.orderBy(F.col(key_col), tiebreak)
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -91,3 +91,18 @@ def test_tier_check_flags_mismatch(spark):
     got = {r.agent_id: (r.ceiling_mismatch, r.cooldown_hours)
            for r in risk.tier_check(agents).collect()}
     assert got == {"A": (False, 24), "B": (True, 24)}
+
+
+def test_span_must_exceed_one():
+    with pytest.raises(ValueError):
+        RiskConfig(ewma_span=1)
+
+
+def test_dense_keys_unique_and_dense(spark):
+    from activity_engine.operators.keys import assign_surrogate_keys
+    df = spark.range(5000).select((F.col("id") * 7919 % 100003).alias("k")).repartition(7)
+    out = assign_surrogate_keys(df, "k", "sk", 10).collect()
+    sks = sorted(r.sk for r in out)
+    assert sks == list(range(11, 5011))
+    by_key = sorted(out, key=lambda r: r.k)
+    assert [r.sk for r in by_key] == sks          # ids follow natural-key order
