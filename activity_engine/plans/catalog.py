@@ -447,13 +447,13 @@ def q_feed(spark, sf):
 
 @query("stream_ingest")
 def q_stream_ingest(spark, sf):
-    """The events files as a stream, loaded per micro-batch."""
+    """The events files as a stream, ingested per micro-batch."""
     from activity_engine.plans import pipeline as pl
     from activity_engine.streaming import stream as st
     wh, root = fixture_warehouse(spark, sf, "stream")
     pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
-    src = st.dedupe_stream(st.stream_events_view(spark, sf), "event_timestamp", "2 days")
-    q = st.start_ingest(src, wh, f"{root}/dlq", f"{root}/_ckpt_ingest", RUN_NOW)
+    q = st.start_ingest(st.stream_events_view(spark, sf), wh, f"{root}/dlq",
+                        f"{root}/_ckpt_ingest", RUN_NOW)
     q.awaitTermination()
     f = with_natural_keys(wh, wh.read("fact_outreach_activity"))
     return f.select("event_id", "agent_id", "date_key", "event_type", "message_length",
@@ -462,14 +462,14 @@ def q_stream_ingest(spark, sf):
 
 @query("stream_daily_counts")
 def q_stream_daily(spark, sf):
-    """Tumbling daily counts per agent, merged per micro-batch."""
+    """Daily counts per agent from per-micro-batch partial counts."""
     from activity_engine.streaming import stream as st
     from activity_engine.sources.tables import Warehouse
     root = scratch_path(spark, "queries", f"sdc-{uuid.uuid4().hex[:8]}")
     wh = Warehouse(spark, f"{root}/wh")
     q = st.start_daily_counts(st.stream_events_view(spark, sf), wh, f"{root}/_ckpt_counts")
     q.awaitTermination()
-    return wh.read("stream_daily_counts")
+    return st.read_daily_counts(wh)
 
 
 @query("stream_risk_refresh")

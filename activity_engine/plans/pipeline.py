@@ -190,11 +190,23 @@ def run_pipeline(wh: Warehouse, payload: Payload, run_id: str, dlq_path: str, no
                  cfg: DQConfig = DQConfig(), gate: bool = False, incremental: bool = False,
                  track_agent_columns: list[str] | None = None) -> dict:
     """Dimensions -> DQ audit -> fact load -> watermark -> run ledger."""
-    spark = wh.spark
     start = _dt.datetime.now(_dt.timezone.utc)
-    now_c = _now_lit(now)
     load_dimensions(wh, payload, now, track_agent_columns)
-    batch = payload.activities.persist()
+    return ingest_activities(wh, payload.activities, run_id, dlq_path, now, cfg, gate,
+                             incremental, start)
+
+
+def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
+                      now=None, cfg: DQConfig = DQConfig(), gate: bool = False,
+                      incremental: bool = False, start: _dt.datetime | None = None) -> dict:
+    """E3 after the dimensions: DQ audit, fact load, watermark, run ledger.
+
+    Also the body of every streaming micro-batch (T4).
+    """
+    spark = wh.spark
+    start = start or _dt.datetime.now(_dt.timezone.utc)
+    now_c = _now_lit(now)
+    batch = activities.persist()
     audit = quality.evaluate_batch(batch, wh.read("dim_agent"), wh.read("dim_campaign"),
                                    "fact_outreach_activity", run_id, now_c, cfg)
     has_prev = wh.read("pipeline_runs") is not None
