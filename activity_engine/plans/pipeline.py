@@ -211,32 +211,32 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
                                    "fact_outreach_activity", run_id, now_c, cfg)
     has_prev = wh.read("pipeline_runs") is not None
     prev_wm = get_watermark(wh)
-    pool = ThreadPoolExecutor(max_workers=2)
-    load = None
-    if not gate:  # without the gate the load does not wait for the audit
-        load = pool.submit(load_facts, wh, batch, run_id, dlq_path, now,
-                           prev_wm if incremental else None)
-    old = wh.read("dq_audit_log")
-    audit_rows = audit.collect()                      # five rows
-    audit_df = spark.createDataFrame(audit_rows, audit.schema)
-    wh.rewrite("dq_audit_log", audit_df if old is None else
-               upsert(old, audit_df, ["pipeline_run_id", "table_name", "dimension"]))
-    composite = audit_rows[0]["composite_score"] if audit_rows else 100.0
-    passed = bool(audit_rows[0]["passed"]) if audit_rows else True
-    ingested = int(audit_rows[0]["records_evaluated"]) if audit_rows else 0
-    if load is not None:
-        counts = load.result()
-    elif not passed:                                   # X4: load gate, default off
-        counts = {"valid": 0, "inserted": 0, "quarantined": 0}
-    else:
-        counts = load_facts(wh, batch, run_id, dlq_path, now,
-                            prev_wm if incremental else None)
-    pool.shutdown()
-    wm_row = ingest.high_watermark(batch, "event_timestamp", parsed=True).first()
-    new_wm = wm_row[0]
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        load = None
+        if not gate:  # without the gate the load does not wait for the audit
+            load = pool.submit(load_facts, wh, batch, run_id, dlq_path, now,
+                               prev_wm if incremental else None)
+        old = wh.read("dq_audit_log")
+        audit_rows = audit.collect()                      # five rows
+        audit_df = spark.createDataFrame(audit_rows, audit.schema)
+        wh.rewrite("dq_audit_log", audit_df if old is None else
+                   upsert(old, audit_df, ["pipeline_run_id", "table_name", "dimension"]))
+        composite = audit_rows[0]["composite_score"] if audit_rows else 100.0
+        passed = bool(audit_rows[0]["passed"]) if audit_rows else True
+        ingested = int(audit_rows[0]["records_evaluated"]) if audit_rows else 0
+        if load is not None:
+            counts = load.result()
+        elif not passed:                                   # X4: load gate, default off
+            counts = {"valid": 0, "inserted": 0, "quarantined": 0}
+        else:
+            counts = load_facts(wh, batch, run_id, dlq_path, now,
+                                prev_wm if incremental else None)
+    # Formatted by Spark in the session time zone (UTC), not by the driver's
+    # local clock settings.
+    cand = ingest.high_watermark(batch, "event_timestamp", parsed=True) \
+        .select(F.date_format("watermark", WATERMARK_FMT)).first()[0]
     wm = prev_wm
-    if new_wm is not None:   # monotonic: never moves back (the source overwrote it)
-        cand = new_wm.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    if cand is not None:   # monotonic: never moves back (the source overwrote it)
         wm = max(prev_wm, cand) if has_prev else cand
     batch.unpersist()
     end = _dt.datetime.now(_dt.timezone.utc)

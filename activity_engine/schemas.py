@@ -117,6 +117,3 @@ def tier_limits(spark: SparkSession) -> DataFrame:
     """Five-row limits matrix; fixed size, so it is always safe to broadcast."""
     return F.broadcast(spark.createDataFrame(list(TIER_LIMITS), TIER_SCHEMA))
 
-
-def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[table])
