@@ -241,7 +241,7 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
     batch.unpersist()
     end = _dt.datetime.now(_dt.timezone.utc)
     status = "SUCCESS" if passed else "WARNING_DQ_THRESHOLD"
-    run = spark.createDataFrame([(run_id, start.replace(tzinfo=None), end.replace(tzinfo=None),
+    run = spark.createDataFrame([(run_id, start, end,  # aware datetimes: exact instants
                                   SOURCE_SYSTEM, ingested, counts["valid"], counts["inserted"],
                                   counts["quarantined"], status, wm, None)],
                                 "run_id string, start_time timestamp, end_time timestamp, "
