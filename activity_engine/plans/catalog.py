@@ -496,3 +496,31 @@ def q_calendar_insert(spark, sf):
     longer = b.select("start", F.add_months("end", 12).alias("end"))
     added = pl.init_warehouse(wh, longer)
     return wh.read("dim_date").withColumn("second_load_added", F.lit(added).cast("long"))
+
+
+@query("dq_composite")
+def q_dq_composite(spark, sf):
+    """The weighted composite and pass flag of the event batch."""
+    s = build_star(spark, sf)
+    a = dq.evaluate_batch(s.batch, s.dim_agent, s.dim_campaign, "fact_outreach_activity",
+                          "audit-fixture", DQ_NOW, DQConfig(min_event_ts=DQ_MIN))
+    return a.select("composite_score", "passed").distinct()
+
+
+@query("kpi_capacity_total")
+def q_kpi_capacity_total(spark, sf):
+    s = build_star(spark, sf)
+    return measures.capacity(s.fact, star_dims(s))
+
+
+@query("kpi_risk_total")
+def q_kpi_risk_total(spark, sf):
+    s = build_star(spark, sf)
+    scored = risk.score_daily(s.daily(), agent_key="agent_sk")
+    return measures.risk(scored, star_dims(s), agent_key="agent_sk")
+
+
+@query("kpi_campaign_total")
+def q_kpi_campaign_total(spark, sf):
+    s = build_star(spark, sf)
+    return measures.campaign(s.fact, star_dims(s), [])

@@ -404,3 +404,51 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d
   CASE WHEN isodow(d) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend,
   (SELECT count(*) FROM d2) - (SELECT count(*) FROM days) AS second_load_added
 FROM d2""").replace("\n,\nb2", ",\nb2"))
+
+
+sql("dq_composite", ORACLE["dq_audit"].replace(
+    """SELECT 'audit-fixture' AS pipeline_run_id, 'fact_outreach_activity' AS table_name, dimension,
+  CAST(n AS BIGINT) AS records_evaluated, CAST(f AS BIGINT) AS records_failed,
+  s AS dimension_score, (SELECT c FROM w) AS composite_score,
+  CASE WHEN (SELECT c FROM w) >= 95.0 THEN 1 ELSE 0 END AS passed
+FROM dims""", """SELECT c AS composite_score, CASE WHEN c >= 95.0 THEN 1 ELSE 0 END AS passed FROM w"""))
+
+sql("kpi_capacity_total", with_ctes(BASE_CTES, f""",
+a AS (SELECT count(DISTINCT CASE WHEN is_current = 1 AND status = 'ACTIVE' THEN agent_sk END)
+          AS active_agents,
+        count(DISTINCT CASE WHEN is_current = 1 AND status IN ('PAUSED', 'GHOSTED')
+          THEN agent_sk END) AS paused_or_ghosted_agents,
+        sum(daily_invite_ceiling) AS ic, sum(daily_message_ceiling) AS mc FROM dim_agent),
+f AS (SELECT count(*) FILTER (WHERE event_type = 'INVITE_SENT') AS inv,
+             count(*) FILTER (WHERE event_type = 'MESSAGE_SENT') AS msg FROM fact),
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date)
+SELECT active_agents, paused_or_ghosted_agents,
+  CAST(inv AS BIGINT) AS total_invites_sent, CAST(msg AS BIGINT) AS total_messages_sent,
+  {sdiv('inv', 'ic * (SELECT days FROM nd)')} AS invite_capacity_utilization,
+  {sdiv('msg', 'mc * (SELECT days FROM nd)')} AS message_capacity_utilization
+FROM a, f""").replace("\n,\na AS", ",\na AS"))
+
+sql("kpi_risk_total", with_ctes(BASE_CTES + risk_ctes("daily"), f""",
+m AS (SELECT avg(anomaly_score) AS z,
+        count(*) FILTER (WHERE risk_level = 'CRITICAL') AS crit,
+        count(*) FILTER (WHERE risk_level = 'WARNING') AS warn,
+        sum(recommended_invite_capacity) AS rec FROM scored),
+c AS (SELECT sum(daily_invite_ceiling) AS ceil FROM dim_agent),
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date)
+SELECT round_even(m.z, 9) + 0.0 AS avg_anomaly_z,
+  CAST(crit AS BIGINT) AS critical_risk_days, CAST(warn AS BIGINT) AS warning_risk_days,
+  CAST(coalesce(rec, 0) AS BIGINT) AS recommended_safe_invites,
+  {sdiv('ceil * (SELECT days FROM nd) - coalesce(rec, 0)', 'ceil * (SELECT days FROM nd)')}
+    AS throttled_capacity_variance
+FROM m, c""").replace("\n,\nm AS", ",\nm AS"))
+
+sql("kpi_campaign_total", with_ctes(BASE_CTES, f""",
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date),
+b AS (SELECT sum(daily_budget * (SELECT days FROM nd)) AS budget FROM dim_campaign),
+f AS (SELECT count(*) FILTER (WHERE event_type = 'INVITE_SENT') AS inv,
+             count(*) FILTER (WHERE is_converted = 1) AS conv FROM fact)
+SELECT budget AS total_campaign_budget,
+  {sdiv('budget', 'inv')} AS cost_per_invite, {sdiv('budget', 'conv')} AS cost_per_conversion,
+  CAST(conv * 5000 AS BIGINT) AS estimated_pipeline_value,
+  {sdiv('conv * 5000', 'budget')} AS campaign_roi_multiplier
+FROM b, f""").replace("\n,\nnd AS", ",\nnd AS"))
