@@ -177,11 +177,24 @@ def _referential_parts(df: DataFrame, agents, campaigns, sample_size: int,
                        n_part: DataFrame | None = None) -> list[DataFrame]:
     parts = [n_part if n_part is not None else
              _part(df.agg(F.count(F.lit(1)).alias("n")), "REFERENTIAL_INTEGRITY", F.col("n"))]
+    samples = None
     for col, parent in (("agent_id", agents), ("campaign_id", campaigns)):
         if col in df.columns and parent is not None:
             miss = unresolved_keys(df, col, parent)
             parts.append(_part(miss.agg(F.count(F.lit(1)).alias("f")), "REFERENTIAL_INTEGRITY",
                                failed=F.col("f")))
+            s = (miss.select(F.col(col).cast("string").alias("sample"))
+                 .orderBy(F.col("sample").asc_nulls_first()).limit(sample_size)
+                 .select(F.lit(f"unresolved_{col}s").alias("k"), "sample"))
+            samples = s if samples is None else samples.unionByName(s)
+    if samples is not None:
+        # {"unresolved_agent_ids": [...], "unresolved_campaign_ids": [...]}, a
+        # key only when something is unresolved; at most sample_size each.
+        per_key = samples.groupBy("k").agg(F.sort_array(F.collect_list("sample")).alias("v"))
+        det = per_key.agg(F.to_json(F.map_from_entries(F.array_sort(
+            F.collect_list(F.struct("k", "v"))))).alias("d"))
+        parts.append(_part(det, "REFERENTIAL_INTEGRITY",
+                           details=F.coalesce(F.col("d"), F.lit("{}"))))
     return parts
 
 

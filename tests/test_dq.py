@@ -88,6 +88,9 @@ def test_bad_batch_golden_audit(spark):
     assert all(v.records_evaluated == 5 for v in got.values())
     assert got["TIMELINESS"].details == \
         '{"future_events":0,"stale_events":0,"unparseable_dates":1}'
+    assert got["REFERENTIAL_INTEGRITY"].details == '{"unresolved_agent_ids":["NON_EXISTENT_AGENT"]}'
+    assert got["VALIDITY"].details == '{"invalid_event_types":["UNAUTHORIZED_EVENT"]}'
+    assert got["UNIQUENESS"].details == "[]"
 
 
 def test_timeliness_bounds(spark):
