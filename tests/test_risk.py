@@ -106,3 +106,17 @@ def test_dense_keys_unique_and_dense(spark):
     assert sks == list(range(11, 5011))
     by_key = sorted(out, key=lambda r: r.k)
     assert [r.sk for r in by_key] == sks          # ids follow natural-key order
+
+
+def test_ewm_long_series_many_blocks(spark):
+    rng = np.random.default_rng(7)
+    n = 5000
+    x = rng.random(n) * rng.choice([0.0, 1.0, 2.0], n)
+    df = spark.createDataFrame([(0, t, float(v)) for t, v in enumerate(x)], "a long, t long, x double")
+    got = risk.ewm_previous(df, "a", "t", "x", 0.25, 5, "p").toPandas().sort_values("t")
+    s = pd.Series(x).shift(1)
+    m = s.ewm(span=7, min_periods=5).mean().to_numpy()
+    v = s.ewm(span=7, min_periods=5).var().to_numpy()
+    ok = ~np.isnan(m)
+    assert np.max(np.abs(got["p_mean"].to_numpy()[ok] - m[ok])) < 1e-14
+    assert np.max(np.abs(np.sqrt(got["p_var"].to_numpy()[ok].astype(float)) - np.sqrt(v[ok]))) < 1e-13
