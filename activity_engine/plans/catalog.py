@@ -270,9 +270,17 @@ def q_upsert(spark, sf):
     return upsert(old, new, ["agent_id", "date_key"])
 
 
+def utc_wall_clock(df: DataFrame, *cols: str) -> DataFrame:
+    """Timestamps as UTC wall-clock ``timestamp_ntz``: collected values then
+    do not depend on the client's local time zone."""
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
 @query("high_watermark")
 def q_watermark(spark, sf):
-    return ingest.high_watermark(fx.events(spark, sf), "event_timestamp")
+    return utc_wall_clock(ingest.high_watermark(fx.events(spark, sf), "event_timestamp"),
+                          "watermark")
 
 
 @query("incremental_filter")
@@ -353,7 +361,8 @@ def q_breach(spark, sf):
 @query("cooldown_until")
 def q_cooldown(spark, sf):
     s = build_star(spark, sf)
-    return risk.cooldown_until(s.fact, s.dim_agent)
+    return utc_wall_clock(risk.cooldown_until(s.fact, s.dim_agent),
+                          "last_event_ts", "cooldown_until")
 
 
 @query("ghosting_runs")
