@@ -5,21 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from activity_engine.session import ensure_checkpoint_dir
+
 
 def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
-                          start_after: Column | int = 0) -> DataFrame:
+                          start_after: Column | int = 0,
+                          num_partitions: int | None = None) -> DataFrame:
     """Dense ids ``start_after + 1 ..`` in natural-key order (autoincrement).
 
     A global ``row_number()`` would sort everything in one task. Instead the
-    rows are range-sorted by the natural key; each partition gets its offset
-    from a table of per-partition counts, whose size is bounded by the number
-    of partitions, and adds the row's position inside the partition. Ties on
-    the key break on a hash of the whole row, so the order (and a retried
-    task's ids) is deterministic even if the caller passes duplicate keys.
+    rows are range-partitioned by the natural key and sorted inside each
+    partition, and that layout is checkpointed (reliable, in the session's
+    ``spark.checkpoint.dir``): range boundaries come from sampling, which is
+    not reproducible when the input is itself a shuffle output, so both uses
+    below must read one materialised partitioning, also after an executor
+    loss. Per-partition counts (one row per partition) become offsets, and
+    each row adds its position inside its partition. Ties on the key break
+    on a hash of the whole row.
     """
-    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
-    ordered = (df.orderBy(F.col(key_col), tiebreak)
-               .withColumn("_pid", F.spark_partition_id())
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb")
+    laid_out = (df.select("*", tiebreak)
+                .repartitionByRange(n, F.col(key_col), F.col("_tb"))
+                .sortWithinPartitions(F.col(key_col), F.col("_tb"))
+                .checkpoint(eager=True))
+    ordered = (laid_out.withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
@@ -31,7 +43,7 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return (ordered.join(F.broadcast(offsets), "_pid")
             .withColumn(sk_col, (base + F.col("_off") + pos + 1).cast("long"))
-            .drop("_pid", "_mid", "_off"))
+            .drop("_pid", "_mid", "_off", "_tb"))
 
 
 def max_key(df: DataFrame, sk_col: str) -> Column:
