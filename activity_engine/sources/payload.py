@@ -58,3 +58,17 @@ def from_records(spark: SparkSession, agents=(), campaigns=(), leads=(), activit
         return df.withColumn("ingest_order", F.monotonically_increasing_id())
     return Payload(mk(agents, AGENT_RECORD), mk(campaigns, CAMPAIGN_RECORD),
                    mk(leads, LEAD_RECORD), mk(activities, ACTIVITY_BATCH))
+
+
+def read_activity_files(spark: SparkSession, path: str) -> DataFrame:
+    """Flat activity batches stored as Parquet files (S1, non-nested form).
+
+    Explicit schema (no inference; missing columns read as nulls). Arrival
+    order is (file modification time, file path, row index in the file),
+    all from the scan's file metadata: deterministic under task retries.
+    """
+    df = spark.read.schema(ACTIVITY_BATCH).parquet(path)
+    order = F.struct(F.col("_metadata.file_modification_time").alias("t"),
+                     F.col("_metadata.file_path").alias("f"),
+                     F.col("_metadata.row_index").alias("r"))
+    return df.select(*[f.name for f in ACTIVITY_BATCH.fields], order.alias("ingest_order"))

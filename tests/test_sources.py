@@ -149,3 +149,24 @@ def test_stream_daily_counts_keep_late_events(spark, tmp_path):
     got = {(r.date_key, r.invites_sent, r.invites_accepted)
            for r in st.read_daily_counts(w).collect()}
     assert got == {(20260810, 3, 1), (20260801, 2, 0)}
+
+
+def test_read_activity_files_orders_by_row(spark, tmp_path):
+    from activity_engine.sources.payload import read_activity_files
+    rows = acts([(f"F{i}", "AGT-001", "LEAD-0001", "2026-08-02T10:00:00Z", "INVITE_SENT")
+                 for i in range(50)])
+    rows.append(dict(rows[0], event_type="MESSAGE_SENT"))     # a later duplicate of F0
+    path = str(tmp_path / "flat")
+    spark.createDataFrame([tuple(r.values()) for r in rows],
+                          "event_id string, agent_id string, lead_id string, campaign_id string,"
+                          " date_key int, event_timestamp string, event_type string,"
+                          " message_length int, response_latency_hours double, is_converted int") \
+        .coalesce(1).write.parquet(path)
+    a = read_activity_files(spark, path)
+    assert a.count() == 51
+    w = new_wh(spark, tmp_path)
+    pl.load_dimensions(w, from_records(spark, [AGENT], [CAMPAIGN], [LEAD], []), "2026-08-01")
+    out = pl.ingest_activities(w, a, "flat-run", str(tmp_path / "dlq"), "2026-08-20 00:00:00")
+    assert out["records_inserted"] == 50
+    f0 = w.read("fact_outreach_activity").where("event_id = 'F0'").first()
+    assert f0.event_type == "INVITE_SENT"                       # first arrival kept
