@@ -46,11 +46,6 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
             .drop("_pid", "_mid", "_off", "_tb"))
 
 
-def max_key(df: DataFrame, sk_col: str) -> Column:
-    """Scalar subquery ``coalesce(max(sk), 0)`` usable as ``start_after``."""
-    return df.agg(F.coalesce(F.max(sk_col), F.lit(0)).alias("m")).first()[0]
-
-
 def resolve_keys(batch: DataFrame, agents: DataFrame, leads: DataFrame,
                  campaigns: DataFrame) -> DataFrame:
     """Left-join the batch to the three dimensions (J1); a miss leaves null.

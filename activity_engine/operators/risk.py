@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from activity_engine.config import RiskConfig
-from activity_engine.functions.numeric import np_round, utilization_pct
+from activity_engine.functions.numeric import np_round
 from activity_engine.operators.daily import with_rates
 from activity_engine.schemas import tier_limits
 
@@ -226,5 +226,4 @@ def reply_decay(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
 
 
 __all__ = ["ewm_previous", "score_daily", "risk_summary", "ceiling_breaches", "tier_check",
-           "cooldown_until", "ghosting_runs", "reply_decay", "RISK_COLUMNS", "utilization_pct",
-           "Column"]
+           "cooldown_until", "ghosting_runs", "reply_decay", "RISK_COLUMNS"]

@@ -106,7 +106,3 @@ class Warehouse:
             fs.delete(p, True)
             removed.append(str(p))
         return removed
-
-    def create_empty(self, table: str, schema, partition_by: list[str] | None = None) -> None:
-        if not self.exists(table):
-            self.rewrite(table, self.spark.createDataFrame([], schema), partition_by)
