@@ -170,3 +170,21 @@ def test_read_activity_files_orders_by_row(spark, tmp_path):
     assert out["records_inserted"] == 50
     f0 = w.read("fact_outreach_activity").where("event_id = 'F0'").first()
     assert f0.event_type == "INVITE_SENT"                       # first arrival kept
+
+
+def test_cli_steps(spark, tmp_path):
+    from activity_engine.__main__ import parse, run
+    d = tmp_path / "payload"
+    d.mkdir()
+    doc = {"agents": [AGENT], "campaigns": [CAMPAIGN], "leads": [LEAD], "activities": acts(BAD)}
+    (d / "b.json").write_text(json.dumps(doc))
+    root = str(tmp_path / "cli-wh")
+    r = run(spark, parse(["init", "--warehouse", root, "--start", "2026-08-01",
+                          "--end", "2026-08-31"]))
+    assert r[0]["dates_added"] == 31
+    r = run(spark, parse(["all", "--warehouse", root, "--payload", str(d), "--run-id", "cli",
+                          "--format", "parquet"]))
+    ingest, risk_step, export = r
+    assert (ingest["records_loaded"], ingest["records_quarantined_dlq"]) == (2, 3)
+    assert risk_step["records_processed"] == 1
+    assert "fact_outreach_activity" in export["tables"]
