@@ -85,8 +85,11 @@ def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
     var = var_b * F.try_divide(s1 * s1, s1 * s1 - s2)
     df = df.select("*", F.when(enough, mean).alias(f"{prefix}_mean"),
                    F.when(enough, var).alias(f"{prefix}_var"))
-    helpers = [c for c in df.columns if c.startswith(p) and c != f"{p}t"]
-    return df.drop(*helpers).withColumnRenamed(f"{p}t", f"{prefix}_t")
+    # The block number stays as ``<prefix>_blk``: it is monotonic in the row
+    # order, so later windows can order by (blk, order) and reuse this sort.
+    helpers = [c for c in df.columns if c.startswith(p) and c not in (f"{p}t", f"{p}blk")]
+    return (df.drop(*helpers).withColumnRenamed(f"{p}t", f"{prefix}_t")
+            .withColumnRenamed(f"{p}blk", f"{prefix}_blk"))
 
 
 def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
@@ -101,7 +104,8 @@ def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
     d = ewm_previous(d, agent_key, order, "acceptance_rate", cfg.alpha, cfg.min_points, "acc")
     t = F.col("acc_t")
     w_all = Window.partitionBy(agent_key)
-    w_row = Window.partitionBy(agent_key).orderBy(order)
+    # (block, day) is the same order as day; it matches the sort already done.
+    w_row = Window.partitionBy(agent_key).orderBy("acc_blk", order)
     # The first non-null baseline at or after a row is the one at row
     # min_points (nulls only precede it), so backfill is a partition lookup.
     first_mean = F.max(F.when(t == cfg.min_points, F.col("acc_mean"))).over(w_all)
@@ -135,7 +139,7 @@ def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
         F.greatest(F.lit(cfg.min_messages),
                    F.floor(F.col("daily_message_ceiling") * mult)).cast("int")
         .alias("recommended_message_capacity"))
-    return d.drop("_low", "acc_mean", "acc_var")
+    return d.drop("_low", "acc_mean", "acc_var", "acc_blk")
 
 
 def risk_summary(scored: DataFrame) -> DataFrame:
@@ -215,14 +219,14 @@ def reply_decay(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
     lookback = lookback or cfg.ewma_span
     d = with_rates(daily) if "reply_rate" not in daily.columns else daily
     d = ewm_previous(d, agent_key, "date_key", "reply_rate", cfg.alpha, cfg.min_points, "rep")
-    w = Window.partitionBy(agent_key).orderBy("date_key")
+    w = Window.partitionBy(agent_key).orderBy("rep_blk", "date_key")
     prev = F.lag("rep_mean", lookback).over(w)
     d = d.withColumn("reply_baseline_prev", prev)
     change = F.try_divide(F.col("rep_mean"), F.col("reply_baseline_prev")) - F.lit(1.0)
     return d.select(
         "*", change.alias("reply_baseline_change"),
         F.coalesce(change <= F.lit(-cfg.reply_decay_pct), F.lit(False)).cast("int")
-        .alias("reply_decay_flag")).drop("rep_var")
+        .alias("reply_decay_flag")).drop("rep_var", "rep_blk")
 
 
 __all__ = ["ewm_previous", "score_daily", "risk_summary", "ceiling_breaches", "tier_check",
