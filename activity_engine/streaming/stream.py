@@ -65,30 +65,69 @@ def start_ingest(stream: DataFrame, wh: Warehouse, dlq_path: str, checkpoint: st
     return w.start()
 
 
+COUNT_COLS = ("invites_sent", "invites_accepted", "messages_sent", "replies_received")
+COMPACTED = -1
+
+
 def start_daily_counts(stream: DataFrame, wh: Warehouse, checkpoint: str,
                        table: str = "stream_daily_count_deltas",
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True, compact_every: int = 100) -> StreamingQuery:
     """Per micro-batch, partial agent × day counts under ``batch_id=<n>``.
 
     The partial aggregate is combined map-side; each micro-batch replaces
     only its own partition (dynamic overwrite), so a retried batch never
     counts twice. ``read_daily_counts`` sums the partials: exact for late
-    events too, with no streaming state to bound.
+    events too, with no streaming state to bound. Every ``compact_every``
+    batches the partials are folded into one (``batch_id=-1``), recording
+    the last folded batch; a replayed batch at or below it is skipped.
     """
     def write_delta(batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= compacted_through(wh, table):
+            return                                   # already folded in
         delta = daily_counts(batch, "agent_id").withColumn("batch_id", F.lit(batch_id))
         wh.overwrite_partitions(table, delta, "batch_id")
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_daily_counts(wh, table, batch_id)
 
     w = stream.writeStream.foreachBatch(write_delta).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def compacted_through(wh: Warehouse, table: str = "stream_daily_count_deltas") -> int:
+    """Last micro-batch folded into the compacted partition (-1 if none)."""
+    state = wh.read(f"{table}_state")
+    if state is None:
+        return -1
+    v = state.agg(F.max("compacted_through")).first()[0]
+    return -1 if v is None else int(v)
+
+
+def compact_daily_counts(wh: Warehouse, table: str, through: int) -> None:
+    """Record ``through``, then fold every partial up to it into
+    ``batch_id=-1`` (a new table version, so readers switch atomically).
+
+    Called after batch ``through`` wrote its partial, so every batch up to it
+    is in the table. Marker first: if the fold is lost, a replay of
+    ``through`` is skipped (its partial is already there) and the next fold
+    includes the leftover partials; the reverse order could count a
+    replayed batch twice.
+    """
+    wh.rewrite(f"{table}_state", wh.spark.createDataFrame([(through,)], "compacted_through long"))
+    d = wh.read(table)
+    done = d.where(F.col("batch_id") <= through)
+    rest = d.where(F.col("batch_id") > through)
+    folded = done.groupBy("agent_id", "date_key").agg(
+        *[F.sum(c).cast("long").alias(c) for c in COUNT_COLS]).withColumn(
+        "batch_id", F.lit(COMPACTED))
+    wh.rewrite(table, folded.unionByName(rest.select(*folded.columns)), ["batch_id"])
+
+
 def read_daily_counts(wh: Warehouse, table: str = "stream_daily_count_deltas") -> DataFrame:
     """Current agent × day counts: the sum of all micro-batch partials."""
     d = wh.read(table)
-    cols = ("invites_sent", "invites_accepted", "messages_sent", "replies_received")
-    return d.groupBy("agent_id", "date_key").agg(*[F.sum(c).cast("long").alias(c) for c in cols])
+    return d.groupBy("agent_id", "date_key").agg(
+        *[F.sum(c).cast("long").alias(c) for c in COUNT_COLS])
 
 
 def stream_events_view(spark: SparkSession, src_dir: str) -> DataFrame:
@@ -97,4 +136,4 @@ def stream_events_view(spark: SparkSession, src_dir: str) -> DataFrame:
 
 
 __all__ = ["read_event_stream", "start_ingest", "start_daily_counts", "read_daily_counts",
-           "stream_events_view"]
+           "compact_daily_counts", "compacted_through", "stream_events_view"]

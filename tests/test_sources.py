@@ -188,3 +188,21 @@ def test_cli_steps(spark, tmp_path):
     assert (ingest["records_loaded"], ingest["records_quarantined_dlq"]) == (2, 3)
     assert risk_step["records_processed"] == 1
     assert "fact_outreach_activity" in export["tables"]
+
+
+def test_stream_counts_compaction(spark, tmp_path):
+    from activity_engine.streaming import stream as st
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    schema = "agent_id string, date_key int, event_type string"
+    src = str(tmp_path / "in")
+    for i in range(5):   # five files, one micro-batch each
+        spark.createDataFrame([("A", 20260801 + i % 2, "INVITE_SENT")] * (i + 1), schema) \
+            .coalesce(1).write.mode("append").parquet(src)
+    q = st.start_daily_counts(st.read_event_stream(spark, src, "*.parquet", max_files=1), w,
+                              str(tmp_path / "ck"), compact_every=2)
+    q.awaitTermination()
+    got = {(r.date_key, r.invites_sent) for r in st.read_daily_counts(w).collect()}
+    assert got == {(20260801, 1 + 3 + 5), (20260802, 2 + 4)}
+    assert st.compacted_through(w) == 4
+    parts = {r.batch_id for r in w.read("stream_daily_count_deltas").select("batch_id").distinct().collect()}
+    assert parts == {-1}
