@@ -13,6 +13,7 @@ Paths are plain Hadoop URIs: on a cluster ``root`` is a shared folder
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 VERSION_DIGITS = 6
@@ -58,8 +59,17 @@ class Warehouse:
 
     # -- read / write ----------------------------------------------------------------
     def read(self, table: str) -> DataFrame | None:
+        """The current version, or None if there is none or it holds no rows
+        (a partitioned write of zero rows commits a version without files)."""
         path = self.current_path(table)
-        return self.spark.read.parquet(path) if path else None
+        if not path:
+            return None
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" in str(e):
+                return None
+            raise
 
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         path = self.current_path(table) or self._vpath(table, 1)

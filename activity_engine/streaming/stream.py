@@ -115,6 +115,8 @@ def compact_daily_counts(wh: Warehouse, table: str, through: int) -> None:
     """
     wh.rewrite(f"{table}_state", wh.spark.createDataFrame([(through,)], "compacted_through long"))
     d = wh.read(table)
+    if d is None:
+        return
     done = d.where(F.col("batch_id") <= through)
     rest = d.where(F.col("batch_id") > through)
     folded = done.groupBy("agent_id", "date_key").agg(
@@ -126,6 +128,9 @@ def compact_daily_counts(wh: Warehouse, table: str, through: int) -> None:
 def read_daily_counts(wh: Warehouse, table: str = "stream_daily_count_deltas") -> DataFrame:
     """Current agent × day counts: the sum of all micro-batch partials."""
     d = wh.read(table)
+    if d is None:
+        return wh.spark.createDataFrame([], "agent_id string, date_key int, " + ", ".join(
+            f"{c} long" for c in COUNT_COLS))
     return d.groupBy("agent_id", "date_key").agg(
         *[F.sum(c).cast("long").alias(c) for c in COUNT_COLS])
 

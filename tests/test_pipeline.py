@@ -163,3 +163,12 @@ def test_scd2_option(spark, tmp_path):
     pl.load_dimensions(w, p2, now="2026-08-02 00:00:00", track_agent_columns=["status"])
     d = {(r.agent_sk, r.status, r.is_current) for r in w.read("dim_agent").collect()}
     assert d == {(1, "ACTIVE", 0), (2, "PAUSED", 1)}
+
+
+def test_empty_partitioned_version_reads_as_absent(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "wh-empty"))
+    empty = spark.createDataFrame([], "agent_id string, date_key int, n long")
+    w.overwrite_partitions("t", empty, "date_key")
+    assert w.versions("t") == [1] and w.read("t") is None
+    w.overwrite_partitions("t", spark.createDataFrame([("A", 1, 2)], empty.schema), "date_key")
+    assert w.read("t").count() == 1
