@@ -1,8 +1,12 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` each.
 
-Every query reads the whole driver tables through the analogue views and
-returns natural keys (never surrogate ids, which are an implementation
-detail) with every computed column aliased to the oracle's name.
+Every query reads the whole driver tables through the analogue views, with
+every computed column aliased to the oracle's name. Results carry natural
+keys; only the queries that check surrogate-key assignment itself
+(``sk_lookup``, ``dim_insert_if_absent``, ``scd2_merge``) return the dense
+ids. Write-path queries (pipeline runs, sinks, streams) write into a fresh
+folder under the session's ``spark.checkpoint.dir`` and read their result
+back.
 """
 
 from __future__ import annotations
