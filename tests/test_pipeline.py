@@ -172,3 +172,24 @@ def test_empty_partitioned_version_reads_as_absent(spark, tmp_path):
     assert w.versions("t") == [1] and w.read("t") is None
     w.overwrite_partitions("t", spark.createDataFrame([("A", 1, 2)], empty.schema), "date_key")
     assert w.read("t").count() == 1
+
+
+def test_daily_counts_repair_after_lost_step(spark, tmp_path):
+    """Fact rows appended without the counts step (a run that died between
+    the two) are detected by the coverage check and recounted."""
+    from activity_engine.operators.daily import daily_counts
+    w = wh(spark, tmp_path)
+    first = acts([(f"a{k}", "AGT-001", "LEAD-0001", "2026-08-03T10:00:00Z", "INVITE_SENT")
+                  for k in range(4)])
+    pl.run_pipeline(w, from_records(spark, [AGENT], [CAMPAIGN], [LEAD], first), "r1",
+                    str(tmp_path / "dlq"), now="2026-08-20 00:00:00")
+    fact = w.read("fact_outreach_activity")
+    lost = fact.limit(1).withColumn("event_id", F.lit("lost-1"))
+    w.append("fact_outreach_activity", lost.select(*fact.columns), partition_by=["date_key"])
+    second = acts([("b1", "AGT-001", "LEAD-0001", "2026-08-03T11:00:00Z", "INVITE_ACCEPTED")])
+    pl.run_pipeline(w, from_records(spark, [AGENT], [CAMPAIGN], [LEAD], second), "r2",
+                    str(tmp_path / "dlq"), now="2026-08-20 00:00:00")
+    cols = ["agent_sk", "date_key", "invites_sent", "invites_accepted"]
+    kept = {tuple(r) for r in w.read("agent_daily_counts").select(*cols).collect()}
+    full = {tuple(r) for r in daily_counts(w.read("fact_outreach_activity")).select(*cols).collect()}
+    assert kept == full == {(1, 20260803, 5, 1)}
