@@ -152,7 +152,7 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
                   partition_by=["date_key"])
     # Always, even with nothing new: a run that died after its append but
     # before this step is repaired by the rerun.
-    refresh_daily_counts(wh, keys, new)
+    refresh_daily_counts(wh, keys, new, inserted)
     new.unpersist()
     resolved.unpersist()
     return {"valid": int(c["valid"]), "inserted": int(inserted), "quarantined": int(c["dead"])}
@@ -172,7 +172,8 @@ def _counts_with_coverage(fact: DataFrame) -> DataFrame:
 
 
 def refresh_daily_counts(wh: Warehouse, date_keys: list | None,
-                         inserted: DataFrame | None = None) -> None:
+                         inserted: DataFrame | None = None,
+                         inserted_rows: int | None = None) -> None:
     """Keep ``agent_daily_counts`` (A1 before the joins) in step with the fact.
 
     Normal case, O(batch): for each touched day whose stored coverage plus
@@ -204,6 +205,10 @@ def refresh_daily_counts(wh: Warehouse, date_keys: list | None,
         ok_days = [r[0] for r in check.where(ok & F.col("cov").isNotNull())
                    .select("date_key").collect()]
     stale = [d for d in date_keys if d not in set(ok_days)]
+    if inserted_rows == 0:
+        ok_days = []          # nothing new: days that check out stay as they are
+        if not stale:
+            return
     parts = []
     if ok_days:
         keep = F.col("date_key").isin(ok_days)
