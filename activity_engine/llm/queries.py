@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_engine.llm import bpe, token_orc, winnowing
+from activity_engine.llm import bpe, jaccard_join, lm_scoring, suffix_dedup, token_orc, winnowing
 from activity_engine.llm.common import configure
 from activity_engine.session import scratch_path
 
@@ -23,6 +23,18 @@ def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.read_digest(spark, path)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_digest(table(spark, sf_dir, "documents"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination_digest(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -41,4 +53,5 @@ def _configured(query):
     return run
 
 
-QUERIES = {q.__name__: _configured(q) for q in (op5_token_orc, op9_winnowing, op10_bpe)}
+QUERIES = {q.__name__: _configured(q) for q in (
+    op5_token_orc, op6_suffix_dedup, op7_jaccard_join, op8_lm_scoring, op9_winnowing, op10_bpe)}
