@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from activity_engine.llm.url_filter import url_sql
+
+ORACLE: dict[str, str] = {"op1_url_filter": url_sql()}

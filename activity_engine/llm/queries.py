@@ -7,8 +7,9 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_engine.llm import bpe, jaccard_join, lm_scoring, suffix_dedup, token_orc, winnowing
-from activity_engine.llm.common import configure
+from activity_engine.llm import (
+    bpe, jaccard_join, language_id, lm_scoring, quality_rules, suffix_dedup, token_orc, toxicity, url_filter, winnowing)
+from activity_engine.llm.common import configure, crc_mod
 from activity_engine.session import scratch_path
 
 
@@ -16,6 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_digest(table(spark, sf_dir, "pages"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_digest(table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) != 0)
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+
+
 def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "llm", f"tokens-{uuid.uuid4().hex}")
     token_orc.write_tokens(table(spark, sf_dir, "documents"), path,
@@ -54,4 +72,5 @@ def _configured(query):
 
 
 QUERIES = {q.__name__: _configured(q) for q in (
-    op5_token_orc, op6_suffix_dedup, op7_jaccard_join, op8_lm_scoring, op9_winnowing, op10_bpe)}
+    op1_url_filter, op2_language_id, op3_quality_rules, op4_toxicity, op5_token_orc,
+    op6_suffix_dedup, op7_jaccard_join, op8_lm_scoring, op9_winnowing, op10_bpe)}

@@ -207,6 +207,14 @@ def covered_words(spans) -> F.Column:
     return F.aggregate(spans, zero, add)["n"]
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose text shares no window with an item."""
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    found = find_contamination(keyed, items, text_col, "_key")
+    hit = found.filter(F.size("items") > 0).select(F.col("doc_id").alias("_hit")).distinct()
+    return keyed.join(hit, F.col("_key") == F.col("_hit"), "left_anti").drop("_key")
+
+
 def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The columns of query ``op9_winnowing``."""
     found = find_contamination(docs, items)
