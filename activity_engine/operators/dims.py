@@ -53,12 +53,11 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, key: str, sk_col: str,
     were, changed current rows closed (``end_date = now, is_current = 0``),
     and new versions for changed and unseen keys with fresh dense keys.
     One full outer join of current versions with the incoming records
-    classifies every key; both outputs read that join (same plan, so the
-    shuffle is reused).
+    classifies every key; a version whose ``is_current`` is null is history.
     """
     inc = _first_per_key(incoming.where(F.col(key).isNotNull()), key, order_col)
     cur = dim.where(F.col("is_current") == 1)
-    hist = dim.where(F.col("is_current") != 1)
+    hist = dim.where(~F.coalesce(F.col("is_current") == 1, F.lit(False)))
     attrs = [c for c in inc.columns if c != key]
     n = inc.select(key, *[F.col(c).alias(f"_n_{c}") for c in attrs],
                    F.lit(True).alias("_in_new"))

@@ -84,18 +84,15 @@ def dedupe_first_wins(df: DataFrame, key: str = "event_id",
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
-def insert_new(batch: DataFrame, existing: DataFrame | None, key: str = "event_id",
-               prune_col: str | None = "date_key") -> DataFrame:
-    """Rows of the (deduped) batch whose key is not in the table yet.
+def insert_new(batch: DataFrame, existing: DataFrame | None, key: str = "event_id") -> DataFrame:
+    """Rows of the (deduped) batch whose key is nowhere in the table yet.
 
-    When the key determines ``prune_col`` (an event id determines its day),
-    the anti join also matches on it, so a table partitioned by that column
-    only shuffles the partitions the batch touches after pruning.
+    The key is unique over the whole table, whatever day its row fell on, so
+    the anti join is on the key alone; of the table it reads that one column.
     """
     if existing is None:
         return batch
-    on = [key] if prune_col is None else [prune_col, key]
-    return batch.join(existing.select(*on), on, "left_anti")
+    return batch.join(existing.select(key), key, "left_anti")
 
 
 def high_watermark(batch: DataFrame, ts_col: str = "event_timestamp",

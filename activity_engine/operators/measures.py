@@ -60,6 +60,25 @@ def sliced_counts(fact: DataFrame, dims: dict[str, DataFrame], by: list[str],
     return _group(pre, by, rollup).agg(*[F.sum(n).cast("long").alias(n) for n in counts])
 
 
+def _with_counts(base: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
+    """Dimension figures and fact counts of the same slice.
+
+    Null members match each other, and a slice that only one side has stays, so
+    slices always add up to the total.
+    """
+    if not by:
+        return base.unionByName(counts, allowMissingColumns=True) \
+            .agg(*[F.max(c).alias(c) for c in base.columns + counts.columns])
+    right = counts.select(*[F.col(c).alias(f"_r_{c}") if c in by else F.col(c) for c in counts.columns])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    joined = base.withColumn("_left", F.lit(1)).join(right, same, "full_outer")
+    return joined.select(
+        *[F.when(F.col("_left") == 1, F.col(c)).otherwise(F.col(f"_r_{c}")).alias(c) for c in by],
+        *[c for c in base.columns + counts.columns if c not in by])
+
+
 def core(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (),
          rollup: bool = False) -> DataFrame:
     """M1-M8: outreach volumes, acceptance, replies, conversions."""
@@ -100,12 +119,12 @@ def capacity(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ()) ->
     f = sliced_counts(fact, {"agent": agents}, by,
                       core_counts("total_invites_sent", "total_messages_sent"))
     days = calendar_days(dims["date"])
-    j = a.join(f, by, "left") if by else a.unionByName(f, allowMissingColumns=True) \
-        .agg(*[F.max(c).alias(c) for c in a.columns + f.columns])
+    j = _with_counts(a, f, by)
     inv = F.coalesce(F.col("total_invites_sent"), F.lit(0))
     msg = F.coalesce(F.col("total_messages_sent"), F.lit(0))
     return j.select(
-        *by, "active_agents", "paused_or_ghosted_agents",
+        *by, F.coalesce("active_agents", F.lit(0)).alias("active_agents"),
+        F.coalesce("paused_or_ghosted_agents", F.lit(0)).alias("paused_or_ghosted_agents"),
         inv.alias("total_invites_sent"), msg.alias("total_messages_sent"),
         safe_divide(inv, F.col("invite_ceiling_sum") * days).alias("invite_capacity_utilization"),
         safe_divide(msg, F.col("message_ceiling_sum") * days).alias("message_capacity_utilization"))
@@ -128,8 +147,7 @@ def risk(daily_metric: DataFrame, dims: dict[str, DataFrame], by: list[str] = ()
                                                    "recommended_safe_invites")])
     ceil = agents.groupBy(*by).agg(F.sum("daily_invite_ceiling").cast("long").alias("_ceil"))
     days = calendar_days(dims["date"])
-    j = ceil.join(m, by, "left") if by else ceil.unionByName(m, allowMissingColumns=True) \
-        .agg(*[F.max(c).alias(c) for c in ceil.columns + m.columns])
+    j = _with_counts(ceil, m, by)
     cap = F.col("_ceil") * days
     rec = F.coalesce(F.col("recommended_safe_invites"), F.lit(0))
     return j.select(
@@ -149,8 +167,7 @@ def campaign(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ("camp
         F.sum(F.col("daily_budget").cast("double") * days).alias("total_campaign_budget"))
     f = sliced_counts(fact, {"campaign": dims["campaign"]}, by,
                       core_counts("total_invites_sent", "total_conversions"))
-    j = b.join(f, by, "left") if by else b.unionByName(f, allowMissingColumns=True) \
-        .agg(*[F.max(c).alias(c) for c in b.columns + f.columns])
+    j = _with_counts(b, f, by)
     inv = F.coalesce(F.col("total_invites_sent"), F.lit(0))
     conv = F.coalesce(F.col("total_conversions"), F.lit(0))
     value = (conv * F.lit(DEAL_VALUE)).cast("long")

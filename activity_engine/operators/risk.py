@@ -106,10 +106,11 @@ def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
     w_all = Window.partitionBy(agent_key)
     # (block, day) is the same order as day; it matches the sort already done.
     w_row = Window.partitionBy(agent_key).orderBy("acc_blk", order)
-    # The first non-null baseline at or after a row is the one at row
-    # min_points (nulls only precede it), so backfill is a partition lookup.
-    first_mean = F.max(F.when(t == cfg.min_points, F.col("acc_mean"))).over(w_all)
-    first_std = F.max(F.when(t == cfg.min_points, F.sqrt("acc_var"))).over(w_all)
+    # Nulls only precede the first baseline, so backfill is a partition
+    # lookup of the first non-null mean and of the first non-null deviation
+    # (with min_points=1 the deviation starts one row later than the mean).
+    first_mean = F.min_by("acc_mean", F.when(F.col("acc_mean").isNotNull(), t)).over(w_all)
+    first_std = F.min_by(F.sqrt("acc_var"), F.when(F.col("acc_var").isNotNull(), t)).over(w_all)
     mean = F.coalesce(F.col("acc_mean"), first_mean,
                       F.avg("acceptance_rate").over(w_all))                 # W5
     std = F.greatest(F.coalesce(F.sqrt("acc_var"), first_std, F.lit(cfg.std_fallback)),

@@ -17,7 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.config import DQConfig, RiskConfig
+from activity_engine.config import TIER_LIMITS, DQConfig, RiskConfig
+from activity_engine.functions.dates import date_key
 from activity_engine.operators import ingest, measures, risk
 from activity_engine.operators import quality as dq
 from activity_engine.operators.daily import with_rates
@@ -141,6 +142,13 @@ def q_dq_audit(spark, sf):
                     "records_failed", "dimension_score", "composite_score", "passed")
 
 
+@query("dq_invalid_values")
+def q_dq_invalid_values(spark, sf):
+    """A4: every distinct out-of-domain value with its rows (brands as event types)."""
+    batch = fx.read_table(spark, sf, "part").select(F.col("p_brand").alias("event_type"))
+    return dq.invalid_values(batch).select(F.col("event_type").alias("value"), "rows")
+
+
 @query("dq_samples")
 def q_dq_samples(spark, sf):
     s = build_star(spark, sf)
@@ -217,11 +225,25 @@ def q_idempotent(spark, sf):
         return ingest.dedupe_first_wins(r, "event_id", "ingest_order")
 
     first = load(b.where((F.col("delivery") == "original") & (F.col("event_timestamp") < mid)))
-    second = ingest.insert_new(load(b), first.select("event_id", "date_key"))
+    second = ingest.insert_new(load(b), first.select("event_id"))
     fact = first.unionByName(second)
     return fact.select("event_id", "delivery", "date_key")
 
 
+@query("insert_or_ignore_moved_day")
+def q_moved_day(spark, sf):
+    """J4 over two loads: the events before the midpoint, then all events, with
+    the replayed ones dated a day later. The first arrival of an id stays."""
+    e = fx.events(spark, sf)
+    early = F.col("event_timestamp") < stream_midpoint(e)
+    cols = ["event_id", "date_key", F.lit(1).alias("load")]
+    first = e.where(early).select(*cols)
+    later = date_key(F.col("event_timestamp") + F.expr("INTERVAL 1 DAY"))
+    second = e.select("event_id", F.when(early, later).otherwise(F.col("date_key")).alias("date_key"),
+                      F.lit(2).alias("load"))
+    return first.unionByName(ingest.insert_new(second, first))
+
+
 def stream_midpoint(e: DataFrame):
     """Scalar subquery: the microsecond midpoint of the event time range."""
     lo, hi = F.unix_micros(F.min("event_timestamp")), F.unix_micros(F.max("event_timestamp"))
@@ -332,6 +354,17 @@ def q_kpi_capacity(spark, sf):
     return measures.capacity(s.fact, star_dims(s), ["account_age_tier"])
 
 
+@query("kpi_capacity_null_member")
+def q_kpi_capacity_null(spark, sf):
+    """Agents without a tier and facts of unknown agents share the null member."""
+    s = build_star(spark, sf)
+    tier = F.col("account_age_tier")
+    no_tier, unknown = TIER_LIMITS[0][0], TIER_LIMITS[1][0]
+    agents = s.dim_agent.where(tier != unknown).withColumn(
+        "account_age_tier", F.when(tier != no_tier, tier))
+    return measures.capacity(s.fact, star_dims(s) | {"agent": agents}, ["account_age_tier"])
+
+
 @query("kpi_risk")
 def q_kpi_risk(spark, sf):
     s = build_star(spark, sf)
@@ -458,14 +491,32 @@ def q_feed(spark, sf):
         .csv(f"{root}/fact_daily_agent_metric")
 
 
+def event_files(spark, sf, root: str) -> str:
+    """The events as three files for three micro-batches: the second half of the
+    time range, the first half (late), and the second half again (a replay)."""
+    e = fx.read_table(spark, sf, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    mid = e.select(F.min(at) + F.floor((F.max(at) - F.min(at)) / 2).cast("long")).scalar()
+    for part in (at >= mid, at < mid, at >= mid):
+        e.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return f"{root}/in"
+
+
+def event_stream(spark, sf, root: str) -> DataFrame:
+    from activity_engine.streaming import stream as st
+    files = event_files(spark, sf, root)
+    return fx.events_view(st.read_event_stream(spark, files, "*.parquet", max_files=1,
+                                               schema=fx.read_table(spark, sf, "events").schema))
+
+
 @query("stream_ingest")
 def q_stream_ingest(spark, sf):
-    """The events files as a stream, ingested per micro-batch."""
+    """The events as a stream of three micro-batches, one late, one replayed."""
     from activity_engine.plans import pipeline as pl
     from activity_engine.streaming import stream as st
     wh, root = fixture_warehouse(spark, sf, "stream")
     pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
-    q = st.start_ingest(st.stream_events_view(spark, sf), wh, f"{root}/dlq",
+    q = st.start_ingest(event_stream(spark, sf, root), wh, f"{root}/dlq",
                         f"{root}/_ckpt_ingest", RUN_NOW)
     q.awaitTermination()
     f = with_natural_keys(wh, wh.read("fact_outreach_activity"))
@@ -475,12 +526,12 @@ def q_stream_ingest(spark, sf):
 
 @query("stream_daily_counts")
 def q_stream_daily(spark, sf):
-    """Daily counts per agent from per-micro-batch partial counts."""
+    """Daily counts per agent from three micro-batches, one late, one replayed."""
     from activity_engine.streaming import stream as st
     from activity_engine.sources.tables import Warehouse
     root = scratch_path(spark, "queries", f"sdc-{uuid.uuid4().hex[:8]}")
     wh = Warehouse(spark, f"{root}/wh")
-    q = st.start_daily_counts(st.stream_events_view(spark, sf), wh, f"{root}/_ckpt_counts")
+    q = st.start_daily_counts(event_stream(spark, sf, root), wh, f"{root}/_ckpt_counts")
     q.awaitTermination()
     return st.read_daily_counts(wh)
 
@@ -493,7 +544,7 @@ def q_stream_risk(spark, sf):
     from activity_engine.streaming import stream as st
     wh, root = fixture_warehouse(spark, sf, "srisk")
     pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
-    q = st.start_ingest(st.stream_events_view(spark, sf), wh, f"{root}/dlq",
+    q = st.start_ingest(event_stream(spark, sf, root), wh, f"{root}/dlq",
                         f"{root}/_ckpt_risk", RUN_NOW, refresh_risk=True)
     q.awaitTermination()
     m = with_natural_keys(wh, wh.read("fact_daily_agent_metric"))

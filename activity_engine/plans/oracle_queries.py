@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from activity_engine.config import TIER_LIMITS
 from activity_engine.plans.oracle import (BASE_CTES, LONG_CTES, RISK_OUT, risk_ctes,
                                           with_ctes, rates_cte)
 
@@ -452,3 +453,37 @@ SELECT budget AS total_campaign_budget,
   CAST(conv * 5000 AS BIGINT) AS estimated_pipeline_value,
   {sdiv('conv * 5000', 'budget')} AS campaign_roi_multiplier
 FROM b, f""").replace("\n,\nnd AS", ",\nnd AS"))
+
+
+sql("insert_or_ignore_moved_day", with_ctes(BASE_CTES, f""",
+mid AS (SELECT {MID} AS m FROM v_event)
+SELECT event_id, date_key, CASE WHEN event_timestamp < (SELECT m FROM mid) THEN 1 ELSE 2 END AS load
+FROM v_event""").replace("\n,\nmid", ",\nmid"))
+
+sql("dq_invalid_values", "SELECT p_brand AS value, count(*) AS rows FROM part GROUP BY 1")
+
+sql("kpi_capacity_null_member", with_ctes(BASE_CTES, f""",
+known AS (SELECT * REPLACE (CASE WHEN account_age_tier <> '{TIER_LIMITS[0][0]}' THEN account_age_tier END
+            AS account_age_tier)
+          FROM dim_agent WHERE account_age_tier <> '{TIER_LIMITS[1][0]}'),
+a AS (SELECT account_age_tier,
+        count(DISTINCT CASE WHEN is_current = 1 AND status = 'ACTIVE' THEN agent_sk END)
+          AS active_agents,
+        count(DISTINCT CASE WHEN is_current = 1 AND status IN ('PAUSED', 'GHOSTED')
+          THEN agent_sk END) AS paused_or_ghosted_agents,
+        sum(daily_invite_ceiling) AS ic, sum(daily_message_ceiling) AS mc
+      FROM known GROUP BY 1),
+f AS (SELECT a.account_age_tier,
+        count(*) FILTER (WHERE f.event_type = 'INVITE_SENT') AS inv,
+        count(*) FILTER (WHERE f.event_type = 'MESSAGE_SENT') AS msg
+      FROM fact f LEFT JOIN known a ON f.agent_sk = a.agent_sk GROUP BY 1),
+nd AS (SELECT count(DISTINCT date_key) AS days FROM dim_date)
+SELECT coalesce(a.account_age_tier, f.account_age_tier) AS account_age_tier,
+  coalesce(active_agents, 0) AS active_agents,
+  coalesce(paused_or_ghosted_agents, 0) AS paused_or_ghosted_agents,
+  CAST(coalesce(inv, 0) AS BIGINT) AS total_invites_sent,
+  CAST(coalesce(msg, 0) AS BIGINT) AS total_messages_sent,
+  {sdiv('coalesce(inv, 0)', 'ic * (SELECT days FROM nd)')} AS invite_capacity_utilization,
+  {sdiv('coalesce(msg, 0)', 'mc * (SELECT days FROM nd)')} AS message_capacity_utilization
+FROM a FULL JOIN f ON a.account_age_tier IS NOT DISTINCT FROM f.account_age_tier""")
+    .replace("\n,\nknown", ",\nknown"))

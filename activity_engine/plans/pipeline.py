@@ -9,6 +9,7 @@ to the same tables.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
@@ -19,14 +20,13 @@ from activity_engine.config import (DEFAULT_WATERMARK, SOURCE_SYSTEM, CALENDAR_E
 from activity_engine.functions.dates import calendar
 from activity_engine.operators import ingest, quality, risk
 from activity_engine.operators.daily import daily_activity
-from activity_engine.operators.dims import insert_if_absent, scd2_merge, upsert
+from activity_engine.operators.dims import insert_if_absent, scd2_merge
 from activity_engine.operators.keys import resolve_keys
-from activity_engine.session import ensure_checkpoint_dir
 from activity_engine.sources.payload import Payload
 from activity_engine.sources.sinks import write_dead_letters
 from activity_engine.sources.tables import Warehouse
 
-MAX_PRUNE_KEYS = 10_000     # a batch spanning more days than this skips pruning
+SNAPSHOT_BUCKETS = 64       # parts of the risk snapshot that a refresh replaces
 WATERMARK_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -106,12 +106,6 @@ def _load_simple_dim(wh: Warehouse, table: str, key: str, sk: str, recs: DataFra
 
 # -- E2 ----------------------------------------------------------------------------
 
-def _prune_keys(valid: DataFrame) -> list | None:
-    """Distinct day keys of a batch, bounded by MAX_PRUNE_KEYS (else None)."""
-    keys = [r[0] for r in valid.select("date_key").distinct().limit(MAX_PRUNE_KEYS + 1).collect()]
-    return None if len(keys) > MAX_PRUNE_KEYS else keys
-
-
 def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
                now=None, watermark: str | None = None) -> dict:
     """J1 -> F4/F5 -> S6 and P5 -> W9 -> J4 -> append (partitioned by day).
@@ -136,10 +130,6 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
     rows = ingest.to_fact_rows(valid)
     deduped = ingest.dedupe_first_wins(rows, "event_id", "ingest_order")
     existing = wh.read("fact_outreach_activity")
-    keys = _prune_keys(valid)
-    if existing is not None:
-        if keys is not None:
-            existing = existing.where(F.col("date_key").isin(keys))
     # The rows to insert are cached and counted before the append, so the
     # count and the write see the same rows (the anti join read the table
     # listing taken before this append).
@@ -152,15 +142,12 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
                   partition_by=["date_key"])
     # Always, even with nothing new: a run that died after its append but
     # before this step is repaired by the rerun.
-    refresh_daily_counts(wh, keys, new, inserted)
+    refresh_daily_counts(wh, valid.select("date_key").distinct())
     new.unpersist()
     resolved.unpersist()
     return {"valid": int(c["valid"]), "inserted": int(inserted), "quarantined": int(c["dead"])}
 
 
-COUNT_COLS = ("invites_sent", "invites_accepted", "messages_sent", "replies_received")
-
-
 def _counts_with_coverage(fact: DataFrame) -> DataFrame:
     """Agent × day counts plus ``fact_rows``: how many fact rows they cover."""
     et = F.col("event_type")
@@ -171,61 +158,48 @@ def _counts_with_coverage(fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("fact_rows"))
 
 
-def refresh_daily_counts(wh: Warehouse, date_keys: list | None,
-                         inserted: DataFrame | None = None,
-                         inserted_rows: int | None = None) -> None:
+def refresh_daily_counts(wh: Warehouse, days: DataFrame | None = None) -> None:
     """Keep ``agent_daily_counts`` (A1 before the joins) in step with the fact.
 
-    Normal case, O(batch): for each touched day whose stored coverage plus
-    this load's inserted rows equals the fact's row count for that day, the
-    load's counts are added to the stored ones. Any other touched day (a
-    crash between the fact append and this step, a first load, no delta) is
-    recomputed from the fact, partition-pruned. Either way the result
-    converges, and only the touched day partitions are replaced. ``None``
-    (too many days) recomputes every partition.
+    Of the touched ``days`` (rows of ``date_key``; None: every day) those whose
+    stored coverage differs from the fact's row count are counted again from the
+    fact and replaced; days that agree are left alone. The days stay a DataFrame,
+    and semi-joins on the partition column let Spark read only their partitions.
+    A run that died between its append and this step is repaired the same way.
     """
     fact = wh.read("fact_outreach_activity")
-    if fact is None or date_keys == []:
-        return
-    if date_keys is None:
-        wh.overwrite_partitions("agent_daily_counts",
-                                _counts_with_coverage(fact).hint("rebalance", "date_key"),
-                                "date_key")
+    if fact is None:
         return
-    day = F.col("date_key").isin(date_keys)
     old = wh.read("agent_daily_counts")
-    ok_days: list = []
-    if old is not None and inserted is not None and "fact_rows" in old.columns:
-        covered = old.where(day).groupBy("date_key").agg(F.sum("fact_rows").alias("cov"))
-        added = inserted.groupBy("date_key").agg(F.count(F.lit(1)).alias("ins"))
-        actual = fact.where(day).groupBy("date_key").agg(F.count(F.lit(1)).alias("act"))
-        check = actual.join(covered, "date_key", "left").join(added, "date_key", "left")
-        ok = F.coalesce(F.col("cov"), F.lit(0)) + F.coalesce(F.col("ins"), F.lit(0)) == F.col("act")
-        # one row per touched day: bounded by the same limit as date_keys
-        ok_days = [r[0] for r in check.where(ok & F.col("cov").isNotNull())
-                   .select("date_key").collect()]
-    stale = [d for d in date_keys if d not in set(ok_days)]
-    if inserted_rows == 0:
-        ok_days = []          # nothing new: days that check out stay as they are
-        if not stale:
+    if old is not None and days is not None:
+        actual = (fact.join(days, "date_key", "left_semi").groupBy("date_key")
+                  .agg(F.count(F.lit(1)).alias("rows")))
+        covered = old.groupBy("date_key").agg(F.sum("fact_rows").alias("covered"))
+        stale = (actual.join(covered, "date_key", "left")
+                 .where(~F.col("rows").eqNullSafe(F.col("covered"))).select("date_key"))
+        if stale.isEmpty():
             return
-    parts = []
-    if ok_days:
-        keep = F.col("date_key").isin(ok_days)
-        merged = (old.where(keep).select("agent_sk", "date_key", *COUNT_COLS, "fact_rows")
-                  .unionByName(_counts_with_coverage(inserted.where(keep)))
-                  .groupBy("agent_sk", "date_key")
-                  .agg(*[F.sum(c).cast("long").alias(c) for c in (*COUNT_COLS, "fact_rows")]))
-        parts.append(merged)
-    if stale:
-        parts.append(_counts_with_coverage(fact.where(F.col("date_key").isin(stale))))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    if ok_days:
-        # The merge reads the partitions it replaces: cut the lineage first
-        # (reliable checkpoint in spark.checkpoint.dir).
-        ensure_checkpoint_dir(wh.spark)
-        out = out.checkpoint(eager=True)
-    wh.overwrite_partitions("agent_daily_counts", out.hint("rebalance", "date_key"), "date_key")
+        fact = fact.join(stale, "date_key", "left_semi")
+    elif days is not None:
+        fact = fact.join(days, "date_key", "left_semi")
+    counts = _counts_with_coverage(fact)
+    if old is not None:
+        # Which days are stale reads the table that is written: the result goes to a
+        # table of its own first.
+        wh.rewrite("agent_daily_counts_staged", counts)
+        counts = wh.read("agent_daily_counts_staged")
+    wh.overwrite_partitions("agent_daily_counts", counts.hint("rebalance", "date_key"), "date_key")
+
+
+def replace_run(wh: Warehouse, table: str, rows: DataFrame, run_id: str) -> None:
+    """Replace one run's rows of a ledger; other runs' files are not touched.
+
+    The marker row keeps a run's partition in place when it has no rows.
+    """
+    key = "run-" + hashlib.sha1(run_id.encode()).hexdigest()[:16]
+    marker = wh.spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    both = rows.withColumn("_marker", F.lit(False)).unionByName(marker.withColumn("_marker", F.lit(True)))
+    wh.overwrite_partitions(table, both.withColumn("_run", F.lit(key)).coalesce(1), "_run")
 
 
 # -- watermark (S9, S10) ---------------------------------------------------------
@@ -270,11 +244,14 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
         if not gate:  # without the gate the load does not wait for the audit
             load = pool.submit(load_facts, wh, batch, run_id, dlq_path, now,
                                prev_wm if incremental else None)
-        old = wh.read("dq_audit_log")
         audit_rows = audit.collect()                      # five rows
         audit_df = spark.createDataFrame(audit_rows, audit.schema)
-        wh.rewrite("dq_audit_log", audit_df if old is None else
-                   upsert(old, audit_df, ["pipeline_run_id", "table_name", "dimension"]))
+        replace_run(wh, "dq_audit_log", audit_df, run_id)
+        replace_run(wh, "dq_invalid_values", quality.invalid_values(batch, allowed=cfg.allowed_event_types)
+                    .select(F.lit(run_id).alias("pipeline_run_id"),
+                            F.lit("fact_outreach_activity").alias("table_name"),
+                            F.lit("VALIDITY").alias("dimension"),
+                            F.col("event_type").cast("string").alias("value"), "rows"), run_id)
         composite = audit_rows[0]["composite_score"] if audit_rows else 100.0
         passed = bool(audit_rows[0]["passed"]) if audit_rows else True
         ingested = int(audit_rows[0]["records_evaluated"]) if audit_rows else 0
@@ -302,8 +279,7 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
                                 "source_system string, records_ingested long, records_loaded long, "
                                 "records_inserted long, records_quarantined_dlq long, status string, "
                                 "watermark_timestamp string, error_message string")
-    old_runs = wh.read("pipeline_runs")
-    wh.rewrite("pipeline_runs", run if old_runs is None else upsert(old_runs, run, ["run_id"]))
+    replace_run(wh, "pipeline_runs", run, run_id)
     return {"run_id": run_id, "status": status, "records_ingested": ingested,
             "records_loaded": counts["valid"], "records_inserted": counts["inserted"],
             "records_quarantined_dlq": counts["quarantined"], "dq_score": composite,
@@ -314,19 +290,21 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
 
 def run_risk_model(wh: Warehouse, cfg: RiskConfig = RiskConfig(), now=None,
                    affected_agents: DataFrame | None = None) -> dict:
-    """A1 -> W11 -> J8 (keyed upsert into a new version) -> A15.
+    """A1 -> W11 -> J8 (replaces the scored agents' part of the snapshot) -> A15.
 
-    ``affected_agents`` (a DataFrame with ``agent_sk``) limits the refresh to
-    agents with new events (T5); their whole history is rescored because
-    the windows need it.
+    The snapshot is partitioned by a hash bucket of the agent. With
+    ``affected_agents`` (rows of ``agent_sk``, T5) only the buckets of agents with
+    new events are scored, from their whole history, and replaced.
     """
     counts = wh.read("agent_daily_counts")
     if counts is None:
         return {"status": "SUCCESS", "records_processed": 0, "anomalies_flagged": 0,
                 "critical_risk_count": 0}
+    bucket = F.pmod(F.xxhash64(F.col("agent_sk").cast("long")), F.lit(SNAPSHOT_BUCKETS)).cast("int")
     if affected_agents is not None:
-        counts = counts.join(affected_agents.select("agent_sk").distinct(), "agent_sk",
-                             "left_semi")
+        touched = affected_agents.select(bucket.alias("agent_bucket")).distinct()
+        counts = counts.withColumn("agent_bucket", bucket).join(touched, "agent_bucket", "left_semi") \
+            .drop("agent_bucket")
     # Agent-day counts are maintained per load, so the model never rescans
     # the event fact; joining them to the dimensions is the star join.
     daily = daily_activity(counts, wh.read("dim_agent"), wh.read("dim_date"),
@@ -334,13 +312,12 @@ def run_risk_model(wh: Warehouse, cfg: RiskConfig = RiskConfig(), now=None,
     scored = risk.score_daily(daily, cfg, agent_key="agent_sk")
     out = scored.select("agent_sk", "date_key", *risk.RISK_COLUMNS,
                         _now_lit(now).alias("updated_at")).persist()
-    old = wh.read("fact_daily_agent_metric")
-    merged = out if old is None else upsert(old, out, ["agent_sk", "date_key"])
-    # O1 without a global sort: rows are clustered by day (the partition
-    # column) and sorted by agent inside each task before the write.
-    wh.rewrite("fact_daily_agent_metric",
-               merged.hint("rebalance", "date_key").sortWithinPartitions("date_key", "agent_sk"),
-               partition_by=["date_key"])
+    # O1 without a global sort: rows are clustered by bucket and sorted by day and
+    # agent inside each task before the write.
+    wh.overwrite_partitions(
+        "fact_daily_agent_metric",
+        out.withColumn("agent_bucket", bucket).hint("rebalance", "agent_bucket")
+        .sortWithinPartitions("agent_bucket", "date_key", "agent_sk"), "agent_bucket")
     s = risk.risk_summary(out).first()
     out.unpersist()
     return {"status": "SUCCESS", "records_processed": int(s["records_processed"]),

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 VERSION_DIGITS = 6
 
@@ -60,7 +61,14 @@ class Warehouse:
     # -- read / write ----------------------------------------------------------------
     def read(self, table: str) -> DataFrame | None:
         """The current version, or None if there is none or it holds no rows
-        (a partitioned write of zero rows commits a version without files)."""
+        (a partitioned write of zero rows commits a version without files).
+        A ledger comes without the columns that place its runs."""
+        rows = self._read(table)
+        if rows is not None and "_marker" in rows.columns:
+            rows = rows.where(~F.col("_marker")).drop("_marker", "_run")
+        return rows
+
+    def _read(self, table: str) -> DataFrame | None:
         path = self.current_path(table)
         if not path:
             return None

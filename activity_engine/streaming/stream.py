@@ -3,7 +3,7 @@
 The studied pipeline is batch with a high-watermark file. As a stream:
 the file source's checkpoint replaces the watermark file (T1); every
 micro-batch runs the batch ingest through ``foreachBatch`` (T4), whose
-first-arrival dedupe and anti join against the (day-pruned) fact make
+first-arrival dedupe and anti join against the fact's event ids make
 replays idempotent (T2); daily counts are written per micro-batch as
 partial counts and summed on read (T3); and the risk model is refreshed for
 the agents a batch touched (T5).
@@ -23,19 +23,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from activity_engine.operators.daily import daily_counts
+from activity_engine.operators.ingest import insert_new
 from activity_engine.plans import pipeline as pl
 from activity_engine.sources.fixtures import events_view
 from activity_engine.sources.tables import Warehouse
 
 
 def read_event_stream(spark: SparkSession, src_dir: str, file_glob: str = "events*.parquet",
-                      max_files: int | None = None) -> DataFrame:
-    """New event files under ``src_dir`` as an unbounded DataFrame."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(src_dir).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+                      max_files: int | None = None, schema=None, fmt: str = "parquet") -> DataFrame:
+    """New event files under ``src_dir`` as an unbounded DataFrame.
+
+    With a ``schema`` the folder may still be empty; without one it is that of
+    the files already there. ``fmt`` is parquet or json.
+    """
+    if schema is None:
+        schema = spark.read.format(fmt).option("pathGlobFilter", file_glob).load(src_dir).schema
+    r = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", file_glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(src_dir)
+    return r.load(src_dir)
 
 
 def start_ingest(stream: DataFrame, wh: Warehouse, dlq_path: str, checkpoint: str,
@@ -74,7 +80,11 @@ def start_daily_counts(stream: DataFrame, wh: Warehouse, checkpoint: str,
                        available_now: bool = True, compact_every: int = 100) -> StreamingQuery:
     """Per micro-batch, partial agent × day counts under ``batch_id=<n>``.
 
-    The partial aggregate is combined map-side; each micro-batch replaces
+    Counted are events not seen before: first arrivals of the micro-batch whose id
+    no other micro-batch brought. The ids are kept beside the counts, one narrow
+    partition a micro-batch, so a replayed file adds nothing, and a retried
+    micro-batch (which ignores its own ids) gives the same partial again.
+        The partial aggregate is combined map-side; each micro-batch replaces
     only its own partition (dynamic overwrite), so a retried batch never
     counts twice. ``read_daily_counts`` sums the partials: exact for late
     events too, with no streaming state to bound. Every ``compact_every``
@@ -84,8 +94,24 @@ def start_daily_counts(stream: DataFrame, wh: Warehouse, checkpoint: str,
     def write_delta(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= compacted_through(wh, table):
             return                                   # already folded in
-        delta = daily_counts(batch, "agent_id").withColumn("batch_id", F.lit(batch_id))
-        wh.overwrite_partitions(table, delta, "batch_id")
+        if "event_id" not in batch.columns:          # nothing tells copies apart
+            fold(daily_counts(batch, "agent_id"), batch_id)
+            return
+        fresh = batch.where(F.col("event_id").isNotNull()).dropDuplicates(["event_id"])
+        seen = wh.read(f"{table}_ids")
+        if seen is not None:
+            fresh = insert_new(fresh, seen.where(F.col("batch_id") != batch_id))
+        ids = fresh.select("event_id").withColumn("batch_id", F.lit(batch_id))
+        wh.overwrite_partitions(f"{table}_ids", ids, "batch_id")
+        mine = wh.read(f"{table}_ids")
+        if mine is None:
+            return
+        fresh = batch.dropDuplicates(["event_id"]).join(
+            mine.where(F.col("batch_id") == batch_id).select("event_id"), "event_id", "left_semi")
+        fold(daily_counts(fresh, "agent_id"), batch_id)
+
+    def fold(delta: DataFrame, batch_id: int) -> None:
+        wh.overwrite_partitions(table, delta.withColumn("batch_id", F.lit(batch_id)), "batch_id")
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             compact_daily_counts(wh, table, batch_id)
 

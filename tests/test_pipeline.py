@@ -105,14 +105,37 @@ def test_rerun_same_run_id_keeps_one_dlq_copy(spark, tmp_path):
 
 
 def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    w = wh(spark, tmp_path)
+    for n in (1, 2, 3):
+        w.rewrite("numbers", spark.range(n))
+    assert len(w.versions("numbers")) == 3
+    w.vacuum("numbers", keep=1)
+    assert len(w.versions("numbers")) == 1
+    assert w.read("numbers").count() == 3
+
+
+def test_ledgers_replace_only_their_run(spark, tmp_path):
     w = wh(spark, tmp_path)
     p = from_records(spark, [AGENT], [CAMPAIGN], [LEAD], acts(BAD))
-    for r in ("v1", "v2", "v3"):
+    for r in ("v1", "2026", "v1"):
         pl.run_pipeline(w, p, r, str(tmp_path / "dlq"), now="2026-08-19 14:00:00")
-    assert len(w.versions("pipeline_runs")) == 3
-    w.vacuum("pipeline_runs", keep=1)
-    assert len(w.versions("pipeline_runs")) == 1
-    assert w.read("pipeline_runs").count() == 3
+    assert w.versions("pipeline_runs") == [1]
+    assert {r.run_id for r in w.read("pipeline_runs").collect()} == {"v1", "2026"}
+    assert w.read("dq_audit_log").count() == 10
+    bad = {(r.pipeline_run_id, r.value) for r in w.read("dq_invalid_values").collect()}
+    assert {run for run, _ in bad} <= {"v1", "2026"}
+
+
+def test_replay_on_another_day_is_ignored(spark, tmp_path):
+    """An event id is unique over the whole fact, whatever day its replay carries."""
+    w = wh(spark, tmp_path)
+    first = acts([("E1", "AGT-001", "LEAD-0001", "2026-08-01T10:00:00Z", "INVITE_SENT")])
+    again = acts([("E1", "AGT-001", "LEAD-0001", "2026-08-02T10:00:00Z", "INVITE_SENT")])
+    for run, rows in (("a", first), ("b", again)):
+        p = from_records(spark, [AGENT], [CAMPAIGN], [LEAD], rows)
+        out = pl.run_pipeline(w, p, run, str(tmp_path / "dlq"), now="2026-08-19 14:00:00")
+    assert out["records_inserted"] == 0
+    assert [r.date_key for r in w.read("fact_outreach_activity").collect()] == [20260801]
 
 
 def test_first_arrival_wins_within_batch(spark, tmp_path):

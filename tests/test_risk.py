@@ -120,3 +120,16 @@ def test_ewm_long_series_many_blocks(spark):
     ok = ~np.isnan(m)
     assert np.max(np.abs(got["p_mean"].to_numpy()[ok] - m[ok])) < 1e-14
     assert np.max(np.abs(np.sqrt(got["p_var"].to_numpy()[ok].astype(float)) - np.sqrt(v[ok]))) < 1e-13
+
+
+def test_min_points_one_backfills_the_first_deviation(spark):
+    """With one point the mean starts a row before the deviation, which is backfilled."""
+    rates = [0.5, 0.2, 0.7, 0.1, 0.4]
+    rows = [(1, 20260801 + i, 10, int(r * 10), 0, 0, 20, 20) for i, r in enumerate(rates)]
+    df = spark.createDataFrame(rows, "agent_sk long, date_key int, invites_sent long, invites_accepted long,"
+                                     " messages_sent long, replies_received long, daily_invite_ceiling int,"
+                                     " daily_message_ceiling int")
+    got = {r.date_key: r.rolling_std_acc for r in risk.score_daily(df, RiskConfig(min_points=1)).collect()}
+    s = pd.Series(rates).shift(1).ewm(span=7, min_periods=1).std().bfill().clip(lower=RiskConfig().std_floor)
+    for i, want in enumerate(s):
+        assert abs(got[20260801 + i] - want) < 1e-9
