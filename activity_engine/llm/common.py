@@ -75,16 +75,24 @@ def stratified_sample(df: DataFrame, stratum: str, id_col: str, per_stratum: int
 
 
 class Cache(dict):
-    """``cache[key]`` computes what it lacks; it empties itself at ``limit`` entries."""
+    """``cache[key]`` computes what it lacks.
 
-    def __init__(self, make, limit: int = 300_000):
+    At ``limit`` entries a new generation begins; what is asked for again moves
+    over from the last one, so frequent keys stay and memory is bounded.
+    """
+
+    def __init__(self, make, limit: int = 200_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.last = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.last = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.last.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 

@@ -16,7 +16,9 @@ come first; repeated ids keep their rows, in no promised order among themselves.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -31,40 +33,57 @@ ROW_INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 _MISSES = 4096
-_LIMIT = 400_000
+_LIMIT = 300_000
+#: Texts of ASCII and Latin letters, in which lower-casing and the vocabulary's split
+#: are plain; the library alone handles the rest, and what may be a special token.
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 
 
 class WordEncoder:
-    """Library encoder with a cache of what ASCII white space separates.
+    """Library encoder with a cache of the pieces it has encoded.
 
-    The vocabulary's normaliser and pre-tokenizer never join characters across
-    white space, so the ids of a text are those of its separated parts.
+    A plain text's ids are those of its pre-tokenized pieces. The normaliser and
+    the pre-tokenizer never join characters across white space, so the ids of any
+    other text are those of the parts that ASCII white space separates.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, parts: set[bytes]) -> None:
-        new = [p for p in parts if p not in self.known]
-        if len(self.known) + len(new) > _LIMIT:
-            self.known.clear()
-            new = list(parts)
+        self.known: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
+
+    @staticmethod
+    def _split(text: bytes) -> list[str]:
+        whole = text.decode()
+        if _PLAIN.fullmatch(whole) and "<|" not in whole:
+            return _PIECE.findall(whole.lower())
+        return [part.decode() for part in text.split()]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Make sure that ``known`` has all pieces; a full cache keeps what is asked for again."""
+        if len(self.known) >= _LIMIT:
+            self.last, self.known = self.known, {}
+        new = []
+        for piece in pieces.difference(self.known):
+            if (ids := self.last.get(piece)) is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
         for at in range(0, len(new), _MISSES):
             block = new[at:at + _MISSES]
-            found = self.library.encode_batch_fast([p.decode() for p in block], add_special_tokens=False)
-            for part, encoding in zip(block, found):
-                self.known[part] = np.array(encoding.ids, "<i4").tobytes()
+            for piece, found in zip(block, self.library.encode_batch_fast(block, add_special_tokens=False)):
+                self.known[piece] = array("i", found.ids).tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the end id."""
-        end = np.array([END_ID], "<i4").tobytes()
-        split = [(t or b"").split() for t in texts]
+        end = array("i", [END_ID]).tobytes()
+        split = [self._split(t or b"") for t in texts]
         self.learn(set().union(*split))
         get = self.known.__getitem__
-        return [b"".join(map(get, parts)) + end for parts in split]
+        return [b"".join(map(get, pieces)) + end for pieces in split]
 
 
 @lru_cache(maxsize=2)

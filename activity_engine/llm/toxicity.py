@@ -45,7 +45,10 @@ _SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 _DOTTED = re.compile(r"\w(?:[.\-_*~]\w){2,}")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
 _HIDDEN = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
-_STRIP = ".,;:!?\"'()[]{}<>*#%&|/\\-_~`^=+$"
+_OUTER = ".,;:!?\"'()[]{}<>*#%&|/\\-_~`^=+"
+_STRIP = _OUTER + "$@"
+#: One or two of these after a letter may end a word; a longer run is decoration.
+_LETTER_LIKE_END = re.compile(r"[^\W_][$@]{1,2}$")
 
 
 def _symbols() -> np.ndarray:
@@ -137,23 +140,23 @@ class Restorer:
     """Restored words of texts under a character model."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model.tolist()
+        self.table = _Table(model.tolist())
         self.word = Cache(self._word)
 
     def _word(self, token: str) -> str:
         plain = token.strip(_STRIP)
-        core = plain if _HIDDEN.search(plain) else token.rstrip(".,;:!?\"')").lstrip("(\"'")
-        letters = any(c.isalpha() for c in core)
-        if letters and (_HIDDEN.search(core) or _REPEATED.search(core) or _DOTTED.fullmatch(core)):
-            tabled = self.model
-            return decode(core, _Table(tabled)).strip(_STRIP)
+        outer = token.strip(_OUTER)
+        core = outer if _LETTER_LIKE_END.search(outer) else plain
+        if any(c.isalpha() for c in core) and (
+                _HIDDEN.search(core) or _REPEATED.search(core) or _DOTTED.fullmatch(core)):
+            return decode(core, self.table).strip(_STRIP)
         return plain
 
     def words(self, text: str | None) -> set[str]:
         text = (text or "").lower()
         found = set(map(self.word.__getitem__, set(text.split())))
         for run in _SPACED.finditer(text):
-            found.update(decode(run.group(), _Table(self.model)).split())
+            found.update(decode(run.group(), self.table).split())
         return found
 
 
