@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from activity_engine.session import ensure_checkpoint_dir
+
+#: Most key ranges of one assignment: their bounds are literals of the plan.
+MAX_RANGES = 128
+_SAMPLES_PER_RANGE = 8
+
+
+def _range_bounds(df: DataFrame, key_col: str, ranges: int) -> list:
+    """Keys that cut the rows into about equal ranges.
+
+    Every 8th of the keys with the least hashes: a bounded sample that depends on
+    the data alone.
+    """
+    drawn = (df.select(key_col).where(F.col(key_col).isNotNull()).orderBy(F.xxhash64(key_col), key_col)
+             .limit(_SAMPLES_PER_RANGE * ranges).collect())
+    return sorted({r[0] for r in drawn})[_SAMPLES_PER_RANGE - 1::_SAMPLES_PER_RANGE]
 
 
 def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
@@ -13,37 +27,31 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
                           num_partitions: int | None = None) -> DataFrame:
     """Dense ids ``start_after + 1 ..`` in natural-key order (autoincrement).
 
-    A global ``row_number()`` would sort everything in one task. Instead the
-    rows are range-partitioned by the natural key and sorted inside each
-    partition, and that layout is checkpointed (reliable, in the session's
-    ``spark.checkpoint.dir``): range boundaries come from sampling, which is
-    not reproducible when the input is itself a shuffle output, so both uses
-    below must read one materialised partitioning, also after an executor
-    loss. Per-partition counts (one row per partition) become offsets, and
-    each row adds its position inside its partition. Ties on the key break
+    A global ``row_number()`` would sort everything in one task. Instead each row
+    gets the number of its key range, its position inside the range, and the
+    rows of the ranges before as offset. The bounds are fixed when the plan is
+    made, so range, position and offset are functions of the data: a recomputed
+    task assigns the same ids, and nothing is checkpointed. Ties on the key break
     on a hash of the whole row.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb")
-    laid_out = (df.select("*", tiebreak)
-                .repartitionByRange(n, F.col(key_col), F.col("_tb"))
-                .sortWithinPartitions(F.col(key_col), F.col("_tb"))
-                .checkpoint(eager=True))
-    ordered = (laid_out.withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid")
-                                    .rowsBetween(Window.unboundedPreceding, -1)),
+    ranges = min(MAX_RANGES, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = _range_bounds(df, key_col, ranges)
+    key_type = df.schema[key_col].dataType
+    cuts = F.array(*[F.lit(v).cast(key_type) for v in bounds])
+    in_range = F.size(F.filter(cuts, lambda c: c < F.col(key_col))) if bounds else F.lit(0)
+    rows = df.select("*", F.coalesce(in_range, F.lit(-1)).alias("_range"),
+                     F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb"))
+    offsets = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))     # one row a range
+    offsets = offsets.select(
+        F.col("_range").alias("_r"),
+        F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (ordered.join(F.broadcast(offsets), "_pid")
-            .withColumn(sk_col, (base + F.col("_off") + pos + 1).cast("long"))
-            .drop("_pid", "_mid", "_off", "_tb"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(key_col, "_tb"))
+    return (rows.withColumn("_pos", place).join(F.broadcast(offsets), F.col("_range") == F.col("_r"))
+            .withColumn(sk_col, (base + F.col("_off") + F.col("_pos")).cast("long"))
+            .drop("_range", "_r", "_off", "_pos", "_tb"))
 
 
 def resolve_keys(batch: DataFrame, agents: DataFrame, leads: DataFrame,

@@ -20,13 +20,21 @@ from activity_engine.functions.numeric import clamp_score, np_round
 def _part(df: DataFrame, dimension: str, n=None, failed=None, details=None,
           cells=None) -> DataFrame:
     """One partial row of a dimension; partial rows are merged by ``_merge``."""
+    return df.select(*_part_columns(dimension, n, failed, details, cells))
+
+
+def _part_columns(dimension: str, n=None, failed=None, details=None, cells=None) -> list[Column]:
     nul = F.lit(None)
-    return df.select(F.lit(dimension).alias("dimension"),
-                     (n if n is not None else nul).cast("long").alias("n"),
-                     (failed if failed is not None else F.lit(0)).cast("long").alias("f"),
-                     (details if details is not None else nul).cast("string").alias("details"),
-                     (cells if cells is not None else (n if n is not None else nul))
-                     .cast("long").alias("cells"))
+    return [F.lit(dimension).alias("dimension"),
+            (n if n is not None else nul).cast("long").alias("n"),
+            (failed if failed is not None else F.lit(0)).cast("long").alias("f"),
+            (details if details is not None else nul).cast("string").alias("details"),
+            (cells if cells is not None else (n if n is not None else nul)).cast("long").alias("cells")]
+
+
+def _parts(df: DataFrame, *parts: list[Column]) -> DataFrame:
+    """Several partial rows from one aggregate row, which is computed once."""
+    return df.select(F.explode(F.array(*[F.struct(*p) for p in parts])).alias("_p")).select("_p.*")
 
 
 def _merge(parts: list[DataFrame]) -> DataFrame:
@@ -65,7 +73,7 @@ def completeness_counts(df: DataFrame, required) -> list[Column]:
             for c in required]
 
 
-def _completeness_part(agg: DataFrame, required) -> DataFrame:
+def _completeness_part(required) -> list[Column]:
     miss = [F.col(f"miss_{c}") for c in required]
     total = miss[0]
     for m in miss[1:]:
@@ -73,14 +81,14 @@ def _completeness_part(agg: DataFrame, required) -> DataFrame:
     details = F.when(F.col("n") == 0, F.lit("{}")).otherwise(
         F.to_json(F.struct(*[F.col(f"miss_{c}").alias(c) for c in required])))
     # Scored over cells (rows x required columns); records_evaluated is rows.
-    return _part(agg, "COMPLETENESS", F.col("n"), total, details,
-                 cells=F.col("n") * F.lit(len(required)))
+    return _part_columns("COMPLETENESS", F.col("n"), total, details,
+                         cells=F.col("n") * F.lit(len(required)))
 
 
 def check_completeness(df: DataFrame, required) -> DataFrame:
     """A2: missing cells over ``rows × required columns``."""
     agg = df.agg(F.count(F.lit(1)).alias("n"), *completeness_counts(df, required))
-    return _merge([_completeness_part(agg, required)])
+    return _merge([_parts(agg, _completeness_part(required))])
 
 
 def _uniqueness_parts(df: DataFrame, key, sample_size: int) -> list[DataFrame]:
@@ -139,10 +147,10 @@ def timeliness_counts(df: DataFrame, col: str, now: Column, min_ts: Column) -> l
             F.count_if(ts.isNull()).alias("unparseable_dates")]
 
 
-def _timeliness_part(agg: DataFrame) -> DataFrame:
+def _timeliness_part() -> list[Column]:
     f = F.col("future_events") + F.col("stale_events") + F.col("unparseable_dates")
     det = F.to_json(F.struct("future_events", "stale_events", "unparseable_dates"))
-    return _part(agg, "TIMELINESS", F.col("n"), f, det)
+    return _part_columns("TIMELINESS", F.col("n"), f, det)
 
 
 def check_timeliness(df: DataFrame, col: str = "event_timestamp", now: Column | str | None = None,
@@ -153,7 +161,7 @@ def check_timeliness(df: DataFrame, col: str = "event_timestamp", now: Column |
         return _merge([_part(df.sparkSession.range(1), "TIMELINESS", F.lit(0), F.lit(0),
                              F.lit("{}"))])
     agg = df.agg(F.count(F.lit(1)).alias("n"), *timeliness_counts(df, col, now, min_ts))
-    return _merge([_timeliness_part(agg)])
+    return _merge([_parts(agg, _timeliness_part())])
 
 
 def _ts_lit(v, is_now: bool = False) -> Column:
@@ -174,9 +182,9 @@ def unresolved_keys(df: DataFrame, col: str, parent: DataFrame, parent_col: str
 
 
 def _referential_parts(df: DataFrame, agents, campaigns, sample_size: int,
-                       n_part: DataFrame | None = None) -> list[DataFrame]:
-    parts = [n_part if n_part is not None else
-             _part(df.agg(F.count(F.lit(1)).alias("n")), "REFERENTIAL_INTEGRITY", F.col("n"))]
+                       counted: bool = False) -> list[DataFrame]:
+    parts = [] if counted else [
+        _part(df.agg(F.count(F.lit(1)).alias("n")), "REFERENTIAL_INTEGRITY", F.col("n"))]
     samples = None
     for col, parent in (("agent_id", agents), ("campaign_id", campaigns)):
         if col in df.columns and parent is not None:
@@ -224,8 +232,9 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
                    ts_col: str = "event_timestamp", type_col: str = "event_type") -> DataFrame:
     """A8 + A7 + U2: the five audit rows with the weighted composite.
 
-    Completeness, validity and timeliness share one aggregate pass; the
-    partial rows of all five checks are unioned and folded per dimension.
+    Completeness, validity, timeliness and the row count come from one aggregate
+    row, exploded into their parts; the parts of all five checks are unioned and
+    folded per dimension.
     """
     now_c = _ts_lit(now, True)
     min_c = _ts_lit(cfg.min_event_ts)
@@ -236,18 +245,17 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
     if has_ts:
         aggs.extend(timeliness_counts(df, ts_col, now_c, min_c))
     flat = df.agg(*aggs)
-    parts = [_completeness_part(flat, cfg.required_columns)]
+    invalid = F.col("invalid") if has_type else F.lit(0)
+    parts = [_parts(
+        flat, _completeness_part(cfg.required_columns),
+        _part_columns("VALIDITY", F.col("n"), invalid, None if has_type else F.lit("{}")),
+        _timeliness_part() if has_ts else _part_columns("TIMELINESS", F.col("n"), F.lit(0), F.lit("{}")),
+        _part_columns("REFERENTIAL_INTEGRITY", F.col("n")))]
     if has_type:
-        parts += [_part(flat, "VALIDITY", F.col("n"), F.col("invalid")),
-                  _sample_part(invalid_values(df, type_col, cfg.allowed_event_types), type_col,
-                               cfg.sample_size, "VALIDITY", wrap="invalid_event_types")]
-    else:
-        parts.append(_part(flat, "VALIDITY", F.col("n"), F.lit(0), F.lit("{}")))
-    parts.append(_timeliness_part(flat) if has_ts else
-                 _part(flat, "TIMELINESS", F.col("n"), F.lit(0), F.lit("{}")))
+        parts.append(_sample_part(invalid_values(df, type_col, cfg.allowed_event_types), type_col,
+                                  cfg.sample_size, "VALIDITY", wrap="invalid_event_types"))
     parts += _uniqueness_parts(df, key, cfg.sample_size)
-    parts += _referential_parts(df, agents, campaigns, cfg.sample_size,
-                                n_part=_part(flat, "REFERENTIAL_INTEGRITY", F.col("n")))
+    parts += _referential_parts(df, agents, campaigns, cfg.sample_size, counted=True)
     rows = _merge(parts)
     return with_composite(rows, cfg).select(
         F.lit(run_id).alias("pipeline_run_id"), now_c.alias("check_timestamp"),

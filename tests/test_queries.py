@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from activity_engine.plans.catalog import QUERIES
 from conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -36,10 +37,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.oracle_sql()) == set(se.queries())
+    assert set(QUERIES) <= set(se.oracle_sql()) <= set(se.queries())
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
