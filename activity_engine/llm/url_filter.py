@@ -96,19 +96,23 @@ def gram_log_odds(counted: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def choose_cutoff(scored: DataFrame) -> int:
-    """Step from which urls are allowed, by the best sum of both kinds' hit rates (then the least)."""
+    """Step from which urls are allowed.
+
+    The cut with the best sum of both kinds' hit rates (the least of equals), half
+    way between the steps that it separates.
+    """
     counts = (scored.groupBy("step").agg(F.count_if(F.col("verdict") == "allow").alias("a"),
                                          F.count_if(F.col("verdict") == "block").alias("b"))
               .orderBy("step").collect())  # at most 2 * LIMIT + 1 rows
     allowed, blocked = sum(r["a"] for r in counts), sum(r["b"] for r in counts)
     if not allowed or not blocked:
         return 0
-    best, cutoff, above, below = -1.0, 0, allowed, 0
+    best, cutoff, above, below, last = -1.0, 0, allowed, 0, counts[0]["step"]
     for r in counts:
         gain = above / allowed + below / blocked
-        if gain > best + 1e-12:
-            best, cutoff = gain, r["step"]
-        above, below = above - r["a"], below + r["b"]
+        if gain > best + 1e-9:
+            best, cutoff = gain, (last + r["step"] + 1) // 2
+        above, below, last = above - r["a"], below + r["b"], r["step"]
     return cutoff
 
 
@@ -186,10 +190,10 @@ def url_sql(order: int = ORDER) -> str:
         "steps AS (SELECT step, count(*) FILTER (WHERE verdict = 'allow') AS a,"
         " count(*) FILTER (WHERE verdict = 'block') AS b FROM scored WHERE verdict IS NOT NULL GROUP BY step)",
         "gains AS (SELECT step, (SELECT sum(a) FROM steps) AS na, (SELECT sum(b) FROM steps) AS nb,"
-        " sum(a) OVER (ORDER BY step DESC) AS above, coalesce(sum(b) OVER (ORDER BY step"
+        " coalesce(lag(step) OVER (ORDER BY step), step) AS last, sum(a) OVER (ORDER BY step DESC) AS above, coalesce(sum(b) OVER (ORDER BY step"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM steps)",
-        "cutoff AS (SELECT coalesce((SELECT step FROM gains WHERE na > 0 AND nb > 0"
-        " ORDER BY round(above / na + below / nb, 10) DESC, step LIMIT 1), 0) AS c),",
+        "cutoff AS (SELECT coalesce((SELECT floor((last + step + 1) / 2.0) FROM gains WHERE na > 0 AND nb > 0"
+        " ORDER BY round(above / na + below / nb, 8) DESC, step LIMIT 1), 0) AS c),",
     ]
     return ("WITH " + ",\n".join(ctes).rstrip(",") + "\n"
             f"SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN CASE rule {verdicts} END"

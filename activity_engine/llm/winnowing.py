@@ -14,7 +14,8 @@ passages of a document meet each item once per fingerprint.
 
 Words are compared by 64-bit hashes. Defined results: null and empty texts have
 no words and are clean; repeated rows each get their result; a benchmark without
-rows leaves every document clean.
+rows leaves every document clean; an item without an id taints documents, but is
+not listed.
 """
 
 from __future__ import annotations
@@ -211,7 +212,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text") -
     """Rows of ``docs`` whose text shares no window with an item."""
     keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     found = find_contamination(keyed, items, text_col, "_key")
-    hit = found.filter(F.size("items") > 0).select(F.col("doc_id").alias("_hit")).distinct()
+    hit = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_hit")).distinct()
     return keyed.join(hit, F.col("_key") == F.col("_hit"), "left_anti").drop("_key")
 
 

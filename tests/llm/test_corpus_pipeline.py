@@ -17,7 +17,7 @@ def folder(spark, tmp_path_factory):
     rows += [(200 + i, prose(100 + i, 70) + " extra") for i in range(10)]              # near copies
     rows += [(300 + i, prose(900, 120) + " " + prose(700 + i, 80)) for i in range(3)]  # a shared passage
     rows += [(400, prose(40, 20) + " " + prose(990, 15)), (401, "you idiot " + prose(41, 30))]
-    rows += [(500 + i, f"idiot clown {prose(600 + i, 20)}") for i in range(40)]
+    rows += [(500 + i, f"{'idiot' if i % 2 else 'clown'} {prose(600 + i, 20)}") for i in range(40)]
     rows += EDGES
     path = tmp_path_factory.mktemp("docs")
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
