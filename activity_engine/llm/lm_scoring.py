@@ -40,7 +40,7 @@ NGRAM_BITS = 17
 DISCOUNT = 0.75
 #: Distinct keys a task counts before it hands them on.
 _FLUSH = 400_000
-_CODES = 1 << 20
+_CODES = 1 << 21
 
 
 def _signed(value: int) -> int:
@@ -100,11 +100,15 @@ def _held(broadcast, make):
 
 
 def _count_ngrams(keys, kept, order: int):
-    """Counts of ``order``-grams of frequent words whose two shorter parts were kept."""
+    """Counts of ``order``-grams whose two shorter parts were kept.
+
+    An n-gram is no more frequent than its parts, so no other can be kept; of words,
+    ``kept`` has the numbers.
+    """
 
     def run(batches):
         numbers = _held(keys, Numbering).number
-        shorter = kept.value
+        singles, shorter = kept.value
         waiting, size = [], 0
 
         def flush():
@@ -115,6 +119,7 @@ def _count_ngrams(keys, kept, order: int):
             for text in batch.column("_text").cast(pa.binary()).to_pylist():
                 words = tokens(text)
                 ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                ids[~_among(ids, singles)] = -1
                 codes = ids[:len(ids) - order + 1]
                 good = codes >= 0
                 for i in range(1, order):
@@ -274,8 +279,9 @@ def lm_scores(docs: DataFrame, training: F.Column, text_col: str = "text", id_co
     unigram = np.log10((counts + 1) / share)
     ngrams: list[tuple[np.ndarray, np.ndarray]] = []
     shipped, shorter = context.broadcast(keys), np.empty(0, np.int64)
+    singles = np.flatnonzero(counts * (1 << NGRAM_BITS) >= total)
     for n in range(2, order + 1):
-        kept = (train.mapInArrow(_count_ngrams(shipped, context.broadcast(shorter), n), "code long, n long")
+        kept = (train.mapInArrow(_count_ngrams(shipped, context.broadcast((singles, shorter)), n), "code long, n long")
                 .groupBy("code").agg(F.sum("n").alias("n"))
                 .filter(F.col("n") * (1 << NGRAM_BITS) >= total))
         ngrams.append(tuple(_arrays(kept, "code", "n")))
