@@ -308,8 +308,10 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
     long_texts = texts.filter(F.octet_length("_text") >= length)
     owned = long_texts.mapInArrow(_scan(length, gram), "h long, c long, t long, at long")
-    hashes = (owned.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-              .filter("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")))
+    # Written first, so that both sides of the join are plain shuffles, whose hot keys Spark can split.
+    hashes = materialize(
+        owned.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+        .filter("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")), "hashes")
     seen = materialize(owned.join(hashes, "h").select("h", "c", "t", "at", "mixed"), "stretches")
     mixed = seen.filter("mixed")
     kinds = materialize(mixed.groupBy("h", "c").agg(
