@@ -9,13 +9,18 @@ from activity_engine.llm.common import materialize
 
 
 def _contract(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over edges (a > b)."""
+    """One large-star and one small-star step over edges (a > b).
+
+    The least neighbours are written before they are joined, so that both sides of a
+    join are plain shuffles: Spark splits a node with very many edges.
+    """
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+    least = materialize(least.select("a", F.least("a", "m").alias("m")), "least")
     large = (both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
              .filter("a <> b").distinct())
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    large = materialize(large, "large")
+    least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
     small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
