@@ -65,13 +65,15 @@ def stratified_sample(df: DataFrame, stratum: str, id_col: str, per_stratum: int
 
     The rate of a stratum is ``per_stratum`` over its row count, so the expected
     sample size is bounded whatever the input; hashing makes it reproducible.
-    Rows whose stratum is null are left out.
+    Rows whose stratum or id is null are left out.
     """
-    known = df.filter(F.col(stratum).isNotNull())
-    rates = known.groupBy(F.col(stratum).alias("_stratum")).agg(F.count(F.lit(1)).alias("_rows"))
-    slot = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    joined = known.join(rates, known[stratum] == rates["_stratum"])
-    return joined.filter(slot * F.col("_rows") < F.lit(per_stratum)).drop("_stratum", "_rows")
+    known = df.filter(F.col(stratum).isNotNull()).select(F.col(stratum).alias("_stratum"), F.col(id_col).alias("_drawn"))
+    rates = known.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_rows"))
+    slot = F.pmod(F.xxhash64("_drawn"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = known.join(rates, "_stratum").filter(slot * F.col("_rows") < F.lit(per_stratum)).select("_drawn").distinct()
+    # The ids' number has that bound, so the wide rows need not be shuffled.
+    return (df.filter(F.col(stratum).isNotNull())
+            .join(F.broadcast(drawn), F.col(id_col) == F.col("_drawn")).drop("_drawn"))
 
 
 class Cache(dict):

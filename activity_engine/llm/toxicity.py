@@ -192,7 +192,7 @@ def restored_words(text: Column, model: np.ndarray) -> Column:
     return words(text)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Intercept and weights, by Newton steps on the weighted, ridged likelihood."""
     x = np.hstack([np.ones((len(x), 1)), x])
     weight = weight * len(y) / weight.sum()
@@ -215,11 +215,14 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, text_col: str =
     """(lexicon, intercept and weights) from labelled training documents (doc_id, text)."""
     truth = (labels.filter("toxic is not null").groupBy(F.col("doc_id").alias("_id"))
              .agg(F.max("toxic").cast("int").alias("_toxic")))
-    marked = docs.select(F.col("doc_id").alias("_doc"), F.col(text_col).alias("_text")).join(truth, F.col("_doc") == F.col("_id"))
-    sizes = {r["_toxic"]: r["count"] for r in marked.groupBy("_toxic").count().collect() if r["_toxic"] in (0, 1)}
+    ids = docs.select(F.col("doc_id").alias("_doc")).join(truth, F.col("_doc") == F.col("_id")).select("_doc", "_toxic")
+    ids = materialize(ids.filter("_toxic in (0, 1)"), "toxic-labels")
+    sizes = {r["_toxic"]: r["count"] for r in ids.groupBy("_toxic").count().collect()}
     if len(sizes) < 2:
         return [], np.zeros(0)
-    sample = stratified_sample(marked, "_toxic", "_doc", per_class)
+    drawn = stratified_sample(ids, "_toxic", "_doc", per_class).distinct()
+    sample = docs.select("doc_id", F.col(text_col).alias("_text")).join(
+        F.broadcast(drawn), F.col("doc_id") == F.col("_doc"))  # bounded by ``per_class``
     words = materialize(sample.select("_toxic", restored_words(F.col("_text"), model).alias("words")), "toxic-words")
     drawn = {r["_toxic"]: r["count"] for r in words.groupBy("_toxic").count().collect()}
     if len(drawn) < 2:
