@@ -109,6 +109,8 @@ def _count_ngrams(keys, kept, order: int):
     def run(batches):
         numbers = _held(keys, Numbering).number
         singles, shorter = kept.value
+        strong = np.zeros(len(keys.value) + 1, bool)  # the last place is that of -1
+        strong[singles] = True
         waiting, size = [], 0
 
         def flush():
@@ -116,22 +118,20 @@ def _count_ngrams(keys, kept, order: int):
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], ["code", "n"])
 
         for batch in batches:
+            words: list[bytes] = []
             for text in batch.column("_text").cast(pa.binary()).to_pylist():
-                words = tokens(text)
-                ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-                ids[~_among(ids, singles)] = -1
-                codes = ids[:len(ids) - order + 1]
-                good = codes >= 0
-                for i in range(1, order):
-                    part = ids[i:len(ids) - order + 1 + i]
-                    good = good & (part >= 0)
-                    codes = (codes << WORD_BITS) | np.maximum(part, 0)
-                codes = codes[good]
-                if order > 2:
-                    low = codes & ((1 << WORD_BITS * (order - 1)) - 1)
-                    codes = codes[_among(codes >> WORD_BITS, shorter) & _among(low, shorter)]
-                waiting.append(codes)
-                size += len(codes)
+                words += tokens(text)
+                words.append(b"")  # no word: nothing reaches into the next text
+            ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+            ids[~strong[ids]] = -1
+            codes, inside = np.maximum(ids, 0), ids >= 0
+            for n in range(1, order):  # from n-grams to those of one word more
+                if 1 < n == order - 1:
+                    inside &= _among(codes, shorter)
+                codes = codes[:-1] << WORD_BITS | np.maximum(ids[n:], 0)
+                inside = inside[:-1] & inside[1:]
+            waiting.append(codes[inside])
+            size += len(waiting[-1])
             if size >= _CODES:
                 yield flush()
                 waiting, size = [], 0
