@@ -37,7 +37,10 @@ _LIMIT = 300_000
 #: Texts of ASCII and Latin letters, in which lower-casing and the vocabulary's split
 #: are plain; the library alone handles the rest, and what may be a special token.
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
-_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+_PIECE = re.compile("[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+#: Pieces that stay one word of the vocabulary's split wherever they stand.
+_WORD = re.compile("[a-zß-öø-ÿ]+|[0-9]|[!-/:;=-@[-`{-~]+")
+_WORD_END = "</w>"
 
 
 class WordEncoder:
@@ -52,6 +55,9 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        vocab = self.library.get_vocab()
+        self.ends = np.zeros(1 + max(vocab.values()), bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith(_WORD_END)]] = True
         self.known: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
 
@@ -72,11 +78,27 @@ class WordEncoder:
                 new.append(piece)
             else:
                 self.known[piece] = ids
-        for at in range(0, len(new), _MISSES):
-            block = new[at:at + _MISSES]
+        words = [p for p in new if _WORD.fullmatch(p)]
+        for at in range(0, len(words), _MISSES):
+            self._learn_words(words[at:at + _MISSES])
+        rest = [p for p in new if p not in self.known]
+        for at in range(0, len(rest), _MISSES):
+            block = rest[at:at + _MISSES]
             for piece, found in zip(block, self.library.encode_batch_fast(block, add_special_tokens=False)):
                 self.known[piece] = array("i", found.ids).tobytes()
 
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode many words as one text; a token that ends a word ends its ids."""
+        found = self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, "<i4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) != len(words):
+            return  # they are encoded one by one
+        data, start = ids.tobytes(), 0
+        for word, end in zip(words, ends):
+            self.known[word] = data[start:end]
+            start = end
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the end id."""
         end = array("i", [END_ID]).tobytes()
