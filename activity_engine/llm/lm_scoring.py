@@ -1,29 +1,35 @@
 """Language-model scoring with a weighted backoff automaton (operator 8).
 
-The model is an interpolated absolute-discounting n-gram model over the training
-documents' words. All words of the corpus are counted; every one has its own
-unigram probability, (c + 1) / (N + V + 1), and one more share stands for all
-words never seen. Higher orders keep the n-grams that make up at least 2**-NGRAM_BITS
-of the tokens, and pass the rest of a context's weight to the next shorter context.
-
-Kept contexts are states, kept n-grams arcs, and each state has a failure arc with
-its backoff weight to its longest proper suffix that is a state. One pass over a
-text's tokens, from left to right, follows arcs and adds log-probabilities.
-
-Sizes: words of relative frequency 2**-WORD_BITS or more are at most 2**WORD_BITS,
-and kept n-grams at most 2**NGRAM_BITS an order, as counts sum to N; these bounded
-parts are broadcast. Rarer words always fail to the root, so their unigram term is
-added afterwards by a shuffle join on the word, in which no word has more than
-N / 2**WORD_BITS tokens: there is no hot key. That table of words grows with the corpus.
-
-Words are compared by 64-bit hashes. Defined results: a null or empty text is its
+The model is an interpolated absolute-discounting n-gram model over all words and
+all n-grams, seen once or more, of the training documents. Every word has its own
+unigram probability, (c + 1) / (N + V + 1), and one more share stands for all words
+never seen.
+
+Contexts seen in training are states, n-grams arcs, and each state has a failure arc
+with its backoff weight to the next shorter context. States and arcs are rows, whose
+number grows with the corpus:
+
+1. Each token of each text, with its two predecessors, goes to the task of its state
+   (the two predecessors). That task has all training tokens of the state, so it
+   knows the state's count, its arcs and their counts; a state's count is also the
+   count of the bigram that leads to it.
+2. What the states and arcs gave comes together again by text, in the order of the
+   tokens, and is summed from the unigram up to the trigram.
+
+Sizes: words of relative frequency 2**-WORD_BITS or more in all texts are at most
+2**WORD_BITS, and n-grams of 2**-NGRAM_BITS or more at most 2**NGRAM_BITS an order, as
+counts sum to the number of tokens. Only this core is broadcast. Tokens of a state in
+the core are dealt by their arc instead, and those of an arc in the core by their
+place, so no key has more than tokens / 2**NGRAM_BITS rows. Rarer words get their
+counts by a shuffle join on the word, in which no key is hot either.
+
+Words are compared by 63-bit hashes. Defined results: a null or empty text is its
 end token alone; without training documents every token is unseen; repeated rows
 are scored and counted as rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 import numpy as np
@@ -41,14 +47,17 @@ DISCOUNT = 0.75
 #: Distinct keys a task counts before it hands them on.
 _FLUSH = 400_000
 _CODES = 1 << 21
+#: Rows a task takes at once; a group that goes on waits for its end.
+_ROWS = 1 << 17
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _key(word: bytes) -> int:
+    """63-bit hash of a word, below 0; numbers of words are not."""
+    return ~(xxhash.xxh3_64_intdigest(word) >> 1)
 
 
-#: The end token's key; a blank is no word.
-END = _signed(xxhash.xxh3_64_intdigest(b" "))
+#: No word: what follows the end token (which is a blank, as no word is).
+NONE = -1 << 63
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -56,29 +65,32 @@ def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), b" "]
 
 
-def _key(word: bytes) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(word))
+def _texts(batch):
+    return zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("held_out").to_pylist())
 
 
 def _count_words(batches):
-    counts: Counter = Counter()
+    training, others = Counter(), Counter()
 
     def flush():
+        n = [*training.values(), *others.values()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(map(_key, counts)), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["h", "n"])
+            [pa.array([_key(w) for own in (training, others) for w in own], pa.int64()), pa.array(n, pa.int64()),
+             pa.array([*training.values(), *[0] * len(others)], pa.int64())], ["h", "n", "c"])
 
     for batch in batches:
-        for text in batch.column("_text").cast(pa.binary()).to_pylist():
-            counts.update(tokens(text))
-        if len(counts) >= _FLUSH:
+        for text, held_out in _texts(batch):
+            (others if held_out else training).update(tokens(text))
+        if len(training) + len(others) >= _FLUSH:
             yield flush()
-            counts.clear()
-    if counts:
+            training.clear()
+            others.clear()
+    if training or others:
         yield flush()
 
 
 class Numbering:
-    """Numbers of the frequent words (-1: another word), in the order of their keys."""
+    """Numbers of the frequent words, in the order of their keys; another word keeps its key."""
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
@@ -86,7 +98,7 @@ class Numbering:
 
     def _find(self, word: bytes) -> int:
         at = int(np.searchsorted(self.keys, key := _key(word)))
-        return at if at < len(self.keys) and self.keys[at] == key else -1
+        return at if at < len(self.keys) and self.keys[at] == key else key
 
 
 _HELD: list = [None, None]
@@ -100,10 +112,10 @@ def _held(broadcast, make):
 
 
 def _count_ngrams(keys, kept, order: int):
-    """Counts of ``order``-grams whose two shorter parts were kept.
+    """Counts of ``order``-grams whose two shorter parts are in the core.
 
-    An n-gram is no more frequent than its parts, so no other can be kept; of words,
-    ``kept`` has the numbers.
+    An n-gram is no more frequent than its parts, so no other can be; of words,
+    ``kept`` has the numbers. The last bit of a code tells training texts.
     """
 
     def run(batches):
@@ -119,18 +131,23 @@ def _count_ngrams(keys, kept, order: int):
 
         for batch in batches:
             words: list[bytes] = []
-            for text in batch.column("_text").cast(pa.binary()).to_pylist():
+            sizes, train = [], []
+            for text, held_out in _texts(batch):
                 words += tokens(text)
                 words.append(b"")  # no word: nothing reaches into the next text
+                sizes.append(len(words))
+                train.append(not held_out)
             ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+            ids = np.maximum(ids, -1)
             ids[~strong[ids]] = -1
+            train = np.repeat(np.array(train, np.int64), np.diff(sizes, prepend=0))
             codes, inside = np.maximum(ids, 0), ids >= 0
             for n in range(1, order):  # from n-grams to those of one word more
                 if 1 < n == order - 1:
                     inside &= _among(codes, shorter)
                 codes = codes[:-1] << WORD_BITS | np.maximum(ids[n:], 0)
                 inside = inside[:-1] & inside[1:]
-            waiting.append(codes[inside])
+            waiting.append((codes << 1 | train[:len(codes)])[inside])
             size += len(waiting[-1])
             if size >= _CODES:
                 yield flush()
@@ -148,116 +165,175 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == values
 
 
-class Automaton:
-    """States, arcs and failure arcs of a backoff model; words are numbers.
+def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``values`` in a sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
+
+
+_DIRECT, _STATE, _ARC = 0, 1, 2
 
-    ``unigram`` holds log10 probabilities by number, ``counts`` the words' counts and
-    ``ngrams`` for each order from 2 a pair of arrays (codes, counts).
+
+def _positions(core):
+    """Texts -> a row a token: its predecessors u and v and what its task is found by.
+
+    One more row follows the end token of a text; its state is the last bigram.
     """
 
-    def __init__(self, model):
-        self.keys, self.counts, self.unigram, ngrams = model
-        self.unigram_list = self.unigram.tolist()
-        self.numbers = Numbering(self.keys).number
-        mask = (1 << WORD_BITS) - 1
-        totals = {(i,): c for i, c in enumerate(self.counts.tolist())}
-        grams: list[list[tuple[tuple[int, ...], int]]] = []
-        for order, (codes, counts) in enumerate(ngrams, 2):
-            level = [(tuple(code >> WORD_BITS * i & mask for i in range(order - 1, -1, -1)), n)
-                     for code, n in zip(codes.tolist(), counts.tolist())]
-            grams.append(level)
-            totals.update(level)
-        contexts = {g[:-1] for level in grams for g, _ in level}
-        self.state = {(): 0} | {c: i for i, c in enumerate(sorted(contexts, key=lambda c: (len(c), c)), 1)}
-        kept: dict[tuple[int, ...], float] = {c: 0.0 for c in contexts}
-        for level in grams:
-            for gram, n in level:
-                kept[gram[:-1]] += (n - DISCOUNT) / totals[gram[:-1]]
-        weight = {c: max(1.0 - used, 1e-12) for c, used in kept.items()}
-        self.fail = [0] * len(self.state)
-        self.backoff = [0.0] * len(self.state)
-        for context, number in self.state.items():
-            if context:
-                self.fail[number] = self._after(context[1:])
-                self.backoff[number] = math.log10(weight[context])
-        self.to_root = [0.0] * len(self.state)
-        for number in range(1, len(self.state)):  # shorter contexts come first
-            self.to_root[number] = self.backoff[number] + self.to_root[self.fail[number]]
-        probability: dict[tuple[int, ...], float] = {}
-
-        def chance(gram: tuple[int, ...]) -> float:
-            if gram in probability:
-                return probability[gram]
-            if len(gram) == 1:
-                return 10.0 ** self.unigram_list[gram[0]]
-            return weight.get(gram[:-1], 1.0) * chance(gram[1:])
-
-        self.arcs: dict[int, tuple[int, float]] = {}
-        for level in grams:
-            for gram, n in level:
-                context = gram[:-1]
-                p = (n - DISCOUNT) / totals[context] + weight[context] * chance(gram[1:])
-                probability[gram] = p
-                self.arcs[self.state[context] << WORD_BITS | gram[-1]] = (self._after(gram), math.log10(p))
-        self.root = [self._after((i,)) for i in range(len(self.keys))]
-
-    def _after(self, gram: tuple[int, ...]) -> int:
-        """State of the longest suffix that is one."""
-        while gram not in self.state:
-            gram = gram[1:]
-        return self.state[gram]
-
-    def traverse(self, numbers: list[int]) -> float:
-        """Log10 probability of the tokens, without the unigram terms of rare words."""
-        arcs, fail, backoff, root, unigram = self.arcs, self.fail, self.backoff, self.root, self.unigram_list
-        state, total = 0, 0.0
-        for number in numbers:
-            if number < 0:
-                total += self.to_root[state]
-                state = 0
-                continue
-            while state:
-                if arc := arcs.get(state << WORD_BITS | number):
-                    break
-                total += backoff[state]
-                state = fail[state]
-            if state:
-                state, step = arc
-                total += step
-            else:
-                total += unigram[number]
-                state = root[number]
-        return total
-
-
-def _score(model):
     def run(batches):
-        own = _held(model, Automaton)
+        keys, bigrams, _, trigrams, _ = core.value
+        numbers = _held(core, lambda value: Numbering(value[0])).number
         for batch in batches:
-            counts, known, base, score, rare = [], [], [], [], []
+            words: list[bytes] = []
+            ends = []
             for text in batch.column("_text").cast(pa.binary()).to_pylist():
-                words = tokens(text)
-                numbers = list(map(own.numbers.__getitem__, words))
-                ids = np.array(numbers)
-                frequent = ids[ids >= 0]
-                counts.append(len(words))
-                known.append(len(frequent))
-                base.append(float(own.unigram[frequent].sum()))
-                score.append(own.traverse(numbers))
-                rare.append(list(Counter(w for w, n in zip(words, numbers) if n < 0).items()))
-            ends = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
-            entries = pa.StructArray.from_arrays(
-                [pa.array([_key(w) for r in rare for w, _ in r], pa.int64()),
-                 pa.array([n for r in rare for _, n in r], pa.int32())], ["h", "n"])
+                words += tokens(text)
+                words.append(b"")
+                ends.append(len(words))
+            ends = np.array(ends, np.int64)
+            sizes = np.diff(ends, prepend=0)
+            w = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+            w[ends - 1] = NONE
+            text = np.repeat(np.arange(len(ends)), sizes)
+            pos = np.arange(len(w)) - (ends - sizes)[text]
+            deep = pos >= 2
+            v = np.where(deep, np.roll(w, 1), 0)
+            u = np.where(deep, np.roll(w, 2), 0)
+            numbered = deep & (u >= 0) & (v >= 0)
+            pair = np.where(numbered, u << WORD_BITS | v, -1)
+            hot = numbered & _among(pair, bigrams)
+            known = hot & (w >= 0)
+            triple = np.where(known, pair << WORD_BITS | w, -1)
+            known &= _among(triple, trigrams)
+            direct = ~deep | known | hot & (w == NONE)
+            kind = np.where(direct, _DIRECT, np.where(hot, _ARC, _STATE)).astype(np.int8)
+            train = ~np.asarray(batch.column("held_out").cast(pa.uint8())).astype(bool)
+            row = np.asarray(batch.column("row")) << 1 | train
+            first = np.where(pos == 0, text, -1)
+            use = (w != NONE) | deep  # a text of its end token alone has no bigram
+            ids = batch.column("doc_id").take(pa.array(first[use], mask=first[use] < 0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(counts, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(ends), entries)],
-                ["row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"])
+                [pa.array(kind[use]), pa.array(u[use]), pa.array(v[use]), pa.array(w[use]), pa.array(row[text][use]),
+                 pa.array(pos[use].astype(np.int32)), ids], ["kind", "u", "v", "w", "row", "pos", "doc_id"])
+
+    return run
+
+
+def _groups(batches, names, cuts):
+    """Columns of sorted rows as arrays, never cut inside a group; ``cuts`` has where groups begin."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size < _ROWS:
+            continue
+        table = pa.Table.from_batches(waiting).combine_chunks()
+        begins = np.flatnonzero(cuts(*[np.asarray(table.column(n)) for n in names]))
+        if begins[-1]:
+            yield table.slice(0, begins[-1])
+            table = table.slice(begins[-1])
+        waiting, size = table.to_batches(), 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _changes(*columns) -> np.ndarray:
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
+def _states_and_arcs(core):
+    """Rows sorted by state and arc -> the counts of both.
+
+    n is the arc's count, c the state's, kinds the number of the state's arcs (of a
+    state in the core ~its place). ``arc`` is set once for each bigram (its first
+    word) and for each arc of a state in the core (the state's code, from 2**WORD_BITS).
+    """
+
+    def cuts(kind, u, v, w):
+        return _changes(kind, u, v) | _changes(w) & (kind != _STATE)
+
+    def run(batches):
+        _, bigrams, bigram_counts, trigrams, trigram_counts = core.value
+        for table in _groups(batches, ["kind", "u", "v", "w"], cuts):
+            kind, u, v, w, row, pos = (np.asarray(table.column(n)) for n in ("kind", "u", "v", "w", "row", "pos"))
+            state = _changes(kind, u, v)
+            arc = state | _changes(w)
+            of_state, of_arc = np.cumsum(state) - 1, np.cumsum(arc) - 1
+            first = np.flatnonzero(arc)
+            train = row & 1
+            arcs = np.bincount(of_arc, train).astype(np.int64)
+            real = (arcs > 0) & (w[first] != NONE)
+            n = arcs[of_arc]
+            c = np.bincount(of_state, train).astype(np.int64)[of_state]
+            kinds = np.bincount(of_state[first], real).astype(np.int64)[of_state]
+            given = np.full(len(u), NONE)
+            given[first[real]] = ((u + 1) << WORD_BITS | v)[first[real]]
+            given[kind != _ARC] = NONE
+            begins = state & (kind == _STATE) & (c > 0)
+            given[begins] = u[begins]
+            fixed = np.flatnonzero((kind != _STATE) & (pos >= 2))
+            pair = u[fixed] << WORD_BITS | v[fixed]
+            at, _ = _find(pair, bigrams)
+            if len(fixed):
+                c[fixed], kinds[fixed] = bigram_counts[at], ~at
+            n[kind == _DIRECT] = c[(kind == _DIRECT) & (pos < 2)] = kinds[(kind == _DIRECT) & (pos < 2)] = 0
+            fixed = np.flatnonzero((kind == _DIRECT) & (pos >= 2) & (w >= 0))
+            at, _ = _find((u[fixed] << WORD_BITS | v[fixed]) << WORD_BITS | w[fixed], trigrams)
+            if len(fixed):
+                n[fixed] = trigram_counts[at]
+            yield from pa.table(
+                {"row": table.column("row"), "pos": table.column("pos"), "w": table.column("w"),
+                 "doc_id": table.column("doc_id"), "n": n, "c": c, "kinds": kinds,
+                 "arc": pa.array(given, mask=given == NONE)}).combine_chunks().to_batches()
+
+    return run
+
+
+def _sum(model, order: int):
+    """Rows sorted by text and place -> the figures of each text."""
+
+    def run(batches):
+        counts, word_kinds, state_kinds, share = model.value
+        for table in _groups(batches, ["row"], _changes):
+            row, w, n, c, kinds = (np.asarray(table.column(x)) for x in ("row", "w", "n", "c", "kinds"))
+            wc, wk = (np.asarray(table.column(x).fill_null(0)).copy() for x in ("wc", "wk"))
+            core = w >= 0
+            wc[core], wk[core] = counts[w[core]], word_kinds[w[core]]
+            kinds = kinds.copy()
+            kinds[kinds < 0] = state_kinds[~kinds[kinds < 0]]
+            begins = _changes(row)
+            p = unigram = (wc + 1) / share
+            if order >= 2:
+                pairs = np.append(c[1:], 0)  # the next token's state is this one's bigram
+                p = _interpolated(np.where(begins, 0, np.roll(wc, 1)), np.roll(wk, 1), pairs, p)
+            if order >= 3:
+                p = _interpolated(c, kinds, n, p)
+            word = w != NONE
+            base, score = np.where(word, np.log10(unigram), 0.0), np.where(word, np.log10(p), 0.0)
+            at = np.flatnonzero(begins)
+            yield from pa.table(
+                {"doc_id": table.column("doc_id").take(pa.array(at)), "held_out": pa.array(row[at] & 1 == 0),
+                 "n_tokens": np.add.reduceat(word.astype(np.int64), at),
+                 "n_known": np.add.reduceat((word & (wc > 0)).astype(np.int64), at),
+                 "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(score, at)}
+            ).combine_chunks().to_batches()
 
     return run
 
 
+def _interpolated(total: np.ndarray, kinds: np.ndarray, count: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Probability of an arc, or by the failure arc, from a state; the shorter one's without a state."""
+    seen = np.maximum(total, 1)
+    own = np.where(count > 0, count - DISCOUNT, 0) / seen + DISCOUNT * kinds / seen * shorter
+    return np.where(total > 0, own, shorter)
+
+
 def _arrays(rows: DataFrame, *names: str) -> list[np.ndarray]:
     got = rows.select(*names).toArrow().sort_by(names[0])
     return [np.asarray(got.column(n).combine_chunks()) for n in names]
@@ -266,42 +342,58 @@ def _arrays(rows: DataFrame, *names: str) -> list[np.ndarray]:
 def lm_scores(docs: DataFrame, training: F.Column, text_col: str = "text", id_col: str = "doc_id",
               order: int = ORDER) -> DataFrame:
     """doc_id, held_out (not ``training``), n_tokens, n_known, train_tokens, base_score, score of each row."""
-    spark = docs.sparkSession
-    context = spark.sparkContext
+    if not 1 <= order <= 3:
+        raise ValueError(f"order {order}: n-grams of one to three words are scored")
+    context = docs.sparkSession.sparkContext
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), (~training).alias("held_out"),
                          F.col(text_col).alias("_text"))
-    train = source.filter(~F.col("held_out")).select("_text")
-    words = materialize(train.mapInArrow(_count_words, "h long, n long")
-                        .groupBy("h").agg(F.sum("n").alias("c")), "words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    share = float(total + distinct + 1)
-    keys, counts = _arrays(words.filter(F.col("c") * (1 << WORD_BITS) >= total), "h", "c")
-    unigram = np.log10((counts + 1) / share)
+    texts = source.select("held_out", "_text")
+    words = materialize(texts.mapInArrow(_count_words, "h long, n long, c long")
+                        .groupBy("h").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "words")
+    every, total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0)),
+                                       F.count(F.when(F.col("c") > 0, 1))).first()
+    frequent = F.col("n") * (1 << WORD_BITS) >= every
+    keys, counts, uses = _arrays(words.filter(frequent), "h", "c", "n")
     ngrams: list[tuple[np.ndarray, np.ndarray]] = []
     shipped, shorter = context.broadcast(keys), np.empty(0, np.int64)
-    singles = np.flatnonzero(counts * (1 << NGRAM_BITS) >= total)
-    for n in range(2, order + 1):
-        kept = (train.mapInArrow(_count_ngrams(shipped, context.broadcast((singles, shorter)), n), "code long, n long")
-                .groupBy("code").agg(F.sum("n").alias("n"))
-                .filter(F.col("n") * (1 << NGRAM_BITS) >= total))
-        ngrams.append(tuple(_arrays(kept, "code", "n")))
+    singles = np.flatnonzero(uses * (1 << NGRAM_BITS) >= every)
+    for n in (2, 3):
+        kept = (texts.mapInArrow(_count_ngrams(shipped, context.broadcast((singles, shorter)), n), "code long, n long")
+                .groupBy(F.shiftright("code", 1).alias("code"))
+                .agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("code") % 2)).alias("c"))
+                .filter(F.col("n") * (1 << NGRAM_BITS) >= every))
+        ngrams.append(tuple(_arrays(kept, "code", "c")))
         shorter = ngrams[-1][0]
-    model = context.broadcast((keys, counts, unigram, ngrams))
-    scored = materialize(
-        source.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(
-            _score(model), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double,"
-                           " model double, rare array<struct<h: long, n: int>>"), "scored")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.n")
-    joined = rare.join(words, "h", "left")
-    late = joined.groupBy("row").agg(
-        F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("late_known"),
-        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(share))).alias("late"))
-    later = F.coalesce("late", F.lit(0.0))
-    return (scored.drop("rare").join(late, "row", "left")
-            .select("doc_id", "held_out", "n_tokens",
-                    (F.col("known") + F.coalesce("late_known", F.lit(0))).alias("n_known"),
-                    F.lit(int(total)).cast("long").alias("train_tokens"),
-                    (F.col("base") + later).alias("base_score"), (F.col("model") + later).alias("score")))
+    (bigrams, bigram_counts), (trigrams, trigram_counts) = ngrams
+    core = context.broadcast((keys, bigrams, bigram_counts, trigrams, trigram_counts))
+    own = "row long, pos int, w long, doc_id long"
+    places = source.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(
+        _positions(core), "kind byte, u long, v long, w long, row long, pos int, doc_id long")
+    dealt = F.expr(f"case kind when {_STATE} then xxhash64(u, v) when {_ARC} then xxhash64(u, v, w)"
+                   " else xxhash64(row, pos) end")
+    found = materialize(places.repartition(dealt).sortWithinPartitions("kind", "u", "v", "w").mapInArrow(
+        _states_and_arcs(core), f"{own}, n long, c long, kinds long, arc long"), "arcs")
+
+    kinds = materialize(found.filter("arc is not null").groupBy("arc").agg(F.count(F.lit(1)).alias("wk")), "kinds")
+    word_kinds = np.bincount(bigrams[bigram_counts > 0] >> WORD_BITS, minlength=len(keys)).astype(np.int64)
+    state_kinds = np.zeros(len(bigrams), np.int64)
+    np.add.at(state_kinds, _find(trigrams[trigram_counts > 0] >> WORD_BITS, bigrams)[0], 1)
+    at, more = _arrays(kinds.filter("arc >= 0"), "arc", "wk")  # of the core: bounded as it is
+    of_word = at < 1 << WORD_BITS
+    word_kinds[at[of_word]] += more[of_word]
+    state_kinds[_find(at[~of_word] - (1 << WORD_BITS), bigrams)[0]] += more[~of_word]
+
+    rare = words.filter(~frequent).join(kinds, F.col("h") == F.col("arc"), "left").select(
+        "h", F.col("c").alias("wc"), F.col("wk"))
+    is_rare = (F.col("w") < 0) & (F.col("w") != NONE)
+    fields = [*(x.split()[0] for x in own.split(", ")), "n", "c", "kinds"]
+    plain = found.filter(~is_rare).select(*fields, F.lit(None).cast("long").alias("wc"), F.lit(None).cast("long").alias("wk"))
+    looked_up = found.filter(is_rare).select(*fields).join(rare, F.col("w") == F.col("h"), "left").select(*fields, "wc", "wk")
+    model = context.broadcast((counts, word_kinds, state_kinds, float(total + distinct + 1)))
+    scored = plain.union(looked_up).repartition("row").sortWithinPartitions("row", "pos").mapInArrow(
+        _sum(model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known",
+                         F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def score_digest(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -262,3 +263,19 @@ def test_score_edges(edges, no_docs):
     unseen = lm_scoring.lm_scores(edges, F.lit(False)).collect()
     assert all(r.n_known == 0 and r.score == 0 for r in unseen)
     assert lm_scoring.lm_scores(no_docs, F.lit(True)).count() == 0
+
+
+def test_every_ngram_counts_in_a_large_corpus(spark, monkeypatch):
+    """Over 2**20 tokens: n-grams and words seen once are under every relative threshold."""
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{int(1 / (1 - rnd.random()))}" for _ in range(90_000)) for _ in range(13)]
+    texts += ["w1 w2 unseen w1 w1 w2", texts[0][-3000:], "w1", ""]
+    docs = spark.createDataFrame([(i, t, i < 12) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    got = {r.doc_id: r for r in lm_scoring.lm_scores(docs.repartition(4), F.col("train")).collect()}
+    monkeypatch.setattr(lm_scoring, "WORD_BITS", 60)
+    monkeypatch.setattr(lm_scoring, "NGRAM_BITS", 60)
+    scored = [0, *range(12, len(texts))]
+    for i, want in zip(scored, brute_scores([texts[i] for i in scored], texts[:12])):
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[:3] and r.held_out == (i >= 12)
+        assert r.base_score == pytest.approx(want[3]) and r.score == pytest.approx(want[4])
