@@ -18,6 +18,11 @@ Work is cut so that no task needs the corpus:
 4. A hash with more than ``BUCKET_STRETCHES`` different stretches does not fit one
    task; its windows are spread by their own 128-bit hash and counted exactly.
 
+With ``words``, what is covered by a run of so many words that occurs twice goes too,
+however few bytes it has. Runs are owned by the least hash of the ``GRAM_WORDS`` words
+they contain, as windows are; those whose owner is seen twice are counted by a 64-bit
+hash of their words. White space between words makes no difference.
+
 Texts are told apart by a 64-bit hash, windows of one bucket by their bytes.
 Defined results: null is an empty text; texts shorter than ``length`` keep all
 bytes; repeated rows are copies of each other like any others.
@@ -33,10 +38,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import materialize
+from activity_engine.llm.common import hash_words, materialize, mix64
 
 LENGTH = 400
 GRAM = 256
+#: Words (a power of two) by which a run of words is owned.
+GRAM_WORDS = 32
 #: Window starts handled at once while scanning a text.
 SEGMENT = 1 << 18
 #: Bytes of stretches sorted at once (whole hashes only).
@@ -303,7 +310,7 @@ def text_key(text: Column) -> Column:
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   bucket_stretches: int = BUCKET_STRETCHES) -> DataFrame:
+                   bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None) -> DataFrame:
     """(t, spans): byte spans to remove from each text that has any, by the text's key."""
     texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
     long_texts = texts.filter(F.octet_length("_text") >= length)
@@ -340,9 +347,91 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     plain = whole(seen.filter("not mixed"))
     shared = whole(mixed.join(kinds.filter("n > 1").select("h", "c"), ["h", "c"]))
     every = plain.union(shared).union(sorted_spans).union(spread_spans)
+    if words:
+        every = every.union(repeated_runs(docs, words, text_col))
     return every.groupBy("t").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
+def _run_hashes(text: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the GRAM_WORDS words, and of the ``words`` words, at each word of a text."""
+    hashes, size = hash_words(text.split()), 1
+    while size < GRAM_WORDS:
+        hashes = mix64(hashes[:-size] * np.uint64(_MIX) + hashes[size:])
+        size *= 2
+    rest = words - GRAM_WORDS
+    return hashes, mix64(hashes[:len(hashes) - rest] * np.uint64(_MIX) + hashes[rest:])
+
+
+def _word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``bytes.split`` begin and end."""
+    data = np.frombuffer(text, np.uint8)
+    inside = np.concatenate([[False], (data != 32) & ((data < 9) | (data > 13)), [False]]).astype(np.int8)
+    edges = np.diff(inside)
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
+def _scan_words(words: int):
+    """Texts -> runs of ``words`` words with one owner: its hash, first run and their number."""
+
+    def run(batches):
+        for batch in batches:
+            out = [[], [], [], []]
+            for text, key in zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("t").to_pylist()):
+                if len(text) < 2 * words - 1 or len(text.split()) < words:
+                    continue
+                hashes, _ = _run_hashes(text, words)
+                place = np.arange(len(hashes), dtype=np.uint64)
+                least = _sliding_min((hashes & ~_LOW) | (_LOW - place), words - GRAM_WORDS + 1)
+                owner = (_LOW - (least & _LOW)).astype(np.int64)
+                first = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
+                out[0].append(hashes[owner[first]].view(np.int64))
+                out[1].append(np.full(len(first), key))
+                out[2].append(first)
+                out[3].append(np.diff(np.append(first, len(owner))))
+            arrays = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in out]
+            yield pa.RecordBatch.from_arrays(arrays, ["h", "t", "first", "size"])
+
+    return run
+
+
+def _wanted_runs(words: int):
+    """Texts and their wanted runs -> one row a run: its hash, text, bytes and copies."""
+
+    def run(batches):
+        for batch in batches:
+            out = [[], [], [], [], []]
+            for text, key, wanted in zip(batch.column("_text").cast(pa.binary()).to_pylist(),
+                                         batch.column("t").to_pylist(), batch.column("wanted").to_pylist()):
+                _, hashes = _run_hashes(text, words)
+                begins, ends = _word_bounds(text)
+                at = np.concatenate([np.arange(w["first"], w["first"] + w["size"]) for w in wanted])
+                out[0].append(hashes[at].view(np.int64))
+                out[1].append(np.full(len(at), key))
+                out[2].append(begins[at])
+                out[3].append(ends[at + words - 1])
+                out[4].append(np.repeat([w["copies"] for w in wanted], [w["size"] for w in wanted]))
+            arrays = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in out]
+            yield pa.RecordBatch.from_arrays(arrays, ["run", "t", "lo", "hi", "copies"])
+
+    return run
+
+
+def repeated_runs(docs: DataFrame, words: int, text_col: str = "text") -> DataFrame:
+    """(t, lo, hi): the bytes of each run of ``words`` words that occurs twice."""
+    if not GRAM_WORDS <= words <= 2 * GRAM_WORDS:
+        raise ValueError(f"runs have {GRAM_WORDS} to {2 * GRAM_WORDS} words, not {words}")
+    texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
+    long_texts = texts.filter(F.octet_length("_text") >= 2 * words - 1)
+    owned = long_texts.mapInArrow(_scan_words(words), "h long, t long, first long, size long")
+    hashes = materialize(owned.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "run-hashes")
+    seen = owned.join(hashes, "h").groupBy("t", "first", "size").agg(F.count(F.lit(1)).alias("copies"))
+    per_text = seen.groupBy("t").agg(F.collect_list(F.struct("first", "size", "copies")).alias("wanted"))
+    runs = materialize(long_texts.dropDuplicates(["t"]).join(per_text, "t").mapInArrow(
+        _wanted_runs(words), "run long, t long, lo long, hi long, copies long"), "runs")
+    twice = materialize(runs.groupBy("run").agg(F.sum("copies").alias("n")).filter("n > 1").select("run"), "run-twice")
+    return runs.join(twice, "run").select("t", "lo", "hi")
+
+
 def removal(text: Column, spans: Column) -> Column:
     """Struct of the figures of removing ``spans`` from ``text``, and the text that is left.
 
@@ -374,9 +463,9 @@ def removal(text: Column, spans: Column) -> Column:
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   bucket_stretches: int = BUCKET_STRETCHES) -> DataFrame:
+                   bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None) -> DataFrame:
     """``docs`` with a struct column ``_removal`` (see ``removal``)."""
-    spans = repeated_spans(docs, text_col, length, gram, bucket_stretches).select(
+    spans = repeated_spans(docs, text_col, length, gram, bucket_stretches, words).select(
         F.col("t").alias("_t"), F.col("spans").alias("_spans"))
     joined = docs.withColumn("_key", text_key(F.col(text_col))).join(spans, F.col("_key") == F.col("_t"), "left")
     return joined.withColumn("_removal", removal(F.col(text_col), F.col("_spans"))).drop("_key", "_t", "_spans")

@@ -19,6 +19,9 @@ from activity_engine.llm import bpe, jaccard_join, suffix_dedup, toxicity, winno
 from activity_engine.llm.common import configure, crc_mod
 from activity_engine.session import scratch_path
 
+#: Words of the least passage that may not repeat across documents, however few bytes it has.
+PASSAGE_WORDS = 51
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents scored 0.5 or more go."""
@@ -35,10 +38,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: bytes covered by a repeated 400-byte string go."""
+    """Operator 6: bytes covered by a repeated 400-byte string, or by over 50 repeated words, go."""
     configure(spark)
     left = F.when(F.col("text").isNotNull(), F.col("_removal.kept_text"))
-    cut = suffix_dedup.remove_repeats(docs).withColumn("text", left)
+    cut = suffix_dedup.remove_repeats(docs, words=PASSAGE_WORDS).withColumn("text", left)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

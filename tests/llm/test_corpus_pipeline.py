@@ -68,3 +68,22 @@ def test_run(spark, folder):
     got = corpus_pipeline.run(spark, folder)
     ids = {r.doc_id for r in got.collect()}
     assert 400 not in ids and not ids & {401, *range(500, 540), *range(200, 210)} and {300, 301, 302} <= ids
+
+
+def test_short_worded_passages_are_cut(spark):
+    """Passages of 51 to 60 words in otherwise different documents have under 400 bytes; 50 words stay."""
+    rows, want = [], {}
+    for k, count in enumerate([50, 51, 53, 60]):
+        passage = [w[1:] for w in prose(800 + k, count).split()]
+        for side in range(2):
+            before, after = prose(10 + 2 * k + side, 40) + f" é{side}", prose(50 + 2 * k + side, 40)
+            gap = "\n" if side else " "
+            rows.append((2 * k + side, f"{before} {gap.join(passage)} x{side} {after}"))
+            want[2 * k + side] = rows[-1][1] if count == 50 else f"{before}  x{side} {after}"
+            assert len(" ".join(passage)) < 300
+    rows += [(90, None), (91, ""), (92, "a b " * 10), (93, "a b " * 10)]
+    want |= {90: None, 91: "", 92: "a b " * 10, 93: "a b " * 10}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    cut = corpus_pipeline.cut_repeats(spark, docs, "")
+    assert cut.columns == docs.columns and {r.doc_id: r.text for r in cut.collect()} == want
