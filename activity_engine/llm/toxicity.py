@@ -3,9 +3,11 @@
 Writers hide words by look-alike characters (1d10t), by spacing letters out
 (i d i o t, i.d.i.o.t) and by repeating them (idiooot). Every token that may hide
 one becomes a lattice: each character offers what it may stand for, a repeated
-letter may go, a gap between single letters may go or stay. Viterbi decoding under
-a character trigram model finds the likeliest reading; the restored words are what
-is scored. Plain tokens have one reading and skip the lattice.
+letter may go, a gap between single letters may go or stay, a look-alike at an end of
+a token is a letter or decoration. Viterbi decoding under a character trigram model
+finds the likeliest reading; the restored words are what is scored. A token of letters
+keeps its own reading beside the restored one. Tokens without look-alikes, doubled
+letters and gaps have one reading and skip the lattice.
 
 The character model counts all texts, by tasks that each hand on one table of
 fixed size. The classifier is a logistic regression on the presence of at most
@@ -19,6 +21,7 @@ words; without labels of both classes every score is 0.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -39,16 +42,16 @@ LOOKALIKES = {
 }
 #: Log10 costs of the channel: a look-alike read as itself, a gap kept.
 _LITERAL, _KEPT_GAP = -2.0, -0.5
+#: That of dropping a look-alike at an end; a closing ! and longer runs are decoration.
+_DROPPED, _DECORATION = -2.0, 3
 _SIZE = 32
 _EDGE, _LETTER, _DIGIT, _MARK = 0, 27, 28, 29
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)(\S)\1*+(?:\s++(\S)\2*+(?!\S)){2,}")
 _DOTTED = re.compile(r"\w(?:[.\-_*~]\w){2,}")
-_REPEATED = re.compile(r"([^\W\d_])\1\1")
+_REPEATED = re.compile(r"([^\W\d_])\1")
 _HIDDEN = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _OUTER = ".,;:!?\"'()[]{}<>*#%&|/\\-_~`^=+"
 _STRIP = _OUTER + "$@"
-#: One or two of these after a letter may end a word; a longer run is decoration.
-_LETTER_LIKE_END = re.compile(r"[^\W_][$@]{1,2}$")
 
 
 def _symbols() -> np.ndarray:
@@ -97,11 +100,26 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return np.log10(lower)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Per character, what it may stand for and the channel's log10 cost."""
+def _drop_costs(end: str, closing: bool) -> list[float]:
     out = []
+    for char, run in itertools.groupby(end):
+        size = len(list(run))
+        out += [0.0 if closing and char == "!" or size >= _DECORATION else _DROPPED] * size
+    return out
+
+
+def lattice(token: str, lead: int = 0, trail: int = 0) -> list[list[tuple[str, float]]]:
+    """Per character, what it may stand for and the channel's log10 cost.
+
+    The first ``lead`` and the last ``trail`` characters are look-alikes that may go.
+    """
+    out = []
+    inner = len(token) - lead - trail
+    drop = _drop_costs(token[:lead], False) + [0.0] * inner + _drop_costs(token[lead + inner:], True)
     for i, char in enumerate(token):
-        if char == " " or char in ".-_*~" and 0 < i < len(token) - 1:
+        if not lead <= i < lead + inner:
+            out.append([("", drop[i])] + [(c, 0.0) for c in LOOKALIKES[char]])
+        elif char == " " or char in ".-_*~" and 0 < i < len(token) - 1:
             out.append([("", 0.0), (char, _KEPT_GAP)])
         elif char in LOOKALIKES:
             out.append([(c, 0.0) for c in LOOKALIKES[char]] + [(char, _LITERAL)])
@@ -112,10 +130,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(token: str, model: np.ndarray) -> str:
+def decode(token: str, model: np.ndarray, lead: int = 0, trail: int = 0) -> str:
     """Likeliest reading of the lattice of ``token``."""
     states = {(_EDGE, _EDGE): (0.0, None)}
-    for column in lattice(token):
+    for column in lattice(token, lead, trail):
         reached: dict = {}
         for (a, b), (score, path) in states.items():
             for reading, cost in column:
@@ -143,20 +161,22 @@ class Restorer:
         self.table = _Table(model.tolist())
         self.word = Cache(self._word)
 
-    def _word(self, token: str) -> str:
+    def _word(self, token: str) -> tuple[str, ...]:
         plain = token.strip(_STRIP)
-        outer = token.strip(_OUTER)
-        core = outer if _LETTER_LIKE_END.search(outer) else plain
-        if any(c.isalpha() for c in core) and (
-                _HIDDEN.search(core) or _REPEATED.search(core) or _DOTTED.fullmatch(core)):
-            return decode(core, self.table).strip(_STRIP)
-        return plain
+        if not any(c.isalpha() for c in plain):
+            return (plain,)
+        at = token.index(plain)
+        lead, trail = ("".join(c for c in end if c in LOOKALIKES) for end in (token[:at], token[at + len(plain):]))
+        if not (lead or trail or _HIDDEN.search(plain) or _REPEATED.search(plain) or _DOTTED.fullmatch(plain)):
+            return (plain,)
+        restored = decode(lead + plain + trail, self.table, len(lead), len(trail)).strip(_STRIP)
+        return (plain, restored) if plain.isalpha() else (restored,)
 
     def words(self, text: str | None) -> set[str]:
         text = (text or "").lower()
-        found = set(map(self.word.__getitem__, set(text.split())))
+        found = set().union(*map(self.word.__getitem__, set(text.split())))
         for run in _SPACED.finditer(text):
-            found.update(decode(run.group(), self.table).split())
+            found.update(decode(" ".join(run.group().split()), self.table).split())
         return found
 
 

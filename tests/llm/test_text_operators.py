@@ -193,6 +193,15 @@ def test_restores(model, hidden, word):
     assert word in toxicity.Restorer(model).words(f"and {hidden} and")
 
 
+@pytest.mark.parametrize("hidden, word", [
+    ("!diot", "idiot"), ("|d10t!", "idiot"), ("!!!idiot!!!", "idiot"), ("idio+", "idiot"), ("(+he)", "the"),
+    ("@nd", "and"), ("worthle$$!", "worthless"), ("iddiioott", "idiot"), ("moronn", "moron"), ("worthless", "worthless"),
+    ("i  d i o t", "idiot"), ("i\td\ni  o\tt", "idiot"), ("i dd i oo t", "idiot"), ("ii d i o tt", "idiot"),
+    ("clown!", "clown"), ("clown|", "clown"), ("hello", "hello"), ("$$$clown$$$", "clown")])
+def test_restores_outer_doubled_and_spaced(model, hidden, word):
+    assert word in toxicity.Restorer(model).words(f"and {hidden} and")
+
+
 def test_model_is_a_distribution(model):
     assert np.allclose((10.0 ** model).sum(axis=-1), 1)
 
