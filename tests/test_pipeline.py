@@ -216,3 +216,20 @@ def test_daily_counts_repair_after_lost_step(spark, tmp_path):
     kept = {tuple(r) for r in w.read("agent_daily_counts").select(*cols).collect()}
     full = {tuple(r) for r in daily_counts(w.read("fact_outreach_activity")).select(*cols).collect()}
     assert kept == full == {(1, 20260803, 5, 1)}
+
+
+def test_invalid_values_are_written_by_many_tasks(spark, tmp_path):
+    w = wh(spark, tmp_path)
+    batch = acts((f"E{i}", "AGT-001", "LEAD-0001", "2026-08-19 10:00:00", f"TYPE-{i}") for i in range(5000))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # few rows here: they stay as dealt
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        for _ in range(2):  # the first write and one that replaces it
+            pl.run_pipeline(w, from_records(spark, [AGENT], [CAMPAIGN], [LEAD], batch), "many-types", str(tmp_path / "dlq"),
+                            now="2026-08-19 14:00:00")
+            ledger = w.read("dq_invalid_values").where("value is not null")
+            assert ledger.count() == 5000 == ledger.select("value").distinct().count()
+            assert ledger.select(F.input_file_name()).distinct().count() > 1
+    finally:
+        spark.conf.set(key, before)
