@@ -55,6 +55,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(columns: list[str], base: str) -> str:
+    """``base``, lengthened until no column has that name (in any case)."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the value's text modulo ``n`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

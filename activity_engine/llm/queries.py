@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from activity_engine.llm import (
-    bpe, jaccard_join, language_id, lm_scoring, quality_rules, suffix_dedup, token_orc, toxicity, url_filter, winnowing)
+    bpe, embedding_whitening, jaccard_join, language_id, lm_scoring, merkle_manifest, pii, quality_rules, suffix_dedup,
+    token_orc, toxicity, url_filter, winnowing)
 from activity_engine.llm.common import configure, crc_mod
 from activity_engine.session import scratch_path
 
@@ -62,6 +63,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_bpe(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: figures and spans of the fixed forms, and the terms that disclose them."""
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a tampered leaf folds to."""
+    return merkle_manifest.manifest_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector, from exact cross-products of the distinct ones."""
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _configured(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -73,4 +89,5 @@ def _configured(query):
 
 QUERIES = {q.__name__: _configured(q) for q in (
     op1_url_filter, op2_language_id, op3_quality_rules, op4_toxicity, op5_token_orc,
-    op6_suffix_dedup, op7_jaccard_join, op8_lm_scoring, op9_winnowing, op10_bpe)}
+    op6_suffix_dedup, op7_jaccard_join, op8_lm_scoring, op9_winnowing, op10_bpe,
+    op11_pii, op12_merkle_manifest, op13_embedding_whitening)}
