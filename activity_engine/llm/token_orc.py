@@ -127,10 +127,15 @@ def token_ids(text: Column, vocabulary: str) -> Column:
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, text_col: str = "text",
                  id_col: str = "doc_id") -> None:
-    """Write doc_id and ids in ascending doc_id order; one ascending id range a file."""
+    """Write doc_id and ids in ascending doc_id order; one ascending id range a file.
+
+    Each row has its place in its file (``at``) and its ids' number beside them, so that
+    offsets need neither an order of equal ids nor the ids.
+    """
     (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
      .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-     .select("doc_id", token_ids(F.col("_text"), vocabulary).alias("ids"))
+     .select("doc_id", F.monotonically_increasing_id().alias("at"), token_ids(F.col("_text"), vocabulary).alias("ids"))
+     .select("doc_id", "at", F.size("ids").alias("n_tokens"), "ids")
      .write.format("orc").option("compression", "zstd")
      .option("orc.row.index.stride", ROW_INDEX_STRIDE)
      .option("orc.stripe.size", STRIPE_BYTES)
@@ -162,15 +167,14 @@ def ids_crc32(ids: Column) -> Column:
 
 def read_digest(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
-    rows = read_tokens(spark, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        ids_crc32(F.col("ids")).alias("ids_crc32"), F.col("_metadata.file_name").alias("_file"))
-    sizes = read_tokens(spark, path).select(
-        F.size("ids").alias("_n"), F.col("_metadata.file_name").alias("_file"))
-    files = sizes.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    stored = spark.read.schema("doc_id long, at long, n_tokens int, ids array<int>").orc(path)
+    rows = stored.select("doc_id", "at", F.col("n_tokens").cast("long").alias("n_tokens"),
+                         ids_crc32(F.col("ids")).alias("ids_crc32"), F.col("_metadata.file_name").alias("_file"))
+    sizes = stored.select("n_tokens", F.col("_metadata.file_name").alias("_file"))
+    files = sizes.groupBy("_file").agg(F.sum("n_tokens").alias("_n"))
     before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
     files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = W.partitionBy("_file").orderBy("doc_id", "ids_crc32").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_file").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
     return (rows.withColumn("_inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .join(files, "_file")
             .select("doc_id", (F.col("_before") + F.col("_inside")).alias("start"), "n_tokens", "ids_crc32"))
