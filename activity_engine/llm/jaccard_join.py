@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import gram_hashes, hash_words, materialize, mix64
+from activity_engine.llm.common import fresh_name, gram_hashes, hash_words, materialize, mix64
 from activity_engine.llm.components import components
 
 SHINGLE = 5
@@ -220,15 +220,19 @@ def jaccard_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each class: the least id (of equal ids, one row); wordless rows stay."""
+    """``docs`` with one row of each class: the least id (of equal ids, one row); wordless rows stay.
+
+    All columns of ``docs`` are kept, whatever their names.
+    """
+    head = fresh_name(docs.columns, "_head")
     groups = materialize(jaccard_groups(docs, text_col, id_col, **options), "groups")
     heads = (groups.filter("n > 0").groupBy("label")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("head"))
-             .select(F.col("label").alias("_label"), F.col("head.doc_id").alias("_id"), F.col("head.t").alias("_t")))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = (keyed.join(heads, (F.col("_key") == F.col("_t")) & F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
-            .dropDuplicates(["_label"]).select(docs.columns))
-    wordless = keyed.filter(~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")).select(docs.columns)
+             .select(F.struct("label", "head.doc_id", "head.t").alias(head)))
+    same_text = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(head)["t"]
+    kept = (docs.join(heads, same_text & F.col(id_col).cast("long").eqNullSafe(F.col(head)["doc_id"]))
+            .dropDuplicates([head]).drop(head))
+    wordless = docs.filter(~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]"))
     return kept.union(wordless)
 
 

@@ -13,7 +13,7 @@ Text features are computed once and kept in a table; calibration sees one narrow
 row a labelled document, counted in a histogram of fixed size per stratum.
 
 Defined results: null and empty texts have no words and fail the base rule; a null
-lang is a stratum of its own; without labels no rule is on; of several labels of
+and an empty lang share one stratum; without labels no rule is on; of several labels of
 one document a good one counts.
 """
 

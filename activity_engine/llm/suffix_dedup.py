@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import hash_words, materialize, mix64
+from activity_engine.llm.common import fresh_name, hash_words, materialize, mix64
 
 LENGTH = 400
 GRAM = 256
@@ -463,12 +463,14 @@ def removal(text: Column, spans: Column) -> Column:
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None) -> DataFrame:
-    """``docs`` with a struct column ``_removal`` (see ``removal``)."""
+                   bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None,
+                   out: str = "_removal") -> DataFrame:
+    """``docs`` with a struct column ``out`` (see ``removal``), in place of one of that name."""
+    found = fresh_name([*docs.columns, out], "_found")
     spans = repeated_spans(docs, text_col, length, gram, bucket_stretches, words).select(
-        F.col("t").alias("_t"), F.col("spans").alias("_spans"))
-    joined = docs.withColumn("_key", text_key(F.col(text_col))).join(spans, F.col("_key") == F.col("_t"), "left")
-    return joined.withColumn("_removal", removal(F.col(text_col), F.col("_spans"))).drop("_key", "_t", "_spans")
+        F.struct("t", "spans").alias(found))
+    joined = docs.join(spans, text_key(F.col(text_col)) == F.col(found)["t"], "left")
+    return joined.withColumn(out, removal(F.col(text_col), F.col(found)["spans"])).drop(found)
 
 
 def dedup_digest(docs: DataFrame, **options) -> DataFrame:

@@ -283,11 +283,12 @@ def toxicity_score(text: Column, model: np.ndarray, lexicon: list[str], weights:
     return score(text)
 
 
-def with_toxicity(docs: DataFrame, labels: DataFrame, training: Column, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_toxicity``: the score of each row, learned from its ``training`` rows."""
+def with_toxicity(docs: DataFrame, labels: DataFrame, training: Column, text_col: str = "text",
+                  out: str = "_toxicity") -> DataFrame:
+    """``docs`` with ``out`` (in place of a column of that name): each row's score, learned from ``training`` rows."""
     model = character_model(character_counts(docs, text_col))
     lexicon, weights = train(docs.filter(training), labels, model, text_col)
-    return docs.withColumn("_toxicity", toxicity_score(F.col(text_col), model, lexicon, weights))
+    return docs.withColumn(out, toxicity_score(F.col(text_col), model, lexicon, weights))
 
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:

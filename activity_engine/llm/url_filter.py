@@ -118,7 +118,7 @@ def choose_cutoff(scored: DataFrame) -> int:
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url_col: str = "url",
                order: int = ORDER) -> DataFrame:
-    """``pages`` with columns host, path, rule and verdict."""
+    """``pages`` with columns host, path, rule and verdict, in place of columns of these names."""
     named = with_host_path(pages, url_col).withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
     texts = materialize(
         named.groupBy(F.concat("host", "path").alias("text")).agg(F.first("_rule.verdict").alias("verdict"))

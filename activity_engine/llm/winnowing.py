@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import gram_hashes, hash_words, materialize
+from activity_engine.llm.common import fresh_name, gram_hashes, hash_words, materialize
 
 SPAN = 10
 GRAM = 5
@@ -209,11 +209,12 @@ def covered_words(spans) -> F.Column:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text shares no window with an item."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    found = find_contamination(keyed, items, text_col, "_key")
-    hit = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return keyed.join(hit, F.col("_key") == F.col("_hit"), "left_anti").drop("_key")
+    """Rows of ``docs`` whose text shares no window with an item, with all columns, whatever their names."""
+    key, hit = fresh_name(docs.columns, "_key"), fresh_name(docs.columns, "_hit")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    found = find_contamination(keyed, items, text_col, key)
+    hits = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias(hit)).distinct()
+    return keyed.join(hits, F.col(key) == F.col(hit), "left_anti").drop(key)
 
 
 def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:

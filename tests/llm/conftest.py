@@ -23,12 +23,18 @@ EDGES = [
 ]
 
 
+#: Names that operators have used for columns of their own.
+CLASHES = ("_key", "_label", "_t", "_hit", "_toxicity", "_removal", "rule", "verdict", "_id", "_doc", "_head", "_found",
+           "_change", "key", "spans", "leaf", "root", "path", "i", "n", "_row", "_text")
+
+
 @pytest.fixture()
 def edges(spark):
     """Edge rows with columns whose names the operators use themselves."""
-    rows = [(i, t, "en", "s", len(t or ""), "mine", 1, -1) for i, t in EDGES]
+    rows = [(i, t, "en", "s", len(t or ""), "mine", 1, -1, *CLASHES) for i, t in EDGES]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, n_chars long, row string, t int, k int")
+        rows, "doc_id long, text string, lang string, source string, n_chars long, row string, t int, k int, "
+              + ", ".join(f"{c} string" for c in CLASHES))
 
 
 @pytest.fixture()

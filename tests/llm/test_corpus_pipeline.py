@@ -64,6 +64,17 @@ def test_stages(spark, folder):
     assert "ids_sha256" in last.columns and last.count() == len(rows)
 
 
+def test_stages_keep_clashing_columns(spark, folder, edges):
+    """Each filtering stage returns the values of columns that are called what it calls its own."""
+    docs = edges.withColumn("text", F.when(F.col("doc_id") == 8, "short").otherwise(F.col("text")))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, folder)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert rows and all(r["_key"] == "_key" and r["_label"] == "_label" and r["_removal"] == "_removal"
+                            and r["_toxicity"] == "_toxicity" and r["_head"] == "_head" for r in rows)
+
+
 def test_run(spark, folder):
     got = corpus_pipeline.run(spark, folder)
     ids = {r.doc_id for r in got.collect()}

@@ -89,6 +89,14 @@ def test_orc_files(spark, edges, no_docs, tmp_path):
     assert sorted(r.doc_id for r in found.collect()) == [6, 11]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(doc_id" in plan
+    again = [(7, "one two three four five six"), (7, "one"), (7, "one two three"), (3, "a"), (3, "a"), (9, None)]
+    token_orc.write_tokens(spark.createDataFrame(again, "doc_id long, text string"), str(tmp_path / "c"), WORDS)
+    stored = token_orc.read_tokens(spark, str(tmp_path / "c")).select("doc_id", "ids", "_metadata.file_name").collect()
+    start, want = 0, []
+    for r in sorted(stored, key=lambda r: r.file_name):          # rows of one file come in its order
+        want.append((r.doc_id, start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())))
+        start += len(r.ids)
+    assert rows_of(token_orc.read_digest(spark, str(tmp_path / "c")), "doc_id", "start", "n_tokens", "ids_crc32") == sorted(want, key=str)
     token_orc.write_tokens(no_docs, str(tmp_path / "b"), WORDS)
     assert token_orc.read_digest(spark, str(tmp_path / "b")).count() == 0
 
