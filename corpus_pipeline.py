@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_engine.llm import bpe, jaccard_join, suffix_dedup, toxicity, winnowing
-from activity_engine.llm.common import configure, crc_mod
+from activity_engine.llm.common import configure, crc_mod, fresh_name
 from activity_engine.session import scratch_path
 
 #: Words of the least passage that may not repeat across documents, however few bytes it has.
@@ -27,8 +27,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents scored 0.5 or more go."""
     configure(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.with_toxicity(docs, labels, crc_mod("doc_id", 5) != 0)
-    return scored.filter(F.col("_toxicity") < 0.5).select(docs.columns)
+    score = fresh_name(docs.columns, "_toxicity")
+    scored = toxicity.with_toxicity(docs, labels, crc_mod("doc_id", 5) != 0, out=score)
+    return scored.filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +41,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: bytes covered by a repeated 400-byte string, or by over 50 repeated words, go."""
     configure(spark)
-    left = F.when(F.col("text").isNotNull(), F.col("_removal.kept_text"))
-    cut = suffix_dedup.remove_repeats(docs, words=PASSAGE_WORDS).withColumn("text", left)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    removal = fresh_name(docs.columns, "_removal")
+    left = F.when(F.col("text").isNotNull(), F.col(removal)["kept_text"])
+    cut = suffix_dedup.remove_repeats(docs, words=PASSAGE_WORDS, out=removal).withColumn("text", left)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).drop(removal)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
