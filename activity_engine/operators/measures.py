@@ -1,15 +1,19 @@
 """The BI measure library (M1-M22) as DataFrame aggregates over the star.
 
-A measure is evaluated for a slice: ``by`` lists dimension attributes to
-group on (and ``rollup=True`` adds every subtotal level). The fact is first
-reduced on its own foreign keys, which is exact for additive counts and
-shrinks the joins from one row per event to one row per key combination;
+A measure is evaluated in a filter context: ``by`` lists attributes of any
+dimensions to group on (``rollup=True`` adds every subtotal level, told apart
+from null members by ``grouping_id``), and ``filtered`` narrows the model first.
+The fact is reduced on its own foreign keys, which is exact for additive counts
+and shrinks the joins from one row per event to one row per key combination;
 only the dimensions that ``by`` needs are joined (left, so unmatched facts
 stay in a null member, as a BI model shows them).
 
-Denominators that the source model takes from dimension tables (ceilings,
-budgets, distinct calendar days) come from the dimensions filtered only by
-their own attributes, never by the fact.
+Figures that the source model takes from dimension tables (agents, ceilings,
+budgets, distinct calendar days) follow its single-direction relationships: each
+comes from its own dimension, under those columns of ``by`` that belong to it, for
+every member and subtotal, and never from the fact. A slice by columns of one
+dimension has all its members; one by columns of several has the combinations that
+occur in the fact, and every subtotal of them.
 """
 
 from __future__ import annotations
@@ -42,138 +46,175 @@ def _owner(dims: dict[str, DataFrame], col: str) -> str:
     raise KeyError(f"no dimension has column {col!r}")
 
 
-def _group(df: DataFrame, by: list[str], rollup: bool):
-    if not by:
-        return df.groupBy()
-    return df.rollup(*by) if rollup else df.groupBy(*by)
+def filtered(fact: DataFrame, dims: dict[str, DataFrame], where: dict[str, Column] | None = None,
+             date_range: tuple[int, int] | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The model under a filter: conditions on dimensions, and an inclusive range of day keys.
 
-
-def sliced_counts(fact: DataFrame, dims: dict[str, DataFrame], by: list[str],
-                  counts: dict[str, Column], rollup: bool = False) -> DataFrame:
-    """Additive counts of the fact, grouped by dimension attributes."""
-    owners = sorted({_owner(dims, c) for c in by})
-    keys = [FK[o] for o in owners]
-    pre = fact.groupBy(*keys).agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
-    for o in owners:
-        cols = [c for c in by if c in dims[o].columns]
-        pre = pre.join(dims[o].select(FK[o], *cols), FK[o], "left")
-    return _group(pre, by, rollup).agg(*[F.sum(n).cast("long").alias(n) for n in counts])
-
-
-def _with_counts(base: DataFrame, counts: DataFrame, by: list[str]) -> DataFrame:
-    """Dimension figures and fact counts of the same slice.
-
-    Null members match each other, and a slice that only one side has stays, so
-    slices always add up to the total.
+    A filtered dimension keeps its members that pass and, of the facts related to it,
+    only those of these members: facts of unknown members go, as in a BI model. The
+    day range reaches the scan of a fact partitioned by day.
     """
-    if not by:
-        return base.unionByName(counts, allowMissingColumns=True) \
-            .agg(*[F.max(c).alias(c) for c in base.columns + counts.columns])
-    right = counts.select(*[F.col(c).alias(f"_r_{c}") if c in by else F.col(c) for c in counts.columns])
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    joined = base.withColumn("_left", F.lit(1)).join(right, same, "full_outer")
-    return joined.select(
-        *[F.when(F.col("_left") == 1, F.col(c)).otherwise(F.col(f"_r_{c}")).alias(c) for c in by],
-        *[c for c in base.columns + counts.columns if c not in by])
+    where = dict(where or {})
+    if date_range is not None:
+        inside = F.col("date_key").between(*date_range)
+        where["date"] = where["date"] & inside if "date" in where else inside
+        if "date_key" in fact.columns:
+            fact = fact.where(inside)
+    dims = {n: d.where(where[n]) if n in where else d for n, d in dims.items()}
+    for n in where:
+        if FK[n] in fact.columns:
+            fact = fact.join(dims[n].select(FK[n]), FK[n], "left_semi")
+    return fact, dims
+
+
+class _Slices:
+    """The rows of one evaluation: sums of the fact by ``by``, to which dimensions add their figures."""
+
+    LEVEL, PREFIX = "grouping_id", "_kept"
+
+    def __init__(self, fact: DataFrame, dims: dict[str, DataFrame], by: list[str], partial: dict[str, Column],
+                 rollup: bool = False):
+        self.dims, self.by, self.rollup = dims, list(by), rollup
+        self.owners = {c: _owner(dims, c) for c in self.by}
+        owners = sorted(set(self.owners.values()))
+        missing = [o for o in owners if FK[o] not in fact.columns]
+        if missing:
+            raise ValueError(f"the fact is not related to {', '.join(missing)}")
+        pre = fact.groupBy(*[FK[o] for o in owners]).agg(*[c.alias(n) for n, c in partial.items()])
+        for o in owners:
+            pre = pre.join(dims[o].select(FK[o], *self.columns_of(o)), FK[o], "left")
+        self.rows = self._grouped(pre, self.by, [F.sum(n).alias(n) for n in partial])
+        self.whole: dict[str, Column] = {}
+
+    def columns_of(self, owner: str) -> list[str]:
+        return [c for c in self.by if self.owners[c] == owner]
+
+    def _grouped(self, df: DataFrame, cols: list[str], aggs: list[Column]) -> DataFrame:
+        """``df`` by ``cols`` and their subtotals; grouping_id has a bit for each column summed over."""
+        if self.rollup and cols:
+            return df.rollup(*cols).agg(*aggs, F.grouping_id().alias(self.LEVEL))
+        return df.groupBy(*cols).agg(*aggs, F.lit(0).cast("long").alias(self.LEVEL))
+
+    def _kept_of(self, cols: list[str]) -> Column:
+        """How many of ``cols`` a row's level keeps (a level keeps the first columns of ``by``)."""
+        depth = len(self.by) - F.bit_count(self.LEVEL)
+        counts = [sum(c in cols for c in self.by[:j]) for j in range(len(self.by) + 1)]
+        return F.element_at(F.array(*map(F.lit, counts)), depth + 1)
+
+    def add(self, owner: str, figures: dict[str, Column]) -> "_Slices":
+        """Join figures of a dimension, aggregated under its own columns of ``by`` at each level."""
+        cols, aggs = self.columns_of(owner), [c.alias(n) for n, c in figures.items()]
+        if not cols:
+            whole = self.dims[owner].agg(*aggs)
+            self.whole |= {n: whole.select(n).scalar() for n in figures}
+            return self
+        part = self._grouped(self.dims[owner], cols, aggs)
+        if self.rollup:
+            part = part.withColumn(self.PREFIX, len(cols) - F.bit_count(self.LEVEL)).drop(self.LEVEL)
+        else:
+            part = part.withColumn(self.PREFIX, F.lit(len(cols))).drop(self.LEVEL)
+        renamed = part.select(*[F.col(c).alias(f"_m_{c}") for c in cols], self.PREFIX, *figures)
+        same = self._kept_of(cols) == F.col(self.PREFIX)
+        for c in cols:
+            same = same & F.col(c).eqNullSafe(F.col(f"_m_{c}"))
+        alone = cols == self.by               # members without facts stay
+        joined = self.rows.join(renamed, same, "full_outer" if alone else "left")
+        if alone:
+            # A row of the dimension only: its columns, and the level that keeps as many.
+            level = (F.pow(F.lit(2), len(cols) - F.col(self.PREFIX)) - 1).cast("long")
+            joined = joined.withColumns({c: F.when(F.col(self.LEVEL).isNull(), F.col(f"_m_{c}")).otherwise(F.col(c))
+                                         for c in cols}).withColumn(self.LEVEL, F.coalesce(self.LEVEL, level))
+        self.rows = joined.drop(self.PREFIX, *[f"_m_{c}" for c in cols])
+        return self
+
+    def members(self) -> "_Slices":
+        """All members of the dimension if only one is sliced by."""
+        owners = set(self.owners.values())
+        return self.add(*owners, {"_members": F.count(F.lit(1))}) if len(owners) == 1 else self
+
+    def select(self, *figures) -> DataFrame:
+        return self.rows.withColumns(self.whole).select(*self.by, *([self.LEVEL] if self.rollup else []), *figures)
+
+
+def _counts(*names: str) -> dict[str, Column]:
+    return {n: F.count_if(c) for n, c in core_counts(*names).items()}
+
+
+def _count(name: str) -> Column:
+    """A sum of counts; none is none, not null."""
+    return F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name)
+
+
+#: DISTINCTCOUNT(dim_date[date_key])
+def _days() -> dict[str, Column]:
+    return {"_days": F.count_distinct("date_key")}
+
+
+def _capacity_days(ceilings: str) -> Column:
+    return F.col(ceilings) * F.col("_days")
 
 
 def core(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (),
          rollup: bool = False) -> DataFrame:
-    """M1-M8: outreach volumes, acceptance, replies, conversions."""
-    by = list(by)
-    c = sliced_counts(fact, dims, by, core_counts(), rollup)
-    return c.select(
-        *by,
-        "total_invites_sent", "total_invites_accepted",
+    """M1-M8: outreach volumes, acceptance, replies, conversions (slices that have facts)."""
+    s = _Slices(fact, dims, by, _counts(), rollup)
+    return s.select(
+        *[F.col(n).cast("long").alias(n) for n in ("total_invites_sent", "total_invites_accepted")],
         safe_divide("total_invites_accepted", "total_invites_sent").alias("acceptance_rate"),
-        "total_messages_sent", "total_replies_received",
+        *[F.col(n).cast("long").alias(n) for n in ("total_messages_sent", "total_replies_received")],
         safe_divide("total_replies_received", "total_messages_sent").alias("reply_rate"),
-        "total_conversions",
-        safe_divide("total_conversions", "total_invites_sent").alias("conversion_rate"),
-    )
+        F.col("total_conversions").cast("long").alias("total_conversions"),
+        safe_divide("total_conversions", "total_invites_sent").alias("conversion_rate"))
 
 
-def calendar_days(dim_date: DataFrame) -> Column:
-    """DISTINCTCOUNT(dim_date[date_key]) as a scalar subquery."""
-    return dim_date.select(F.count_distinct("date_key")).scalar()
+def capacity(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = (),
+             rollup: bool = False) -> DataFrame:
+    """M9-M12, by columns of any dimensions.
 
-
-def capacity(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ()) -> DataFrame:
-    """M9-M12 sliced by agent attributes.
-
-    Agent counts and ceiling sums come from ``dim_agent`` (all versions for
-    ceilings, current ones for counts); days from the whole calendar.
+    Agent counts (current versions) and ceilings (all versions) come from
+    ``dim_agent``, days from the calendar.
     """
-    by = list(by)
-    agents = dims["agent"]
     cur = F.col("is_current") == 1
-    a = agents.groupBy(*by).agg(
-        F.count_distinct(F.when(cur & (F.col("status") == "ACTIVE"), F.col("agent_sk")))
-        .alias("active_agents"),
-        F.count_distinct(F.when(cur & F.col("status").isin("PAUSED", "GHOSTED"), F.col("agent_sk")))
-        .alias("paused_or_ghosted_agents"),
-        F.sum("daily_invite_ceiling").cast("long").alias("invite_ceiling_sum"),
-        F.sum("daily_message_ceiling").cast("long").alias("message_ceiling_sum"))
-    f = sliced_counts(fact, {"agent": agents}, by,
-                      core_counts("total_invites_sent", "total_messages_sent"))
-    days = calendar_days(dims["date"])
-    j = _with_counts(a, f, by)
-    inv = F.coalesce(F.col("total_invites_sent"), F.lit(0))
-    msg = F.coalesce(F.col("total_messages_sent"), F.lit(0))
-    return j.select(
-        *by, F.coalesce("active_agents", F.lit(0)).alias("active_agents"),
-        F.coalesce("paused_or_ghosted_agents", F.lit(0)).alias("paused_or_ghosted_agents"),
-        inv.alias("total_invites_sent"), msg.alias("total_messages_sent"),
-        safe_divide(inv, F.col("invite_ceiling_sum") * days).alias("invite_capacity_utilization"),
-        safe_divide(msg, F.col("message_ceiling_sum") * days).alias("message_capacity_utilization"))
+    sk = F.col("agent_sk")
+    s = _Slices(fact, dims, by, _counts("total_invites_sent", "total_messages_sent"), rollup).members()
+    s.add("agent", {
+        "active_agents": F.count_distinct(F.when(cur & (F.col("status") == "ACTIVE"), sk)),
+        "paused_or_ghosted_agents": F.count_distinct(F.when(cur & F.col("status").isin("PAUSED", "GHOSTED"), sk)),
+        "_invite_ceilings": F.sum("daily_invite_ceiling").cast("long"),
+        "_message_ceilings": F.sum("daily_message_ceiling").cast("long")}).add("date", _days())
+    inv, msg = _count("total_invites_sent"), _count("total_messages_sent")
+    return s.select(
+        _count("active_agents"), _count("paused_or_ghosted_agents"), inv, msg,
+        safe_divide(inv, _capacity_days("_invite_ceilings")).alias("invite_capacity_utilization"),
+        safe_divide(msg, _capacity_days("_message_ceilings")).alias("message_capacity_utilization"))
 
 
 def risk(daily_metric: DataFrame, dims: dict[str, DataFrame], by: list[str] = (),
-         agent_key: str = "agent_sk") -> DataFrame:
-    """M13-M17 over the scored agent-day table, sliced by agent attributes."""
-    by = list(by)
-    agents = dims["agent"]
+         rollup: bool = False) -> DataFrame:
+    """M13-M17 over the scored agent-day table, by columns of agents and the calendar."""
     rl = F.col("risk_level")
-    pre = daily_metric.groupBy(agent_key).agg(
-        F.sum("anomaly_score").alias("_z"), F.count(F.lit(1)).alias("_n"),
-        F.count_if(rl == "CRITICAL").alias("critical_risk_days"),
-        F.count_if(rl == "WARNING").alias("warning_risk_days"),
-        F.sum("recommended_invite_capacity").alias("recommended_safe_invites"))
-    m = pre.join(agents.select(agent_key, *by), agent_key, "left").groupBy(*by).agg(
-        (F.sum("_z") / F.sum("_n")).alias("avg_anomaly_z"),
-        *[F.sum(c).cast("long").alias(c) for c in ("critical_risk_days", "warning_risk_days",
-                                                   "recommended_safe_invites")])
-    ceil = agents.groupBy(*by).agg(F.sum("daily_invite_ceiling").cast("long").alias("_ceil"))
-    days = calendar_days(dims["date"])
-    j = _with_counts(ceil, m, by)
-    cap = F.col("_ceil") * days
-    rec = F.coalesce(F.col("recommended_safe_invites"), F.lit(0))
-    return j.select(
-        *by, np_round("avg_anomaly_z", 9).alias("avg_anomaly_z"),
-        F.coalesce("critical_risk_days", F.lit(0)).alias("critical_risk_days"),
-        F.coalesce("warning_risk_days", F.lit(0)).alias("warning_risk_days"),
-        rec.alias("recommended_safe_invites"),
+    s = _Slices(daily_metric, dims, by, {
+        "_z": F.sum("anomaly_score"), "_n": F.count("anomaly_score"),
+        "critical_risk_days": F.count_if(rl == "CRITICAL"), "warning_risk_days": F.count_if(rl == "WARNING"),
+        "recommended_safe_invites": F.sum("recommended_invite_capacity")}, rollup).members()
+    s.add("agent", {"_ceilings": F.sum("daily_invite_ceiling").cast("long")}).add("date", _days())
+    cap, rec = _capacity_days("_ceilings"), _count("recommended_safe_invites")
+    return s.select(
+        np_round(F.try_divide("_z", "_n"), 9).alias("avg_anomaly_z"),
+        _count("critical_risk_days"), _count("warning_risk_days"), rec,
         safe_divide(cap - rec, cap).alias("throttled_capacity_variance"))
 
 
-def campaign(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ("campaign_name",)
-             ) -> DataFrame:
-    """M18-M22 sliced by campaign attributes."""
-    by = list(by)
-    days = calendar_days(dims["date"])
-    b = dims["campaign"].groupBy(*by).agg(
-        F.sum(F.col("daily_budget").cast("double") * days).alias("total_campaign_budget"))
-    f = sliced_counts(fact, {"campaign": dims["campaign"]}, by,
-                      core_counts("total_invites_sent", "total_conversions"))
-    j = _with_counts(b, f, by)
-    inv = F.coalesce(F.col("total_invites_sent"), F.lit(0))
-    conv = F.coalesce(F.col("total_conversions"), F.lit(0))
+def campaign(fact: DataFrame, dims: dict[str, DataFrame], by: list[str] = ("campaign_name",),
+             rollup: bool = False) -> DataFrame:
+    """M18-M22, by columns of any dimensions; budgets come from ``dim_campaign``."""
+    s = _Slices(fact, dims, by, _counts("total_invites_sent", "total_conversions"), rollup).members()
+    s.add("campaign", {"_budgets": F.sum(F.col("daily_budget").cast("double"))}).add("date", _days())
+    budget = F.col("_budgets") * F.col("_days")
+    inv, conv = _count("total_invites_sent"), _count("total_conversions")
     value = (conv * F.lit(DEAL_VALUE)).cast("long")
-    budget = F.col("total_campaign_budget")
-    return j.select(
-        *by, budget.alias("total_campaign_budget"),
+    return s.select(
+        budget.alias("total_campaign_budget"),
         safe_divide(budget, inv).alias("cost_per_invite"),
         safe_divide(budget, conv).alias("cost_per_conversion"),
         value.alias("estimated_pipeline_value"),

@@ -369,7 +369,7 @@ def q_kpi_capacity_null(spark, sf):
 def q_kpi_risk(spark, sf):
     s = build_star(spark, sf)
     scored = risk.score_daily(s.daily(), agent_key="agent_sk")
-    return measures.risk(scored, star_dims(s), ["account_age_tier"], agent_key="agent_sk")
+    return measures.risk(scored, star_dims(s), ["account_age_tier"])
 
 
 @query("kpi_campaign")
@@ -378,6 +378,70 @@ def q_kpi_campaign(spark, sf):
     return measures.campaign(s.fact, star_dims(s), ["campaign_name"])
 
 
+@query("kpi_capacity_by_month")
+def q_kpi_capacity_month(spark, sf):
+    """M9-M12 by a calendar column: agents and ceilings of all tiers, the month's own days."""
+    s = build_star(spark, sf)
+    return measures.capacity(s.fact, star_dims(s), ["month_name"])
+
+
+@query("kpi_capacity_rollup")
+def q_kpi_capacity_rollup(spark, sf):
+    """M9-M12 by tier and month with subtotals."""
+    s = build_star(spark, sf)
+    return measures.capacity(s.fact, star_dims(s), ["account_age_tier", "month_name"], rollup=True)
+
+
+@query("kpi_capacity_campaign_day")
+def q_kpi_capacity_campaign(spark, sf):
+    """M9-M12 by weekday, campaign and tier with subtotals: three dimensions."""
+    s = build_star(spark, sf)
+    return measures.capacity(s.fact, star_dims(s), ["day_name", "campaign_name", "account_age_tier"], rollup=True)
+
+
+@query("kpi_risk_by_day_name")
+def q_kpi_risk_day(spark, sf):
+    s = build_star(spark, sf)
+    return measures.risk(risk.score_daily(s.daily(), agent_key="agent_sk"), star_dims(s), ["day_name"])
+
+
+@query("kpi_risk_rollup")
+def q_kpi_risk_rollup(spark, sf):
+    """M13-M17 by month, tier and weekday with subtotals: two dimensions, interleaved."""
+    s = build_star(spark, sf)
+    return measures.risk(risk.score_daily(s.daily(), agent_key="agent_sk"), star_dims(s),
+                         ["month_name", "account_age_tier", "day_name"], rollup=True)
+
+
+@query("kpi_campaign_by_month")
+def q_kpi_campaign_month(spark, sf):
+    s = build_star(spark, sf)
+    return measures.campaign(s.fact, star_dims(s), ["month_name"])
+
+
+@query("kpi_campaign_rollup")
+def q_kpi_campaign_rollup(spark, sf):
+    """M18-M22 by campaign and tier with subtotals; a tier does not narrow a budget."""
+    s = build_star(spark, sf)
+    return measures.campaign(s.fact, star_dims(s), ["campaign_name", "account_age_tier"], rollup=True)
+
+
+KPI_DAYS = (20240105, 20240118)
+
+
+@query("kpi_filtered")
+def q_kpi_filtered(spark, sf):
+    """M1-M12 in a filter context: two weeks, active agents; by tier with the total."""
+    s = build_star(spark, sf)
+    fact, dims = measures.filtered(s.fact, star_dims(s), {"agent": F.col("status") == "ACTIVE"}, KPI_DAYS)
+    by, names = ["account_age_tier"], ["account_age_tier", "grouping_id"]
+    volumes = measures.core(fact, dims, by, rollup=True).drop("total_invites_sent", "total_messages_sent")
+    figures = measures.capacity(fact, dims, by, rollup=True)
+    keyed = [F.coalesce(F.col(n).cast("string"), F.lit("all")).alias(f"_{n}") for n in names]
+    return (figures.select("*", *keyed).join(volumes.select("*", *keyed).drop(*names), [f"_{n}" for n in names], "left")
+            .drop(*[f"_{n}" for n in names]))
+
+
 # -- risk extras: tier matrix, breaches, cooldown, ghosting, reply decay --------------
 
 @query("tier_limits_join")
@@ -581,7 +645,7 @@ def q_kpi_capacity_total(spark, sf):
 def q_kpi_risk_total(spark, sf):
     s = build_star(spark, sf)
     scored = risk.score_daily(s.daily(), agent_key="agent_sk")
-    return measures.risk(scored, star_dims(s), agent_key="agent_sk")
+    return measures.risk(scored, star_dims(s))
 
 
 @query("kpi_campaign_total")

@@ -269,7 +269,10 @@ sql("kpi_core", core_sql([], ""))
 sql("kpi_core_by_tier", core_sql(["account_age_tier"], "GROUP BY account_age_tier"))
 sql("kpi_core_by_month", core_sql(["month_name"], "GROUP BY month_name"))
 sql("kpi_core_rollup", core_sql(["campaign_name", "account_age_tier"],
-                                "GROUP BY ROLLUP (campaign_name, account_age_tier)"))
+                                "GROUP BY ROLLUP (campaign_name, account_age_tier)")
+    .replace("agg AS (SELECT ", "agg AS (SELECT grouping_id(campaign_name, account_age_tier) AS grouping_id, ")
+    .replace("SELECT campaign_name, account_age_tier, total_invites_sent,",
+             "SELECT campaign_name, account_age_tier, grouping_id, total_invites_sent,"))
 
 sql("kpi_capacity", with_ctes(BASE_CTES, f""",
 a AS (SELECT account_age_tier,
@@ -487,3 +490,99 @@ SELECT coalesce(a.account_age_tier, f.account_age_tier) AS account_age_tier,
   {sdiv('coalesce(msg, 0)', 'mc * (SELECT days FROM nd)')} AS message_capacity_utilization
 FROM a FULL JOIN f ON a.account_age_tier IS NOT DISTINCT FROM f.account_age_tier""")
     .replace("\n,\nknown", ",\nknown"))
+
+
+# -- measures by columns of several dimensions ------------------------------------------
+
+MEMBER_OF = {"account_age_tier": "agent", "status": "agent", "campaign_name": "campaign",
+             "month_name": "date", "day_name": "date"}
+DIM_KEY = {"agent": "agent_sk", "campaign": "campaign_sk", "date": "date_key"}
+DIM_FIGURES = {
+    "agent": """count(DISTINCT CASE WHEN is_current = 1 AND status = 'ACTIVE' THEN agent_sk END) AS active_agents,
+      count(DISTINCT CASE WHEN is_current = 1 AND status IN ('PAUSED', 'GHOSTED') THEN agent_sk END)
+        AS paused_or_ghosted_agents,
+      sum(daily_invite_ceiling) AS ic, sum(daily_message_ceiling) AS mc""",
+    "campaign": "sum(daily_budget) AS budgets",
+    "date": "count(DISTINCT date_key) AS days"}
+EVENT_FIGURES = """count(*) FILTER (WHERE event_type = 'INVITE_SENT') AS inv,
+      count(*) FILTER (WHERE event_type = 'MESSAGE_SENT') AS msg,
+      count(*) FILTER (WHERE is_converted = 1) AS conv"""
+RISK_FIGURES = """avg(anomaly_score) AS z, count(*) FILTER (WHERE risk_level = 'CRITICAL') AS crit,
+      count(*) FILTER (WHERE risk_level = 'WARNING') AS warn, sum(recommended_invite_capacity) AS rec"""
+CAPACITY_OUT = f"""CAST(coalesce(active_agents, 0) AS BIGINT) AS active_agents,
+  CAST(coalesce(paused_or_ghosted_agents, 0) AS BIGINT) AS paused_or_ghosted_agents,
+  CAST(coalesce(inv, 0) AS BIGINT) AS total_invites_sent, CAST(coalesce(msg, 0) AS BIGINT) AS total_messages_sent,
+  {sdiv('coalesce(inv, 0)', 'ic * days')} AS invite_capacity_utilization,
+  {sdiv('coalesce(msg, 0)', 'mc * days')} AS message_capacity_utilization"""
+RISK_KPI_OUT = f"""round_even(z, 9) + 0.0 AS avg_anomaly_z, CAST(coalesce(crit, 0) AS BIGINT) AS critical_risk_days,
+  CAST(coalesce(warn, 0) AS BIGINT) AS warning_risk_days, CAST(coalesce(rec, 0) AS BIGINT) AS recommended_safe_invites,
+  {sdiv('ic * days - coalesce(rec, 0)', 'ic * days')} AS throttled_capacity_variance"""
+CAMPAIGN_OUT = f"""budgets * days AS total_campaign_budget, {sdiv('budgets * days', 'coalesce(inv, 0)')} AS cost_per_invite,
+  {sdiv('budgets * days', 'coalesce(conv, 0)')} AS cost_per_conversion,
+  CAST(coalesce(conv, 0) * 5000 AS BIGINT) AS estimated_pipeline_value,
+  {sdiv('coalesce(conv, 0) * 5000', 'budgets * days')} AS campaign_roi_multiplier"""
+
+
+def level_sql(by: list[str], kept: list[str], figures: str, out: str, fact: str, used: list[str], mark: bool) -> str:
+    """One subtotal level: the fact by the kept columns, beside each dimension by its own ones."""
+    def same(a: str, b: str, cols: list[str]) -> str:
+        return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols) or "true"
+
+    def grouped(cols: list[str], what: str, source: str) -> str:
+        return f"(SELECT {', '.join([*cols, what])} FROM {source}{' GROUP BY ' + ', '.join(cols) if cols else ''})"
+
+    owners = sorted({MEMBER_OF[c] for c in by})
+    star = fact + "".join(f" LEFT JOIN (SELECT {DIM_KEY[o]}, {', '.join(c for c in by if MEMBER_OF[c] == o)} FROM dim_{o}) d{o}"
+                          f" USING ({DIM_KEY[o]})" for o in owners)
+    rows = grouped(kept, figures, star)
+    if len(owners) == 1 and kept:
+        own = f"(SELECT DISTINCT {', '.join(kept)} FROM dim_{owners[0]})"
+        names = ", ".join(f"coalesce(f.{c}, m.{c}) AS {c}" for c in kept)
+        rows = f"(SELECT f.* EXCLUDE ({', '.join(kept)}), {names} FROM {rows} f FULL JOIN {own} m ON {same('f', 'm', kept)})"
+    joins = "".join(
+        f" LEFT JOIN {grouped(cols, DIM_FIGURES[d], 'dim_' + d)} {d}_part ON {same('r', d + '_part', cols)}"
+        for d in used for cols in [[c for c in kept if MEMBER_OF[c] == d]])
+    shown = [f"r.{c}" if c in kept else f"CAST(NULL AS VARCHAR) AS {c}" for c in by]
+    level = sum(1 << len(by) - 1 - i for i, c in enumerate(by) if c not in kept)
+    return f"SELECT {', '.join([*shown, *([f'CAST({level} AS BIGINT) AS grouping_id'] if mark else []), out])} FROM {rows} r{joins}"
+
+
+def slices_sql(by: list[str], figures: str, out: str, used: list[str], rollup: bool = False,
+               fact: str = "fact", ctes: list[str] = BASE_CTES) -> str:
+    levels = [by[:j] for j in range(len(by), -1, -1)] if rollup else [by]
+    return with_ctes(ctes, " UNION ALL ".join(level_sql(by, k, figures, out, fact, used, rollup) for k in levels))
+
+
+RISK_FACT = "(SELECT s.*, a.agent_sk FROM (SELECT agent_id, date_key, anomaly_score, risk_level," \
+            " recommended_invite_capacity FROM scored) s JOIN (SELECT agent_id, agent_sk FROM dim_agent) a USING (agent_id))"
+RISK_CTES = BASE_CTES + risk_ctes("daily")
+
+sql("kpi_capacity_by_month", slices_sql(["month_name"], EVENT_FIGURES, CAPACITY_OUT, ["agent", "date"]))
+sql("kpi_capacity_rollup", slices_sql(["account_age_tier", "month_name"], EVENT_FIGURES, CAPACITY_OUT,
+                                      ["agent", "date"], rollup=True))
+sql("kpi_capacity_campaign_day", slices_sql(["day_name", "campaign_name", "account_age_tier"], EVENT_FIGURES,
+                                            CAPACITY_OUT, ["agent", "date"], rollup=True))
+sql("kpi_risk_by_day_name", slices_sql(["day_name"], RISK_FIGURES, RISK_KPI_OUT, ["agent", "date"],
+                                       fact=RISK_FACT, ctes=RISK_CTES))
+sql("kpi_risk_rollup", slices_sql(["month_name", "account_age_tier", "day_name"], RISK_FIGURES, RISK_KPI_OUT,
+                                  ["agent", "date"], rollup=True, fact=RISK_FACT, ctes=RISK_CTES))
+sql("kpi_campaign_by_month", slices_sql(["month_name"], EVENT_FIGURES, CAMPAIGN_OUT, ["campaign", "date"]))
+sql("kpi_campaign_rollup", slices_sql(["campaign_name", "account_age_tier"], EVENT_FIGURES, CAMPAIGN_OUT,
+                                      ["campaign", "date"], rollup=True))
+
+FILTERED_CTES = BASE_CTES + [
+    "chosen_agents AS (SELECT * FROM dim_agent WHERE status = 'ACTIVE')",
+    "chosen_days AS (SELECT * FROM dim_date WHERE date_key BETWEEN 20240105 AND 20240118)",
+    """chosen AS (SELECT f.*, a.account_age_tier FROM fact f JOIN chosen_agents a USING (agent_sk)
+      JOIN chosen_days USING (date_key))"""]
+FILTERED_LEVEL = f"""SELECT {{tier}} AS account_age_tier, CAST({{level}} AS BIGINT) AS grouping_id, {CAPACITY_OUT},
+  acc AS total_invites_accepted, {sdiv('acc', 'inv')} AS acceptance_rate, rep AS total_replies_received,
+  {sdiv('rep', 'msg')} AS reply_rate, conv AS total_conversions, {sdiv('conv', 'inv')} AS conversion_rate
+FROM (SELECT {{group}} {DIM_FIGURES['agent']} FROM chosen_agents {{by}}) a
+LEFT JOIN (SELECT {{group}} {EVENT_FIGURES}, count(*) FILTER (WHERE event_type = 'INVITE_ACCEPTED') AS acc,
+  count(*) FILTER (WHERE event_type = 'REPLY_RECEIVED') AS rep FROM chosen {{by}}) f ON {{on}},
+(SELECT {DIM_FIGURES['date']} FROM chosen_days)"""
+sql("kpi_filtered", with_ctes(FILTERED_CTES, " UNION ALL ".join([
+    FILTERED_LEVEL.format(tier="a.account_age_tier", level=0, group="account_age_tier,", by="GROUP BY 1",
+                          on="a.account_age_tier = f.account_age_tier"),
+    FILTERED_LEVEL.format(tier="CAST(NULL AS VARCHAR)", level=1, group="", by="", on="true")])))

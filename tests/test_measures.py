@@ -35,7 +35,7 @@ def test_core_totals(spark, star):
 def test_core_rollup_levels(spark, star):
     fact, dims = star
     rows = measures.core(fact, dims, ["campaign_name", "account_age_tier"], rollup=True).collect()
-    grand = [r for r in rows if r.campaign_name is None and r.account_age_tier is None]
+    grand = [r for r in rows if r.grouping_id == 3]
     assert len(grand) == 1 and grand[0].total_invites_sent == 3
     assert len(rows) == 2 + 2 + 1            # leaf pairs, campaign subtotals, grand total
 
@@ -71,3 +71,52 @@ def test_risk_measures(spark, star):
     assert (one.critical_risk_days, one.warning_risk_days, one.recommended_safe_invites) == (1, 0, 13)
     assert one.avg_anomaly_z == -0.25
     assert one.throttled_capacity_variance == (200 - 13) / 200
+
+
+def test_denominators_come_from_each_columns_own_dimension(spark, star):
+    fact, dims = star
+    got = {(r.day_name, r.account_age_tier, r.grouping_id): r
+           for r in measures.capacity(fact, dims, ["day_name", "account_age_tier"], rollup=True).collect()}
+    # 1 and 8 August 2026 are Saturdays: the leaf has two days, its tier's ceilings (10 + 10)
+    saturday = next(d.day_name for d in dims["date"].where("date_key = 20260801").collect())
+    assert got[saturday, "1 Month", 0].invite_capacity_utilization == 2 / (20 * 2)
+    assert got[saturday, None, 1].invite_capacity_utilization == 3 / (50 * 2)
+    assert got[None, None, 3].invite_capacity_utilization == 3 / (50 * 10)
+    assert got[None, None, 3].active_agents == 1 and got[saturday, "1+ Year", 0].paused_or_ghosted_agents == 1
+
+
+def test_members_without_facts_and_null_members(spark, star):
+    fact, dims = star
+    unknown = spark.createDataFrame([(9, 9, 20260801, "INVITE_SENT", 0)], fact.schema)
+    agents = dims["agent"].unionByName(spark.createDataFrame(
+        [(4, "D", None, 7, 9, "GHOSTED", 1), (5, "E", "Idle", 1, 1, "ACTIVE", 1)], dims["agent"].schema))
+    rows = measures.capacity(fact.unionByName(unknown), dims | {"agent": agents}, ["account_age_tier"], rollup=True).collect()
+    got = {(r.account_age_tier, r.grouping_id): r for r in rows}
+    assert len(rows) == 5 and got["Idle", 0].total_invites_sent == 0 and got["Idle", 0].active_agents == 1
+    assert got[None, 0].total_invites_sent == 1 and got[None, 0].paused_or_ghosted_agents == 1  # the null member
+    assert got[None, 1].total_invites_sent == 4 and got[None, 1].paused_or_ghosted_agents == 2  # the total
+    by_tier = measures.campaign(fact, dims | {"agent": agents}, ["account_age_tier"]).collect()
+    assert {r.account_age_tier for r in by_tier} == {"1 Month", "1+ Year", "Idle", None}
+    assert all(r.total_campaign_budget == 1600.0 for r in by_tier)      # a tier does not narrow budgets
+
+
+def test_filter_context(spark, star):
+    fact, dims = star
+    from pyspark.sql import functions as F
+    own, narrowed = measures.filtered(fact, dims, {"agent": F.col("status") == "ACTIVE"}, (20260801, 20260802))
+    r = measures.capacity(own, narrowed).first()
+    assert (r.total_invites_sent, r.active_agents, r.paused_or_ghosted_agents) == (2, 1, 0)
+    assert r.invite_capacity_utilization == 2 / (20 * 2)
+    own, narrowed = measures.filtered(fact, dims, {"campaign": F.col("campaign_name") == "Beta"})
+    assert measures.campaign(own, narrowed, []).first().total_campaign_budget == 500.0
+    assert measures.core(own, narrowed).first().total_messages_sent == 1
+
+
+def test_unrelated_columns_are_refused(spark, star):
+    fact, dims = star
+    daily = spark.createDataFrame([], "agent_sk long, date_key int, anomaly_score double, risk_level string, "
+                                      "recommended_invite_capacity int")
+    with pytest.raises(ValueError):
+        measures.risk(daily, dims, ["campaign_name"])
+    empty = measures.risk(daily, dims).first()
+    assert empty.critical_risk_days == 0 and empty.avg_anomaly_z is None and empty.throttled_capacity_variance == 1.0
