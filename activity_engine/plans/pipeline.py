@@ -22,6 +22,7 @@ from activity_engine.operators import ingest, quality, risk
 from activity_engine.operators.daily import daily_activity
 from activity_engine.operators.dims import insert_if_absent, scd2_merge
 from activity_engine.operators.keys import resolve_keys
+from activity_engine.sources.event_index import EventIdIndex
 from activity_engine.sources.payload import Payload
 from activity_engine.sources.sinks import write_dead_letters
 from activity_engine.sources.tables import Warehouse
@@ -122,29 +123,33 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
         ts = F.try_to_timestamp(F.col("event_timestamp").cast("string"))
         batch = batch.where(ts.isNull() | (ts > F.to_timestamp(F.lit(watermark.replace("Z", "")))))
     resolved = resolve_keys(batch, *dims).persist()
-    valid, dead = ingest.split_quarantine(resolved, list(batch.columns), _now_lit(now))
-    write_dead_letters(dead, dlq_path, run_id)
-    # Valid/quarantined counts: one aggregate over the cached batch.
-    bad = ingest.quarantine_flag(resolved)
-    c = resolved.agg(F.count_if(~bad).alias("valid"), F.count_if(bad).alias("dead")).first()
-    rows = ingest.to_fact_rows(valid)
-    deduped = ingest.dedupe_first_wins(rows, "event_id", "ingest_order")
-    existing = wh.read("fact_outreach_activity")
-    # The rows to insert are cached and counted before the append, so the
-    # count and the write see the same rows (the anti join read the table
-    # listing taken before this append).
-    new = ingest.insert_new(deduped, existing).drop("ingest_order").persist()
-    inserted = new.count()
-    if inserted:
-        # rebalance: few files per day partition; AQE splits a hot day into
-        # several tasks and merges small ones (no task owns a skewed day).
-        wh.append("fact_outreach_activity", new.hint("rebalance", "date_key"),
-                  partition_by=["date_key"])
-    # Always, even with nothing new: a run that died after its append but
-    # before this step is repaired by the rerun.
-    refresh_daily_counts(wh, valid.select("date_key").distinct())
-    new.unpersist()
-    resolved.unpersist()
+    new = None
+    try:
+        valid, dead = ingest.split_quarantine(resolved, list(batch.columns), _now_lit(now))
+        write_dead_letters(dead, dlq_path, run_id)
+        # Valid/quarantined counts: one aggregate over the cached batch.
+        bad = ingest.quarantine_flag(resolved)
+        c = resolved.agg(F.count_if(~bad).alias("valid"), F.count_if(bad).alias("dead")).first()
+        rows = ingest.to_fact_rows(valid)
+        deduped = ingest.dedupe_first_wins(rows, "event_id", "ingest_order")
+        # The rows to insert are cached and counted before the append, so the
+        # count and both writes see the same rows (the anti join read the index
+        # as it was before).
+        index = EventIdIndex(wh)
+        new = index.unseen(deduped, valid.select("event_id")).drop("ingest_order").persist()
+        inserted = new.count()
+        if inserted:
+            # rebalance: few files per day partition; AQE splits a hot day into
+            # several tasks and merges small ones (no task owns a skewed day).
+            index.insert(new, inserted, lambda r: wh.append(
+                "fact_outreach_activity", r.hint("rebalance", "date_key"), partition_by=["date_key"]))
+        # Always, even with nothing new: a run that died after its append but
+        # before this step is repaired by the rerun.
+        refresh_daily_counts(wh, valid.select("date_key").distinct())
+    finally:
+        if new is not None:
+            new.unpersist()
+        resolved.unpersist()
     return {"valid": int(c["valid"]), "inserted": int(inserted), "quarantined": int(c["dead"])}
 
 
@@ -174,7 +179,7 @@ def refresh_daily_counts(wh: Warehouse, days: DataFrame | None = None) -> None:
     if old is not None and days is not None:
         actual = (fact.join(days, "date_key", "left_semi").groupBy("date_key")
                   .agg(F.count(F.lit(1)).alias("rows")))
-        covered = old.groupBy("date_key").agg(F.sum("fact_rows").alias("covered"))
+        covered = old.join(days, "date_key", "left_semi").groupBy("date_key").agg(F.sum("fact_rows").alias("covered"))
         stale = (actual.join(covered, "date_key", "left")
                  .where(~F.col("rows").eqNullSafe(F.col("covered"))).select("date_key"))
         if stale.isEmpty():

@@ -13,6 +13,8 @@ Paths are plain Hadoop URIs: on a cluster ``root`` is a shared folder
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +113,30 @@ class Warehouse:
          .partitionBy(partition_col).parquet(path))
         return path
 
+    # -- small state beside a table ----------------------------------------------------
+    def read_state(self, table: str) -> dict | None:
+        """The table's state, or None if there is none that can be read."""
+        fs, p = self._fs(f"{self.table_dir(table)}/_state.json")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except ValueError:                     # a write was cut short
+            return None
+
+    def write_state(self, table: str, state: dict) -> None:
+        fs, p = self._fs(f"{self.table_dir(table)}/_state.json")
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(json.dumps(state).encode()))
+        finally:
+            stream.close()
+
     def vacuum(self, table: str, keep: int = 2) -> list[str]:
         """Delete committed versions older than the newest ``keep``.
 
