@@ -555,34 +555,45 @@ def q_feed(spark, sf):
         .csv(f"{root}/fact_daily_agent_metric")
 
 
-def event_files(spark, sf, root: str) -> str:
-    """The events as three files for three micro-batches: the second half of the
-    time range, the first half (late), and the second half again (a replay)."""
+def stream_events(spark, sf, root: str, start) -> None:
+    """The events as a stream of three micro-batches: the second half of the time range,
+    the first half (late), and the second half again (a replay).
+
+    Each part's files are written with the parallelism of the scan; one run on the same
+    checkpoint (``start``: event stream -> started query) takes what is new as one micro-batch.
+    """
+    from activity_engine.streaming import stream as st
     e = fx.read_table(spark, sf, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     mid = e.select(F.min(at) + F.floor((F.max(at) - F.min(at)) / 2).cast("long")).scalar()
     for part in (at >= mid, at < mid, at >= mid):
-        e.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    return f"{root}/in"
+        e.where(part).write.mode("append").parquet(f"{root}/in")
+        files = st.read_event_stream(spark, f"{root}/in", "*.parquet", schema=e.schema)
+        start(fx.events_view(files)).awaitTermination()
 
 
-def event_stream(spark, sf, root: str) -> DataFrame:
+def streamed_warehouse(spark, sf, tag: str, after=None, **options):
+    """A warehouse after the three micro-batches; ``after`` runs once each is loaded."""
+    from activity_engine.plans import pipeline as pl
     from activity_engine.streaming import stream as st
-    files = event_files(spark, sf, root)
-    return fx.events_view(st.read_event_stream(spark, files, "*.parquet", max_files=1,
-                                               schema=fx.read_table(spark, sf, "events").schema))
+    wh, root = fixture_warehouse(spark, sf, tag)
+    pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
+
+    def start(events):
+        q = st.start_ingest(events, wh, f"{root}/dlq", f"{root}/_ckpt_ingest", RUN_NOW, **options)
+        if after:
+            q.awaitTermination()
+            q = after(wh, root)
+        return q
+
+    stream_events(spark, sf, root, start)
+    return wh
 
 
 @query("stream_ingest")
 def q_stream_ingest(spark, sf):
     """The events as a stream of three micro-batches, one late, one replayed."""
-    from activity_engine.plans import pipeline as pl
-    from activity_engine.streaming import stream as st
-    wh, root = fixture_warehouse(spark, sf, "stream")
-    pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
-    q = st.start_ingest(event_stream(spark, sf, root), wh, f"{root}/dlq",
-                        f"{root}/_ckpt_ingest", RUN_NOW)
-    q.awaitTermination()
+    wh = streamed_warehouse(spark, sf, "stream")
     f = with_natural_keys(wh, wh.read("fact_outreach_activity"))
     return f.select("event_id", "agent_id", "date_key", "event_type", "message_length",
                     "is_converted")
@@ -590,27 +601,18 @@ def q_stream_ingest(spark, sf):
 
 @query("stream_daily_counts")
 def q_stream_daily(spark, sf):
-    """Daily counts per agent from three micro-batches, one late, one replayed."""
+    """A1 from a stateful stream over the fact, after micro-batches one late, one replayed."""
     from activity_engine.streaming import stream as st
-    from activity_engine.sources.tables import Warehouse
-    root = scratch_path(spark, "queries", f"sdc-{uuid.uuid4().hex[:8]}")
-    wh = Warehouse(spark, f"{root}/wh")
-    q = st.start_daily_counts(event_stream(spark, sf, root), wh, f"{root}/_ckpt_counts")
-    q.awaitTermination()
-    return st.read_daily_counts(wh)
+    wh = streamed_warehouse(spark, sf, "sdc", after=lambda w, root: st.start_daily_counts(w, f"{root}/_ckpt_counts"))
+    return with_natural_keys(wh, st.read_daily_counts(wh)).select(
+        "agent_id", "date_key", "invites_sent", "invites_accepted", "messages_sent", "replies_received")
 
 
 @query("stream_risk_refresh")
 def q_stream_risk(spark, sf):
     """T5: each micro-batch loads its events, refreshes the touched days'
     counts and rescoring the agents it touched; the snapshot is read back."""
-    from activity_engine.plans import pipeline as pl
-    from activity_engine.streaming import stream as st
-    wh, root = fixture_warehouse(spark, sf, "srisk")
-    pl.load_dimensions(wh, fixture_payload(spark, sf), RUN_NOW)
-    q = st.start_ingest(event_stream(spark, sf, root), wh, f"{root}/dlq",
-                        f"{root}/_ckpt_risk", RUN_NOW, refresh_risk=True)
-    q.awaitTermination()
+    wh = streamed_warehouse(spark, sf, "srisk", refresh_risk=True)
     m = with_natural_keys(wh, wh.read("fact_daily_agent_metric"))
     return m.select(*RISK_OUT)
 

@@ -389,12 +389,7 @@ SELECT event_id, campaign_id, '{QREASON}' AS failure_reason, 'fixture-run' AS ru
 FROM resolved WHERE event_id NOT IN (SELECT event_id FROM fact)"""))
 
 sql("stream_daily_counts", with_ctes(BASE_CTES, """
-SELECT agent_id, date_key,
-  count(*) FILTER (WHERE event_type = 'INVITE_SENT') AS invites_sent,
-  count(*) FILTER (WHERE event_type = 'INVITE_ACCEPTED') AS invites_accepted,
-  count(*) FILTER (WHERE event_type = 'MESSAGE_SENT') AS messages_sent,
-  count(*) FILTER (WHERE event_type = 'REPLY_RECEIVED') AS replies_received
-FROM v_event GROUP BY agent_id, date_key"""))
+SELECT agent_id, date_key, invites_sent, invites_accepted, messages_sent, replies_received FROM daily"""))
 
 sql("stream_risk_refresh", ORACLE["agent_risk_daily"])
 

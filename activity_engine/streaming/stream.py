@@ -3,15 +3,13 @@
 The studied pipeline is batch with a high-watermark file. As a stream:
 the file source's checkpoint replaces the watermark file (T1); every
 micro-batch runs the batch ingest through ``foreachBatch`` (T4), whose
-first-arrival dedupe and anti join against the fact's event ids make
-replays idempotent (T2); daily counts are written per micro-batch as
-partial counts and summed on read (T3); and the risk model is refreshed for
-the agents a batch touched (T5).
+first-arrival dedupe and anti join against the event-id index make replays
+idempotent (T2); daily counts are a stateful aggregation over the fact's own
+files (T3); and the risk model is refreshed for the agents a batch touched (T5).
 
 No event-time watermark is used on purpose: Spark's watermarked dedupe and
 windowed aggregations drop rows that arrive later than the watermark, and a
-late event must still be counted. The exact paths above keep every row
-without any state store.
+late event must still be counted.
 """
 
 from __future__ import annotations
@@ -23,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from activity_engine.operators.daily import daily_counts
-from activity_engine.operators.ingest import insert_new
 from activity_engine.plans import pipeline as pl
 from activity_engine.sources.fixtures import events_view
 from activity_engine.sources.tables import Warehouse
@@ -71,94 +68,70 @@ def start_ingest(stream: DataFrame, wh: Warehouse, dlq_path: str, checkpoint: st
     return w.start()
 
 
-COUNT_COLS = ("invites_sent", "invites_accepted", "messages_sent", "replies_received")
-COMPACTED = -1
+COUNTS = "stream_daily_counts"
+#: Part of the counts table that holds what earlier micro-batches left.
+FOLDED = -1
 
 
-def start_daily_counts(stream: DataFrame, wh: Warehouse, checkpoint: str,
-                       table: str = "stream_daily_count_deltas",
-                       available_now: bool = True, compact_every: int = 100) -> StreamingQuery:
-    """Per micro-batch, partial agent × day counts under ``batch_id=<n>``.
+def start_daily_counts(wh: Warehouse, checkpoint: str, table: str = COUNTS, max_files: int | None = None,
+                       available_now: bool = True, fold_every: int = 100) -> StreamingQuery:
+    """Agent x day counts (A1) kept by a stateful aggregation over the fact's own files.
 
-    Counted are events not seen before: first arrivals of the micro-batch whose id
-    no other micro-batch brought. The ids are kept beside the counts, one narrow
-    partition a micro-batch, so a replayed file adds nothing, and a retried
-    micro-batch (which ignores its own ids) gives the same partial again.
-        The partial aggregate is combined map-side; each micro-batch replaces
-    only its own partition (dynamic overwrite), so a retried batch never
-    counts twice. ``read_daily_counts`` sums the partials: exact for late
-    events too, with no streaming state to bound. Every ``compact_every``
-    batches the partials are folded into one (``batch_id=-1``), recording
-    the last folded batch; a replayed batch at or below it is skipped.
+    The source is the fact that ``start_ingest`` (or a batch load) appends to, so what is
+    counted is what was really inserted: quarantined events, replays and later copies of
+    an id never reach it, and a first arrival is one by the load's order. The state store
+    holds one row an agent and day, whatever the number of events. There is no watermark:
+    a row of any age finds its state, so late rows need no other path and none is dropped.
+
+    Each micro-batch writes the new totals of the agent-days it changed under its own
+    ``batch_id`` (a retried one replaces them); totals are absolute, so reading takes the
+    last of each agent-day, and every ``fold_every`` micro-batches they are folded into
+    one part. Start it once the fact exists; it follows the fact's current version.
     """
-    def write_delta(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= compacted_through(wh, table):
-            return                                   # already folded in
-        if "event_id" not in batch.columns:          # nothing tells copies apart
-            fold(daily_counts(batch, "agent_id"), batch_id)
-            return
-        fresh = batch.where(F.col("event_id").isNotNull()).dropDuplicates(["event_id"])
-        seen = wh.read(f"{table}_ids")
-        if seen is not None:
-            fresh = insert_new(fresh, seen.where(F.col("batch_id") != batch_id))
-        ids = fresh.select("event_id").withColumn("batch_id", F.lit(batch_id))
-        wh.overwrite_partitions(f"{table}_ids", ids, "batch_id")
-        mine = wh.read(f"{table}_ids")
-        if mine is None:
-            return
-        fresh = batch.dropDuplicates(["event_id"]).join(
-            mine.where(F.col("batch_id") == batch_id).select("event_id"), "event_id", "left_semi")
-        fold(daily_counts(fresh, "agent_id"), batch_id)
-
-    def fold(delta: DataFrame, batch_id: int) -> None:
-        wh.overwrite_partitions(table, delta.withColumn("batch_id", F.lit(batch_id)), "batch_id")
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_daily_counts(wh, table, batch_id)
-
-    w = stream.writeStream.foreachBatch(write_delta).option("checkpointLocation", checkpoint)
+    fact = wh.read("fact_outreach_activity")
+    if fact is None:
+        raise RuntimeError("the fact has no rows yet: start the ingest first")
+    reader = wh.spark.readStream.schema(fact.schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    counts = daily_counts(reader.parquet(wh.current_path("fact_outreach_activity")))
+
+    def write_changed(batch: DataFrame, batch_id: int) -> None:
+        totals = batch.withColumns({"as_of": F.lit(batch_id), "batch_id": F.lit(batch_id)})
+        wh.overwrite_partitions(table, totals, "batch_id")
+        if fold_every and batch_id and batch_id % fold_every == 0:
+            fold_daily_counts(wh, table)
+
+    w = (counts.writeStream.outputMode("update").foreachBatch(write_changed)
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def compacted_through(wh: Warehouse, table: str = "stream_daily_count_deltas") -> int:
-    """Last micro-batch folded into the compacted partition (-1 if none)."""
-    state = wh.read(f"{table}_state")
-    if state is None:
-        return -1
-    v = state.agg(F.max("compacted_through")).first()[0]
-    return -1 if v is None else int(v)
+def _last_totals(rows: DataFrame) -> DataFrame:
+    values = [c for c in rows.columns if c not in ("agent_sk", "date_key", "batch_id")]
+    return (rows.groupBy("agent_sk", "date_key")
+            .agg(F.max_by(F.struct(*values), "as_of").alias("_last")).select("agent_sk", "date_key", "_last.*"))
 
 
-def compact_daily_counts(wh: Warehouse, table: str, through: int) -> None:
-    """Record ``through``, then fold every partial up to it into
-    ``batch_id=-1`` (a new table version, so readers switch atomically).
+def fold_daily_counts(wh: Warehouse, table: str = COUNTS) -> None:
+    """All parts as one, in a new version: each agent-day's last totals with their ``as_of``.
 
-    Called after batch ``through`` wrote its partial, so every batch up to it
-    is in the table. Marker first: if the fold is lost, a replay of
-    ``through`` is skipped (its partial is already there) and the next fold
-    includes the leftover partials; the reverse order could count a
-    replayed batch twice.
+    A micro-batch that is replayed after a fold writes totals no later than the folded
+    ones, or the same, so reading is not changed by it.
     """
-    wh.rewrite(f"{table}_state", wh.spark.createDataFrame([(through,)], "compacted_through long"))
-    d = wh.read(table)
-    if d is None:
-        return
-    done = d.where(F.col("batch_id") <= through)
-    rest = d.where(F.col("batch_id") > through)
-    folded = done.groupBy("agent_id", "date_key").agg(
-        *[F.sum(c).cast("long").alias(c) for c in COUNT_COLS]).withColumn(
-        "batch_id", F.lit(COMPACTED))
-    wh.rewrite(table, folded.unionByName(rest.select(*folded.columns)), ["batch_id"])
-
-
-def read_daily_counts(wh: Warehouse, table: str = "stream_daily_count_deltas") -> DataFrame:
-    """Current agent × day counts: the sum of all micro-batch partials."""
-    d = wh.read(table)
-    if d is None:
-        return wh.spark.createDataFrame([], "agent_id string, date_key int, " + ", ".join(
-            f"{c} long" for c in COUNT_COLS))
-    return d.groupBy("agent_id", "date_key").agg(
-        *[F.sum(c).cast("long").alias(c) for c in COUNT_COLS])
+    rows = wh.read(table)
+    if rows is not None:
+        wh.rewrite(table, _last_totals(rows).withColumn("batch_id", F.lit(FOLDED)), ["batch_id"])
+
+
+def read_daily_counts(wh: Warehouse, table: str = COUNTS) -> DataFrame:
+    """Current agent x day counts by ``agent_sk``."""
+    rows = wh.read(table)
+    if rows is None:
+        return wh.spark.createDataFrame([], "agent_sk long, date_key int, invites_sent long, invites_accepted long,"
+                                            " messages_sent long, replies_received long")
+    return _last_totals(rows).drop("as_of")
 
 
 def stream_events_view(spark: SparkSession, src_dir: str) -> DataFrame:
@@ -167,4 +140,4 @@ def stream_events_view(spark: SparkSession, src_dir: str) -> DataFrame:
 
 
 __all__ = ["read_event_stream", "start_ingest", "start_daily_counts", "read_daily_counts",
-           "compact_daily_counts", "compacted_through", "stream_events_view"]
+           "fold_daily_counts", "stream_events_view"]

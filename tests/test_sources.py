@@ -133,22 +133,51 @@ def test_stream_replayed_file_is_deduplicated(spark, tmp_path):
     assert w.read("dq_audit_log").count() == 5 * len(runs)
 
 
-def test_stream_daily_counts_keep_late_events(spark, tmp_path):
-    """Files arrive one per micro-batch, the later file holding older days."""
+def fact_rows(spark, *rows):
+    return spark.createDataFrame([(f"E{i}", a, t, d) for i, (a, d, t) in enumerate(rows)],
+                                 "event_id string, agent_sk long, event_type string, date_key int")
+
+
+def test_stream_daily_counts_follow_the_fact(spark, tmp_path):
+    """Appends of one day after another, late days among them; a restart goes on from the state."""
+    from activity_engine.operators.daily import daily_counts
     from activity_engine.streaming import stream as st
     w = Warehouse(spark, str(tmp_path / "wh"))
-    schema = "agent_id string, date_key int, event_type string"
-    src = str(tmp_path / "in")
-    new = [("A", 20260810, "INVITE_SENT")] * 3
-    late = [("A", 20260801, "INVITE_SENT")] * 2 + [("A", 20260810, "INVITE_ACCEPTED")]
-    spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(src)
-    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(src)
-    q = st.start_daily_counts(st.read_event_stream(spark, src, "*.parquet", max_files=1), w,
-                              str(tmp_path / "ck"))
-    q.awaitTermination()
-    got = {(r.date_key, r.invites_sent, r.invites_accepted)
-           for r in st.read_daily_counts(w).collect()}
-    assert got == {(20260810, 3, 1), (20260801, 2, 0)}
+    loads = [[(1, 20260810, "INVITE_SENT")] * 3 + [(2, 20260810, "MESSAGE_SENT")],
+             [(1, 20260801, "INVITE_SENT")] * 2 + [(1, 20260810, "INVITE_ACCEPTED")],       # late
+             [(2, 20260811, "REPLY_RECEIVED"), (1, 20260801, "INVITE_SENT")]]
+    for load in loads:
+        w.append("fact_outreach_activity", fact_rows(spark, *load), ["date_key"])
+        q = st.start_daily_counts(w, str(tmp_path / "ck"), fold_every=2)
+        q.awaitTermination()
+        got = sorted(map(tuple, st.read_daily_counts(w).collect()))
+        assert got == sorted(map(tuple, daily_counts(w.read("fact_outreach_activity")).collect()))
+    assert (1, 20260801, 3, 0, 0, 0) in got and (1, 20260810, 3, 1, 0, 0) in got
+    parts = {r.batch_id for r in w.read(st.COUNTS).select("batch_id").distinct().collect()}
+    assert st.FOLDED in parts                                    # the third micro-batch folded
+    st.fold_daily_counts(w)
+    assert sorted(map(tuple, st.read_daily_counts(w).collect())) == got
+    assert {r.batch_id for r in w.read(st.COUNTS).select("batch_id").distinct().collect()} == {st.FOLDED}
+
+
+def test_stream_daily_counts_replayed_micro_batch(spark, tmp_path):
+    """A micro-batch written twice, once after a fold, changes no total."""
+    from activity_engine.streaming import stream as st
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    totals = "agent_sk long, date_key int, invites_sent long, invites_accepted long, messages_sent long," \
+             " replies_received long, as_of int, batch_id int"
+
+    def put(batch, sent):
+        w.overwrite_partitions(st.COUNTS, spark.createDataFrame([(1, 20260801, sent, 0, 0, 0, batch, batch)], totals), "batch_id")
+
+    put(0, 2)
+    put(1, 5)
+    put(1, 5)
+    assert st.read_daily_counts(w).first().invites_sent == 5
+    st.fold_daily_counts(w)
+    put(0, 2)
+    put(1, 5)
+    assert [r.invites_sent for r in st.read_daily_counts(w).collect()] == [5]
 
 
 def test_read_activity_files_orders_by_row(spark, tmp_path):
@@ -188,21 +217,3 @@ def test_cli_steps(spark, tmp_path):
     assert (ingest["records_loaded"], ingest["records_quarantined_dlq"]) == (2, 3)
     assert risk_step["records_processed"] == 1
     assert "fact_outreach_activity" in export["tables"]
-
-
-def test_stream_counts_compaction(spark, tmp_path):
-    from activity_engine.streaming import stream as st
-    w = Warehouse(spark, str(tmp_path / "wh"))
-    schema = "agent_id string, date_key int, event_type string"
-    src = str(tmp_path / "in")
-    for i in range(5):   # five files, one micro-batch each
-        spark.createDataFrame([("A", 20260801 + i % 2, "INVITE_SENT")] * (i + 1), schema) \
-            .coalesce(1).write.mode("append").parquet(src)
-    q = st.start_daily_counts(st.read_event_stream(spark, src, "*.parquet", max_files=1), w,
-                              str(tmp_path / "ck"), compact_every=2)
-    q.awaitTermination()
-    got = {(r.date_key, r.invites_sent) for r in st.read_daily_counts(w).collect()}
-    assert got == {(20260801, 1 + 3 + 5), (20260802, 2 + 4)}
-    assert st.compacted_through(w) == 4
-    parts = {r.batch_id for r in w.read("stream_daily_count_deltas").select("batch_id").distinct().collect()}
-    assert parts == {-1}
