@@ -24,6 +24,7 @@ from activity_engine.operators import quality as dq
 from activity_engine.operators.daily import with_rates
 from activity_engine.operators.keys import assign_surrogate_keys
 from activity_engine.plans.star import build_star
+from activity_engine.schemas import KEYS, TABLES, violations, with_long_keys
 from activity_engine.session import scratch_path
 from activity_engine.sources import fixtures as fx
 from activity_engine.sources.payload import Payload
@@ -497,7 +498,7 @@ def fixture_warehouse(spark, sf, tag: str):
     from activity_engine.plans import pipeline as pl
     from activity_engine.sources.tables import Warehouse
     root = scratch_path(spark, "queries", f"{tag}-{uuid.uuid4().hex[:8]}")
-    wh = Warehouse(spark, f"{root}/wh")
+    wh = Warehouse(spark, f"{root}/wh", with_long_keys(TABLES))   # the driver tables' keys are numbers
     pl.init_warehouse(wh, fx.calendar_bounds(spark, sf))
     return wh, root
 
@@ -654,3 +655,168 @@ def q_kpi_risk_total(spark, sf):
 def q_kpi_campaign_total(spark, sf):
     s = build_star(spark, sf)
     return measures.campaign(s.fact, star_dims(s), [])
+
+
+# -- the warehouse itself: catalog, export, ledgers, gate, versions, payload -----------
+
+
+@query("warehouse_catalog")
+def q_catalog(spark, sf):
+    """Every table after init and one run, with what a database would have refused."""
+    from activity_engine.plans import pipeline as pl
+    wh, root = fixture_warehouse(spark, sf, "catalog")
+    pl.run_pipeline(wh, fixture_payload(spark, sf), "run-1", f"{root}/dlq", RUN_NOW)
+    checked = [violations(wh.read(t), t, wh.catalog[t]) for t in KEYS]
+    out = checked[0]
+    for more in checked[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query("warehouse_export")
+def q_export(spark, sf):
+    """All eight tables exported, those without rows too, and read back: columns and rows."""
+    from activity_engine.plans import pipeline as pl
+    from activity_engine.sources.sinks import export_warehouse
+    wh, root = fixture_warehouse(spark, sf, "export")
+    pl.run_pipeline(wh, fixture_payload(spark, sf), "run-1", f"{root}/dlq", RUN_NOW)
+    out = None
+    for fmt in ("csv", "parquet"):
+        for table in export_warehouse(wh, f"{root}/{fmt}", fmt):
+            back = spark.read.format(fmt).options(**({"header": True} if fmt == "csv" else {})).load(f"{root}/{fmt}/{table}")
+            row = back.agg(F.lit(fmt).alias("format"), F.lit(table).alias("table_name"),
+                           F.lit(",".join(back.columns)).alias("columns"), F.count(F.lit(1)).alias("rows"))
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("pipeline_ledgers")
+def q_ledgers(spark, sf):
+    """The early events, then all of them incrementally: both runs' ledger rows."""
+    from activity_engine.plans import pipeline as pl
+    wh, root = fixture_warehouse(spark, sf, "ledgers")
+    p = fixture_payload(spark, sf)
+    pl.load_dimensions(wh, p, RUN_NOW)
+    early = p.activities.where(F.col("event_timestamp") < stream_midpoint(p.activities))
+    pl.ingest_activities(wh, early, "early", f"{root}/dlq", RUN_NOW)
+    pl.ingest_activities(wh, p.activities, "all", f"{root}/dlq", RUN_NOW, incremental=True)
+    audit = wh.read("dq_audit_log").groupBy(F.col("pipeline_run_id").alias("run_id")).agg(
+        F.count(F.lit(1)).alias("audit_rows"), F.sum("records_failed").alias("audit_failed"))
+    return wh.read("pipeline_runs").join(audit, "run_id").select(
+        "run_id", "source_system", "records_ingested", "records_loaded", "records_inserted",
+        "records_quarantined_dlq", "watermark_timestamp", "audit_rows", "audit_failed")
+
+
+@query("load_gate")
+def q_gate(spark, sf):
+    """A batch under the threshold loads nothing when gated."""
+    from activity_engine.plans import pipeline as pl
+    wh, root = fixture_warehouse(spark, sf, "gate")
+    pl.run_pipeline(wh, fixture_payload(spark, sf), "gated", f"{root}/dlq", RUN_NOW,
+                    DQConfig(pass_threshold=99.0), gate=True)
+    return wh.read("pipeline_runs").select(
+        "run_id", "status", "records_ingested", "records_loaded", "records_inserted").withColumn(
+        "fact_rows", wh.read("fact_outreach_activity").agg(F.count(F.lit(1))).scalar())
+
+
+@query("agent_versions")
+def q_versions(spark, sf):
+    """The dates of closed, current and new agent versions."""
+    from activity_engine.operators.dims import scd2_merge
+    from activity_engine.plans.star import agent_dim
+    began = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    current = agent_dim(spark, sf).withColumn("effective_date", began)
+    c = fx.read_table(spark, sf, "customer")
+    incoming = fx.agents(spark, sf).drop("status").join(
+        c.select(F.col("c_custkey").alias("agent_id"),
+                 F.when(F.col("c_acctbal") < 1000, "PAUSED").otherwise("ACTIVE").alias("status")), "agent_id")
+    merged = scd2_merge(current, incoming, "agent_id", "agent_sk", ["status"],
+                        F.to_timestamp(F.lit("2024-02-01 00:00:00")))
+    return utc_wall_clock(merged.select("agent_id", "status", "is_current", "effective_date", "end_date"),
+                          "effective_date", "end_date")
+
+
+@query("timestamp_parse")
+def q_timestamps(spark, sf):
+    """Event times as texts of four forms, one of them no time."""
+    from activity_engine.functions.dates import to_event_ts
+    e = fx.events(spark, sf)
+    at, form = F.col("event_timestamp"), F.col("event_id") % 4
+    text = (F.when(form == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+            .when(form == 1, F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+            .when(form == 2, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
+            .otherwise(F.concat(F.lit("about "), F.date_format(at, "yyyy-MM-dd"))))
+    texts = e.select("event_id", text.alias("text"))
+    return utc_wall_clock(texts.select("event_id", "text", to_event_ts("text").alias("event_ts")), "event_ts")
+
+
+@query("ceiling_breach_low")
+def q_breach_low(spark, sf):
+    """Breaches when every ceiling is one a day."""
+    from activity_engine.operators.daily import daily_activity
+    s = build_star(spark, sf)
+    one = s.dim_agent.withColumns({"daily_invite_ceiling": F.lit(1), "daily_message_ceiling": F.lit(1)})
+    d = with_rates(daily_activity(s.fact, one, s.dim_date))
+    return risk.ceiling_breaches(d).select("agent_id", "date_key", "invites_sent", "messages_sent",
+                                           "invite_limit_utilization_pct", "message_limit_utilization_pct")
+
+
+@query("tier_mismatches")
+def q_tier_mismatches(spark, sf):
+    """Every third agent sends more than its tier allows."""
+    a = fx.agents(spark, sf).withColumn(
+        "daily_invite_ceiling", F.col("daily_invite_ceiling") + F.when(F.col("agent_id") % 3 == 0, 5).otherwise(0))
+    return risk.tier_check(a).where("ceiling_mismatch").select("agent_id", "account_age_tier", "tier_invite_ceiling")
+
+
+@query("ewma_first_day")
+def q_first_day(spark, sf):
+    """A baseline from the first day on; the deviation needs one day more."""
+    from activity_engine.functions.numeric import np_round
+    d = scored_events(spark, sf, RiskConfig(min_points=1))
+    return d.select("agent_id", "date_key", np_round("rolling_mean_acc", 9).alias("rolling_mean_acc"),
+                    np_round("rolling_std_acc", 9).alias("rolling_std_acc"), "risk_level")
+
+
+@query("payload_roundtrip")
+def q_payload(spark, sf):
+    """Agents and events as JSON documents, one line each, some cut short; read, loaded, dead letters.
+
+    A document holds the events of one agent and hour; agents' links come under the
+    source's name. Every document whose number divides by 50 loses its end.
+    """
+    from activity_engine.plans import pipeline as pl
+    from activity_engine.schemas import ACTIVITY_BATCH
+    from activity_engine.sources.payload import read_payload
+    from activity_engine.sources.sinks import read_dead_letters
+    from activity_engine.sources.tables import Warehouse
+    root = scratch_path(spark, "queries", f"payload-{uuid.uuid4().hex[:8]}")
+    e = fx.events(spark, sf)
+    fields = [F.col(f.name).cast(f.dataType if f.name != "event_timestamp" else "timestamp").cast(f.dataType).alias(f.name)
+              for f in ACTIVITY_BATCH.fields]
+    hour = (F.unix_seconds("event_timestamp") / 3600).cast("long").alias("hour")
+    docs = (e.groupBy("agent_id", hour).agg(
+        F.min("event_id").alias("number"), F.sort_array(F.collect_list(F.struct(*fields))).alias("activities"))
+        .select("number", F.to_json(F.struct("activities")).alias("value")))
+    cut = F.when(F.col("number") % 50 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value"))
+    docs.select(cut.alias("value")).write.text(f"{root}/in")
+    agents = fx.agents(spark, sf).withColumn("agent_id", F.col("agent_id").cast("string"))
+    agents.select(F.to_json(F.struct(F.array(F.struct(
+        *[F.col(c) for c in agents.columns if c != "profile_url"], F.col("profile_url").alias("linkedin_profile_url")))
+        .alias("agents"))).alias("value")).write.mode("append").text(f"{root}/in")
+    others = [(fx.leads(spark, sf), "leads", "lead_id"), (fx.campaigns(spark, sf), "campaigns", "campaign_id")]
+    for df, name, key in others:
+        df = df.withColumn(key, F.col(key).cast("string"))
+        df.select(F.to_json(F.struct(F.array(F.struct(*df.columns)).alias(name))).alias("value")) \
+            .write.mode("append").text(f"{root}/in")
+    wh = Warehouse(spark, f"{root}/wh")
+    pl.init_warehouse(wh, fx.calendar_bounds(spark, sf))
+    pl.run_pipeline(wh, read_payload(spark, f"{root}/in", multi_line=False), "run-1", f"{root}/dlq", RUN_NOW)
+    a = wh.read("dim_agent").select("agent_sk", "agent_id", "profile_url")
+    loaded = wh.read("fact_outreach_activity").join(a, "agent_sk").select(
+        F.lit("loaded").alias("outcome"), F.col("event_id").cast("long").alias("event_id"), "profile_url",
+        F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+    dead = read_dead_letters(spark, f"{root}/dlq").groupBy("failure_reason").agg(F.count(F.lit(1)).alias("event_id"))
+    return loaded.unionByName(dead.select(
+        F.col("failure_reason").alias("outcome"), "event_id", F.lit(None).cast("string").alias("profile_url"),
+        F.lit(None).cast("timestamp_ntz").alias("event_ts")))

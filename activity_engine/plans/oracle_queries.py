@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from activity_engine.config import TIER_LIMITS
-from activity_engine.plans.oracle import (BASE_CTES, LONG_CTES, RISK_OUT, risk_ctes,
+from activity_engine.config import QUARANTINE_REASON, SOURCE_SYSTEM, TIER_LIMITS
+from activity_engine.schemas import TABLES
+from activity_engine.plans.oracle import (BASE_CTES, D, LONG_CTES, RISK_OUT, risk_ctes,
                                           with_ctes, rates_cte)
 
 ORACLE: dict[str, str] = {}
@@ -581,3 +582,81 @@ sql("kpi_filtered", with_ctes(FILTERED_CTES, " UNION ALL ".join([
     FILTERED_LEVEL.format(tier="a.account_age_tier", level=0, group="account_age_tier,", by="GROUP BY 1",
                           on="a.account_age_tier = f.account_age_tier"),
     FILTERED_LEVEL.format(tier="CAST(NULL AS VARCHAR)", level=1, group="", by="", on="true")])))
+
+
+# -- the warehouse itself ---------------------------------------------------------------
+
+TABLE_ROWS = {
+    "dim_date": "(SELECT count(*) FROM dim_date)", "dim_agent": "(SELECT count(*) FROM customer)",
+    "dim_lead": "(SELECT count(*) FROM part)", "dim_campaign": "(SELECT count(*) FROM region)",
+    "fact_outreach_activity": "(SELECT count(*) FROM fact)", "fact_daily_agent_metric": "0",
+    "dq_audit_log": "5", "pipeline_runs": "1"}
+sql("warehouse_catalog", with_ctes(BASE_CTES, " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST({n} AS BIGINT) AS rows, CAST(0 AS BIGINT) AS null_fields, CAST(0 AS BIGINT) AS duplicate_keys"
+    for t, n in TABLE_ROWS.items())))
+sql("warehouse_export", with_ctes(BASE_CTES, " UNION ALL ".join(
+    f"SELECT '{f}' AS format, '{t}' AS table_name, '{','.join(TABLES[t].names)}' AS columns, CAST({n} AS BIGINT) AS rows"
+    for f in ("csv", "parquet") for t, n in TABLE_ROWS.items())))
+
+RUN = """SELECT '{run}' AS run_id, '{source}' AS source_system, CAST((SELECT count(*) FROM v_event WHERE {seen}) AS BIGINT) AS records_ingested,
+  (SELECT count(*) FROM fact WHERE {loaded}) AS records_loaded, (SELECT count(*) FROM fact WHERE {loaded}) AS records_inserted,
+  (SELECT count(*) FROM resolved WHERE {loaded}) - (SELECT count(*) FROM fact WHERE {loaded}) AS records_quarantined_dlq,
+  (SELECT strftime(max(event_timestamp), '%Y-%m-%dT%H:%M:%S.%fZ') FROM v_event WHERE {seen}) AS watermark_timestamp,
+  CAST(5 AS BIGINT) AS audit_rows,
+  CAST((SELECT count(*) FROM v_event WHERE {seen} AND {invalid})
+    + (SELECT count(DISTINCT campaign_id) FROM v_event WHERE {seen} AND campaign_id >= 5) AS BIGINT) AS audit_failed"""
+FIRST_HALF = f"event_timestamp < (SELECT {MID} FROM v_event)"
+sql("pipeline_ledgers", with_ctes(BASE_CTES, " UNION ALL ".join([
+    RUN.format(run="early", source=SOURCE_SYSTEM, seen=FIRST_HALF, loaded=FIRST_HALF, invalid=INVALID),
+    RUN.format(run="all", source=SOURCE_SYSTEM, seen="true", invalid=INVALID,
+               loaded=f"event_timestamp > (SELECT max(event_timestamp) FROM v_event WHERE {FIRST_HALF})")])))
+
+sql("load_gate", """SELECT 'gated' AS run_id, 'WARNING_DQ_THRESHOLD' AS status, count(*) AS records_ingested,
+  CAST(0 AS BIGINT) AS records_loaded, CAST(0 AS BIGINT) AS records_inserted, CAST(0 AS BIGINT) AS fact_rows FROM events""")
+
+sql("agent_versions", with_ctes(BASE_CTES, """,
+j AS (SELECT d.agent_id, d.status, CASE WHEN c_acctbal < 1000 THEN 'PAUSED' ELSE 'ACTIVE' END AS new_status
+      FROM dim_agent d JOIN customer ON c_custkey = d.agent_id)
+SELECT agent_id, status, CASE WHEN status = new_status THEN 1 ELSE 0 END AS is_current,
+  TIMESTAMP '2024-01-01 00:00:00' AS effective_date,
+  CASE WHEN status <> new_status THEN TIMESTAMP '2024-02-01 00:00:00' END AS end_date FROM j
+UNION ALL
+SELECT agent_id, new_status, 1, TIMESTAMP '2024-02-01 00:00:00', NULL FROM j WHERE status <> new_status""")
+    .replace("\n,\nj AS", ",\nj AS"))
+
+sql("timestamp_parse", """SELECT event_id,
+  CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+    WHEN 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+02:00') ELSE 'about ' || strftime(ts, '%Y-%m-%d') END AS text,
+  CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts)
+    WHEN 2 THEN date_trunc('second', ts) - INTERVAL 2 HOUR END AS event_ts
+FROM events""")
+
+sql("ceiling_breach_low", with_ctes(BASE_CTES, f"""
+SELECT agent_id, date_key, invites_sent, messages_sent,
+  round_even(invites_sent{D} * 100.0{D}, 2) + 0.0{D} AS invite_limit_utilization_pct,
+  round_even(messages_sent{D} * 100.0{D}, 2) + 0.0{D} AS message_limit_utilization_pct
+FROM daily WHERE invites_sent > 1 OR messages_sent > 1"""))
+
+sql("tier_mismatches", with_ctes(BASE_CTES, """
+SELECT a.agent_id, a.account_age_tier, t.daily_invite_ceiling AS tier_invite_ceiling
+FROM v_agent a JOIN tiers t ON a.account_age_tier = t.account_age_tier WHERE a.agent_id % 3 = 0"""))
+
+FIRST_DAY_CTES = [c.replace("a.t >= 5", "a.t >= 1").replace("(a.s1 * a.s1 - a.s2)", "nullif(a.s1 * a.s1 - a.s2, 0)")
+                  .replace("WHEN t = 5 THEN ew_mean", "WHEN t = 1 THEN ew_mean")
+                  .replace("WHEN t = 5 THEN sqrt(ew_var)", "WHEN t = 2 THEN sqrt(ew_var)") for c in risk_ctes("daily")]
+sql("ewma_first_day", with_ctes(BASE_CTES + FIRST_DAY_CTES, """
+SELECT agent_id, date_key, round_even(rolling_mean_acc, 9) + 0.0 AS rolling_mean_acc,
+  round_even(rolling_std_acc, 9) + 0.0 AS rolling_std_acc, risk_level
+FROM scored"""))
+
+sql("payload_roundtrip", with_ctes(BASE_CTES, """,
+docs AS (SELECT agent_id, epoch_us(event_timestamp) // 3600000000 AS hour, min(event_id) % 50 = 0 AS cut
+         FROM v_event GROUP BY 1, 2),
+sent AS (SELECT r.*, d.cut FROM resolved r JOIN docs d
+         ON r.agent_id = d.agent_id AND epoch_us(r.event_timestamp) // 3600000000 = d.hour)
+SELECT 'loaded' AS outcome, event_id, 'profiles/' || agent_id AS profile_url, event_timestamp AS event_ts
+FROM sent WHERE NOT cut AND campaign_sk IS NOT NULL
+UNION ALL
+SELECT '""" + QUARANTINE_REASON.replace("'", "''") + """', count(*), NULL, NULL FROM sent WHERE NOT cut AND campaign_sk IS NULL
+UNION ALL
+SELECT 'Document could not be parsed', count(*), NULL, NULL FROM docs WHERE cut""").replace("\n,\ndocs", ",\ndocs"))

@@ -24,9 +24,12 @@ from activity_engine.operators.dims import insert_if_absent, scd2_merge
 from activity_engine.operators.keys import resolve_keys
 from activity_engine.sources.event_index import EventIdIndex
 from activity_engine.sources.payload import Payload
-from activity_engine.sources.sinks import write_dead_letters
+from activity_engine.sources.sinks import corrupt_letters, write_dead_letters
 from activity_engine.sources.tables import Warehouse
 
+#: Columns that tables are partitioned by: days, runs of a ledger, parts of the snapshot.
+PARTITIONED = {"fact_outreach_activity": ["date_key"], "dq_audit_log": ["_run"], "pipeline_runs": ["_run"],
+               "fact_daily_agent_metric": ["agent_bucket"]}
 SNAPSHOT_BUCKETS = 64       # parts of the risk snapshot that a refresh replaces
 WATERMARK_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -42,7 +45,10 @@ def _now_lit(now) -> F.Column:
 # -- E6 ----------------------------------------------------------------------------
 
 def init_warehouse(wh: Warehouse, start: str = CALENDAR_START, end: str = CALENDAR_END) -> int:
-    """Calendar insert-or-ignore (P1, J9); other tables appear on first write."""
+    """Every table of the catalog, empty, then the calendar insert-or-ignore."""
+    for table in wh.catalog:
+        if table != "dim_date":
+            wh.create(table, PARTITIONED.get(table))
     cal = calendar(wh.spark, start, end)
     cur = wh.read("dim_date")
     new = cal if cur is None else cal.join(cur.select("date_key"), "date_key", "left_anti")
@@ -108,7 +114,7 @@ def _load_simple_dim(wh: Warehouse, table: str, key: str, sk: str, recs: DataFra
 # -- E2 ----------------------------------------------------------------------------
 
 def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
-               now=None, watermark: str | None = None) -> dict:
+               now=None, watermark: str | None = None, corrupt: DataFrame | None = None) -> dict:
     """J1 -> F4/F5 -> S6 and P5 -> W9 -> J4 -> append (partitioned by day).
 
     Returns ``valid`` (rows passing the quarantine, the studied pipeline's
@@ -117,7 +123,7 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
     spark = wh.spark
     dims = [wh.read(t) for t in ("dim_agent", "dim_lead", "dim_campaign")]
     if any(d is None for d in dims):
-        raise RuntimeError("load dimensions before facts")
+        raise RuntimeError("initialise the warehouse before loading facts")
     batch = activities
     if watermark is not None:  # X6: only events after the high-watermark
         ts = F.try_to_timestamp(F.col("event_timestamp").cast("string"))
@@ -126,7 +132,8 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
     new = None
     try:
         valid, dead = ingest.split_quarantine(resolved, list(batch.columns), _now_lit(now))
-        write_dead_letters(dead, dlq_path, run_id)
+        write_dead_letters(dead, dlq_path, run_id,
+                           None if corrupt is None else corrupt_letters(corrupt, _now_lit(now)))
         # Valid/quarantined counts: one aggregate over the cached batch.
         bad = ingest.quarantine_flag(resolved)
         c = resolved.agg(F.count_if(~bad).alias("valid"), F.count_if(bad).alias("dead")).first()
@@ -211,12 +218,17 @@ def replace_run(wh: Warehouse, table: str, rows: DataFrame, run_id: str, few: bo
 
 # -- watermark (S9, S10) ---------------------------------------------------------
 
-def get_watermark(wh: Warehouse) -> str:
+def last_watermark(wh: Warehouse) -> tuple[str, bool]:
+    """The highest watermark of all runs (the default if none has one), and whether there was a run."""
     runs = wh.read("pipeline_runs")
     if runs is None:
-        return DEFAULT_WATERMARK
-    v = runs.agg(F.max("watermark_timestamp")).first()[0]
-    return v or DEFAULT_WATERMARK
+        return DEFAULT_WATERMARK, False
+    r = runs.agg(F.max("watermark_timestamp").alias("mark"), F.count(F.lit(1)).alias("n")).first()
+    return r.mark or DEFAULT_WATERMARK, r.n > 0
+
+
+def get_watermark(wh: Warehouse) -> str:
+    return last_watermark(wh)[0]
 
 
 # -- E3 ----------------------------------------------------------------------------
@@ -228,12 +240,13 @@ def run_pipeline(wh: Warehouse, payload: Payload, run_id: str, dlq_path: str, no
     start = _dt.datetime.now(_dt.timezone.utc)
     load_dimensions(wh, payload, now, track_agent_columns)
     return ingest_activities(wh, payload.activities, run_id, dlq_path, now, cfg, gate,
-                             incremental, start)
+                             incremental, start, payload.corrupt)
 
 
 def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
                       now=None, cfg: DQConfig = DQConfig(), gate: bool = False,
-                      incremental: bool = False, start: _dt.datetime | None = None) -> dict:
+                      incremental: bool = False, start: _dt.datetime | None = None,
+                      corrupt: DataFrame | None = None) -> dict:
     """E3 after the dimensions: DQ audit, fact load, watermark, run ledger.
 
     Also the body of every streaming micro-batch (T4).
@@ -244,13 +257,12 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
     batch = activities.persist()
     audit = quality.evaluate_batch(batch, wh.read("dim_agent"), wh.read("dim_campaign"),
                                    "fact_outreach_activity", run_id, now_c, cfg)
-    has_prev = wh.read("pipeline_runs") is not None
-    prev_wm = get_watermark(wh)
+    prev_wm, has_prev = last_watermark(wh)
     with ThreadPoolExecutor(max_workers=1) as pool:
         load = None
         if not gate:  # without the gate the load does not wait for the audit
             load = pool.submit(load_facts, wh, batch, run_id, dlq_path, now,
-                               prev_wm if incremental else None)
+                               prev_wm if incremental else None, corrupt)
         audit_rows = audit.collect()                      # five rows
         audit_df = spark.createDataFrame(audit_rows, audit.schema)
         replace_run(wh, "dq_audit_log", audit_df, run_id)
@@ -268,7 +280,7 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
             counts = {"valid": 0, "inserted": 0, "quarantined": 0}
         else:
             counts = load_facts(wh, batch, run_id, dlq_path, now,
-                                prev_wm if incremental else None)
+                                prev_wm if incremental else None, corrupt)
     # Formatted by Spark in the session time zone (UTC), not by the driver's
     # local clock settings.
     cand = ingest.high_watermark(batch, "event_timestamp", parsed=True) \

@@ -108,6 +108,47 @@ TABLES = {
     "pipeline_runs": PIPELINE_RUNS,
 }
 
+#: Columns that place rows and belong to no table: a run's ledger rows, an agent's part of the snapshot.
+PLACING = {"_marker": "boolean", "_run": "string", "agent_bucket": "int"}
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the table's columns, typed; missing ones are null, others are not stored."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*cols, *[c for c in PLACING if c in df.columns])
+
+
+def with_long_keys(catalog: dict[str, T.StructType]) -> dict[str, T.StructType]:
+    """The catalog for sources whose natural keys are numbers."""
+    keys = set(NATURAL_KEYS.values())
+    return {t: T.StructType([T.StructField(f.name, L, f.nullable) if f.name in keys else f for f in s.fields])
+            for t, s in catalog.items()}
+
+
+def violations(df: DataFrame, table: str, schema: T.StructType) -> DataFrame:
+    """(table_name, rows, null_fields, duplicate_keys): what a database would have refused.
+
+    ``null_fields`` counts nulls in NOT NULL columns, ``duplicate_keys`` rows beyond the
+    first of a key, and beyond one current version of a natural key.
+    """
+    required = [f.name for f in schema.fields if not f.nullable]
+    keys = [KEYS[table]]
+    if table in NATURAL_KEYS:
+        keys.append([NATURAL_KEYS[table], *(["is_current"] if "is_current" in df.columns else [])])
+    nulls = [F.count_if(F.col(c).isNull()) for c in required]
+    total = df.agg(F.count(F.lit(1)).alias("rows"), sum(nulls[1:], nulls[0]).alias("null_fields"))
+    copies = None
+    for key in keys:
+        held = df.where(F.col("is_current") == 1) if "is_current" in key else df
+        more = (held.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("more"))
+                .agg(F.coalesce(F.sum("more"), F.lit(0)).alias("more")))
+        copies = more if copies is None else copies.unionByName(more)
+    extra = copies.agg(F.sum("more").cast("long").alias("duplicate_keys"))
+    return total.select(F.lit(table).alias("table_name"), "rows", "null_fields",
+                        extra.scalar().alias("duplicate_keys"))
+
+
 TIER_SCHEMA = _st(("account_age_tier", S, False), ("tier_risk_classification", S, True),
                   ("tier_invite_ceiling", I, False), ("tier_message_ceiling", I, False),
                   ("cooldown_hours", I, False))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activity_engine.schemas import (ACTIVITY_BATCH, AGENT_RECORD, CAMPAIGN_RECORD,
                                      LEAD_RECORD, PAYLOAD)
@@ -23,31 +24,61 @@ class Payload:
     campaigns: DataFrame
     leads: DataFrame
     activities: DataFrame
+    #: (record, file) of documents that could not be parsed; None where there are none to parse.
+    corrupt: DataFrame | None = None
 
 
-def _explode(doc: DataFrame, field: str, schema) -> DataFrame:
+#: Other names under which a source may send a field: (list, field) -> its names there.
+FIELD_NAMES = {("agents", "profile_url"): ("linkedin_profile_url",)}
+
+
+def payload_schema(names: dict[tuple[str, str], tuple[str, ...]]) -> T.StructType:
+    """The payload's type, with every name a field may have, and the text of corrupt documents."""
+    lists = []
+    for f in PAYLOAD.fields:
+        record = f.dataType.elementType
+        more = [T.StructField(n, record[field].dataType) for (own, field), found in names.items() if own == f.name
+                for n in found]
+        lists.append(T.StructField(f.name, T.ArrayType(T.StructType([*record.fields, *more]))))
+    return T.StructType([*lists, T.StructField("_corrupt", T.StringType())])
+
+
+def _explode(doc: DataFrame, field: str, schema, names) -> DataFrame:
     """One row per record; ``ingest_order`` = (file time, file path, position)."""
     rows = doc.select("_file", F.posexplode_outer(field).alias("_pos", "r")) \
         .where(F.col("r").isNotNull())
     order = F.struct(F.col("_file.file_modification_time").alias("t"),
                      F.col("_file.file_path").alias("f"), F.col("_pos").alias("p"))
-    return rows.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields],
-                       order.alias("ingest_order"))
+    def value(name: str):
+        return F.coalesce(*[F.col(f"r.{n}") for n in (name, *names.get((field, name), ()))]).alias(name)
+
+    return rows.select(*[value(f.name) for f in schema.fields], order.alias("ingest_order"))
+
 
+def read_payload(spark: SparkSession, path: str, multi_line: bool = True,
+                 names: dict[tuple[str, str], tuple[str, ...]] | None = None) -> Payload:
+    """Read JSON payload documents: one a file, or (``multi_line=False``) one a line.
 
-def read_payload(spark: SparkSession, path: str) -> Payload:
-    """Read JSON payload documents (one document per file).
+    ``names`` says what else a field may be called in the source (``FIELD_NAMES`` if
+    not given); the first name that has a value counts. Documents that are no JSON, or
+    hold a value of another type, are in ``corrupt`` with their text; of the latter the
+    lists hold what could be read.
 
     Arrival order is the file's modification time, then its path, then the
     record's position in its list: deterministic under task retries and
     computed per row, with no global numbering step.
     """
-    raw = spark.read.schema(PAYLOAD).option("multiLine", True).json(path)
+    names = FIELD_NAMES if names is None else names
+    raw = (spark.read.schema(payload_schema(names)).option("multiLine", multi_line)
+           .option("columnNameOfCorruptRecord", "_corrupt").json(path))
     doc = raw.select("*", F.col("_metadata").alias("_file"))
-    return Payload(_explode(doc, "agents", AGENT_RECORD),
-                   _explode(doc, "campaigns", CAMPAIGN_RECORD),
-                   _explode(doc, "leads", LEAD_RECORD),
-                   _explode(doc, "activities", ACTIVITY_BATCH))
+    lists = [_explode(doc, field, schema, names) for field, schema in (
+        ("agents", AGENT_RECORD), ("campaigns", CAMPAIGN_RECORD), ("leads", LEAD_RECORD), ("activities", ACTIVITY_BATCH))]
+    # A scan of the corrupt text alone is refused: the first list is read beside it.
+    corrupt = doc.where(F.col("_corrupt").isNotNull()).select(
+        F.concat("_corrupt", F.when(F.size("agents") < 0, " ").otherwise("")).alias("record"),
+        F.col("_file.file_path").alias("file"))
+    return Payload(*lists, corrupt)
 
 
 def from_records(spark: SparkSession, agents=(), campaigns=(), leads=(), activities=()) -> Payload:

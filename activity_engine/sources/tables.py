@@ -18,13 +18,20 @@ import json
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from activity_engine.schemas import PLACING, TABLES, conform
 
 VERSION_DIGITS = 6
+LEDGERS = ("dq_audit_log", "pipeline_runs")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``catalog`` types the tables it names: they are written and read with its columns."""
+
+    def __init__(self, spark: SparkSession, root: str, catalog: dict | None = None):
         self.spark = spark
+        self.catalog = TABLES if catalog is None else catalog
         self.root = root.rstrip("/")
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
@@ -62,18 +69,21 @@ class Warehouse:
 
     # -- read / write ----------------------------------------------------------------
     def read(self, table: str) -> DataFrame | None:
-        """The current version, or None if there is none or it holds no rows
-        (a partitioned write of zero rows commits a version without files).
-        A ledger comes without the columns that place its runs."""
+        """The current version, or None if there is none. A table of the catalog has its
+        columns and types whatever its files hold, and comes without those that place
+        its rows; any other without rows is None (it has no files to read a type from)."""
         rows = self._read(table)
         if rows is not None and "_marker" in rows.columns:
-            rows = rows.where(~F.col("_marker")).drop("_marker", "_run")
-        return rows
+            rows = rows.where(~F.coalesce("_marker", F.lit(False))).drop("_marker", "_run")
+        return rows.select(*self.catalog[table].names) if rows is not None and table in self.catalog else rows
 
     def _read(self, table: str) -> DataFrame | None:
         path = self.current_path(table)
         if not path:
             return None
+        if table in self.catalog:
+            marked = [T.StructField("_marker", T.BooleanType())] if table in LEDGERS else []
+            return self.spark.read.schema(T.StructType([*self.catalog[table].fields, *marked])).parquet(path)
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
@@ -81,9 +91,19 @@ class Warehouse:
                 return None
             raise
 
+    def _typed(self, table: str, df: DataFrame) -> DataFrame:
+        return conform(df, self.catalog[table]) if table in self.catalog else df
+
+    def create(self, table: str, partition_by: list[str] | None = None) -> None:
+        """An empty table of the catalog, if there is none yet."""
+        if not self.exists(table):
+            rows = self.spark.createDataFrame([], self.catalog[table])
+            placing = [c for c in partition_by or [] if c not in rows.columns]
+            self.rewrite(table, rows.withColumns({c: F.lit(None).cast(PLACING[c]) for c in placing}), partition_by)
+
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
         path = self.current_path(table) or self._vpath(table, 1)
-        w = df.write.mode("append")
+        w = self._typed(table, df).write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -94,7 +114,7 @@ class Warehouse:
         vs = self.versions(table)
         path = self._vpath(table, (vs[-1] + 1) if vs else 1)
         # A fresh directory: static mode, so the job commit writes _SUCCESS.
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        w = self._typed(table, df).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -109,7 +129,7 @@ class Warehouse:
         path = self.current_path(table)
         if path is None:
             return self.rewrite(table, df, [partition_col])
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._typed(table, df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
         return path
 

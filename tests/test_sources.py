@@ -51,7 +51,7 @@ def test_gate_blocks_failed_batch(spark, tmp_path):
     out = pl.run_pipeline(w, p, "gated", str(tmp_path / "dlq"), now="2026-08-19 14:00:00",
                           gate=True)
     assert out["status"] == "WARNING_DQ_THRESHOLD" and out["records_inserted"] == 0
-    assert w.read("fact_outreach_activity") is None
+    assert w.read("fact_outreach_activity").isEmpty()
 
 
 def test_incremental_skips_old_events(spark, tmp_path):
