@@ -53,8 +53,10 @@ SUPPORT = 3
 THRESHOLD = 0.95
 #: Characters of the stem that a term is generalised to.
 STEM = 4
-#: Bits of the largest table of words.
+#: Bits of the largest table of words, bits a word and bits set for one.
 MOST_BITS = 1 << 27
+WORD_BITS = 24
+WORD_SLOTS = 6
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -155,24 +157,25 @@ def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str
 
 # -- tables of words ----------------------------------------------------------------
 
-def _slot(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1
+def _slots(word: str, size: int) -> list[int]:
+    digest = xxhash.xxh3_128_intdigest(word.encode("utf-8", "surrogatepass"))
+    first, step = digest >> 64, digest & (1 << 64) - 1 | 1
+    return [(first + k * step) % size for k in range(WORD_SLOTS)]
 
 
 class WordTable:
-    """Bits of a set of words: what is not in the set is found with a chance of 1 in 16."""
+    """Bloom filter of a set of words: what is not in the set is found with a chance under 1 in 1,000."""
 
     def __init__(self, words: DataFrame, column: str):
         count = words.count()
-        self.size = min(MOST_BITS, 1 << max(10, (16 * count - 1).bit_length() if count else 0))
-        shift = self.size
+        self.size = size = min(MOST_BITS, 1 << max(16, (WORD_BITS * count).bit_length()))
 
         def slots(batches):
-            bits = np.zeros(shift // 8, np.uint8)
+            bits = np.zeros(size // 8, np.uint8)
             for batch in batches:
                 for word in batch.column(0).to_pylist():
-                    s = _slot(word) % shift
-                    bits[s >> 3] |= 1 << (s & 7)
+                    for s in _slots(word, size):
+                        bits[s >> 3] |= 1 << (s & 7)
             # Only words of 64 bits that hold something leave the task.
             whole = bits.view(np.int64)
             at = np.flatnonzero(whole)
@@ -180,7 +183,7 @@ class WordTable:
 
         parts = (words.select(column).mapInArrow(slots, "at long, bits long")
                  .groupBy("at").agg(F.bit_or("bits").alias("bits")))
-        whole = np.zeros(shift // 64, np.int64)
+        whole = np.zeros(size // 64, np.int64)
         found = parts.toArrow()                       # at most MOST_BITS / 64 rows
         whole[np.asarray(found.column("at"))] = np.asarray(found.column("bits"))
         self.bits = words.sparkSession.sparkContext.broadcast(whole.tobytes())
@@ -190,8 +193,7 @@ class WordTable:
         bits, size = self.bits.value, self.size
 
         def holds(word: str) -> bool:
-            s = _slot(word) % size
-            return bits[s >> 3] >> (s & 7) & 1 == 1
+            return all(bits[s >> 3] >> (s & 7) & 1 for s in _slots(word, size))
 
         return Cache(holds)
 
