@@ -439,8 +439,10 @@ def q_kpi_filtered(spark, sf):
     volumes = measures.core(fact, dims, by, rollup=True).drop("total_invites_sent", "total_messages_sent")
     figures = measures.capacity(fact, dims, by, rollup=True)
     keyed = [F.coalesce(F.col(n).cast("string"), F.lit("all")).alias(f"_{n}") for n in names]
-    return (figures.select("*", *keyed).join(volumes.select("*", *keyed).drop(*names), [f"_{n}" for n in names], "left")
-            .drop(*[f"_{n}" for n in names]))
+    both = figures.select("*", *keyed).join(volumes.select("*", *keyed).drop(*names), [f"_{n}" for n in names], "left")
+    # A tier without facts has members but no volumes: they are zero.
+    return both.select(*figures.columns, *[F.coalesce(F.col(c), F.lit(0)).cast(volumes.schema[c].dataType).alias(c)
+                                           for c in volumes.columns if c not in names])
 
 
 # -- risk extras: tier matrix, breaches, cooldown, ghosting, reply decay --------------

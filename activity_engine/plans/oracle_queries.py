@@ -572,8 +572,9 @@ FILTERED_CTES = BASE_CTES + [
     """chosen AS (SELECT f.*, a.account_age_tier FROM fact f JOIN chosen_agents a USING (agent_sk)
       JOIN chosen_days USING (date_key))"""]
 FILTERED_LEVEL = f"""SELECT {{tier}} AS account_age_tier, CAST({{level}} AS BIGINT) AS grouping_id, {CAPACITY_OUT},
-  acc AS total_invites_accepted, {sdiv('acc', 'inv')} AS acceptance_rate, rep AS total_replies_received,
-  {sdiv('rep', 'msg')} AS reply_rate, conv AS total_conversions, {sdiv('conv', 'inv')} AS conversion_rate
+  coalesce(acc, 0) AS total_invites_accepted, coalesce({sdiv('acc', 'inv')}, 0.0) AS acceptance_rate,
+  coalesce(rep, 0) AS total_replies_received, coalesce({sdiv('rep', 'msg')}, 0.0) AS reply_rate,
+  coalesce(conv, 0) AS total_conversions, coalesce({sdiv('conv', 'inv')}, 0.0) AS conversion_rate
 FROM (SELECT {{group}} {DIM_FIGURES['agent']} FROM chosen_agents {{by}}) a
 LEFT JOIN (SELECT {{group}} {EVENT_FIGURES}, count(*) FILTER (WHERE event_type = 'INVITE_ACCEPTED') AS acc,
   count(*) FILTER (WHERE event_type = 'REPLY_RECEIVED') AS rep FROM chosen {{by}}) f ON {{on}},

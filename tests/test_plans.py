@@ -9,7 +9,8 @@ from conftest import SF001
 
 WRITE_PATHS = {"pipeline_run", "risk_model_run", "stream_ingest", "stream_daily_counts",
                "stream_risk_refresh", "dlq_roundtrip", "feed_export_roundtrip",
-               "dim_date_insert_or_ignore", "sk_lookup", "dim_insert_if_absent", "scd2_merge"}
+               "dim_date_insert_or_ignore", "sk_lookup", "dim_insert_if_absent", "scd2_merge",
+               "warehouse_catalog", "warehouse_export", "pipeline_ledgers", "load_gate", "payload_roundtrip"}
 
 
 def plan_of(df):
