@@ -30,8 +30,13 @@ def ewm_block_size(q: float) -> int:
     return int(math.ceil(40.0 / math.log(1.0 / q)))
 
 
+#: What the rows up to a day hand on to the next ones: rows so far (``n``), decayed sums of
+#: the weights, their squares, the values and their squares, and whether the day was low.
+STATE = ("n", "s1", "s2", "sx", "sxx", "low")
+
+
 def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
-                 alpha: float, min_points: int, prefix: str) -> DataFrame:
+                 alpha: float, min_points: int, prefix: str, base: str | None = None) -> DataFrame:
     """EW mean and bias-corrected EW variance of the *previous* rows.
 
     Matches ``x.shift(1).ewm(alpha, adjust=True, min_periods).mean()/.var()``:
@@ -45,6 +50,10 @@ def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
     each rescaled by a power of q. Rows two or more blocks back carry weight
     below q**B < e**-40 relative to the newest and are below double
     resolution, so the result equals the unbounded definition.
+
+    ``base`` names a struct column, the same for all rows of a series, with the ``STATE``
+    after the rows that came before (null: none): decayed sums are mergeable, so k rows
+    later they count by a factor ``q**k``. ``<prefix>_state`` has the sums after each row.
     """
     parts = [part] if isinstance(part, str) else list(part)
     q = 1.0 - alpha
@@ -75,16 +84,25 @@ def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
         aa, bb = (a * a, b * b) if sq else (a, b)
         return aa * F.col(f"{p}c{k}") + bb * F.col(f"{p}p{k}")
 
-    s1, s2, sx, sxx = comb("u"), comb("v", sq=True), comb("y"), comb("z")
-    df = df.select("*", s1.alias(f"{p}s1"), s2.alias(f"{p}s2"), sx.alias(f"{p}sx"),
-                   sxx.alias(f"{p}sxx"))
+    sums = {"s1": comb("u"), "s2": comb("v", sq=True), "sx": comb("y"), "sxx": comb("z")}
+    before = F.lit(0).cast("long")
+    if base:
+        fade = F.pow(F.lit(q), t.cast("double"))
+        sums = {k: e + F.coalesce(F.col(base)[k] * (fade * fade if k == "s2" else fade), F.lit(0.0))
+                for k, e in sums.items()}
+        before = F.coalesce(F.col(base)["n"], before)
+    df = df.select("*", *[e.alias(f"{p}{k}") for k, e in sums.items()]).withColumn(f"{p}t", t + before)
     s1, s2 = F.col(f"{p}s1"), F.col(f"{p}s2")
     enough = t >= F.lit(min_points)
     mean = F.try_divide(F.col(f"{p}sx"), s1)
     var_b = F.greatest(F.try_divide(F.col(f"{p}sxx"), s1) - mean * mean, F.lit(0.0))
     var = var_b * F.try_divide(s1 * s1, s1 * s1 - s2)
+    after = {"s1": s1 * q + 1.0, "s2": s2 * (q * q) + 1.0,
+             "sx": F.col(f"{p}sx") * q + F.coalesce(xv, F.lit(0.0)),
+             "sxx": F.col(f"{p}sxx") * q + F.coalesce(xv * xv, F.lit(0.0))}
+    state = F.struct((t + 1).cast("long").alias("n"), *[e.alias(k) for k, e in after.items()])
     df = df.select("*", F.when(enough, mean).alias(f"{prefix}_mean"),
-                   F.when(enough, var).alias(f"{prefix}_var"))
+                   F.when(enough, var).alias(f"{prefix}_var"), state.alias(f"{prefix}_state"))
     # The block number stays as ``<prefix>_blk``: it is monotonic in the row
     # order, so later windows can order by (blk, order) and reuse this sort.
     helpers = [c for c in df.columns if c.startswith(p) and c not in (f"{p}t", f"{p}blk")]
@@ -92,16 +110,26 @@ def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
             .withColumnRenamed(f"{p}blk", f"{prefix}_blk"))
 
 
-def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
-                agent_key: str = "agent_sk", order: str = "date_key") -> DataFrame:
+def settled(cfg: RiskConfig) -> int:
+    """Rows after which no earlier score changes: the first mean and deviation, which fill
+    the rows before them (W4), are known, and the group mean (W5) is not used."""
+    return max(cfg.min_points, 2) + 1
+
+
+def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(), agent_key: str = "agent_sk",
+                order: str = "date_key", base: str | None = None, keep_state: bool = False) -> DataFrame:
     """The full scoring operator over agent × day rows.
 
     Input needs the four counts and both ceilings; output adds rates,
     utilisation, anomaly score, risk level and recommended capacities. One
     shuffle (by agent); every window reuses it.
+
+    ``base`` names a struct column with the agent's ``STATE`` before its first row here,
+    null where the rows are the whole series. It must hold ``settled`` rows or more; the
+    scores are then those of the whole series. ``keep_state`` adds column ``state``.
     """
     d = with_rates(daily)
-    d = ewm_previous(d, agent_key, order, "acceptance_rate", cfg.alpha, cfg.min_points, "acc")
+    d = ewm_previous(d, agent_key, order, "acceptance_rate", cfg.alpha, cfg.min_points, "acc", base)
     t = F.col("acc_t")
     w_all = Window.partitionBy(agent_key)
     # (block, day) is the same order as day; it matches the sort already done.
@@ -121,7 +149,8 @@ def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
     d = d.withColumn("anomaly_score", np_round(F.coalesce(z, F.lit(0.0)), 3))   # W7, P18
     low = (F.col("invites_sent") > 0) & (F.col("acceptance_rate") <= F.lit(cfg.low_acceptance))
     d = d.withColumn("_low", low)
-    two_low = F.col("_low") & F.coalesce(F.lag("_low").over(w_row), F.lit(False))   # W8
+    low_before = [F.lag("_low").over(w_row), *([F.col(base)["low"]] if base else [])]
+    two_low = F.col("_low") & F.coalesce(*low_before, F.lit(False))                 # W8
     z = F.col("anomaly_score")
     critical = (z <= F.lit(cfg.z_critical)) | two_low                          # F10
     warning = (z <= F.lit(cfg.z_warning)) | (
@@ -140,7 +169,10 @@ def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
         F.greatest(F.lit(cfg.min_messages),
                    F.floor(F.col("daily_message_ceiling") * mult)).cast("int")
         .alias("recommended_message_capacity"))
-    return d.drop("_low", "acc_mean", "acc_var", "acc_blk")
+    if keep_state:
+        d = d.withColumn("state", F.struct(*[F.col("acc_state")[k].alias(k) for k in STATE[:-1]],
+                                           F.col("_low").alias("low")))
+    return d.drop("_low", "acc_mean", "acc_var", "acc_blk", "acc_state")
 
 
 def risk_summary(scored: DataFrame) -> DataFrame:
@@ -227,7 +259,7 @@ def reply_decay(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
     return d.select(
         "*", change.alias("reply_baseline_change"),
         F.coalesce(change <= F.lit(-cfg.reply_decay_pct), F.lit(False)).cast("int")
-        .alias("reply_decay_flag")).drop("rep_var", "rep_blk")
+        .alias("reply_decay_flag")).drop("rep_var", "rep_blk", "rep_state")
 
 
 __all__ = ["ewm_previous", "score_daily", "risk_summary", "ceiling_breaches", "tier_check",

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from activity_engine.config import (DEFAULT_WATERMARK, SOURCE_SYSTEM, CALENDAR_END,
                                     CALENDAR_START, DQConfig, RiskConfig)
 from activity_engine.functions.dates import calendar
-from activity_engine.operators import ingest, quality, risk
-from activity_engine.operators.daily import daily_activity
+from activity_engine.operators import ingest, quality
 from activity_engine.operators.dims import insert_if_absent, scd2_merge
 from activity_engine.operators.keys import resolve_keys
+from activity_engine.plans.risk_snapshot import AGENTS_PER_PART, PARTS, SNAPSHOT, RiskSnapshot
 from activity_engine.sources.event_index import EventIdIndex
 from activity_engine.sources.payload import Payload
 from activity_engine.sources.sinks import corrupt_letters, write_dead_letters
@@ -29,8 +29,7 @@ from activity_engine.sources.tables import Warehouse
 
 #: Columns that tables are partitioned by: days, runs of a ledger, parts of the snapshot.
 PARTITIONED = {"fact_outreach_activity": ["date_key"], "dq_audit_log": ["_run"], "pipeline_runs": ["_run"],
-               "fact_daily_agent_metric": ["agent_bucket"]}
-SNAPSHOT_BUCKETS = 64       # parts of the risk snapshot that a refresh replaces
+               SNAPSHOT: PARTS}
 WATERMARK_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -308,37 +307,24 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
 # -- E4 ----------------------------------------------------------------------------
 
 def run_risk_model(wh: Warehouse, cfg: RiskConfig = RiskConfig(), now=None,
-                   affected_agents: DataFrame | None = None) -> dict:
-    """A1 -> W11 -> J8 (replaces the scored agents' part of the snapshot) -> A15.
+                   affected: DataFrame | None = None, agents_per_part: int = AGENTS_PER_PART) -> dict:
+    """A1 -> W11 -> J8 -> A15 over the agent-day counts, which each load maintains.
 
-    The snapshot is partitioned by a hash bucket of the agent. With
-    ``affected_agents`` (rows of ``agent_sk``, T5) only the buckets of agents with
-    new events are scored, from their whole history, and replaced.
+    Without ``affected`` everything is scored. With it (T5: rows of ``agent_sk`` and
+    ``date_key``, or of ``agent_sk`` alone for all days of these agents) the snapshot is
+    refreshed from there, see ``RiskSnapshot.refresh``.
     """
     counts = wh.read("agent_daily_counts")
     if counts is None:
         return {"status": "SUCCESS", "records_processed": 0, "anomalies_flagged": 0,
                 "critical_risk_count": 0}
-    bucket = F.pmod(F.xxhash64(F.col("agent_sk").cast("long")), F.lit(SNAPSHOT_BUCKETS)).cast("int")
-    if affected_agents is not None:
-        touched = affected_agents.select(bucket.alias("agent_bucket")).distinct()
-        counts = counts.withColumn("agent_bucket", bucket).join(touched, "agent_bucket", "left_semi") \
-            .drop("agent_bucket")
-    # Agent-day counts are maintained per load, so the model never rescans
-    # the event fact; joining them to the dimensions is the star join.
-    daily = daily_activity(counts, wh.read("dim_agent"), wh.read("dim_date"),
-                           precounted=True)
-    scored = risk.score_daily(daily, cfg, agent_key="agent_sk")
-    out = scored.select("agent_sk", "date_key", *risk.RISK_COLUMNS,
-                        _now_lit(now).alias("updated_at")).persist()
-    # O1 without a global sort: rows are clustered by bucket and sorted by day and
-    # agent inside each task before the write.
-    wh.overwrite_partitions(
-        "fact_daily_agent_metric",
-        out.withColumn("agent_bucket", bucket).hint("rebalance", "agent_bucket")
-        .sortWithinPartitions("agent_bucket", "date_key", "agent_sk"), "agent_bucket")
-    s = risk.risk_summary(out).first()
-    out.unpersist()
+    snapshot = RiskSnapshot(wh, cfg, _now_lit(now), agents_per_part)
+    if affected is None:
+        s = snapshot.full(counts)
+    else:
+        if "date_key" not in affected.columns:
+            affected = counts.select("agent_sk", "date_key").join(affected.select("agent_sk"), "agent_sk", "left_semi")
+        s = snapshot.refresh(counts, affected)
     return {"status": "SUCCESS", "records_processed": int(s["records_processed"]),
             "anomalies_flagged": int(s["anomalies_flagged"]),
             "critical_risk_count": int(s["critical_risk_count"])}

@@ -109,7 +109,7 @@ TABLES = {
 }
 
 #: Columns that place rows and belong to no table: a run's ledger rows, an agent's part of the snapshot.
-PLACING = {"_marker": "boolean", "_run": "string", "agent_bucket": "int"}
+PLACING = {"_marker": "boolean", "_run": "string", "month": "int", "agent_bucket": "int"}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

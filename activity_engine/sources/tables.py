@@ -68,22 +68,26 @@ class Warehouse:
         return self.current_path(table) is not None
 
     # -- read / write ----------------------------------------------------------------
-    def read(self, table: str) -> DataFrame | None:
+    def read(self, table: str, placing: list[str] | None = None) -> DataFrame | None:
         """The current version, or None if there is none. A table of the catalog has its
         columns and types whatever its files hold, and comes without those that place
-        its rows; any other without rows is None (it has no files to read a type from)."""
-        rows = self._read(table)
+        its rows (but for ``placing``); any other without rows is None (it has no files
+        to read a type from)."""
+        rows = self._read(table, placing or [])
         if rows is not None and "_marker" in rows.columns:
             rows = rows.where(~F.coalesce("_marker", F.lit(False))).drop("_marker", "_run")
-        return rows.select(*self.catalog[table].names) if rows is not None and table in self.catalog else rows
+        if rows is None or table not in self.catalog:
+            return rows
+        return rows.select(*self.catalog[table].names, *(placing or []))
 
-    def _read(self, table: str) -> DataFrame | None:
+    def _read(self, table: str, placing: list[str]) -> DataFrame | None:
         path = self.current_path(table)
         if not path:
             return None
         if table in self.catalog:
-            marked = [T.StructField("_marker", T.BooleanType())] if table in LEDGERS else []
-            return self.spark.read.schema(T.StructType([*self.catalog[table].fields, *marked])).parquet(path)
+            extra = [*(["_marker"] if table in LEDGERS else []), *placing]
+            extra = T.StructType.fromDDL(", ".join(f"{c} {PLACING[c]}" for c in extra)).fields if extra else []
+            return self.spark.read.schema(T.StructType([*self.catalog[table].fields, *extra])).parquet(path)
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
@@ -120,17 +124,18 @@ class Warehouse:
         w.parquet(path)
         return path
 
-    def overwrite_partitions(self, table: str, df: DataFrame, partition_col: str) -> str:
+    def overwrite_partitions(self, table: str, df: DataFrame, partition_col: str | list[str]) -> str:
         """Replace only the partitions present in ``df`` (dynamic overwrite).
 
         For derived tables recomputed from another table: ``df`` must not read
         the path it overwrites. The first write creates the version.
         """
         path = self.current_path(table)
+        by = [partition_col] if isinstance(partition_col, str) else partition_col
         if path is None:
-            return self.rewrite(table, df, [partition_col])
+            return self.rewrite(table, df, by)
         (self._typed(table, df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
+         .partitionBy(*by).parquet(path))
         return path
 
     # -- small state beside a table ----------------------------------------------------

@@ -5,7 +5,7 @@ the file source's checkpoint replaces the watermark file (T1); every
 micro-batch runs the batch ingest through ``foreachBatch`` (T4), whose
 first-arrival dedupe and anti join against the event-id index make replays
 idempotent (T2); daily counts are a stateful aggregation over the fact's own
-files (T3); and the risk model is refreshed for the agents a batch touched (T5).
+files (T3); and the risk model is refreshed from the agent-days a batch touched (T5).
 
 No event-time watermark is used on purpose: Spark's watermarked dedupe and
 windowed aggregations drop rows that arrive later than the watermark, and a
@@ -58,10 +58,10 @@ def start_ingest(stream: DataFrame, wh: Warehouse, dlq_path: str, checkpoint: st
         run_id = f"stream-{qid}-{batch_id}"
         pl.ingest_activities(wh, batch, run_id, dlq_path, now)
         if refresh_risk:
-            touched = batch.select("agent_id").distinct().join(
+            touched = batch.select("agent_id", "date_key").distinct().join(
                 wh.read("dim_agent").where(F.col("is_current") == 1)
                 .select("agent_id", "agent_sk"), "agent_id")
-            pl.run_risk_model(wh, now=now, affected_agents=touched)
+            pl.run_risk_model(wh, now=now, affected=touched)
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
