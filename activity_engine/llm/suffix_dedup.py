@@ -18,10 +18,11 @@ Work is cut so that no task needs the corpus:
 4. A hash with more than ``BUCKET_STRETCHES`` different stretches does not fit one
    task; its windows are spread by their own 128-bit hash and counted exactly.
 
-With ``words``, what is covered by a run of so many words that occurs twice goes too,
-however few bytes it has. Runs are owned by the least hash of the ``GRAM_WORDS`` words
-they contain, as windows are; those whose owner is seen twice are counted by a 64-bit
-hash of their words. White space between words makes no difference.
+With ``words``, what is covered by a run of so many words that two or more documents
+hold goes too, however few bytes it has. Runs are owned by the least hash of the
+``GRAM_WORDS`` words they contain, as windows are; those whose owner is seen twice are
+told apart by a 64-bit hash of their words. White space between words makes no
+difference; a run that one document alone repeats stays.
 
 Texts are told apart by a 64-bit hash, windows of one bucket by their bytes.
 Defined results: null is an empty text; texts shorter than ``length`` keep all
@@ -42,6 +43,8 @@ from activity_engine.llm.common import fresh_name, hash_words, materialize, mix6
 
 LENGTH = 400
 GRAM = 256
+#: Words of the shortest passage that counts as shared by documents: over 50.
+PASSAGE_WORDS = 51
 #: Words (a power of two) by which a run of words is owned.
 GRAM_WORDS = 32
 #: Window starts handled at once while scanning a text.
@@ -311,7 +314,8 @@ def text_key(text: Column) -> Column:
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                    bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None) -> DataFrame:
-    """(t, spans): byte spans to remove from each text that has any, by the text's key."""
+    """(t, spans, passages): byte spans of each text that has any, by the text's key: those of
+    repeated ``length``-byte strings, and those of runs of ``words`` words in several documents."""
     texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
     long_texts = texts.filter(F.octet_length("_text") >= length)
     owned = long_texts.mapInArrow(_scan(length, gram), "h long, c long, t long, at long")
@@ -346,10 +350,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
     plain = whole(seen.filter("not mixed"))
     shared = whole(mixed.join(kinds.filter("n > 1").select("h", "c"), ["h", "c"]))
-    every = plain.union(shared).union(sorted_spans).union(spread_spans)
+    every = plain.union(shared).union(sorted_spans).union(spread_spans).withColumn("passage", F.lit(False))
     if words:
-        every = every.union(repeated_runs(docs, words, text_col))
-    return every.groupBy("t").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+        every = every.union(repeated_runs(docs, words, text_col).withColumn("passage", F.lit(True)))
+    span = F.struct("lo", "hi")
+    return every.groupBy("t").agg(F.collect_set(F.when(~F.col("passage"), span)).alias("spans"),
+                                  F.collect_set(F.when(F.col("passage"), span)).alias("passages"))
 
 
 def _run_hashes(text: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -417,7 +423,11 @@ def _wanted_runs(words: int):
 
 
 def repeated_runs(docs: DataFrame, words: int, text_col: str = "text") -> DataFrame:
-    """(t, lo, hi): the bytes of each run of ``words`` words that occurs twice."""
+    """(t, lo, hi): the bytes of each run of ``words`` words that occurs in two or more documents.
+
+    ``copies`` documents share a text, so a run is in several if its text has copies or if
+    it is in two texts; one that a single document repeats is not.
+    """
     if not GRAM_WORDS <= words <= 2 * GRAM_WORDS:
         raise ValueError(f"runs have {GRAM_WORDS} to {2 * GRAM_WORDS} words, not {words}")
     texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
@@ -428,7 +438,9 @@ def repeated_runs(docs: DataFrame, words: int, text_col: str = "text") -> DataFr
     per_text = seen.groupBy("t").agg(F.collect_list(F.struct("first", "size", "copies")).alias("wanted"))
     runs = materialize(long_texts.dropDuplicates(["t"]).join(per_text, "t").mapInArrow(
         _wanted_runs(words), "run long, t long, lo long, hi long, copies long"), "runs")
-    twice = materialize(runs.groupBy("run").agg(F.sum("copies").alias("n")).filter("n > 1").select("run"), "run-twice")
+    twice = materialize(
+        runs.groupBy("run").agg(F.min("t").alias("one"), F.max("t").alias("other"), F.max("copies").alias("copies"))
+        .filter("one != other or copies > 1").select("run"), "run-twice")
     return runs.join(twice, "run").select("t", "lo", "hi")
 
 
@@ -465,15 +477,40 @@ def removal(text: Column, spans: Column) -> Column:
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                    bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None,
                    out: str = "_removal") -> DataFrame:
-    """``docs`` with a struct column ``out`` (see ``removal``), in place of one of that name."""
+    """``docs`` with a struct column ``out`` (see ``removal``), in place of one of that name.
+
+    With ``words`` the runs of so many words that several documents hold go as well.
+    """
     found = fresh_name([*docs.columns, out], "_found")
-    spans = repeated_spans(docs, text_col, length, gram, bucket_stretches, words).select(
-        F.struct("t", "spans").alias(found))
-    joined = docs.join(spans, text_key(F.col(text_col)) == F.col(found)["t"], "left")
-    return joined.withColumn(out, removal(F.col(text_col), F.col(found)["spans"])).drop(found)
+    spans = F.concat(F.col(found)["spans"], F.col(found)["passages"])
+    joined = _with_spans(docs, found, text_col, length, gram, bucket_stretches, words)
+    return joined.withColumn(out, removal(F.col(text_col), spans)).drop(found)
+
+
+def _with_spans(docs: DataFrame, found: str, text_col: str, *options) -> DataFrame:
+    spans = repeated_spans(docs, text_col, *options).select(F.struct("t", "spans", "passages").alias(found))
+    return docs.join(spans, text_key(F.col(text_col)) == F.col(found)["t"], "left")
 
 
-def dedup_digest(docs: DataFrame, **options) -> DataFrame:
-    """The columns of query ``op6_suffix_dedup``."""
-    return remove_repeats(docs.select("doc_id", "text"), **options).select(
-        "doc_id", "_removal.n_bytes", "_removal.n_removed", "_removal.n_spans", "_removal.kept_sha256")
+def covered(spans: Column) -> Column:
+    """Bytes inside any of the spans; null or no spans: 0."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("bytes"))
+
+    def add(done, span):
+        more = F.greatest(F.lit(0).cast("long"), span["hi"] - F.greatest(done["at"], span["lo"]))
+        return F.struct(F.greatest(done["at"], span["hi"]).alias("at"), (done["bytes"] + more).alias("bytes"))
+
+    return F.coalesce(F.aggregate(F.array_sort(spans), start, add, lambda done: done["bytes"]), F.lit(0).cast("long"))
+
+
+def dedup_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                 bucket_stretches: int = BUCKET_STRETCHES, words: int = PASSAGE_WORDS) -> DataFrame:
+    """The columns of query ``op6_suffix_dedup``.
+
+    ``n_passage_bytes`` (long) is beside the figures of removal, not part of them: bytes in
+    runs of ``words`` words that another document holds too, however few bytes they have.
+    """
+    joined = _with_spans(docs.select("doc_id", "text"), "_found", "text", length, gram, bucket_stretches, words)
+    cut = joined.withColumn("_removal", removal(F.col("text"), F.col("_found.spans")))
+    return cut.select("doc_id", "_removal.n_bytes", "_removal.n_removed", "_removal.n_spans", "_removal.kept_sha256",
+                      covered(F.col("_found.passages")).alias("n_passage_bytes"))

@@ -77,6 +77,21 @@ def brute_removal(texts, length):
     return out
 
 
+def brute_passages(texts, words=51):
+    """Bytes of each text in runs of ``words`` words that another text, or a copy of it, holds."""
+    found = [[(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^ \t-\r]+", (t or "").encode())] for t in texts]
+    runs = [[tuple(w[2] for w in own[i:i + words]) for i in range(len(own) - words + 1)] for own in found]
+    holders = collections.Counter(r for own in runs for r in set(own))
+    out = []
+    for own, spans in zip(found, runs):
+        inside = set()
+        for i, r in enumerate(spans):
+            if holders[r] > 1:
+                inside.update(range(own[i][0], own[i + words - 1][1]))
+        out.append(len(inside))
+    return out
+
+
 def repeated_texts():
     rnd = random.Random(3)
     base = "".join(rnd.choice("abcd efgh") for _ in range(2500))
@@ -86,6 +101,9 @@ def repeated_texts():
         at = rnd.randint(0, 2000)
         noise = lambda: "".join(rnd.choice("xyz ") for _ in range(rnd.randint(0, 300)))
         texts.append(noise() + base[at:at + rnd.randint(300, 900)] + noise())
+    short = [str(i % 97) for i in range(60)]
+    texts += [" ".join(["p", *short[:k], "q"]) for k in (50, 51, 60)] + ["\n ".join(short[5:58])]
+    texts += [" ".join(["alone", *[f"r{i}" for i in range(55)]] * 2)]          # repeated by itself only
     return [t for _, t in EDGES if not t or len(t) < 5000] + texts
 
 
@@ -95,12 +113,17 @@ def test_removal(spark, options):
     texts = repeated_texts()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.dedup_digest(docs, **options).collect()}
-    assert [got[i] for i in range(len(texts))] == brute_removal(texts, options.get("length", 400))
+    assert [got[i][:4] for i in range(len(texts))] == brute_removal(texts, options.get("length", 400))
+    assert [got[i][4] for i in range(len(texts))] == brute_passages(texts)
+    assert got[len(texts) - 1][4] == 0 and got[len(texts) - 2][4] > 0
 
 
 def test_removal_edges(edges, no_docs):
-    got = suffix_dedup.remove_repeats(edges)
-    assert got.columns == [*edges.columns, "_removal"] and got.count() == len(EDGES)
+    got = suffix_dedup.remove_repeats(edges)            # in place of the column of that name
+    assert sorted(got.columns) == sorted(edges.columns) and got.count() == len(EDGES)
+    beside = suffix_dedup.remove_repeats(edges, out="cut")
+    assert beside.columns == [*edges.columns, "cut"]
+    assert {(r["_removal"], r["_found"]) for r in beside.select("_removal", "_found").distinct().collect()} == {("_removal", "_found")}
     assert suffix_dedup.dedup_digest(no_docs).count() == 0
 
 
