@@ -2,10 +2,10 @@
 
 Each check returns a one-row DataFrame ``(dimension, records_evaluated,
 records_failed, dimension_score, details)``. ``evaluate_batch`` computes
-completeness, validity and timeliness in one aggregate pass, uniqueness in
-one key-grouped aggregate and referential integrity with two anti joins,
-then unions the five rows and adds the weighted composite. Only counts and
-at most ``sample_size`` sample keys per check ever reach a single row.
+completeness and timeliness in one aggregate pass, uniqueness, validity and
+referential integrity in one aggregate of all keys, and adds the weighted
+composite. Only counts and at most ``sample_size`` sample keys per check ever
+reach a single row.
 """
 
 from __future__ import annotations
@@ -181,10 +181,8 @@ def unresolved_keys(df: DataFrame, col: str, parent: DataFrame, parent_col: str
     return df.select(col).distinct().join(p, col, "left_anti")
 
 
-def _referential_parts(df: DataFrame, agents, campaigns, sample_size: int,
-                       counted: bool = False) -> list[DataFrame]:
-    parts = [] if counted else [
-        _part(df.agg(F.count(F.lit(1)).alias("n")), "REFERENTIAL_INTEGRITY", F.col("n"))]
+def _referential_parts(df: DataFrame, agents, campaigns, sample_size: int) -> list[DataFrame]:
+    parts = [_part(df.agg(F.count(F.lit(1)).alias("n")), "REFERENTIAL_INTEGRITY", F.col("n"))]
     samples = None
     for col, parent in (("agent_id", agents), ("campaign_id", campaigns)):
         if col in df.columns and parent is not None:
@@ -232,31 +230,50 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
                    ts_col: str = "event_timestamp", type_col: str = "event_type") -> DataFrame:
     """A8 + A7 + U2: the five audit rows with the weighted composite.
 
-    Completeness, validity, timeliness and the row count come from one aggregate
-    row, exploded into their parts; the parts of all five checks are unioned and
-    folded per dimension.
+    Completeness, timeliness and the row count come from one aggregate row, everything
+    that looks at keys from one aggregate of (kind, value). Their totals and samples meet
+    in one row, which is exploded into the five dimensions: two scans, one exchange of
+    keys, whatever the number of checks.
     """
     now_c = _ts_lit(now, True)
     min_c = _ts_lit(cfg.min_event_ts)
-    aggs = [F.count(F.lit(1)).alias("n"), *completeness_counts(df, cfg.required_columns)]
+    has_key = all(c in df.columns for c in ([key] if isinstance(key, str) else key))
     has_type, has_ts = type_col in df.columns, ts_col in df.columns
-    if has_type:
-        aggs.append(F.count_if(invalid_flag(type_col, cfg.allowed_event_types)).alias("invalid"))
+    aggs = [F.count(F.lit(1)).alias("n"), *completeness_counts(df, cfg.required_columns)]
     if has_ts:
         aggs.extend(timeliness_counts(df, ts_col, now_c, min_c))
     flat = df.agg(*aggs)
-    invalid = F.col("invalid") if has_type else F.lit(0)
-    parts = [_parts(
-        flat, _completeness_part(cfg.required_columns),
-        _part_columns("VALIDITY", F.col("n"), invalid, None if has_type else F.lit("{}")),
+    groups = _key_groups(df, agents, campaigns, key if has_key else None, type_col, cfg)
+    one = flat
+    if groups is not None:
+        failed = groups.agg(F.coalesce(F.sum(F.when(F.col("kind") == KEY, F.col("bad_rows"))), F.lit(0)).alias("copies"),
+                            F.coalesce(F.sum(F.when(F.col("kind") == TYPE, F.col("bad_rows"))), F.lit(0)).alias("invalid"),
+                            F.count_if(F.col("kind").isin(AGENT, CAMPAIGN) & (F.col("bad_rows") > 0)).alias("unresolved"))
+        rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.col("value").asc_nulls_first()))
+        samples = (groups.where(F.col("bad_rows") > 0).withColumn("rank", rank)
+                   .where(F.col("rank") <= cfg.sample_size).select("kind", "value"))
+        parts = flat.unionByName(failed, True).unionByName(samples, True)
+        one = parts.agg(*[F.max(c).alias(c) for c in (*flat.columns, *failed.columns)],
+                        *[_sampled(kind, label) for kind, label in SAMPLED.items()])
+    else:
+        one = flat.select("*", *[F.lit(0).alias(c) for c in ("copies", "invalid", "unresolved")],
+                          *[F.array().cast("array<string>").alias(label) for label in SAMPLED.values()])
+    key_label = F.col("keys") if isinstance(key, str) else F.transform(
+        "keys", lambda v: F.concat_ws("|", F.from_json(v, "array<string>")))
+    unresolved = F.map_filter(F.create_map(F.lit("unresolved_agent_ids"), F.col("agents"),
+                                           F.lit("unresolved_campaign_ids"), F.col("campaigns")),
+                              lambda k, v: F.size(v) > 0)
+    rows = _parts(
+        one, _completeness_part(cfg.required_columns),
+        _part_columns("UNIQUENESS", F.col("n") if has_key else F.lit(0), F.col("copies"),
+                      F.to_json(F.array_compact(key_label))),
+        _part_columns("VALIDITY", F.col("n"), F.col("invalid"),
+                      F.to_json(F.struct(F.array_compact("types").alias("invalid_event_types"))) if has_type else F.lit("{}")),
         _timeliness_part() if has_ts else _part_columns("TIMELINESS", F.col("n"), F.lit(0), F.lit("{}")),
-        _part_columns("REFERENTIAL_INTEGRITY", F.col("n")))]
-    if has_type:
-        parts.append(_sample_part(invalid_values(df, type_col, cfg.allowed_event_types), type_col,
-                                  cfg.sample_size, "VALIDITY", wrap="invalid_event_types"))
-    parts += _uniqueness_parts(df, key, cfg.sample_size)
-    parts += _referential_parts(df, agents, campaigns, cfg.sample_size, counted=True)
-    rows = _merge(parts)
+        _part_columns("REFERENTIAL_INTEGRITY", F.col("n"), F.col("unresolved"),
+                      F.to_json(F.transform_values(unresolved, lambda k, v: F.array_compact(v)))))
+    rows = rows.select("dimension", F.col("n").alias("records_evaluated"), F.col("f").alias("records_failed"),
+                       clamp_score("f", "cells").alias("dimension_score"), "details")
     return with_composite(rows, cfg).select(
         F.lit(run_id).alias("pipeline_run_id"), now_c.alias("check_timestamp"),
         F.lit(table_name).alias("table_name"), "dimension",
@@ -264,6 +281,53 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
         "records_failed", "dimension_score", "composite_score", "passed", "details")
 
 
+#: What a value of the exploded key checks is: a key, an event type, an agent, a campaign.
+KEY, TYPE, AGENT, CAMPAIGN = range(4)
+SAMPLED = {KEY: "keys", TYPE: "types", AGENT: "agents", CAMPAIGN: "campaigns"}
+
+
+def _key_groups(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame | None, key,
+                type_col: str, cfg: DQConfig) -> DataFrame | None:
+    """Every key check in one aggregate: a row for each distinct (kind, value).
+
+    Each event gives one value a kind, each parent row its id with zero rows, so the
+    group of an id knows both its events and whether a parent has it: no join, and a hot
+    value is combined before the shuffle. Values are compared as text. ``bad_rows`` is
+    zero for a value that its check passes; a null id never resolves.
+    """
+    kinds = []
+    if key is not None:
+        text = F.col(key).cast("string") if isinstance(key, str) else F.to_json(
+            F.array(*[F.col(k).cast("string") for k in key]), {"ignoreNullFields": "false"})
+        kinds.append((KEY, text))
+    if type_col in df.columns:
+        kinds.append((TYPE, F.col(type_col).cast("string")))
+    parents = [(kind, col, table) for kind, col, table in
+               ((AGENT, "agent_id", agents), (CAMPAIGN, "campaign_id", campaigns))
+               if col in df.columns and table is not None]
+    kinds += [(kind, F.col(col).cast("string")) for kind, col, _ in parents]
+    if not kinds:
+        return None
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), text.alias("value")) for kind, text in kinds])).alias("v")) \
+        .select("v.kind", "v.value", F.lit(1).cast("long").alias("rows"))
+    for kind, col, table in parents:
+        values = values.unionByName(table.select(
+            F.lit(kind).alias("kind"), F.col(col).cast(df.schema[col].dataType).cast("string").alias("value"),
+            F.lit(0).cast("long").alias("rows")))
+    groups = values.groupBy("kind", "value").agg(F.sum("rows").alias("rows"),
+                                                 F.min("rows").alias("least"))   # 0: a parent has it
+    bad = (F.when(F.col("kind") == KEY, F.col("rows") > 1)
+           .when(F.col("kind") == TYPE, invalid_flag("value", cfg.allowed_event_types))
+           .otherwise(F.col("value").isNull() | (F.col("least") > 0)))
+    return groups.select("kind", "value", F.when(bad, F.col("rows")).otherwise(F.lit(0)).alias("bad_rows"))
+
+
+def _sampled(kind: int, label: str) -> Column:
+    """The sample values of one kind, a null as such: at most ``sample_size`` reach it."""
+    return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("value")))).getField("value").alias(label)
+
+
 def with_composite(rows: DataFrame, cfg: DQConfig = DQConfig()) -> DataFrame:
     """Weighted sum of the five rounded scores, in a fixed order.
 

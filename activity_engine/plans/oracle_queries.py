@@ -127,6 +127,20 @@ va AS (SELECT count(*) FILTER (WHERE {INVALID}) AS f FROM v_event),
 ti AS (SELECT count(*) FILTER (WHERE event_timestamp > {TS_NOW})
             + count(*) FILTER (WHERE event_timestamp < {TS_MIN})
             + count(*) FILTER (WHERE event_timestamp IS NULL) AS f FROM v_event),
+missing AS (SELECT 0 AS o, 'event_id' AS c, count(*) FILTER (WHERE event_id IS NULL) AS m FROM v_event
+  UNION ALL SELECT 1 AS o, 'agent_id' AS c, count(*) FILTER (WHERE agent_id IS NULL) AS m FROM v_event
+  UNION ALL SELECT 2 AS o, 'lead_id' AS c, count(*) FILTER (WHERE lead_id IS NULL) AS m FROM v_event
+  UNION ALL SELECT 3 AS o, 'campaign_id' AS c, count(*) FILTER (WHERE campaign_id IS NULL) AS m FROM v_event
+  UNION ALL SELECT 4 AS o, 'event_timestamp' AS c, count(*) FILTER (WHERE event_timestamp IS NULL) AS m FROM v_event
+  UNION ALL SELECT 5 AS o, 'event_type' AS c, count(*) FILTER (WHERE event_type IS NULL) AS m FROM v_event),
+copied AS (SELECT CAST(event_id AS VARCHAR) AS v FROM v_event GROUP BY 1 HAVING count(*) > 1 ORDER BY v LIMIT 5),
+bad AS (SELECT DISTINCT event_type AS v FROM v_event WHERE {INVALID}),
+late AS (SELECT count(*) FILTER (WHERE event_timestamp > {TS_NOW}) AS fu, count(*) FILTER (WHERE event_timestamp < {TS_MIN}) AS st,
+  count(*) FILTER (WHERE event_timestamp IS NULL) AS un FROM v_event),
+lost AS (SELECT k, coalesce(string_agg('"' || v || '"', ',' ORDER BY v), '') AS v FROM (
+    SELECT * FROM (SELECT 'agent_id' AS k, CAST(agent_id AS VARCHAR) AS v FROM ua ORDER BY v NULLS FIRST LIMIT 5)
+    UNION ALL SELECT * FROM (SELECT 'campaign_id', CAST(campaign_id AS VARCHAR) AS v FROM uc ORDER BY v NULLS FIRST LIMIT 5))
+  GROUP BY k),
 dims AS (
   SELECT 'COMPLETENESS' AS dimension, n, f, {score('f', 'n * 6')} AS s FROM comp
   UNION ALL SELECT 'UNIQUENESS', (SELECT n FROM comp), f, {score('f', '(SELECT n FROM comp)')} FROM uq
@@ -142,7 +156,12 @@ w AS (SELECT round_even(
 SELECT 'audit-fixture' AS pipeline_run_id, 'fact_outreach_activity' AS table_name, dimension,
   CAST(n AS BIGINT) AS records_evaluated, CAST(f AS BIGINT) AS records_failed,
   s AS dimension_score, (SELECT c FROM w) AS composite_score,
-  CASE WHEN (SELECT c FROM w) >= 95.0 THEN 1 ELSE 0 END AS passed
+  CASE WHEN (SELECT c FROM w) >= 95.0 THEN 1 ELSE 0 END AS passed,
+  CASE dimension WHEN 'COMPLETENESS' THEN (SELECT '{{' || string_agg('"' || c || '":' || m, ',' ORDER BY o) || '}}' FROM missing)
+    WHEN 'UNIQUENESS' THEN (SELECT '[' || coalesce(string_agg('"' || v || '"', ',' ORDER BY v), '') || ']' FROM copied)
+    WHEN 'VALIDITY' THEN (SELECT {sample_json('bad', 'v', 'invalid_event_types')})
+    WHEN 'TIMELINESS' THEN (SELECT '{{"future_events":' || fu || ',"stale_events":' || st || ',"unparseable_dates":' || un || '}}' FROM late)
+    ELSE (SELECT '{{' || coalesce(string_agg('"unresolved_' || k || 's":[' || v || ']', ',' ORDER BY k), '') || '}}' FROM lost) END AS details
 FROM dims""").replace("\n,\nua", ",\nua"))
 
 sql("dq_samples", with_ctes(BASE_CTES, f"""{REF}
@@ -406,12 +425,8 @@ SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d
 FROM d2""").replace("\n,\nb2", ",\nb2"))
 
 
-sql("dq_composite", ORACLE["dq_audit"].replace(
-    """SELECT 'audit-fixture' AS pipeline_run_id, 'fact_outreach_activity' AS table_name, dimension,
-  CAST(n AS BIGINT) AS records_evaluated, CAST(f AS BIGINT) AS records_failed,
-  s AS dimension_score, (SELECT c FROM w) AS composite_score,
-  CASE WHEN (SELECT c FROM w) >= 95.0 THEN 1 ELSE 0 END AS passed
-FROM dims""", """SELECT c AS composite_score, CASE WHEN c >= 95.0 THEN 1 ELSE 0 END AS passed FROM w"""))
+sql("dq_composite", ORACLE["dq_audit"][:ORACLE["dq_audit"].index("SELECT 'audit-fixture'")]
+    + "SELECT c AS composite_score, CASE WHEN c >= 95.0 THEN 1 ELSE 0 END AS passed FROM w")
 
 sql("kpi_capacity_total", with_ctes(BASE_CTES, f""",
 a AS (SELECT count(DISTINCT CASE WHEN is_current = 1 AND status = 'ACTIVE' THEN agent_sk END)

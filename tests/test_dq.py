@@ -113,3 +113,21 @@ def test_referential_counts_distinct_and_null(spark):
 def test_composite_weights(spark):
     cfg = DQConfig()
     assert abs(sum(cfg.weights.values()) - 1.0) < 1e-12
+
+
+def test_audit_of_a_composite_key_nulls_and_an_empty_batch(spark):
+    agents = spark.createDataFrame([("A",), (None,)], "agent_id string")
+    camps = spark.createDataFrame([(1,)], "campaign_id long")
+    rows = [("E", 1, "A", 1, "INVITE_SENT"), ("E", 1, None, 1, None), ("E", 2, None, 7, "x"), (None, 2, "B", 1, "x")]
+    df = spark.createDataFrame(rows, "event_id string, part int, agent_id string, campaign_id int, event_type string")
+    got = {r.dimension: r for r in dq.evaluate_batch(df, agents, camps, "t", "r", "2026-01-01",
+                                                     key=["event_id", "part"]).collect()}
+    assert (got["UNIQUENESS"].records_failed, got["UNIQUENESS"].details) == (2, '["E|1"]')
+    assert (got["VALIDITY"].records_failed, got["VALIDITY"].details) == (3, '{"invalid_event_types":["x"]}')
+    # a null agent never resolves, not even to a null parent
+    assert got["REFERENTIAL_INTEGRITY"].records_failed == 3
+    assert got["REFERENTIAL_INTEGRITY"].details == \
+        '{"unresolved_agent_ids":["B"],"unresolved_campaign_ids":["7"]}'
+    assert got["TIMELINESS"].details == "{}"          # no such column in the batch
+    empty = dq.evaluate_batch(df.limit(0), agents, camps, "t", "r", "2026-01-01").collect()
+    assert {(r.dimension_score, r.records_failed) for r in empty} == {(100.0, 0)}

@@ -37,3 +37,16 @@ def test_flagship_windows_reuse_one_exchange(spark):
     join = next(i for i in range(first_window, len(lines)) if "Join" in lines[i])
     assert not any("Exchange" in l for l in lines[first_window:join])
     assert "SortMergeJoin" in lines[join] or "BroadcastHashJoin" in lines[join]
+
+
+def test_audit_reads_events_twice_and_shuffles_keys_once(spark):
+    """The executed audit: two scans of events, five exchanges, one of them of (kind, value)."""
+    df = se.queries()["dq_audit"](spark, SF001)
+    assert len(df.collect()) == 5
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    nodes = [line.lstrip(" +-:*()0123456789") for line in plan.split("\n")]
+    assert sum(n.startswith("FileScan") and "events.parquet" in n for n in nodes) == 2
+    exchanges = [n for n in nodes if n.startswith("Exchange")]
+    assert len(exchanges) <= 5
+    assert sum("kind" in n and "value" in n for n in exchanges) == 1
+    assert all("account_age_tier" in n for n in nodes if "Join" in n)   # the dimension's own tier matrix
