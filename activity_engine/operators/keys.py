@@ -6,52 +6,75 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Most key ranges of one assignment: their bounds are literals of the plan.
-MAX_RANGES = 128
-_SAMPLES_PER_RANGE = 8
+#: Most key ranges of one assignment, and rows sampled for the bounds of each.
+MAX_RANGES = 65_536
+SAMPLES_PER_RANGE = 8
 
 
-def _range_bounds(df: DataFrame, key_col: str, ranges: int) -> list:
-    """Keys that cut the rows into about equal ranges.
+def _range_bounds(rows: DataFrame, ranges: int) -> DataFrame:
+    """Places that cut the rows into about equal ranges, two levels deep: few rows.
 
-    Every 8th of the keys with the least hashes: a bounded sample that depends on
-    the data alone.
+    The places with the least hashes, a bounded sample that depends on the data alone,
+    every 8th of them in order. One row for each coarse range, of about the square root
+    of ``ranges``: its number, its first place, and the places that cut it further.
     """
-    drawn = (df.select(key_col).where(F.col(key_col).isNotNull()).orderBy(F.xxhash64(key_col), key_col)
-             .limit(_SAMPLES_PER_RANGE * ranges).collect())
-    return sorted({r[0] for r in drawn})[_SAMPLES_PER_RANGE - 1::_SAMPLES_PER_RANGE]
+    drawn = (rows.select("_place").distinct().orderBy(F.xxhash64("_place"), "_place")
+             .limit(SAMPLES_PER_RANGE * ranges))
+    nth = F.row_number().over(Window.orderBy("_place"))
+    cuts = (drawn.withColumn("_n", nth).where(F.col("_n") % SAMPLES_PER_RANGE == 0)
+            .withColumn("_n", (F.col("_n") / SAMPLES_PER_RANGE - 1).cast("int")))
+    width = max(1, round(ranges ** 0.5))
+    return (cuts.groupBy(F.floor(F.col("_n") / width).cast("int").alias("_coarse"))
+            .agg(F.min("_place").alias("_first"), F.array_sort(F.collect_list("_place")).alias("_cuts")))
+
+
+def _in_range(rows: DataFrame, ranges: int) -> DataFrame:
+    """Adds ``_coarse`` and ``_fine``, the number of the row's range.
+
+    The first places find the coarse range (one row with one array, on the empty group of
+    an aggregate), a join on it the cuts of the fine one: about 2 * sqrt(ranges)
+    comparisons a row, and no bound is a literal of the plan.
+    """
+    bounds = _range_bounds(rows, ranges)
+    firsts = bounds.agg(F.array_sort(F.collect_list("_first")).alias("_firsts")).withColumn("_one", F.lit(1))
+    # At most ``ranges`` places in both tables together: sqrt(ranges) and ``ranges``.
+    placed = (rows.withColumn("_one", F.lit(1)).join(F.broadcast(firsts), "_one", "left")
+              .withColumn("_coarse", F.size(F.filter("_firsts", lambda c: c < F.col("_place"))) - 1)
+              .drop("_one", "_firsts"))
+    return (placed.join(F.broadcast(bounds.select("_coarse", "_cuts")), "_coarse", "left")
+            .withColumn("_fine", F.size(F.filter(F.coalesce("_cuts", F.array().cast(bounds.schema["_cuts"].dataType)),
+                                                 lambda c: c < F.col("_place"))))
+            .drop("_cuts"))
 
 
 def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
                           start_after: Column | int = 0,
                           num_partitions: int | None = None) -> DataFrame:
-    """Dense ids ``start_after + 1 ..`` in natural-key order (autoincrement).
+    """Dense ids ``start_after + 1 ..`` in natural-key order (autoincrement), nulls first.
 
     A global ``row_number()`` would sort everything in one task. Instead each row
     gets the number of its key range, its position inside the range, and the
-    rows of the ranges before as offset. The bounds are fixed when the plan is
-    made, so range, position and offset are functions of the data: a recomputed
-    task assigns the same ids, and nothing is checkpointed. Ties on the key break
-    on a hash of the whole row.
+    rows of the ranges before as offset. ``num_partitions`` ranges (the session's shuffle
+    partitions, which follow the input size), at most ``MAX_RANGES``. A row's place is its
+    key with a hash of the whole row, so a key with many rows fills several ranges; rows
+    that are alike in every column share one. Bounds, range, position and offset are
+    functions of the data: a recomputed task assigns the same ids, and nothing is
+    checkpointed or collected.
     """
     spark = df.sparkSession
-    ranges = min(MAX_RANGES, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _range_bounds(df, key_col, ranges)
-    key_type = df.schema[key_col].dataType
-    cuts = F.array(*[F.lit(v).cast(key_type) for v in bounds])
-    in_range = F.size(F.filter(cuts, lambda c: c < F.col(key_col))) if bounds else F.lit(0)
-    rows = df.select("*", F.coalesce(in_range, F.lit(-1)).alias("_range"),
-                     F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb"))
-    offsets = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))     # one row a range
+    ranges = max(1, min(MAX_RANGES, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    place = F.struct(F.col(key_col).alias("key"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("tie"))
+    rows = _in_range(df.withColumn("_place", place), ranges)
+    offsets = rows.groupBy("_coarse", "_fine").agg(F.count(F.lit(1)).alias("_n"))     # one row a range
     offsets = offsets.select(
-        F.col("_range").alias("_r"),
-        F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
+        "_coarse", "_fine",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_coarse", "_fine").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(key_col, "_tb"))
-    return (rows.withColumn("_pos", place).join(F.broadcast(offsets), F.col("_range") == F.col("_r"))
+    nth = F.row_number().over(Window.partitionBy("_coarse", "_fine").orderBy("_place"))
+    return (rows.withColumn("_pos", nth).join(F.broadcast(offsets), ["_coarse", "_fine"])
             .withColumn(sk_col, (base + F.col("_off") + F.col("_pos")).cast("long"))
-            .drop("_range", "_r", "_off", "_pos", "_tb"))
+            .select(*df.columns, sk_col))
 
 
 def resolve_keys(batch: DataFrame, agents: DataFrame, leads: DataFrame,
