@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from activity_engine.operators import ingest, quality, risk
 from activity_engine.operators.daily import daily_counts
+from activity_engine.operators.keys import resolve_keys
 
 
 def skewed(spark, n=30000):
@@ -58,3 +59,37 @@ def test_null_event_type_is_quarantined(spark):
     valid, dead = ingest.split_quarantine(df, df.columns)
     assert [r.event_id for r in valid.collect()] == ["E3"]
     assert dead.count() == 2
+
+
+def test_key_resolution_without_broadcast_splits_hot_and_null_keys(spark):
+    """Sort-merge joins, a third of the leads one key and a third null: Spark splits their partitions."""
+    n = 60_000
+    lead = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 5000)
+    batch = spark.range(n).select(
+        F.col("id").alias("event_id"), (F.col("id") % 700).alias("agent_id"), lead.alias("lead_id"),
+        (F.col("id") % 40).alias("campaign_id"), F.sha2(F.col("id").cast("string"), 512).alias("body")).repartition(12)
+    agents = spark.range(650).select(F.col("id").alias("agent_id"), (F.col("id") + 1).alias("agent_sk"), F.lit(1).alias("is_current"))
+    leads = spark.range(4000).select(F.col("id").alias("lead_id"), (F.col("id") + 1).alias("lead_sk"))
+    campaigns = spark.range(30).select(F.col("id").alias("campaign_id"), (F.col("id") + 1).alias("campaign_sk"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = resolve_keys(batch, agents, leads, campaigns)
+        got = out.agg(F.count(F.lit(1)).alias("n"), F.count("agent_sk").alias("a"), F.count("lead_sk").alias("l"),
+                      F.count("campaign_sk").alias("c"), F.max("body").alias("body"))
+        row = got.collect()[0]
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    ids = range(n)
+    leads_of = [1 if i % 3 == 0 else None if i % 3 == 1 else i % 5000 for i in ids]
+    assert row.n == n and row.a == sum(i % 700 < 650 for i in ids) and row.c == sum(i % 40 < 30 for i in ids)
+    assert row.l == sum(k is not None and k < 4000 for k in leads_of)
+    assert "SortMergeJoin(skew=true)" in plan and "BroadcastHashJoin" not in plan
+
