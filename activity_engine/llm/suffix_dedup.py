@@ -358,14 +358,18 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
                                   F.collect_set(F.when(F.col("passage"), span)).alias("passages"))
 
 
-def _run_hashes(text: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the GRAM_WORDS words, and of the ``words`` words, at each word of a text."""
-    hashes, size = hash_words(text.split()), 1
+def _word_gram_hashes(parts: list[bytes]) -> np.ndarray:
+    """Hashes of the GRAM_WORDS words at each word of a text."""
+    hashes, size = hash_words(parts), 1
     while size < GRAM_WORDS:
         hashes = mix64(hashes[:-size] * np.uint64(_MIX) + hashes[size:])
         size *= 2
-    rest = words - GRAM_WORDS
-    return hashes, mix64(hashes[:len(hashes) - rest] * np.uint64(_MIX) + hashes[rest:])
+    return hashes
+
+
+def _run_hashes(hashes: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the ``words`` words at some words of a text, from those of GRAM_WORDS words."""
+    return mix64(hashes[at] * np.uint64(_MIX) + hashes[at + words - GRAM_WORDS])
 
 
 def _word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -383,9 +387,10 @@ def _scan_words(words: int):
         for batch in batches:
             out = [[], [], [], []]
             for text, key in zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("t").to_pylist()):
-                if len(text) < 2 * words - 1 or len(text.split()) < words:
+                parts = text.split()
+                if len(parts) < words:
                     continue
-                hashes, _ = _run_hashes(text, words)
+                hashes = _word_gram_hashes(parts)
                 place = np.arange(len(hashes), dtype=np.uint64)
                 least = _sliding_min((hashes & ~_LOW) | (_LOW - place), words - GRAM_WORDS + 1)
                 owner = (_LOW - (least & _LOW)).astype(np.int64)
@@ -408,10 +413,9 @@ def _wanted_runs(words: int):
             out = [[], [], [], [], []]
             for text, key, wanted in zip(batch.column("_text").cast(pa.binary()).to_pylist(),
                                          batch.column("t").to_pylist(), batch.column("wanted").to_pylist()):
-                _, hashes = _run_hashes(text, words)
                 begins, ends = _word_bounds(text)
                 at = np.concatenate([np.arange(w["first"], w["first"] + w["size"]) for w in wanted])
-                out[0].append(hashes[at].view(np.int64))
+                out[0].append(_run_hashes(_word_gram_hashes(text.split()), at, words).view(np.int64))
                 out[1].append(np.full(len(at), key))
                 out[2].append(begins[at])
                 out[3].append(ends[at + words - 1])
