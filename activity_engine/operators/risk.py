@@ -8,6 +8,7 @@ with a third of all events contributes at most one row per day here.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +36,13 @@ def ewm_block_size(q: float) -> int:
 STATE = ("n", "s1", "s2", "sx", "sxx", "low")
 
 
+#: Agent-days that one task of the windows sorts, about: their memory must not grow with the input.
+ROWS_PER_TASK = 500_000
+
+
 def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
-                 alpha: float, min_points: int, prefix: str, base: str | None = None) -> DataFrame:
+                 alpha: float, min_points: int, prefix: str, base: str | None = None,
+                 derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """EW mean and bias-corrected EW variance of the *previous* rows.
 
     Matches ``x.shift(1).ewm(alpha, adjust=True, min_periods).mean()/.var()``:
@@ -54,6 +60,9 @@ def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
     ``base`` names a struct column, the same for all rows of a series, with the ``STATE``
     after the rows that came before (null: none): decayed sums are mergeable, so k rows
     later they count by a factor ``q**k``. ``<prefix>_state`` has the sums after each row.
+
+    ``derive`` adds columns to the rows, ``x`` may be one of them: after both sorts, which
+    hold all rows of a task in memory and so see the columns of ``df`` alone.
     """
     parts = [part] if isinstance(part, str) else list(part)
     q = 1.0 - alpha
@@ -64,7 +73,8 @@ def ewm_previous(df: DataFrame, part: str | list[str], order: str, x: str,
     blk, r = F.col(f"{p}blk"), F.col(f"{p}r")
     df = (df.withColumn(f"{p}t", F.row_number().over(w_row) - 1)
           .withColumn(f"{p}blk", F.floor(t / F.lit(B)).cast("int"))
-          .withColumn(f"{p}r", (t % F.lit(B)).cast("int")))
+          .sortWithinPartitions(*parts, f"{p}blk", order))
+    df = (derive(df) if derive else df).withColumn(f"{p}r", (t % F.lit(B)).cast("int"))
     u = F.pow(F.lit(q), -r)
     xv = F.col(x).cast("double")
     terms = {"u": u, "y": xv * u, "z": xv * xv * u, "v": u * u}
@@ -117,7 +127,8 @@ def settled(cfg: RiskConfig) -> int:
 
 
 def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(), agent_key: str = "agent_sk",
-                order: str = "date_key", base: str | None = None, keep_state: bool = False) -> DataFrame:
+                order: str = "date_key", base: str | None = None, keep_state: bool = False,
+                rows: int | None = None) -> DataFrame:
     """The full scoring operator over agent × day rows.
 
     Input needs the four counts and both ceilings; output adds rates,
@@ -127,9 +138,13 @@ def score_daily(daily: DataFrame, cfg: RiskConfig = RiskConfig(), agent_key: str
     ``base`` names a struct column with the agent's ``STATE`` before its first row here,
     null where the rows are the whole series. It must hold ``settled`` rows or more; the
     scores are then those of the whole series. ``keep_state`` adds column ``state``.
+
+    ``rows``, no fewer than ``daily`` has, sets the number of the windows' tasks. Without it
+    Spark sizes them by the bytes shuffled, which are packed and a fraction of what a task sorts.
     """
-    d = with_rates(daily)
-    d = ewm_previous(d, agent_key, order, "acceptance_rate", cfg.alpha, cfg.min_points, "acc", base)
+    if rows and rows > ROWS_PER_TASK:
+        daily = daily.repartition(math.ceil(rows / ROWS_PER_TASK), agent_key)
+    d = ewm_previous(daily, agent_key, order, "acceptance_rate", cfg.alpha, cfg.min_points, "acc", base, with_rates)
     t = F.col("acc_t")
     w_all = Window.partitionBy(agent_key)
     # (block, day) is the same order as day; it matches the sort already done.
@@ -250,8 +265,8 @@ def reply_decay(daily: DataFrame, cfg: RiskConfig = RiskConfig(),
     Flags a decay when the baseline fell by at least ``reply_decay_pct``.
     """
     lookback = lookback or cfg.ewma_span
-    d = with_rates(daily) if "reply_rate" not in daily.columns else daily
-    d = ewm_previous(d, agent_key, "date_key", "reply_rate", cfg.alpha, cfg.min_points, "rep")
+    rates = with_rates if "reply_rate" not in daily.columns else None
+    d = ewm_previous(daily, agent_key, "date_key", "reply_rate", cfg.alpha, cfg.min_points, "rep", derive=rates)
     w = Window.partitionBy(agent_key).orderBy("rep_blk", "date_key")
     prev = F.lag("rep_mean", lookback).over(w)
     d = d.withColumn("reply_baseline_prev", prev)

@@ -133,3 +133,22 @@ def test_min_points_one_backfills_the_first_deviation(spark):
     s = pd.Series(rates).shift(1).ewm(span=7, min_periods=1).std().bfill().clip(lower=RiskConfig().std_floor)
     for i, want in enumerate(s):
         assert abs(got[20260801 + i] - want) < 1e-9
+
+
+def test_windows_sort_narrow_rows_in_tasks_that_follow_the_rows(spark, monkeypatch):
+    rows = [(a, f"A{a}", "< 1 Month", 5, 10, 20260101 + 100 * (d // 28) + d % 28, 1 + (a * d) % 7, (a + d) % 2, 3, d % 4)
+            for a in range(40) for d in range(300)]
+    daily = series(spark, rows)
+    monkeypatch.setattr(risk, "ROWS_PER_TASK", 1000)
+    sized = risk.score_daily(daily, rows=len(rows))
+    assert sized.rdd.getNumPartitions() == 12
+    plain = risk.score_daily(daily)
+    assert sized.exceptAll(plain).isEmpty() and plain.exceptAll(sized).isEmpty()
+    plan = sized._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    nodes = [line.lstrip(" +-:*()0123456789") for line in plan.split("\n")]
+    windows = [i for i, n in enumerate(nodes) if n.startswith("Window")]
+    sorts = [i for i, n in enumerate(nodes) if n.startswith("Sort ")]
+    assert len(sorts) == 2
+    # Rates and weighted terms are computed above both sorts: the rows they hold are narrow.
+    below = "\n".join(nodes[sorts[0]:])
+    assert windows and "acceptance_rate" not in below and "_accu" not in below
