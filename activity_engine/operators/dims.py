@@ -24,17 +24,19 @@ def _first_per_key(incoming: DataFrame, key: str, order_col: str | None) -> Data
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str, sk_col: str,
-                     current_only: bool = False, order_col: str | None = None) -> DataFrame:
+                     current_only: bool = False, order_col: str | None = None,
+                     number=assign_surrogate_keys) -> DataFrame:
     """New rows for natural keys not yet in the dimension.
 
     With ``current_only`` (agents) a key counts as present only if it has a
-    current version. New rows get dense keys after the current maximum.
+    current version. New rows get dense keys after the current maximum; ``number``
+    assigns them.
     """
     ex = existing.where(F.col("is_current") == 1) if current_only else existing
     fresh = _first_per_key(incoming.where(F.col(key).isNotNull()), key, order_col) \
         .join(ex.select(key), key, "left_anti")
     start = existing.select(F.coalesce(F.max(sk_col), F.lit(0))).scalar()
-    return assign_surrogate_keys(fresh, key, sk_col, start)
+    return number(fresh, key, sk_col, start)
 
 
 def changed_flag(old_prefix: str, new_prefix: str, cols: list[str]) -> Column:

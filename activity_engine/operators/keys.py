@@ -77,6 +77,25 @@ def assign_surrogate_keys(df: DataFrame, key_col: str, sk_col: str,
             .select(*df.columns, sk_col))
 
 
+def staged_surrogate_keys(stage, df: DataFrame, key_col: str, sk_col: str, start_after: Column | int = 0) -> DataFrame:
+    """The ids of ``assign_surrogate_keys`` for keys that are unique and not null, through a table.
+
+    ``stage`` writes the rows, sorted by key, and returns the path of their Parquet files.
+    Each file holds a run of the order, so an id is the row's place in its file after the
+    rows of the files before: no row is compared with bounds, and ids come from what was
+    written, so a recomputed task assigns the same.
+    """
+    path = stage(df.orderBy(key_col))
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_run"), F.col("_metadata.row_index").alias("_pos"))
+    runs = rows.groupBy("_run").agg(F.min(key_col).alias("_first"), F.count(F.lit(1)).alias("_n"))    # one row a file
+    runs = runs.select("_run", F.coalesce(F.sum("_n").over(Window.orderBy("_first").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    base = start_after if isinstance(start_after, Column) else F.lit(start_after)
+    return (rows.join(F.broadcast(runs), "_run")
+            .select(*df.columns, (base + F.col("_off") + F.col("_pos") + 1).cast("long").alias(sk_col)))
+
+
 def resolve_keys(batch: DataFrame, agents: DataFrame, leads: DataFrame,
                  campaigns: DataFrame) -> DataFrame:
     """Left-join the batch to the three dimensions (J1); a miss leaves null.

@@ -227,13 +227,16 @@ def referential_samples(df: DataFrame, agents: DataFrame, campaigns: DataFrame,
 def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame | None,
                    table_name: str, run_id: str, now: Column | str | None = None,
                    cfg: DQConfig = DQConfig(), key: str = "event_id",
-                   ts_col: str = "event_timestamp", type_col: str = "event_type") -> DataFrame:
+                   ts_col: str = "event_timestamp", type_col: str = "event_type",
+                   kept: list[DataFrame] | None = None) -> DataFrame:
     """A8 + A7 + U2: the five audit rows with the weighted composite.
 
     Completeness, timeliness and the row count come from one aggregate row, everything
     that looks at keys from one aggregate of (kind, value). Their totals and samples meet
     in one row, which is exploded into the five dimensions: two scans, one exchange of
-    keys, whatever the number of checks.
+    keys, whatever the number of checks. Spark does not share that exchange where ``df`` is
+    cached: with ``kept`` the aggregate is cached too and added there, for the caller to
+    release once the rows are read.
     """
     now_c = _ts_lit(now, True)
     min_c = _ts_lit(cfg.min_event_ts)
@@ -245,6 +248,8 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
     flat = df.agg(*aggs)
     groups = _key_groups(df, agents, campaigns, key if has_key else None, type_col, cfg)
     one = flat
+    if groups is not None and kept is not None:
+        kept.append(groups.persist())
     if groups is not None:
         failed = groups.agg(F.coalesce(F.sum(F.when(F.col("kind") == KEY, F.col("bad_rows"))), F.lit(0)).alias("copies"),
                             F.coalesce(F.sum(F.when(F.col("kind") == TYPE, F.col("bad_rows"))), F.lit(0)).alias("invalid"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from activity_engine.config import (DEFAULT_WATERMARK, SOURCE_SYSTEM, CALENDAR_E
 from activity_engine.functions.dates import calendar
 from activity_engine.operators import ingest, quality
 from activity_engine.operators.dims import insert_if_absent, scd2_merge
-from activity_engine.operators.keys import resolve_keys
+from activity_engine.operators.keys import resolve_keys, staged_surrogate_keys
 from activity_engine.plans.risk_snapshot import AGENTS_PER_PART, PARTS, SNAPSHOT, RiskSnapshot
 from activity_engine.sources.event_index import EventIdIndex
 from activity_engine.sources.payload import Payload
@@ -76,6 +77,11 @@ def load_dimensions(wh: Warehouse, payload: Payload, now=None,
             f.result()
 
 
+def _numbered_by(wh: Warehouse, table: str):
+    """Assigns the keys of new rows of ``table``, which are staged in the warehouse."""
+    return partial(staged_surrogate_keys, partial(wh.rewrite, f"{table}_staged"))
+
+
 def _load_agents(wh: Warehouse, agents: DataFrame, now_c, track_agent_columns) -> None:
     """J6 (insert when no current version) or J7 (SCD2 on tracked columns)."""
     agents = agents.where(F.col("agent_id").isNotNull())
@@ -91,10 +97,11 @@ def _load_agents(wh: Warehouse, agents: DataFrame, now_c, track_agent_columns) -
         agents.limit(0).withColumn("agent_sk", F.lit(0).cast("long")).withColumn(
             "is_current", F.lit(1))
     new = insert_if_absent(base, agents, "agent_id", "agent_sk", current_only=True,
-                           order_col="ingest_order")
+                           order_col="ingest_order", number=_numbered_by(wh, "dim_agent"))
     cols = ["agent_sk", *[c for c in agents.columns if c != "ingest_order"]]
     out = new.select(*cols, *meta)
     wh.append("dim_agent", out if cur is None else out.select(*cur.columns))
+    wh.vacuum("dim_agent_staged", 1)
 
 
 def _load_simple_dim(wh: Warehouse, table: str, key: str, sk: str, recs: DataFrame,
@@ -105,9 +112,10 @@ def _load_simple_dim(wh: Warehouse, table: str, key: str, sk: str, recs: DataFra
         recs = recs.where(F.col(required).isNotNull())
     cur = wh.read(table)
     base = cur if cur is not None else recs.limit(0).withColumn(sk, F.lit(0).cast("long"))
-    new = insert_if_absent(base, recs, key, sk, order_col="ingest_order")
+    new = insert_if_absent(base, recs, key, sk, order_col="ingest_order", number=_numbered_by(wh, table))
     cols = [sk, *[c for c in recs.columns if c != "ingest_order"]]
     wh.append(table, new.select(*cols) if cur is None else new.select(*cur.columns))
+    wh.vacuum(f"{table}_staged", 1)
 
 
 # -- E2 ----------------------------------------------------------------------------
@@ -254,15 +262,20 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
     start = start or _dt.datetime.now(_dt.timezone.utc)
     now_c = _now_lit(now)
     batch = activities.persist()
+    kept: list[DataFrame] = []
     audit = quality.evaluate_batch(batch, wh.read("dim_agent"), wh.read("dim_campaign"),
-                                   "fact_outreach_activity", run_id, now_c, cfg)
+                                   "fact_outreach_activity", run_id, now_c, cfg, kept=kept)
     prev_wm, has_prev = last_watermark(wh)
     with ThreadPoolExecutor(max_workers=1) as pool:
         load = None
         if not gate:  # without the gate the load does not wait for the audit
             load = pool.submit(load_facts, wh, batch, run_id, dlq_path, now,
                                prev_wm if incremental else None, corrupt)
-        audit_rows = audit.collect()                      # five rows
+        try:
+            audit_rows = audit.collect()                  # five rows
+        finally:
+            for frame in kept:
+                frame.unpersist()
         audit_df = spark.createDataFrame(audit_rows, audit.schema)
         replace_run(wh, "dq_audit_log", audit_df, run_id)
         replace_run(wh, "dq_invalid_values", quality.invalid_values(batch, allowed=cfg.allowed_event_types)

@@ -131,3 +131,20 @@ def test_audit_of_a_composite_key_nulls_and_an_empty_batch(spark):
     assert got["TIMELINESS"].details == "{}"          # no such column in the batch
     empty = dq.evaluate_batch(df.limit(0), agents, camps, "t", "r", "2026-01-01").collect()
     assert {(r.dimension_score, r.records_failed) for r in empty} == {(100.0, 0)}
+
+
+def test_audit_of_a_cached_batch_groups_its_keys_once(spark):
+    batch = bad_batch(spark).persist()
+    agents = spark.createDataFrame([("AGT-001",)], "agent_id string")
+    camps = spark.createDataFrame([("CMP-001",)], "campaign_id string")
+    kept = []
+    try:
+        a = dq.evaluate_batch(batch, agents, camps, "t", "r", "2026-01-01", kept=kept)
+        rows = a.collect()
+        assert len(kept) == 1 and kept[0].storageLevel.useMemory
+        info = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+        assert any("bad_rows" in r.name() and r.numCachedPartitions() for r in info)
+        assert rows == dq.evaluate_batch(batch, agents, camps, "t", "r", "2026-01-01").collect()
+    finally:
+        for frame in (batch, *kept):
+            frame.unpersist()

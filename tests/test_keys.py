@@ -42,3 +42,25 @@ def test_a_hot_key_fills_several_ranges_and_nulls_come_first(spark):
 
 def test_empty(spark):
     assert assign_surrogate_keys(spark.createDataFrame([], "k string"), "k", "sk").collect() == []
+
+
+def test_staged_keys_are_those_of_the_ranges(spark, tmp_path):
+    from activity_engine.operators.keys import staged_surrogate_keys
+
+    def stage(rows):
+        rows.write.parquet(path := str(tmp_path / f"k{len(list(tmp_path.iterdir()))}"))
+        assert "_cuts" not in rows._jdf.queryExecution().toString()      # no row is compared with bounds
+        return path
+
+    df = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") * 7919 % 5000).cast("string")).alias("k"),
+                                  F.col("id").alias("v")).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = staged_surrogate_keys(stage, df, "k", "sk", F.lit(100)).collect()
+        files = len([f for f in (tmp_path / "k0").iterdir() if f.suffix == ".parquet"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert files > 1
+    assert sorted(got) == sorted(assign_surrogate_keys(df, "k", "sk", 100).collect())
+    assert [r.sk for r in sorted(got, key=lambda r: r.k)] == list(range(101, 5101))
+    assert staged_surrogate_keys(stage, df.limit(0), "k", "sk").count() == 0
