@@ -39,8 +39,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_session_conf(spark: SparkSession) -> None:
-    """Pin settings the operators rely on (UTC clock for date keys)."""
+    """Pin settings the operators rely on (UTC clock for date keys).
+
+    A cached frame has as many partitions as its size asks for: with one for each shuffle
+    partition, however small, the next shuffle writes the square of their number of files.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:

@@ -64,3 +64,15 @@ def test_staged_keys_are_those_of_the_ranges(spark, tmp_path):
     assert sorted(got) == sorted(assign_surrogate_keys(df, "k", "sk", 100).collect())
     assert [r.sk for r in sorted(got, key=lambda r: r.k)] == list(range(101, 5101))
     assert staged_surrogate_keys(stage, df.limit(0), "k", "sk").count() == 0
+
+
+def test_small_cached_frames_have_few_partitions(spark):
+    from activity_engine.session import ensure_session_conf
+    ensure_session_conf(spark)
+    df = spark.range(1000).select((F.col("id") % 101).alias("cached_key")).distinct().persist()
+    try:
+        assert df.groupBy().count().first()[0] == 101
+        held = [r.numPartitions() for r in spark.sparkContext._jsc.sc().getRDDStorageInfo() if "cached_key" in r.name()]
+        assert held == [1]
+    finally:
+        df.unpersist(True)
