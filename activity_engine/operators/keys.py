@@ -31,16 +31,14 @@ def _range_bounds(rows: DataFrame, ranges: int) -> DataFrame:
 def _in_range(rows: DataFrame, ranges: int) -> DataFrame:
     """Adds ``_coarse`` and ``_fine``, the number of the row's range.
 
-    The first places find the coarse range (one row with one array, on the empty group of
-    an aggregate), a join on it the cuts of the fine one: about 2 * sqrt(ranges)
-    comparisons a row, and no bound is a literal of the plan.
+    The first places, one array that a scalar subquery yields, find the coarse range, a
+    join on it the cuts of the fine one: about 2 * sqrt(ranges) comparisons a row.
     """
     bounds = _range_bounds(rows, ranges)
-    firsts = bounds.agg(F.array_sort(F.collect_list("_first")).alias("_firsts")).withColumn("_one", F.lit(1))
-    # At most ``ranges`` places in both tables together: sqrt(ranges) and ``ranges``.
-    placed = (rows.withColumn("_one", F.lit(1)).join(F.broadcast(firsts), "_one", "left")
-              .withColumn("_coarse", F.size(F.filter("_firsts", lambda c: c < F.col("_place"))) - 1)
-              .drop("_one", "_firsts"))
+    firsts = bounds.agg(F.array_sort(F.collect_list("_first"))).scalar()
+    # At most ``ranges`` places in both together: sqrt(ranges) and ``ranges``.
+    placed = (rows.withColumn("_firsts", firsts)
+              .withColumn("_coarse", F.size(F.filter("_firsts", lambda c: c < F.col("_place"))) - 1).drop("_firsts"))
     return (placed.join(F.broadcast(bounds.select("_coarse", "_cuts")), "_coarse", "left")
             .withColumn("_fine", F.size(F.filter(F.coalesce("_cuts", F.array().cast(bounds.schema["_cuts"].dataType)),
                                                  lambda c: c < F.col("_place"))))
