@@ -7,9 +7,9 @@ Work is cut so that no task needs the corpus:
    hash among the ``GRAM``-byte strings it contains. Equal windows have equal
    owners at the same place, so they meet under that hash. Consecutive windows
    with one owner form a *stretch*; a stretch and its hash make one narrow row.
-2. *Counting.* Hashes seen once are dropped. Where all stretches of a hash are
-   identical they are repeated as they stand. Of a mixed hash, identical stretches
-   are counted together (map-side), and only one of each goes on.
+2. *Counting.* Hashes seen once are dropped. Identical stretches of a hash are counted
+   together (map-side) and repeated as they stand. Where a hash has others too, those
+   that are not repeated as they stand, and one of each that is, go on.
 3. *Two-stage sorting.* The bytes of those stretches are fetched and bucketed by
    hash. In a bucket the suffixes that are smaller than their successors are
    sorted directly; the others are induced by scanning the buckets of the first
@@ -20,8 +20,9 @@ Work is cut so that no task needs the corpus:
 
 With ``words``, what is covered by a run of so many words that two or more documents
 hold goes too, however few bytes it has. Runs are owned by the least hash of the
-``GRAM_WORDS`` words they contain, as windows are; those whose owner is seen twice are
-told apart by a 64-bit hash of their words. White space between words makes no
+``GRAM_WORDS`` words they contain, as windows are, and their stretches take steps 1 and 2
+in the same jobs (their hashes are odd, those of bytes even); the runs of what goes on
+are told apart by a 64-bit hash of their words. White space between words makes no
 difference; a run that one document alone repeats stays.
 
 Texts are told apart by a 64-bit hash, windows of one bucket by their bytes.
@@ -39,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import fresh_name, hash_words, materialize, mix64
+from activity_engine.llm.common import fresh_name, materialize, mix64
 
 LENGTH = 400
 GRAM = 256
@@ -48,7 +49,7 @@ PASSAGE_WORDS = 51
 #: Words (a power of two) by which a run of words is owned.
 GRAM_WORDS = 32
 #: Window starts handled at once while scanning a text.
-SEGMENT = 1 << 18
+SEGMENT = 1 << 16
 #: Bytes of stretches sorted at once (whole hashes only).
 BUCKET_BYTES = 1 << 20
 #: Different stretches of one hash that a task sorts.
@@ -56,42 +57,61 @@ BUCKET_STRETCHES = 1 << 16
 
 _MIX = 0x9E3779B97F4A7C15
 _LOW = np.uint64(0xFFFFFFFF)
+_ONE = np.uint64(1)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    return np.concatenate([[np.uint64(1)], np.full(count - 1, base, np.uint64)]).cumprod(dtype=np.uint64)
+
+
+#: Bytes hashed at once, by a polynomial of base _MIX | 3.
+_AT_ONCE = 2 * SEGMENT + 4096
+_POWER, _INVERSE = _powers(_MIX | 3, _AT_ONCE), _powers(pow(_MIX | 3, -1, 2**64), _AT_ONCE)
+#: A number for each byte; white space between words has none.
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MIX)) | np.uint64(1)
+_LETTER = _BYTE.copy()
+_LETTER[[9, 10, 11, 12, 13, 32]] = 0
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """64-bit hash of the ``gram`` bytes at each position, by doubling."""
-    hashes, size, factor = data.astype(np.uint64) + np.uint64(1), 1, _MIX
-    while size < gram:
-        hashes = hashes[:-size] * np.uint64(factor) + hashes[size:]
-        hashes ^= hashes >> np.uint64(31)
-        size, factor = 2 * size, (factor * factor + 2) % 2**64 | 1
-    return hashes * np.uint64(_MIX)
+    """64-bit hash of the ``gram`` bytes at each position, by differences of a polynomial's sums."""
+    out = []
+    step = max(1, _AT_ONCE - gram)
+    for at in range(0, len(data) - gram + 1, step):
+        part = data[at:at + step + gram - 1]
+        if len(part) > _AT_ONCE:
+            raise ValueError(f"strings of {gram} bytes are too long to be hashed")
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[part] * _POWER[:len(part)], dtype=np.uint64)])
+        out.append(mix64((sums[gram:] - sums[:-gram]) * _INVERSE[:len(part) - gram + 1]))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    count = len(values) - width + 1
-    padded = np.full(-(-len(values) // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[:len(values)] = values
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:count], ahead[width - 1:width - 1 + count])
+    size = 1
+    while 2 * size <= width:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return values if size == width else np.minimum(values[:size - width], values[width - size:])
 
 
-def stretches(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Owned stretches of a buffer of texts that end at ``ends``.
+def stretches(hashes: np.ndarray, ends: np.ndarray, length: int, gram: int):
+    """Owned stretches of a buffer of texts that end at ``ends``, by hashes of ``gram`` bytes or words.
 
     Arrays of hash, first and last window start.
     """
-    hashes = _gram_hashes(data, gram)
+    none = np.empty(0, np.int64)
+    if len(hashes) < length - gram + 1:
+        return hashes[:0], none, none
     place = np.arange(len(hashes), dtype=np.uint64)
     least = _sliding_min((hashes & ~_LOW) | (_LOW - place), length - gram + 1)
     owner = (_LOW - (least & _LOW)).astype(np.int64)
-    start = np.arange(len(owner))
-    inside = start + length <= ends[np.searchsorted(ends, start, side="right")]
-    start, owner = start[inside], owner[inside]
+    inside = np.ones(len(owner), bool)
+    for end in ends.tolist():  # what begins too late to end in its text
+        inside[max(0, end - length + 1):end] = False
+    start = np.flatnonzero(inside)
+    owner = owner[start]
     if not len(start):
-        return hashes[:0], start, start
+        return hashes[:0], none, none
     cut = np.flatnonzero((np.diff(owner) != 0) | (np.diff(start) != 1)) + 1
     first = np.concatenate([[0], cut])
     last = np.concatenate([cut - 1, [len(start) - 1]])
@@ -113,53 +133,88 @@ def _segments(texts, length: int):
         yield pack
 
 
-def _scan(length: int, gram: int):
-    def run(batches):
-        for batch in batches:
-            texts = [t or b"" for t in batch.column("_text").cast(pa.binary()).to_pylist()]
-            keys = np.asarray(batch.column("t"))
-            out = [[], [], [], []]
-            for pack in _segments(texts, length):
-                joined = b"".join([p[2] for p in pack])
-                ends = np.cumsum([len(p[2]) for p in pack])
-                begins = np.concatenate([[0], ends[:-1]])
-                hashes, first, last = stretches(np.frombuffer(joined, np.uint8), ends, length, gram)
-                which = np.searchsorted(ends, first, side="right")
-                rows = np.array([p[0] for p in pack], np.int64)[which]
-                offset = np.array([p[1] for p in pack], np.int64)[which] - begins[which]
-                content = [xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())]
-                out[0].append(hashes.view(np.int64))
-                out[1].append(np.array(content, np.uint64).view(np.int64))
-                out[2].append(keys[rows])
-                out[3].append((first + offset) * 1024 + (last - first + 1))
-            arrays = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in out]
-            yield pa.RecordBatch.from_arrays(arrays, ["h", "c", "t", "at"])
+def _byte_stretches(texts, length: int, gram: int, contents: bool):
+    """Rows of text, hash, content and byte span of the stretches of ``length``-byte windows."""
+    for pack in _segments(texts, length):
+        joined = b"".join([p[2] for p in pack])
+        ends = np.cumsum([len(p[2]) for p in pack])
+        hashes, first, last = stretches(_gram_hashes(np.frombuffer(joined, np.uint8), gram), ends, length, gram)
+        hashes = (hashes & ~_ONE).view(np.int64)
+        if not contents:
+            yield [hashes]
+            continue
+        begins = np.concatenate([[0], ends[:-1]])
+        which = np.searchsorted(ends, first, side="right")
+        offset = np.array([p[1] for p in pack], np.int64)[which] - begins[which]
+        content = [xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())]
+        yield [hashes, np.array(content, np.uint64).view(np.int64), np.array([p[0] for p in pack], np.int64)[which],
+               first + offset, last + length + offset]
+
+
+def _word_stretches(texts, words: int, contents: bool):
+    """The same of runs of ``words`` words; a stretch's content is that of its words."""
+
+    def solve(pack):
+        joined = b" ".join([p[1] for p in pack])
+        text_ends = np.cumsum([len(p[1]) + 1 for p in pack])
+        begins, ends = _word_bounds(joined)
+        grams = _word_gram_hashes(_word_hashes(joined, begins, ends))
+        hashes, first, last = stretches(grams, np.searchsorted(begins, text_ends), words, GRAM_WORDS)
+        hashes = (hashes | _ONE).view(np.int64)
+        if not contents:
+            return [hashes]
+        content = _run_hashes(grams, first, words)
+        content = mix64(content * np.uint64(_MIX) + grams[last + words - GRAM_WORDS])
+        content = mix64(content * np.uint64(_MIX) + (last - first).astype(np.uint64))
+        which = np.searchsorted(text_ends, begins[first], side="right")
+        offset = np.concatenate([[0], text_ends[:-1]])[which]
+        return [hashes, content.view(np.int64), np.array([p[0] for p in pack], np.int64)[which],
+                begins[first] - offset, ends[last + words - 1] - offset]
 
-    return run
+    pack, size = [], 0
+    for row, text in enumerate(texts):
+        if len(text) < 2 * words - 1:
+            continue
+        pack.append((row, text))
+        size += len(text)
+        if size >= SEGMENT:
+            yield solve(pack)
+            pack, size = [], 0
+    if pack:
+        yield solve(pack)
 
 
-def _fetch(length: int):
-    """Rows of a text and its wanted stretches -> the bytes of the stretches."""
+def _scan(length: int, gram: int, words: int | None, contents: bool = True):
+    """Texts -> their stretches: hash, content, text and byte span; without ``contents`` the hash alone."""
+    names = ["h", "c", "t", "lo", "hi"] if contents else ["h"]
 
     def run(batches):
         for batch in batches:
-            out = {"h": [], "t": [], "at": [], "hot": [], "stretch": []}
-            for text, key, wanted in zip(batch.column("_text").cast(pa.binary()).to_pylist(),
-                                         batch.column("t").to_pylist(), batch.column("wanted").to_pylist()):
-                for w in wanted:
-                    first, count = divmod(w["at"], 1024)
-                    out["h"].append(w["h"])
-                    out["t"].append(key if w["n"] == 1 else None)
-                    out["at"].append(w["at"])
-                    out["hot"].append(w["hot"])
-                    out["stretch"].append(text[first:first + count - 1 + length])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["h"], pa.int64()), pa.array(out["t"], pa.int64()), pa.array(out["at"], pa.int64()),
-                 pa.array(out["hot"], pa.bool_()), pa.array(out["stretch"], pa.binary())], list(out))
+            texts = [t or b"" for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+            found = list(_byte_stretches(texts, length, gram, contents))
+            if words:
+                found += _word_stretches(texts, words, contents)
+            columns = [np.concatenate([*x]) for x in zip(*found)] or [np.empty(0, np.int64)] * len(names)
+            if contents:
+                columns[2] = np.asarray(batch.column("t"))[columns[2]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names)
 
     return run
 
 
+def _fetch(batches):
+    """Rows of a text and its wanted stretches -> the bytes of the stretches."""
+    for batch in batches:
+        texts = batch.column("_text").cast(pa.binary()).to_pylist()
+        lists = batch.column("wanted")
+        row = np.repeat(np.arange(len(texts)), np.asarray(lists.value_lengths()))
+        wanted = pa.RecordBatch.from_struct_array(lists.flatten())
+        parts = [texts[r][lo:hi] for r, lo, hi in zip(row.tolist(), *(wanted.column(n).to_pylist() for n in ("lo", "hi")))]
+        yield pa.RecordBatch.from_arrays(
+            [wanted.column("h"), batch.column("t").take(pa.array(row)), wanted.column("lo"), wanted.column("whole"),
+             wanted.column("hot"), pa.array(parts, pa.binary())], ["h", "t", "lo", "whole", "hot", "stretch"])
+
+
 def _direct_sort(data: bytes, words: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """``places`` in the order of the first ``length`` bytes that stand there."""
     keys = words[places]
@@ -256,17 +311,16 @@ def _sort_buckets(length: int):
     """Stretches sorted by hash -> byte spans of their repeated windows."""
 
     def solve(rows):
-        flags = _repeated([r[2] for r in rows], length)
+        flags = _repeated([r[3] for r in rows], length)
         texts, lo, hi = [], [], []
         at = 0
-        for key, place, part in rows:
+        for key, first, whole, part in rows:
             count = len(part) - length + 1
             own = flags[at:at + count]
             at += count
-            if key is None or not own.any():
+            if whole or not own.any():
                 continue
             edges = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
-            first = place // 1024
             for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
                 texts.append(key)
                 lo.append(first + a)
@@ -277,13 +331,13 @@ def _sort_buckets(length: int):
     def run(batches):
         rows, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(n).to_pylist() for n in ("h", "t", "at", "stretch"))):
+            for row in zip(*(batch.column(n).to_pylist() for n in ("h", "t", "lo", "whole", "stretch"))):
                 if size >= BUCKET_BYTES and row[0] != last:
                     yield solve(rows)
                     rows, size = [], 0
                 last = row[0]
                 rows.append(row[1:])
-                size += len(row[3])
+                size += len(row[4])
         if rows:
             yield solve(rows)
 
@@ -291,19 +345,21 @@ def _sort_buckets(length: int):
 
 
 def _spread(length: int):
-    """Stretches -> one row a window: its 128-bit hash, text and start."""
+    """Stretches -> one row a window: its 128-bit hash, text, start and whether its stretch goes anyway."""
 
     def run(batches):
         for batch in batches:
-            out = {"w1": [], "w2": [], "t": [], "lo": []}
-            for key, place, part in zip(*(batch.column(n).to_pylist() for n in ("t", "at", "stretch"))):
+            out = {"w1": [], "w2": [], "t": [], "lo": [], "whole": []}
+            for key, first, whole, part in zip(*(batch.column(n).to_pylist() for n in ("t", "lo", "whole", "stretch"))):
                 for i in range(len(part) - length + 1):
                     high, low = divmod(xxhash.xxh3_128_intdigest(part[i:i + length]), 1 << 64)
                     out["w1"].append(high - (1 << 63))
                     out["w2"].append(low - (1 << 63))
                     out["t"].append(key)
-                    out["lo"].append(place // 1024 + i)
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], list(out))
+                    out["lo"].append(first + i)
+                    out["whole"].append(whole)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, pa.bool_() if n == "whole" else pa.int64()) for n, v in out.items()], list(out))
 
     return run
 
@@ -315,52 +371,93 @@ def text_key(text: Column) -> Column:
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                    bucket_stretches: int = BUCKET_STRETCHES, words: int | None = None) -> DataFrame:
     """(t, spans, passages): byte spans of each text that has any, by the text's key: those of
-    repeated ``length``-byte strings, and those of runs of ``words`` words in several documents."""
+    repeated ``length``-byte strings, and those of runs of ``words`` words in several documents.
+
+    A run is in several documents if it is in two texts or if its text has copies; one
+    that a single document repeats is not.
+    """
+    if words and not GRAM_WORDS <= words <= 2 * GRAM_WORDS:
+        raise ValueError(f"runs have {GRAM_WORDS} to {2 * GRAM_WORDS} words, not {words}")
     texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
-    long_texts = texts.filter(F.octet_length("_text") >= length)
-    owned = long_texts.mapInArrow(_scan(length, gram), "h long, c long, t long, at long")
-    # Written first, so that both sides of the join are plain shuffles, whose hot keys Spark can split.
-    hashes = materialize(
-        owned.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-        .filter("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed")), "hashes")
-    seen = materialize(owned.join(hashes, "h").select("h", "c", "t", "at", "mixed"), "stretches")
-    mixed = seen.filter("mixed")
-    kinds = materialize(mixed.groupBy("h", "c").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "at")).alias("one")), "kinds")
-    groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-    wanted = (kinds.join(groups.filter("least = 1"), "h")
-              .select("h", "one.t", "one.at", F.least("n", F.lit(2)).alias("n"),
-                      (F.col("kinds") > bucket_stretches).alias("hot")))
-    per_text = wanted.groupBy("t").agg(F.collect_list(F.struct("h", "at", "n", "hot")).alias("wanted"))
-    fetched = long_texts.dropDuplicates(["t"]).join(per_text, "t").mapInArrow(
-        _fetch(length), "h long, t long, at long, hot boolean, stretch binary")
+    long_texts = texts.filter(F.octet_length("_text") >= min(length, 2 * words - 1 if words else length))
+    passage = F.col("h") % 2 != 0
+    # Written first, so that both sides of the joins are plain shuffles, whose hot keys Spark can split.
+    hashes = materialize(long_texts.mapInArrow(_scan(length, gram, words, contents=False), "h long")
+                         .groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "hashes")
+    owned = long_texts.mapInArrow(_scan(length, gram, words), "h long, c long, t long, lo long, hi long")
+    seen = materialize(owned.join(hashes, "h").select(*owned.columns), "stretches")
+    places = seen.groupBy(*owned.columns).agg(F.count(F.lit(1)).alias("copies"))
+    kinds = places.groupBy("h", "c").agg(
+        F.sum("copies").alias("n"), F.max("copies").alias("copies"), F.count(F.lit(1)).alias("places"),
+        F.min(F.struct("t", "lo", "hi")).alias("one"), F.max("t").alias("other"))
+    shared = F.when(passage, (F.col("one.t") != F.col("other")) | (F.col("copies") > 1)).otherwise(F.col("n") > 1)
+    kinds = materialize(kinds.select("h", "c", "places", "one", shared.alias("whole")), "kinds")
+    # Of the runs that one text holds more than once, each place is wanted.
+    dealt = materialize(seen.join(kinds.filter("whole or places > 1").select("h", "c", "whole"), ["h", "c"])
+                        .select("h", "t", "lo", "hi", "whole"), "dealt")
+    groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.every("whole").alias("done"))
+    wanted = (kinds.filter("whole or places = 1").select("h", "one.*", "whole")
+              .union(dealt.filter("not whole").distinct())
+              .join(groups.filter("kinds > 1 and not done"), "h")
+              .withColumn("hot", F.col("kinds") > bucket_stretches))
+    per_text = wanted.groupBy("t").agg(F.collect_list(F.struct("h", "lo", "hi", "whole", "hot")).alias("wanted"))
+    fetched = long_texts.dropDuplicates(["t"]).join(per_text, "t").select("t", "_text", "wanted").mapInArrow(
+        _fetch, "h long, t long, lo long, whole boolean, hot boolean, stretch binary")
     fetched = materialize(fetched, "bytes")
+    of_bytes = fetched.filter(~passage)
     spans = "t long, lo long, hi long"
-    sorted_spans = (fetched.filter("not hot").select("h", "t", "at", "stretch")
+    sorted_spans = (of_bytes.filter("not hot").select("h", "t", "lo", "whole", "stretch")
                     .repartition("h").sortWithinPartitions("h").mapInArrow(_sort_buckets(length), spans))
-    windows = fetched.filter("hot").select("t", "at", "stretch").mapInArrow(
-        _spread(length), "w1 long, w2 long, t long, lo long")
+    windows = of_bytes.filter("hot").select("t", "lo", "whole", "stretch").mapInArrow(
+        _spread(length), "w1 long, w2 long, t long, lo long, whole boolean")
     twice = (windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2"))
-    spread_spans = (windows.filter("t is not null").join(twice, ["w1", "w2"])
+    spread_spans = (windows.filter("not whole").join(twice, ["w1", "w2"])
                     .select("t", "lo", (F.col("lo") + length).alias("hi")))
-
-    def whole(rows):
-        first = F.floor(F.col("at") / 1024).cast("long")
-        return rows.select("t", first.alias("lo"), (first + F.col("at") % 1024 - 1 + length).alias("hi"))
-
-    plain = whole(seen.filter("not mixed"))
-    shared = whole(mixed.join(kinds.filter("n > 1").select("h", "c"), ["h", "c"]))
-    every = plain.union(shared).union(sorted_spans).union(spread_spans).withColumn("passage", F.lit(False))
+    ends = dealt.filter("whole").withColumn("passage", passage).select("t", "lo", "hi", "passage")
+    every = ends.union(sorted_spans.union(spread_spans).withColumn("passage", F.lit(False)))
     if words:
-        every = every.union(repeated_runs(docs, words, text_col).withColumn("passage", F.lit(True)))
+        runs = fetched.filter(passage).select("t", "lo", "whole", "stretch").mapInArrow(
+            _runs(words), "run long, t long, lo long, hi long, whole boolean")
+        several = (runs.groupBy("run").agg(F.min("t").alias("one"), F.max("t").alias("other"), F.max("whole").alias("whole"))
+                   .filter("one != other or whole").select("run"))
+        every = every.union(runs.filter("not whole").join(several, "run").select("t", "lo", "hi")
+                            .withColumn("passage", F.lit(True)))
     span = F.struct("lo", "hi")
     return every.groupBy("t").agg(F.collect_set(F.when(~F.col("passage"), span)).alias("spans"),
                                   F.collect_set(F.when(F.col("passage"), span)).alias("passages"))
 
 
-def _word_gram_hashes(parts: list[bytes]) -> np.ndarray:
-    """Hashes of the GRAM_WORDS words at each word of a text."""
-    hashes, size = hash_words(parts), 1
+def _word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``bytes.split`` begin and end."""
+    inside = np.zeros(len(text) + 2, np.int8)
+    inside[1:-1] = _LETTER[np.frombuffer(text, np.uint8)] != 0
+    edges = np.diff(inside)
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
+def _word_hashes(text: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words between ``begins`` and ``ends``."""
+    chars = np.frombuffer(text, np.uint8)
+    out = np.empty(len(begins), np.uint64)
+    at = 0
+    while at < len(begins):
+        base = begins[at]
+        stop = int(np.searchsorted(ends, base + _AT_ONCE, side="right"))
+        if stop <= at:  # a word longer than what is handled at once
+            out[at] = xxhash.xxh3_64_intdigest(text[base:ends[at]])
+            at += 1
+            continue
+        terms = _LETTER[chars[base:ends[stop - 1]]]
+        terms *= _POWER[:len(terms)]
+        first = begins[at:stop] - base
+        out[at:stop] = np.add.reduceat(terms, first) * _INVERSE[first]
+        at = stop
+    return mix64(out + (ends - begins).astype(np.uint64) * np.uint64(_MIX))
+
+
+def _word_gram_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the GRAM_WORDS words at each word, from those of the words."""
+    size = 1
     while size < GRAM_WORDS:
         hashes = mix64(hashes[:-size] * np.uint64(_MIX) + hashes[size:])
         size *= 2
@@ -372,108 +469,60 @@ def _run_hashes(hashes: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
     return mix64(hashes[at] * np.uint64(_MIX) + hashes[at + words - GRAM_WORDS])
 
 
-def _word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of ``bytes.split`` begin and end."""
-    data = np.frombuffer(text, np.uint8)
-    inside = np.concatenate([[False], (data != 32) & ((data < 9) | (data > 13)), [False]]).astype(np.int8)
-    edges = np.diff(inside)
-    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-
-
-def _scan_words(words: int):
-    """Texts -> runs of ``words`` words with one owner: its hash, first run and their number."""
-
-    def run(batches):
-        for batch in batches:
-            out = [[], [], [], []]
-            for text, key in zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("t").to_pylist()):
-                parts = text.split()
-                if len(parts) < words:
-                    continue
-                hashes = _word_gram_hashes(parts)
-                place = np.arange(len(hashes), dtype=np.uint64)
-                least = _sliding_min((hashes & ~_LOW) | (_LOW - place), words - GRAM_WORDS + 1)
-                owner = (_LOW - (least & _LOW)).astype(np.int64)
-                first = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
-                out[0].append(hashes[owner[first]].view(np.int64))
-                out[1].append(np.full(len(first), key))
-                out[2].append(first)
-                out[3].append(np.diff(np.append(first, len(owner))))
-            arrays = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in out]
-            yield pa.RecordBatch.from_arrays(arrays, ["h", "t", "first", "size"])
-
-    return run
-
-
-def _wanted_runs(words: int):
-    """Texts and their wanted runs -> one row a run: its hash, text, bytes and copies."""
+def _runs(words: int):
+    """Stretches of runs -> one row a run: its hash, text, byte span and whether its stretch goes anyway."""
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], []]
-            for text, key, wanted in zip(batch.column("_text").cast(pa.binary()).to_pylist(),
-                                         batch.column("t").to_pylist(), batch.column("wanted").to_pylist()):
-                begins, ends = _word_bounds(text)
-                at = np.concatenate([np.arange(w["first"], w["first"] + w["size"]) for w in wanted])
-                out[0].append(_run_hashes(_word_gram_hashes(text.split()), at, words).view(np.int64))
-                out[1].append(np.full(len(at), key))
-                out[2].append(begins[at])
-                out[3].append(ends[at + words - 1])
-                out[4].append(np.repeat([w["copies"] for w in wanted], [w["size"] for w in wanted]))
-            arrays = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in out]
-            yield pa.RecordBatch.from_arrays(arrays, ["run", "t", "lo", "hi", "copies"])
+            parts = batch.column("stretch").to_pylist()
+            if not parts:
+                continue
+            joined = b" ".join(parts)
+            part_ends = np.cumsum([len(p) + 1 for p in parts])
+            begins, ends = _word_bounds(joined)
+            grams = _word_gram_hashes(_word_hashes(joined, begins, ends))
+            counts = np.diff(np.searchsorted(begins, part_ends), prepend=0)
+            which = np.repeat(np.arange(len(parts)), counts - words + 1)
+            at = np.arange(len(which)) + which * (words - 1)
+            offset = np.asarray(batch.column("lo"))[which] - np.concatenate([[0], part_ends[:-1]])[which]
+            own = pa.array(which)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_run_hashes(grams, at, words).view(np.int64)), batch.column("t").take(own),
+                 pa.array(begins[at] + offset), pa.array(ends[at + words - 1] + offset), batch.column("whole").take(own)],
+                ["run", "t", "lo", "hi", "whole"])
 
     return run
 
 
-def repeated_runs(docs: DataFrame, words: int, text_col: str = "text") -> DataFrame:
-    """(t, lo, hi): the bytes of each run of ``words`` words that occurs in two or more documents.
-
-    ``copies`` documents share a text, so a run is in several if its text has copies or if
-    it is in two texts; one that a single document repeats is not.
-    """
-    if not GRAM_WORDS <= words <= 2 * GRAM_WORDS:
-        raise ValueError(f"runs have {GRAM_WORDS} to {2 * GRAM_WORDS} words, not {words}")
-    texts = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("_text"))
-    long_texts = texts.filter(F.octet_length("_text") >= 2 * words - 1)
-    owned = long_texts.mapInArrow(_scan_words(words), "h long, t long, first long, size long")
-    hashes = materialize(owned.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "run-hashes")
-    seen = owned.join(hashes, "h").groupBy("t", "first", "size").agg(F.count(F.lit(1)).alias("copies"))
-    per_text = seen.groupBy("t").agg(F.collect_list(F.struct("first", "size", "copies")).alias("wanted"))
-    runs = materialize(long_texts.dropDuplicates(["t"]).join(per_text, "t").mapInArrow(
-        _wanted_runs(words), "run long, t long, lo long, hi long, copies long"), "runs")
-    twice = materialize(
-        runs.groupBy("run").agg(F.min("t").alias("one"), F.max("t").alias("other"), F.max("copies").alias("copies"))
-        .filter("one != other or copies > 1").select("run"), "run-twice")
-    return runs.join(twice, "run").select("t", "lo", "hi")
-
-
-def removal(text: Column, spans: Column) -> Column:
-    """Struct of the figures of removing ``spans`` from ``text``, and the text that is left.
+def removal(text: Column, spans: Column, kept: bool = True) -> Column:
+    """Struct of the figures of removing ``spans`` from ``text``, and with ``kept`` the text that is left.
 
     A character that loses only some of its bytes is dropped from ``kept_text``.
     """
-    kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * kept
+    fields = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
+              *[("kept_text", pa.string())] * kept]
 
     @F.arrow_udf(kind)
     def remove(texts: pa.Array, lists: pa.Array) -> pa.Array:
         rows = []
         for text, own in zip(texts.cast(pa.binary()).to_pylist(), lists.to_pylist()):
             text = text or b""
-            kept, runs, gone, at = [], 0, 0, 0
+            parts, runs, gone, at = [], 0, 0, 0
             for lo, hi in sorted((s["lo"], s["hi"]) for s in own or ()):
                 if not runs or lo > at:
-                    kept.append(text[at:lo])
+                    parts.append(text[at:lo])
                     runs += 1
                     at = lo
                 gone += max(0, hi - at)
                 at = max(at, hi)
-            kept.append(text[at:])
-            left = b"".join(kept)
+            parts.append(text[at:])
+            left = b"".join(parts)
             rows.append({"n_bytes": len(text), "n_removed": gone, "n_spans": runs,
-                         "kept_sha256": hashlib.sha256(left).hexdigest(), "kept_text": left.decode("utf-8", "ignore")})
-        return pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                                         ("kept_sha256", pa.string()), ("kept_text", pa.string())]))
+                         "kept_sha256": hashlib.sha256(left).hexdigest()})
+            if kept:
+                rows[-1]["kept_text"] = left.decode("utf-8", "ignore")
+        return pa.array(rows, pa.struct(fields))
 
     return remove(text, spans)
 
@@ -515,6 +564,6 @@ def dedup_digest(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     runs of ``words`` words that another document holds too, however few bytes they have.
     """
     joined = _with_spans(docs.select("doc_id", "text"), "_found", "text", length, gram, bucket_stretches, words)
-    cut = joined.withColumn("_removal", removal(F.col("text"), F.col("_found.spans")))
+    cut = joined.withColumn("_removal", removal(F.col("text"), F.col("_found.spans"), kept=False))
     return cut.select("doc_id", "_removal.n_bytes", "_removal.n_removed", "_removal.n_spans", "_removal.kept_sha256",
                       covered(F.col("_found.passages")).alias("n_passage_bytes"))

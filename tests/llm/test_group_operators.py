@@ -295,3 +295,46 @@ def test_every_shared_span_has_a_fingerprint(words, at):
     whole = gram_hashes(hashes, 5)
     inside = winnowing.fingerprints(span, 10, 5)
     assert len(inside) == 1 and at + inside[0] in winnowing.fingerprints(whole, 10, 5)
+
+
+def test_removal_stages_no_row_a_run(spark, monkeypatch):
+    """What copies share is told by stretches: no staged table has a row for every run of words."""
+    staged = {}
+
+    def counted(df, name, write=suffix_dedup.materialize):
+        table = write(df, name)
+        staged[name] = staged.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(suffix_dedup, "materialize", counted)
+    words = [f"w{i * i % 997}-{i}" for i in range(3000)]
+    texts = [" ".join(words)] * 2 + [" ".join([*words, "end"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    suffix_dedup.dedup_digest(docs).collect()
+    assert max(staged.values()) < len(words)
+
+
+def test_passage_repeated_in_one_text_and_held_in_part_by_another(spark):
+    """Every place of a run counts, however its words are spaced, if another document holds it."""
+    run = [f"k{i % 89}{i % 7}" for i in range(90)]
+    texts = [" ".join(["a1", *run, "a2"] * 2) + "\n" + "  ".join(["a1", *run, "a2"])]
+    texts += [" ".join([f"b{k}", *run[k:k + 55], f"c{k}"]) for k in (0, 17, 35)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_passage_bytes for r in suffix_dedup.dedup_digest(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts) and got[0] > 3 * 90
+
+
+@pytest.mark.parametrize("longest", [3, 300_000])
+def test_word_and_gram_hashes_do_not_depend_on_their_place(longest):
+    rnd = random.Random(longest)
+    words = [bytes(rnd.choices(b"abcdefgh\x00\xff", k=rnd.randint(1, longest if i % 50 == 7 else 9))) for i in range(300)]
+    text = b" ".join(words)
+    begins, ends = suffix_dedup._word_bounds(text)
+    assert [text[a:b] for a, b in zip(begins, ends)] == text.split()
+    hashes = suffix_dedup._word_hashes(text, begins, ends)
+    alone = [suffix_dedup._word_hashes(w, np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert hashes.tolist() == alone and len(set(alone)) == len(set(words))
+    data = np.frombuffer(text[:400_000] + text[:700], np.uint8)
+    grams = suffix_dedup._gram_hashes(data, 256)
+    at = min(len(text), 400_000)
+    assert len(grams) == len(data) - 255 and grams[:400].tolist() == grams[at:at + 400].tolist()
