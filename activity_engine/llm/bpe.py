@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from activity_engine.llm.common import Cache
+from activity_engine.llm.common import Cache, serve, stored
 
 #: Characters that are surely neither white space nor line control. A single
 #: space between two of them always starts a new piece, so a text may be cut there.
@@ -195,11 +195,15 @@ def codec(path: str) -> BytePairCodec:
     return BytePairCodec(path)
 
 
+stored(codec.cache_clear)
+
+
 def bpe_roundtrip(text: Column, vocabulary: str) -> Column:
     """Struct (n_tokens, ids_sha256, decoded_sha256) of encoding and decoding ``text``."""
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def roundtrip(texts: pa.Array) -> pa.Array:
+        serve("bpe")
         own = codec(vocabulary)
         counts, hashes, decoded = [], [], []
         for text in texts.to_pylist():

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +99,10 @@ class Cache(dict):
         super().__init__()
         self.make, self.limit, self.last = make, limit, {}
 
+    def empty(self) -> None:
+        self.last = {}
+        self.clear()
+
     def __missing__(self, key):
         if len(self) >= self.limit:
             self.last = dict(self)
@@ -106,7 +114,36 @@ class Cache(dict):
         return value
 
 
+#: What empties the stores that operators keep in a worker process, and the operator it serves.
+_STORES: list[Callable[[], None]] = []
+_SERVED: list = [None]
+
+
+def stored(empty: Callable[[], None]) -> None:
+    """``empty`` drops what a module keeps in the process; called when another operator begins there."""
+    _STORES.append(empty)
+
+
+def serve(operator: str) -> None:
+    """Called by tasks before the work of ``operator``.
+
+    Spark's worker processes serve one operator after the other; what the last one kept
+    goes first, and its memory goes back to the system.
+    """
+    if _SERVED[0] == operator:
+        return
+    _SERVED[0] = operator
+    for empty in _STORES:
+        empty()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 _WORD_HASH = Cache(xxhash.xxh3_64_intdigest)
+stored(_WORD_HASH.empty)
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import fresh_name, gram_hashes, hash_words, materialize, mix64
+from activity_engine.llm.common import fresh_name, gram_hashes, hash_words, materialize, mix64, serve
 from activity_engine.llm.components import components
 
 SHINGLE = 5
@@ -67,6 +67,7 @@ def _sign(n: int, bands: int, rows: int):
     factors = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches):
+        serve("jaccard_join")
         for batch in batches:
             known: dict = {}
             sets, sizes, signed = [], [], []

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import fresh_name, materialize, mix64
+from activity_engine.llm.common import fresh_name, materialize, mix64, serve
 
 LENGTH = 400
 GRAM = 256
@@ -189,6 +189,7 @@ def _scan(length: int, gram: int, words: int | None, contents: bool = True):
     names = ["h", "c", "t", "lo", "hi"] if contents else ["h"]
 
     def run(batches):
+        serve("suffix_dedup")
         for batch in batches:
             texts = [t or b"" for t in batch.column("_text").cast(pa.binary()).to_pylist()]
             found = list(_byte_stretches(texts, length, gram, contents))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Cache, materialize, stratified_sample
+from activity_engine.llm.common import Cache, materialize, serve, stored, stratified_sample
 
 SAMPLE = 6000
 LEXICON = 512
@@ -74,6 +74,7 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Trigram counts of the symbols of all texts (texts begin and end at an edge)."""
 
     def count(batches):
+        serve("toxicity")
         total = np.zeros(_SIZE ** 3, np.int64)
         edge = np.zeros(2, np.uint8)
         for batch in batches:
@@ -192,6 +193,7 @@ class _Table:
 
 
 _OWN: list = [None, None]
+stored(lambda: _OWN.__setitem__(slice(None), [None, None]))
 
 
 def _restorer(model: np.ndarray) -> Restorer:
@@ -206,6 +208,7 @@ def restored_words(text: Column, model: np.ndarray) -> Column:
 
     @F.arrow_udf("array<string>")
     def words(texts: pa.Array) -> pa.Array:
+        serve("toxicity")
         own = _restorer(model)
         return pa.array([sorted(own.words(t) - {""}) for t in texts.to_pylist()], pa.list_(pa.string()))
 
@@ -276,6 +279,7 @@ def toxicity_score(text: Column, model: np.ndarray, lexicon: list[str], weights:
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        serve("toxicity")
         own = _restorer(model)
         sums = [intercept + sum(by_word[w] for w in sorted(own.words(t) & by_word.keys())) for t in texts.to_pylist()]
         return pa.array(1 / (1 + np.exp(-np.clip(np.array(sums, float), -40, 40))), pa.float64())

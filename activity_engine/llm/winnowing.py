@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import fresh_name, gram_hashes, hash_words, materialize
+from activity_engine.llm.common import fresh_name, gram_hashes, hash_words, materialize, serve
 
 SPAN = 10
 GRAM = 5
@@ -74,6 +74,7 @@ def item_fingerprints(items: DataFrame, span: int = SPAN, gram: int = GRAM) -> D
     before = span - gram
 
     def scan(batches):
+        serve("winnowing")
         for batch in batches:
             out = {"item": [], "length": [], "fp": [], "at": [], "words": []}
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
@@ -107,6 +108,7 @@ def _document_hits(docs: DataFrame, bits: bytes, lengths: list[int], span: int,
     mask = np.uint64(FILTER_BITS - 1)
 
     def scan(batches):
+        serve("winnowing")
         table = np.unpackbits(np.frombuffer(bits, np.uint8))
         for batch in batches:
             counts, length, fp, at, around = [], [], [], [], []

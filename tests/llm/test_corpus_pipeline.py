@@ -2,9 +2,12 @@
 
 import hashlib
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from activity_engine.llm import bpe, common
+
 from .conftest import EDGES, prose
 from .test_group_operators import brute_contamination, brute_groups, brute_removal
 
@@ -98,3 +101,14 @@ def test_short_worded_passages_are_cut(spark):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     cut = corpus_pipeline.cut_repeats(spark, docs, "")
     assert cut.columns == docs.columns and {r.doc_id: r.text for r in cut.collect()} == want
+
+
+def test_a_worker_drops_what_the_last_operator_kept():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    common.serve("bpe")
+    own = bpe.codec(path)
+    common.hash_words([b"a", b"b"])
+    common.serve("bpe")
+    assert bpe.codec(path) is own and len(common._WORD_HASH) == 2    # the same operator finds it again
+    common.serve("jaccard_join")
+    assert bpe.codec.cache_info().currsize == 0 and not common._WORD_HASH and not common._WORD_HASH.last
