@@ -24,6 +24,9 @@ BATCH_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
+#: Spark's setting by which a finished query's shuffle files are removed.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> None:
     ensure_session_conf(spark)
@@ -48,14 +51,21 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(str(target))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
-    Cuts the lineage at a table every executor can read again after a loss.
+    Cuts the lineage at a table every executor can read again after a loss. With
+    ``drop_shuffles`` Spark removes the shuffle files of the write after it, which
+    nothing reads any more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true" if drop_shuffles else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

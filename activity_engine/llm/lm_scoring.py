@@ -6,22 +6,22 @@ unigram probability, (c + 1) / (N + V + 1), and one more share stands for all wo
 never seen.
 
 Contexts seen in training are states, n-grams arcs, and each state has a failure arc
-with its backoff weight to the next shorter context. States and arcs are rows, whose
-number grows with the corpus:
-
-1. Each token of each text, with its two predecessors, goes to the task of its state
-   (the two predecessors). That task has all training tokens of the state, so it
-   knows the state's count, its arcs and their counts; a state's count is also the
-   count of the bigram that leads to it.
-2. What the states and arcs gave comes together again by text, in the order of the
-   tokens, and is summed from the unigram up to the trigram.
-
-Sizes: words of relative frequency 2**-WORD_BITS or more in all texts are at most
-2**WORD_BITS, and n-grams of 2**-NGRAM_BITS or more at most 2**NGRAM_BITS an order, as
-counts sum to the number of tokens. Only this core is broadcast. Tokens of a state in
-the core are dealt by their arc instead, and those of an arc in the core by their
-place, so no key has more than tokens / 2**NGRAM_BITS rows. Rarer words get their
-counts by a shuffle join on the word, in which no key is hot either.
+with its backoff weight to the next shorter context. Their number grows with the
+corpus, so they are dealt to tasks:
+
+1. Texts are cut into batches of about _BATCH tokens, written once as numbers.
+2. Of a batch, each distinct arc goes once, with its count, to the task of its state.
+   That task has all training counts of the state, so it knows the state's count, its
+   arcs and their counts. A state's count is also the count of the bigram that leads
+   to it; states go by their first word, so the task of a word knows its arcs too.
+3. The answers go back to the batch in the order of its questions, and are summed a
+   text, from the unigram up to the trigram.
+
+Words of relative frequency 2**-WORD_BITS or more have short numbers, which are
+broadcast. Of words and states of about 2**-NGRAM_BITS or more (at most 2**NGRAM_BITS
+and twice that) the arcs are dealt one by one; what their tasks count is summed and
+broadcast. Both decide only how a row is dealt or written, never its score. An arc is
+one row a batch, however frequent, so no task gets more than its share.
 
 Words are compared by 63-bit hashes. Defined results: a null or empty text is its
 end token alone; without training documents every token is unseen; repeated rows
@@ -30,139 +30,131 @@ are scored and counted as rows.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Cache, crc_mod, materialize
+from activity_engine.llm.common import crc_mod, materialize, mix64
 
 ORDER = 3
 WORD_BITS = 20
-NGRAM_BITS = 17
+NGRAM_BITS = 13
 DISCOUNT = 0.75
-#: Distinct keys a task counts before it hands them on.
-_FLUSH = 400_000
-_CODES = 1 << 21
-#: Rows a task takes at once; a group that goes on waits for its end.
-_ROWS = 1 << 17
+#: Tokens of a batch of texts, and those whose arcs a task counts.
+_BATCH = 3 << 18
+_PART = 1 << 20
 
 
-def _key(word: bytes) -> int:
-    """63-bit hash of a word, below 0; numbers of words are not."""
-    return ~(xxhash.xxh3_64_intdigest(word) >> 1)
+def _keys(words: list[bytes]) -> np.ndarray:
+    """63-bit hashes of words, below 0; numbers of words are not."""
+    return ~(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)).astype(np.int64)
 
 
 #: No word: what follows the end token (which is a blank, as no word is).
 NONE = -1 << 63
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Words of a text, A-Z lowered, and the end token."""
-    return [*(text or b"").lower().split(), b" "]
-
+def tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of texts, A-Z lowered, the place of each token among them, and tokens a text.
 
-def _texts(batch):
-    return zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("held_out").to_pylist())
+    The last one is the end token, which follows the words of each text.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = parts.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    places = np.asarray(coded.indices).astype(np.int64)
+    real = places != (words.index(b"") if b"" in words else -1)
+    ends = np.append(0, np.cumsum(real))[np.cumsum(np.asarray(parts.value_lengths()), dtype=np.int64)]
+    words.append(b" ")
+    return words, np.insert(places[real], ends, len(words) - 1), np.diff(ends, prepend=0) + 1
 
 
 def _count_words(batches):
-    training, others = Counter(), Counter()
+    """Counts of the words that may be frequent in all texts; the row of NONE has all tokens."""
+    waiting, size = [], 0
 
     def flush():
-        n = [*training.values(), *others.values()]
+        keys, place = np.unique(np.concatenate([k for k, _ in waiting]), return_inverse=True)
+        uses = np.bincount(place, np.concatenate([n for _, n in waiting])).astype(np.int64)
+        own = uses << WORD_BITS >= size
         return pa.RecordBatch.from_arrays(
-            [pa.array([_key(w) for own in (training, others) for w in own], pa.int64()), pa.array(n, pa.int64()),
-             pa.array([*training.values(), *[0] * len(others)], pa.int64())], ["h", "n", "c"])
+            [pa.array(np.append(NONE, keys[own])), pa.array(np.append(size, uses[own]))], ["h", "n"])
 
     for batch in batches:
-        for text, held_out in _texts(batch):
-            (others if held_out else training).update(tokens(text))
-        if len(training) + len(others) >= _FLUSH:
+        words, places, _ = tokens(batch.column("_text"))
+        waiting.append((_keys(words), np.bincount(places, minlength=len(words))))
+        size += len(places)
+        if size >= 2 * _BATCH:
             yield flush()
-            training.clear()
-            others.clear()
-    if training or others:
+            waiting, size = [], 0
+    if size:
         yield flush()
 
 
-class Numbering:
-    """Numbers of the frequent words, in the order of their keys; another word keeps its key."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        self.number = Cache(self._find)
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, most of them small, as bytes: those of one weight side by side."""
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T) for c in columns]
+    return pa.compress(np.concatenate(planes), codec="zstd", asbytes=True)
 
-    def _find(self, word: bytes) -> int:
-        at = int(np.searchsorted(self.keys, key := _key(word)))
-        return at if at < len(self.keys) and self.keys[at] == key else key
 
+def _unpack(packed: bytes, columns: int, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, columns * size * 8, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(columns, 8, size).transpose(0, 2, 1)).view("<i8")[:, :, 0]
 
-_HELD: list = [None, None]
 
-
-def _held(broadcast, make):
-    """What ``make`` builds from a broadcast value, kept for the tasks of one process."""
-    if _HELD[0] is not broadcast.value:
-        _HELD[:] = broadcast.value, make(broadcast.value)
-    return _HELD[1]
-
-
-def _count_ngrams(keys, kept, order: int):
-    """Counts of ``order``-grams whose two shorter parts are in the core.
-
-    An n-gram is no more frequent than its parts, so no other can be; of words,
-    ``kept`` has the numbers. The last bit of a code tells training texts.
-    """
+def _batches(numbering, strong: int):
+    """Texts -> a row a batch: its tokens' numbers, NONE after each text, and its frequent states."""
 
     def run(batches):
-        numbers = _held(keys, Numbering).number
-        singles, shorter = kept.value
-        strong = np.zeros(len(keys.value) + 1, bool)  # the last place is that of -1
-        strong[singles] = True
-        waiting, size = [], 0
+        frequent_keys, numbers = numbering.value
+        task, done = TaskContext.get().partitionId() << 32, 0
+        waiting, ids, held_out, size = [], [], [], 0
 
         def flush():
-            codes, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], ["code", "n"])
+            x = np.concatenate(waiting)
+            train = ~np.concatenate([np.asarray(h.cast(pa.uint8())).astype(bool) for h in held_out])
+            counted = np.diff(np.flatnonzero(x == NONE), prepend=-1) - 1
+            near = (x >= 0) & (x < strong)
+            pairs, uses = np.unique((x[:-1] * strong + x[1:])[near[:-1] & near[1:]], return_counts=True)
+            frequent = uses << NGRAM_BITS >= len(x)
+            lists = [pa.chunked_array(ids).combine_chunks(), pa.chunked_array(held_out).combine_chunks(),
+                     pa.array(pairs[frequent]), pa.array(uses[frequent])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([task + done]), pa.array([int(counted[train].sum())]), pa.array([len(x)], pa.int32()),
+                 pa.array([_pack(x)], pa.binary())]
+                + [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in lists],
+                ["batch", "learned", "size", "data", "ids", "held_out", "pairs", "uses"])
 
         for batch in batches:
-            words: list[bytes] = []
-            sizes, train = [], []
-            for text, held_out in _texts(batch):
-                words += tokens(text)
-                words.append(b"")  # no word: nothing reaches into the next text
-                sizes.append(len(words))
-                train.append(not held_out)
-            ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-            ids = np.maximum(ids, -1)
-            ids[~strong[ids]] = -1
-            train = np.repeat(np.array(train, np.int64), np.diff(sizes, prepend=0))
-            codes, inside = np.maximum(ids, 0), ids >= 0
-            for n in range(1, order):  # from n-grams to those of one word more
-                if 1 < n == order - 1:
-                    inside &= _among(codes, shorter)
-                codes = codes[:-1] << WORD_BITS | np.maximum(ids[n:], 0)
-                inside = inside[:-1] & inside[1:]
-            waiting.append((codes << 1 | train[:len(codes)])[inside])
+            words, places, sizes = tokens(batch.column("_text"))
+            values = _keys(words)
+            at, known = _find(values, frequent_keys)
+            values[known] = numbers[at[known]]
+            waiting.append(np.insert(values[places], np.cumsum(sizes), NONE))
+            ids.append(batch.column("doc_id"))
+            held_out.append(batch.column("held_out"))
             size += len(waiting[-1])
-            if size >= _CODES:
+            if size >= _BATCH:
                 yield flush()
-                waiting, size = [], 0
+                done, size = done + 1, 0
+                for own in (waiting, ids, held_out):
+                    own.clear()
         if size:
             yield flush()
 
     return run
 
 
-def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return table[at] == values
+def _changes(*columns) -> np.ndarray:
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
 def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,156 +165,183 @@ def _find(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == values
 
 
-_DIRECT, _STATE, _ARC = 0, 1, 2
-
-
-def _positions(core):
-    """Texts -> a row a token: its predecessors u and v and what its task is found by.
-
-    One more row follows the end token of a text; its state is the last bigram.
-    """
+def _dense(x: np.ndarray, numbered: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for all words of ``x``, the rare ones' after the others', and the rare words."""
+    rare = x < 0
+    words, place = np.unique(x[rare], return_inverse=True)
+    ids = x.copy()
+    ids[rare] = numbered + place
+    return ids, words
+
+
+def _distinct(u: np.ndarray, v: np.ndarray, w: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of triples of numbers below ``kinds``: each one's place among the distinct ones, sorted, and a place of each of these."""
+    pair = u * kinds + v
+    if kinds > 1 << 21:  # three numbers of more than 21 bits do not fit
+        pair = np.unique(pair, return_inverse=True)[1]
+    found, place = np.unique(pair * kinds + w, return_inverse=True)
+    at = np.empty(len(found), np.int64)
+    at[place] = np.arange(len(place))
+    return place, at
+
+
+class Deal:
+    """How arcs are dealt: by their state's first word; of a frequent word by state, of a frequent state one by one."""
+
+    def __init__(self, numbered: int, strong: int, states: np.ndarray, parts: int):
+        self.numbered, self.strong, self.states, self.parts = numbered, strong, states, parts
+
+    def frequent(self, u, v) -> tuple[np.ndarray, np.ndarray]:
+        """Places of states among the frequent ones, and whether they are there."""
+        near = (u >= 0) & (u < self.strong) & (v >= 0) & (v < self.strong)
+        return _find(np.where(near, u * self.strong + v, -1), self.states)
+
+    def part(self, u, v, w) -> np.ndarray:
+        code = mix64(u.astype(np.uint64))
+        by_state = (u >= 0) & (u < self.strong) & (v != NONE)
+        code[by_state] = mix64(code + v.astype(np.uint64))[by_state]
+        by_arc = self.frequent(u, v)[1]
+        code[by_arc] = mix64(code + w.astype(np.uint64))[by_arc]
+        return (code % np.uint64(self.parts)).astype(np.int32)
+
+    def questions(self, x: np.ndarray) -> dict:
+        """Distinct arcs and words of a batch (a word's is (word, NONE, NONE)) in the order of their parts.
+
+        ``of_arc`` and ``of_word`` have the question of each token from the third of a
+        text on, and of each token; ``deep`` the places of the former.
+        """
+        ids, rare = _dense(x, self.numbered)
+        deep = 2 + np.flatnonzero((x[:-2] != NONE) & (x[1:-1] != NONE))
+        of_arc, at = _distinct(ids[deep - 2], ids[deep - 1], ids[deep], self.numbered + len(rare))
+        at = deep[at]
+        words, of_word = np.flatnonzero(uses := np.bincount(ids)), np.zeros(len(uses), np.int64)
+        of_word[words] = np.arange(len(words))
+        single = np.append(np.arange(self.numbered), rare)[words]
+        none = np.full(len(single), NONE)
+        u, v, w = np.append(x[at - 2], single), np.append(x[at - 1], none), np.append(x[at], none)
+        part = self.part(u, v, w)
+        order = np.argsort(part, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return {"u": u[order], "v": v[order], "w": w[order], "part": part[order], "deep": deep,
+                "of_arc": place[of_arc], "of_word": place[len(at) + of_word[ids]]}
+
+
+def _ask(deal):
+    """Batches -> a row a batch and part: the questions with their counts in training texts."""
 
     def run(batches):
-        keys, bigrams, _, trigrams, _ = core.value
-        numbers = _held(core, lambda value: Numbering(value[0])).number
         for batch in batches:
-            words: list[bytes] = []
-            ends = []
-            for text in batch.column("_text").cast(pa.binary()).to_pylist():
-                words += tokens(text)
-                words.append(b"")
-                ends.append(len(words))
-            ends = np.array(ends, np.int64)
-            sizes = np.diff(ends, prepend=0)
-            w = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-            w[ends - 1] = NONE
-            text = np.repeat(np.arange(len(ends)), sizes)
-            pos = np.arange(len(w)) - (ends - sizes)[text]
-            deep = pos >= 2
-            v = np.where(deep, np.roll(w, 1), 0)
-            u = np.where(deep, np.roll(w, 2), 0)
-            numbered = deep & (u >= 0) & (v >= 0)
-            pair = np.where(numbered, u << WORD_BITS | v, -1)
-            hot = numbered & _among(pair, bigrams)
-            known = hot & (w >= 0)
-            triple = np.where(known, pair << WORD_BITS | w, -1)
-            known &= _among(triple, trigrams)
-            direct = ~deep | known | hot & (w == NONE)
-            kind = np.where(direct, _DIRECT, np.where(hot, _ARC, _STATE)).astype(np.int8)
-            train = ~np.asarray(batch.column("held_out").cast(pa.uint8())).astype(bool)
-            row = np.asarray(batch.column("row")) << 1 | train
-            first = np.where(pos == 0, text, -1)
-            use = (w != NONE) | deep  # a text of its end token alone has no bigram
-            ids = batch.column("doc_id").take(pa.array(first[use], mask=first[use] < 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind[use]), pa.array(u[use]), pa.array(v[use]), pa.array(w[use]), pa.array(row[text][use]),
-                 pa.array(pos[use].astype(np.int32)), ids], ["kind", "u", "v", "w", "row", "pos", "doc_id"])
+            for size, data, held_out, number in zip(*[batch.column(n).to_pylist() for n in ("size", "data", "held_out", "batch")]):
+                x = _unpack(data, 1, size)[0]
+                asked = deal.value.questions(x)
+                train = np.repeat(~np.array(held_out, bool), np.diff(np.flatnonzero(x == NONE), prepend=-1))
+                n = (np.bincount(asked["of_arc"], train[asked["deep"]], len(asked["u"]))
+                     + np.bincount(asked["of_word"], train, len(asked["u"]))).astype(np.int64)
+                cuts = np.flatnonzero(_changes(asked["part"]))
+                ends = np.append(cuts[1:], len(n))
+                rows = [_pack(*[a[i:j] for a in (asked["u"], asked["v"], asked["w"], n)]) for i, j in zip(cuts, ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), number)), pa.array(asked["part"][cuts]),
+                     pa.array((ends - cuts).astype(np.int32)), pa.array(rows, pa.binary())],
+                    ["batch", "part", "size", "data"])
 
     return run
 
 
-def _groups(batches, names, cuts):
-    """Columns of sorted rows as arrays, never cut inside a group; ``cuts`` has where groups begin."""
-    waiting, size = [], 0
-    for batch in batches:
-        waiting.append(batch)
-        size += batch.num_rows
-        if size < _ROWS:
-            continue
-        table = pa.Table.from_batches(waiting).combine_chunks()
-        begins = np.flatnonzero(cuts(*[np.asarray(table.column(n)) for n in names]))
-        if begins[-1]:
-            yield table.slice(0, begins[-1])
-            table = table.slice(begins[-1])
-        waiting, size = table.to_batches(), 0
-    if waiting:
-        yield pa.Table.from_batches(waiting)
-
+def _answer(deal):
+    """All questions of a part -> for each the counts of its arc and state, and the state's number of arcs.
 
-def _changes(*columns) -> np.ndarray:
-    out = np.zeros(len(columns[0]), bool)
-    out[:1] = True
-    for c in columns:
-        out[1:] |= c[1:] != c[:-1]
-    return out
-
-
-def _states_and_arcs(core):
-    """Rows sorted by state and arc -> the counts of both.
-
-    n is the arc's count, c the state's, kinds the number of the state's arcs (of a
-    state in the core ~its place). ``arc`` is set once for each bigram (its first
-    word) and for each arc of a state in the core (the state's code, from 2**WORD_BITS).
+    A word's state is the word. Rows of ``key`` have the part's share of what several
+    parts count: -1 the words in training texts, -2 - u the arcs of a frequent word,
+    others the frequent states.
     """
 
-    def cuts(kind, u, v, w):
-        return _changes(kind, u, v) | _changes(w) & (kind != _STATE)
-
     def run(batches):
-        _, bigrams, bigram_counts, trigrams, trigram_counts = core.value
-        for table in _groups(batches, ["kind", "u", "v", "w"], cuts):
-            kind, u, v, w, row, pos = (np.asarray(table.column(n)) for n in ("kind", "u", "v", "w", "row", "pos"))
-            state = _changes(kind, u, v)
-            arc = state | _changes(w)
-            of_state, of_arc = np.cumsum(state) - 1, np.cumsum(arc) - 1
-            first = np.flatnonzero(arc)
-            train = row & 1
-            arcs = np.bincount(of_arc, train).astype(np.int64)
-            real = (arcs > 0) & (w[first] != NONE)
-            n = arcs[of_arc]
-            c = np.bincount(of_state, train).astype(np.int64)[of_state]
-            kinds = np.bincount(of_state[first], real).astype(np.int64)[of_state]
-            given = np.full(len(u), NONE)
-            given[first[real]] = ((u + 1) << WORD_BITS | v)[first[real]]
-            given[kind != _ARC] = NONE
-            begins = state & (kind == _STATE) & (c > 0)
-            given[begins] = u[begins]
-            fixed = np.flatnonzero((kind != _STATE) & (pos >= 2))
-            pair = u[fixed] << WORD_BITS | v[fixed]
-            at, _ = _find(pair, bigrams)
-            if len(fixed):
-                c[fixed], kinds[fixed] = bigram_counts[at], ~at
-            n[kind == _DIRECT] = c[(kind == _DIRECT) & (pos < 2)] = kinds[(kind == _DIRECT) & (pos < 2)] = 0
-            fixed = np.flatnonzero((kind == _DIRECT) & (pos >= 2) & (w >= 0))
-            at, _ = _find((u[fixed] << WORD_BITS | v[fixed]) << WORD_BITS | w[fixed], trigrams)
-            if len(fixed):
-                n[fixed] = trigram_counts[at]
-            yield from pa.table(
-                {"row": table.column("row"), "pos": table.column("pos"), "w": table.column("w"),
-                 "doc_id": table.column("doc_id"), "n": n, "c": c, "kinds": kinds,
-                 "arc": pa.array(given, mask=given == NONE)}).combine_chunks().to_batches()
+        rows = [r for b in batches for r in zip(*[b.column(n).to_pylist() for n in ("batch", "part", "size", "data")])]
+        if not rows:
+            return
+        u, v, w, n = np.concatenate([_unpack(data, 4, size) for *_, size, data in rows], axis=1)
+        numbered, strong = deal.value.numbered, deal.value.strong
+        ids, rare = _dense(np.concatenate([u, v, w]), numbered)
+        place, at = _distinct(*np.split(ids, 3), numbered + len(rare))
+        del ids
+        count = np.bincount(place, n).astype(np.int64)
+        first = np.flatnonzero(_changes(u[at], v[at]))
+        of_state = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+        total = np.bincount(of_state, count).astype(np.int64)
+        kinds = np.bincount(of_state, (count > 0) & (w[at] != NONE)).astype(np.int64)
+        u, v = u[at][first], v[at][first]
+        where, frequent = deal.value.frequent(u, v)
+        word, by_word = v == NONE, np.cumsum(_changes(u)) - 1
+        arcs = np.bincount(by_word, (total > 0) & ~word & ~frequent).astype(np.int64)
+        kinds[word] = arcs[by_word[word]]
+        own = np.flatnonzero(_changes(u) & (u >= 0) & (u < strong))
+        keys = np.concatenate([[-1], -2 - u[own], deal.value.states[where[frequent]]])
+        nothing = np.zeros(len(own), np.int64)
+        shares = pa.RecordBatch.from_arrays(
+            [pa.nulls(len(keys), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary())] + [pa.array(keys)]
+            + [pa.array(np.concatenate(a)) for a in (([((total > 0) & word & (u != NONE)).sum()], nothing, total[frequent]),
+                                                     ([0], arcs[by_word[own]], kinds[frequent]))],
+            ["batch", "part", "size", "data", "key", "c", "kinds"])
+        yield shares
+        found, done = np.stack([count, total[of_state], kinds[of_state]]), 0
+        for batch, part, size, _ in rows:
+            asked = place[done:done + size]
+            done += size
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch]), pa.array([part], pa.int32()), pa.array([size], pa.int32()),
+                 pa.array([_pack(*found[:, asked])], pa.binary())] + [pa.nulls(1, pa.int64())] * 3, shares.schema.names)
 
     return run
 
 
-def _sum(model, order: int):
-    """Rows sorted by text and place -> the figures of each text."""
+def _score(deal, model, order: int):
+    """Rows sorted by batch and part, that of the texts first -> the figures of each text."""
+
+    def scored(rows):
+        states, kinds_of_states, kinds_of_words, share = model.value
+        (_, size, data, ids, held_out), answers = rows[0], rows[1:]
+        x = _unpack(data, 1, size)[0]
+        asked = deal.value.questions(x)
+        n, c, kinds = np.concatenate([_unpack(d, 3, s) for _, s, d, *_ in answers], axis=1)
+        u, v = asked["u"], asked["v"]
+        at, frequent = deal.value.frequent(u, v)
+        c[frequent], kinds[frequent] = states[at[frequent]], kinds_of_states[at[frequent]]
+        frequent = (v == NONE) & (u >= 0) & (u < len(kinds_of_words))
+        kinds[frequent] = kinds_of_words[u[frequent]]
+        wc, wk = c[asked["of_word"]], kinds[asked["of_word"]]
+        deep = asked["deep"]
+        arc, state, arcs = np.zeros((3, len(x)), np.int64)
+        arc[deep], state[deep], arcs[deep] = n[asked["of_arc"]], c[asked["of_arc"]], kinds[asked["of_arc"]]
+        ends = np.flatnonzero(x == NONE)
+        begins = np.append(0, ends[:-1] + 1)
+        p = unigram = (wc + 1) / share
+        if order >= 2:
+            before = np.roll(wc, 1)
+            before[begins] = 0
+            p = _interpolated(before, np.roll(wk, 1), np.append(state[1:], 0), p)  # the next token's state is this one's bigram
+        if order >= 3:
+            p = _interpolated(state, arcs, arc, p)
+        word = x != NONE
+        return pa.RecordBatch.from_arrays(
+            [ids, held_out, pa.array(ends - begins), pa.array(np.add.reduceat((word & (wc > 0)).astype(np.int64), begins)),
+             pa.array(np.add.reduceat(np.log10(np.where(word, unigram, 1.0)), begins)),
+             pa.array(np.add.reduceat(np.log10(np.where(word, p, 1.0)), begins))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     def run(batches):
-        counts, word_kinds, state_kinds, share = model.value
-        for table in _groups(batches, ["row"], _changes):
-            row, w, n, c, kinds = (np.asarray(table.column(x)) for x in ("row", "w", "n", "c", "kinds"))
-            wc, wk = (np.asarray(table.column(x).fill_null(0)).copy() for x in ("wc", "wk"))
-            core = w >= 0
-            wc[core], wk[core] = counts[w[core]], word_kinds[w[core]]
-            kinds = kinds.copy()
-            kinds[kinds < 0] = state_kinds[~kinds[kinds < 0]]
-            begins = _changes(row)
-            p = unigram = (wc + 1) / share
-            if order >= 2:
-                pairs = np.append(c[1:], 0)  # the next token's state is this one's bigram
-                p = _interpolated(np.where(begins, 0, np.roll(wc, 1)), np.roll(wk, 1), pairs, p)
-            if order >= 3:
-                p = _interpolated(c, kinds, n, p)
-            word = w != NONE
-            base, score = np.where(word, np.log10(unigram), 0.0), np.where(word, np.log10(p), 0.0)
-            at = np.flatnonzero(begins)
-            yield from pa.table(
-                {"doc_id": table.column("doc_id").take(pa.array(at)), "held_out": pa.array(row[at] & 1 == 0),
-                 "n_tokens": np.add.reduceat(word.astype(np.int64), at),
-                 "n_known": np.add.reduceat((word & (wc > 0)).astype(np.int64), at),
-                 "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(score, at)}
-            ).combine_chunks().to_batches()
+        waiting: list[tuple] = []
+        for batch in batches:
+            ids, held_out = batch.column("ids"), batch.column("held_out")
+            for i, (number, size, data) in enumerate(zip(*[batch.column(n).to_pylist() for n in ("batch", "size", "data")])):
+                if waiting and waiting[0][0] != number:
+                    yield scored(waiting)
+                    waiting = []
+                texts = (ids[i].values, held_out[i].values) if not waiting else (None, None)
+                waiting.append((number, size, data, *texts))
+        if waiting:
+            yield scored(waiting)
 
     return run
 
@@ -347,51 +366,41 @@ def lm_scores(docs: DataFrame, training: F.Column, text_col: str = "text", id_co
     context = docs.sparkSession.sparkContext
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), (~training).alias("held_out"),
                          F.col(text_col).alias("_text"))
-    texts = source.select("held_out", "_text")
-    words = materialize(texts.mapInArrow(_count_words, "h long, n long, c long")
-                        .groupBy("h").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "words")
-    every, total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0)),
-                                       F.count(F.when(F.col("c") > 0, 1))).first()
-    frequent = F.col("n") * (1 << WORD_BITS) >= every
-    keys, counts, uses = _arrays(words.filter(frequent), "h", "c", "n")
-    ngrams: list[tuple[np.ndarray, np.ndarray]] = []
-    shipped, shorter = context.broadcast(keys), np.empty(0, np.int64)
-    singles = np.flatnonzero(uses * (1 << NGRAM_BITS) >= every)
-    for n in (2, 3):
-        kept = (texts.mapInArrow(_count_ngrams(shipped, context.broadcast((singles, shorter)), n), "code long, n long")
-                .groupBy(F.shiftright("code", 1).alias("code"))
-                .agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("code") % 2)).alias("c"))
-                .filter(F.col("n") * (1 << NGRAM_BITS) >= every))
-        ngrams.append(tuple(_arrays(kept, "code", "c")))
-        shorter = ngrams[-1][0]
-    (bigrams, bigram_counts), (trigrams, trigram_counts) = ngrams
-    core = context.broadcast((keys, bigrams, bigram_counts, trigrams, trigram_counts))
-    own = "row long, pos int, w long, doc_id long"
-    places = source.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(
-        _positions(core), "kind byte, u long, v long, w long, row long, pos int, doc_id long")
-    dealt = F.expr(f"case kind when {_STATE} then xxhash64(u, v) when {_ARC} then xxhash64(u, v, w)"
-                   " else xxhash64(row, pos) end")
-    found = materialize(places.repartition(dealt).sortWithinPartitions("kind", "u", "v", "w").mapInArrow(
-        _states_and_arcs(core), f"{own}, n long, c long, kinds long, arc long"), "arcs")
-
-    kinds = materialize(found.filter("arc is not null").groupBy("arc").agg(F.count(F.lit(1)).alias("wk")), "kinds")
-    word_kinds = np.bincount(bigrams[bigram_counts > 0] >> WORD_BITS, minlength=len(keys)).astype(np.int64)
-    state_kinds = np.zeros(len(bigrams), np.int64)
-    np.add.at(state_kinds, _find(trigrams[trigram_counts > 0] >> WORD_BITS, bigrams)[0], 1)
-    at, more = _arrays(kinds.filter("arc >= 0"), "arc", "wk")  # of the core: bounded as it is
-    of_word = at < 1 << WORD_BITS
-    word_kinds[at[of_word]] += more[of_word]
-    state_kinds[_find(at[~of_word] - (1 << WORD_BITS), bigrams)[0]] += more[~of_word]
-
-    rare = words.filter(~frequent).join(kinds, F.col("h") == F.col("arc"), "left").select(
-        "h", F.col("c").alias("wc"), F.col("wk"))
-    is_rare = (F.col("w") < 0) & (F.col("w") != NONE)
-    fields = [*(x.split()[0] for x in own.split(", ")), "n", "c", "kinds"]
-    plain = found.filter(~is_rare).select(*fields, F.lit(None).cast("long").alias("wc"), F.lit(None).cast("long").alias("wk"))
-    looked_up = found.filter(is_rare).select(*fields).join(rare, F.col("w") == F.col("h"), "left").select(*fields, "wc", "wk")
-    model = context.broadcast((counts, word_kinds, state_kinds, float(total + distinct + 1)))
-    scored = plain.union(looked_up).repartition("row").sortWithinPartitions("row", "pos").mapInArrow(
-        _sum(model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    words = materialize(source.select("_text").mapInArrow(_count_words, "h long, n long")
+                        .groupBy("h").agg(F.sum("n").alias("n")), "words", drop_shuffles=True)
+    every = words.filter(F.col("h") == NONE).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    keys, uses = _arrays(words.filter((F.col("h") != NONE) & (F.col("n") * (1 << WORD_BITS) >= every)), "h", "n")
+    numbers = np.empty(len(keys), np.int64)
+    numbers[np.argsort(-uses, kind="stable")] = np.arange(len(keys))
+    strong = int((uses * (1 << NGRAM_BITS) >= every).sum())
+
+    texts = materialize(source.mapInArrow(
+        _batches(context.broadcast((keys, numbers)), strong),
+        "batch long, learned long, size int, data binary, ids array<long>, held_out array<boolean>,"
+        " pairs array<long>, uses array<long>"), "texts")
+    many, total = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("learned"), F.lit(0))).first()
+    states, _ = _arrays(texts.select(F.explode(F.arrays_zip("pairs", "uses")).alias("_")).select("_.*").groupBy("pairs")
+                        .agg(F.sum("uses").alias("n")).filter(F.col("n") * (2 << NGRAM_BITS) >= every), "pairs", "n")
+    parts = int(every) // _PART + 1
+    deal = context.broadcast(Deal(len(keys), strong, states, parts))
+    found = materialize(
+        texts.select("batch", "size", "data", "held_out").mapInArrow(_ask(deal), "batch long, part int, size int, data binary")
+        .repartitionById(parts, F.col("part"))
+        .mapInArrow(_answer(deal), "batch long, part int, size int, data binary, key long, c long, kinds long"), "answers", drop_shuffles=True)
+
+    key, c, kinds = _arrays(found.filter("key is not null").groupBy("key")
+                            .agg(F.sum("c").alias("c"), F.sum("kinds").alias("kinds")), "key", "c", "kinds")
+    counts, arcs, of_words = (np.zeros(n, np.int64) for n in (len(states), len(states), strong))
+    at, known = _find(key, states)
+    counts[at[known]], arcs[at[known]] = c[known], kinds[known]
+    of_words[-2 - key[key < -1]] = kinds[key < -1]
+    np.add.at(of_words, states // max(strong, 1), counts > 0)
+    model = context.broadcast((counts, arcs, of_words, float(total + c[key == -1].sum() + 1)))
+    rows = texts.select("batch", F.lit(-1).alias("part"), "size", "data", "ids", "held_out").union(
+        found.filter("key is null").select("batch", "part", "size", "data", F.lit(None).cast("array<long>"),
+                                           F.lit(None).cast("array<boolean>")))
+    scored = rows.repartition(max(many, 1), "batch").sortWithinPartitions("batch", "part").mapInArrow(
+        _score(deal, model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known",
                          F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 

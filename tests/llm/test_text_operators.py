@@ -296,3 +296,55 @@ def test_every_ngram_counts_in_a_large_corpus(spark, monkeypatch):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[:3] and r.held_out == (i >= 12)
         assert r.base_score == pytest.approx(want[3]) and r.score == pytest.approx(want[4])
+
+
+@pytest.mark.parametrize("words, ngrams", [(20, 13), (6, 5), (0, 0)])
+def test_scores_of_many_batches_and_parts(spark, monkeypatch, words, ngrams):
+    """Frequent, numbered and rare words and states, whose arcs lie in many parts."""
+    rnd = random.Random(6)
+    texts = [" ".join(f"w{int(1 / (1 - rnd.random()))}" for _ in range(rnd.randrange(40))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, i < 45) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    tables = []
+
+    def recorded(df, *args, **more):
+        tables.append(lm_materialize(df, *args, **more))
+        return tables[-1]
+
+    lm_materialize = lm_scoring.materialize
+    with monkeypatch.context() as m:
+        m.setattr(lm_scoring, "materialize", recorded)
+        for name, value in (("WORD_BITS", words), ("NGRAM_BITS", ngrams), ("_BATCH", 90), ("_PART", 70)):
+            m.setattr(lm_scoring, name, value)
+        got = {r.doc_id: r for r in lm_scoring.lm_scores(docs.repartition(8), F.col("train")).collect()}
+    monkeypatch.setattr(lm_scoring, "WORD_BITS", 60)
+    monkeypatch.setattr(lm_scoring, "NGRAM_BITS", 60)
+    for i, want in enumerate(brute_scores(texts, texts[:45])):
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[:3]
+        assert r.base_score == pytest.approx(want[3]) and r.score == pytest.approx(want[4])
+    _, batches, answers = tables
+    assert batches.count() > 3 and answers.select("part").distinct().count() > 3
+
+
+def test_no_row_a_token_is_written(spark, monkeypatch):
+    """A batch asks for an arc once; what is written and shuffled are packed columns."""
+    docs = spark.createDataFrame([(i, "a b c d e f g h " * 500) for i in range(10)], "doc_id long, text string")
+    written = []
+
+    def counted(df, *args, **more):
+        written.append(lm_materialize(df, *args, **more))
+        return written[-1]
+
+    lm_materialize = lm_scoring.materialize
+    monkeypatch.setattr(lm_scoring, "materialize", counted)
+    got = lm_scoring.lm_scores(docs, F.lit(True)).collect()
+    assert [r.n_tokens for r in got] == [4001] * 10
+    assert sum(t.count() for t in written) < 1000
+
+
+def test_distinct_arcs_of_many_words():
+    u, v, w = np.random.default_rng(7).integers(0, 6, (3, 500))
+    few, many = (lm_scoring._distinct(u, v, w, kinds) for kinds in (6, 1 << 23))
+    assert np.array_equal(few[0], many[0]) and len(few[1]) == len(many[1])
+    for place, at in (few, many):
+        assert all(np.array_equal(x, x[at][place]) for x in (u, v, w))
