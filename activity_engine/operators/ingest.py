@@ -84,6 +84,30 @@ def dedupe_first_wins(df: DataFrame, key: str = "event_id",
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
+def key_hash(key: str) -> Column:
+    return F.xxhash64(F.col(key).cast("string"))
+
+
+def repeated_hashes(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """Hashes ``_hash`` of the keys, as text, that may have several rows: no other key has."""
+    return (df.groupBy(key_hash(key).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > 1).select("_hash"))
+
+
+def dedupe_repeated(df: DataFrame, repeated: DataFrame, key: str = "event_id",
+                    order_col: str = "ingest_order") -> DataFrame:
+    """W9 where ``repeated_hashes`` of the rows, or of more, are known: only their rows are sorted.
+
+    The result is that of ``dedupe_first_wins``. A hash that several keys share only
+    brings their rows into that aggregate too. With ``repeated`` cached, its size decides
+    whether it is broadcast.
+    """
+    hashed = df.withColumn("_hash", key_hash(key))
+    once = hashed.join(repeated, "_hash", "left_anti").select(*df.columns)
+    more = hashed.join(repeated, "_hash", "left_semi").select(*df.columns)
+    return once.unionByName(dedupe_first_wins(more, key, order_col))
+
+
 def insert_new(batch: DataFrame, existing: DataFrame | None, key: str = "event_id") -> DataFrame:
     """Rows of the (deduped) batch whose key is nowhere in the table yet.
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from activity_engine.config import DQConfig
 from activity_engine.functions.dates import to_event_ts
 from activity_engine.functions.numeric import clamp_score, np_round
+from activity_engine.operators.ingest import key_hash
+
 
 def _part(df: DataFrame, dimension: str, n=None, failed=None, details=None,
           cells=None) -> DataFrame:
@@ -228,7 +230,7 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
                    table_name: str, run_id: str, now: Column | str | None = None,
                    cfg: DQConfig = DQConfig(), key: str = "event_id",
                    ts_col: str = "event_timestamp", type_col: str = "event_type",
-                   kept: list[DataFrame] | None = None) -> DataFrame:
+                   kept: list[DataFrame] | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """A8 + A7 + U2: the five audit rows with the weighted composite.
 
     Completeness, timeliness and the row count come from one aggregate row, everything
@@ -236,7 +238,8 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
     in one row, which is exploded into the five dimensions: two scans, one exchange of
     keys, whatever the number of checks. Spark does not share that exchange where ``df`` is
     cached: with ``kept`` the aggregate is cached too and added there, for the caller to
-    release once the rows are read.
+    release once the rows are read. With ``repeated``, the ``repeated_hashes`` of the key,
+    only the keys that may have several rows go through that aggregate.
     """
     now_c = _ts_lit(now, True)
     min_c = _ts_lit(cfg.min_event_ts)
@@ -246,7 +249,7 @@ def evaluate_batch(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame
     if has_ts:
         aggs.extend(timeliness_counts(df, ts_col, now_c, min_c))
     flat = df.agg(*aggs)
-    groups = _key_groups(df, agents, campaigns, key if has_key else None, type_col, cfg)
+    groups = _key_groups(df, agents, campaigns, key if has_key else None, type_col, cfg, repeated)
     one = flat
     if groups is not None and kept is not None:
         kept.append(groups.persist())
@@ -292,13 +295,13 @@ SAMPLED = {KEY: "keys", TYPE: "types", AGENT: "agents", CAMPAIGN: "campaigns"}
 
 
 def _key_groups(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame | None, key,
-                type_col: str, cfg: DQConfig) -> DataFrame | None:
-    """Every key check in one aggregate: a row for each distinct (kind, value).
+                type_col: str, cfg: DQConfig, repeated: DataFrame | None = None) -> DataFrame | None:
+    """Every key check in one aggregate: a row for each distinct (kind, value) that fails its check.
 
     Each event gives one value a kind, each parent row its id with zero rows, so the
     group of an id knows both its events and whether a parent has it: no join, and a hot
-    value is combined before the shuffle. Values are compared as text. ``bad_rows`` is
-    zero for a value that its check passes; a null id never resolves.
+    value is combined before the shuffle. Values are compared as text. ``bad_rows`` are
+    the rows of a value; a null id never resolves.
     """
     kinds = []
     if key is not None:
@@ -313,9 +316,18 @@ def _key_groups(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame |
     kinds += [(kind, F.col(col).cast("string")) for kind, col, _ in parents]
     if not kinds:
         return None
-    values = df.select(F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), text.alias("value")) for kind, text in kinds])).alias("v")) \
-        .select("v.kind", "v.value", F.lit(1).cast("long").alias("rows"))
+    one = F.lit(1).cast("long").alias("rows")
+    apart = None
+    if repeated is not None and isinstance(key, str):
+        apart = df.select(F.lit(KEY).alias("kind"), F.col(key).cast("string").alias("value"), one,
+                          key_hash(key).alias("_hash")).join(repeated, "_hash", "left_semi").drop("_hash")
+        kinds = kinds[1:]
+    values = apart
+    if kinds:
+        values = df.select(F.explode(F.array(*[
+            F.struct(F.lit(kind).alias("kind"), text.alias("value")) for kind, text in kinds])).alias("v")) \
+            .select("v.kind", "v.value", one)
+        values = values if apart is None else values.unionByName(apart)
     for kind, col, table in parents:
         values = values.unionByName(table.select(
             F.lit(kind).alias("kind"), F.col(col).cast(df.schema[col].dataType).cast("string").alias("value"),
@@ -325,7 +337,7 @@ def _key_groups(df: DataFrame, agents: DataFrame | None, campaigns: DataFrame |
     bad = (F.when(F.col("kind") == KEY, F.col("rows") > 1)
            .when(F.col("kind") == TYPE, invalid_flag("value", cfg.allowed_event_types))
            .otherwise(F.col("value").isNull() | (F.col("least") > 0)))
-    return groups.select("kind", "value", F.when(bad, F.col("rows")).otherwise(F.lit(0)).alias("bad_rows"))
+    return groups.where(bad & (F.col("rows") > 0)).select("kind", "value", F.col("rows").alias("bad_rows"))
 
 
 def _sampled(kind: int, label: str) -> Column:

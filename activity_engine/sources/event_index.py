@@ -101,9 +101,11 @@ class EventIdIndex:
         write_fact(rows)
         total, appends = state["ids"] + count, state["appends"] + 1
         crowded = total > self.ids_per_bucket << state["bits"]
-        self._write(rows.select(self.key), state["bits"], anew=False)
         state |= {"ids": total, "appends": appends}
         if crowded or appends > max(FOLD_AFTER, FOLD_PER_BUCKET << state["bits"]):
-            self._lay_out(self.wh.read(self.table).select(self.key), total, state)
+            stored, ids = self.wh.read(self.table), rows.select(F.col(self.key).cast("string").alias(self.key))
+            self._lay_out(ids if stored is None else stored.select(self.key).unionByName(ids), total, state)
             self.wh.vacuum(self.table, keep=2)
+        else:
+            self._write(rows.select(self.key), state["bits"], anew=False)
         self.wh.write_state(self.table, state | {"open": False})

@@ -148,3 +148,15 @@ def test_audit_of_a_cached_batch_groups_its_keys_once(spark):
     finally:
         for frame in (batch, *kept):
             frame.unpersist()
+
+
+def test_audit_groups_only_keys_that_may_repeat(spark):
+    """With the repeated hashes known, a key of one row reaches no aggregate; the audit is the same."""
+    from activity_engine.operators.ingest import repeated_hashes
+    rows = [("E1", "x"), ("E1", "y"), ("E2", "INVITE_SENT"), ("E3", None), (None, "z"), (None, "z")]
+    batch = spark.createDataFrame(rows, "event_id string, event_type string")
+    repeated = repeated_hashes(batch)
+    plain, known = (dq.evaluate_batch(batch, None, None, "t", "r", "2026-01-01", repeated=r).collect() for r in (None, repeated))
+    assert plain == known
+    groups = dq._key_groups(batch, None, None, "event_id", "event_type", dq.DQConfig(), repeated)
+    assert {(r.kind, r.value): r.bad_rows for r in groups.collect() if r.kind == dq.KEY} == {(dq.KEY, "E1"): 2, (dq.KEY, None): 2}

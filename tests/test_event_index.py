@@ -107,3 +107,14 @@ def test_null_ids_and_empty_batches(spark, wh):
     assert load(wh, index, ids(spark)) == 0
     load(wh, index, ids(spark, 1))
     assert index.unseen(ids(spark).union(spark.createDataFrame([(None, 1)], "event_id string, date_key int"))).count() == 1
+
+
+def test_a_load_that_grows_the_buckets_writes_its_ids_once(spark, wh):
+    index = EventIdIndex(wh, ids_per_bucket=50)
+    written = []
+    write = index._write
+    index._write = lambda ids, bits, anew: (written.append((ids.count(), bits, anew)), write(ids, bits, anew))
+    assert load(wh, index, ids(spark, *range(300))) == 300
+    assert load(wh, index, ids(spark, *range(310))) == 10
+    assert written == [(300, 4, True), (10, 4, False)]
+    assert wh.read("event_ids").select("event_id").distinct().count() == 310 == wh.read("event_ids").count()

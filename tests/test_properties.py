@@ -78,3 +78,15 @@ def test_ewm_matches_pandas(spark, xs, span):
         else:
             assert abs(gm - m[i]) < 1e-12
             assert abs(math.sqrt(max(gv, 0.0)) - math.sqrt(max(v[i], 0.0))) < 1e-6
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D", None]),
+                          st.integers(0, 1000), st.integers(0, 9)), min_size=1, max_size=60))
+def test_first_arrival_wins_among_repeated_keys(spark, data):
+    df = spark.createDataFrame(data, "event_id string, ingest_order int, payload int")
+    repeated = ingest.repeated_hashes(df)
+    want = sorted(map(str, ingest.dedupe_first_wins(df).collect()))
+    assert sorted(map(str, ingest.dedupe_repeated(df, repeated).collect())) == want
+    more = repeated.union(df.select(ingest.key_hash("event_id"))).distinct()     # a superset changes nothing
+    assert sorted(map(str, ingest.dedupe_repeated(df, more).collect())) == want
