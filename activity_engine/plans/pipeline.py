@@ -15,6 +15,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activity_engine.config import (DEFAULT_WATERMARK, SOURCE_SYSTEM, CALENDAR_END,
                                     CALENDAR_START, DQConfig, RiskConfig)
@@ -127,6 +128,21 @@ def _counted(df: DataFrame) -> DataFrame:
     return df
 
 
+def _held(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` cached, and what reads it.
+
+    An arrival order that is a struct is cached as columns: of these each batch of rows
+    keeps a file's path once, of a struct every row keeps it.
+    """
+    order = next((f for f in df.schema.fields if f.name == "ingest_order"), None)
+    if order is None or not isinstance(order.dataType, T.StructType):
+        return df.persist(), df
+    parts = [F.col(f"ingest_order.{f}").alias(f"_order_{f}") for f in order.dataType.names]
+    held = df.select(*[c for c in df.columns if c != "ingest_order"], *parts).persist()
+    whole = F.struct(*[F.col(f"_order_{f}").alias(f) for f in order.dataType.names]).alias("ingest_order")
+    return held, held.select(*[whole if c == "ingest_order" else F.col(c) for c in df.columns])
+
+
 def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
                now=None, watermark: str | None = None, corrupt: DataFrame | None = None,
                repeated: DataFrame | None = None) -> dict:
@@ -144,7 +160,7 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
     if watermark is not None:  # X6: only events after the high-watermark
         ts = F.try_to_timestamp(F.col("event_timestamp").cast("string"))
         batch = batch.where(ts.isNull() | (ts > F.to_timestamp(F.lit(watermark.replace("Z", "")))))
-    resolved = resolve_keys(batch, *dims).persist()
+    held, resolved = _held(resolve_keys(batch, *dims))
     new = own = None
     try:
         valid, dead = ingest.split_quarantine(resolved, list(batch.columns), _now_lit(now))
@@ -172,7 +188,7 @@ def load_facts(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
         # before this step is repaired by the rerun.
         refresh_daily_counts(wh, valid.select("date_key").distinct())
     finally:
-        for frame in (new, own, resolved):
+        for frame in (new, own, held):
             if frame is not None:
                 frame.unpersist()
     return {"valid": int(c["valid"]), "inserted": int(inserted), "quarantined": int(c["dead"])}
@@ -254,25 +270,37 @@ def get_watermark(wh: Warehouse) -> str:
 def run_pipeline(wh: Warehouse, payload: Payload, run_id: str, dlq_path: str, now=None,
                  cfg: DQConfig = DQConfig(), gate: bool = False, incremental: bool = False,
                  track_agent_columns: list[str] | None = None) -> dict:
-    """Dimensions -> DQ audit -> fact load -> watermark -> run ledger."""
+    """Dimensions -> DQ audit -> fact load -> watermark -> run ledger.
+
+    Documents are parsed once: their records are cached for the run, filled before the
+    loads of the dimensions read them side by side.
+    """
     start = _dt.datetime.now(_dt.timezone.utc)
-    load_dimensions(wh, payload, now, track_agent_columns)
-    return ingest_activities(wh, payload.activities, run_id, dlq_path, now, cfg, gate,
-                             incremental, start, payload.corrupt)
+    records = payload.records
+    if records is not None:
+        _counted(records)
+    try:
+        load_dimensions(wh, payload, now, track_agent_columns)
+        return ingest_activities(wh, payload.activities, run_id, dlq_path, now, cfg, gate,
+                                 incremental, start, payload.corrupt, cached=records is not None)
+    finally:
+        if records is not None:
+            records.unpersist()
 
 
 def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_path: str,
                       now=None, cfg: DQConfig = DQConfig(), gate: bool = False,
                       incremental: bool = False, start: _dt.datetime | None = None,
-                      corrupt: DataFrame | None = None) -> dict:
+                      corrupt: DataFrame | None = None, cached: bool = False) -> dict:
     """E3 after the dimensions: DQ audit, fact load, watermark, run ledger.
 
-    Also the body of every streaming micro-batch (T4).
+    Also the body of every streaming micro-batch (T4). ``cached``: what ``activities``
+    select from is cached by the caller.
     """
     spark = wh.spark
     start = start or _dt.datetime.now(_dt.timezone.utc)
     now_c = _now_lit(now)
-    batch = activities.persist()
+    held, batch = (None, activities) if cached else _held(activities)
     kept: list[DataFrame] = []
     repeated = _counted(ingest.repeated_hashes(batch, "event_id"))   # for audit and load alike
     audit = quality.evaluate_batch(batch, wh.read("dim_agent"), wh.read("dim_campaign"),
@@ -313,7 +341,8 @@ def ingest_activities(wh: Warehouse, activities: DataFrame, run_id: str, dlq_pat
     wm = prev_wm
     if cand is not None:   # monotonic: never moves back (the source overwrote it)
         wm = max(prev_wm, cand) if has_prev else cand
-    batch.unpersist()
+    if held is not None:
+        held.unpersist()
     end = _dt.datetime.now(_dt.timezone.utc)
     status = "SUCCESS" if passed else "WARNING_DQ_THRESHOLD"
     run = spark.createDataFrame([(run_id, start, end,  # aware datetimes: exact instants

@@ -3,7 +3,8 @@
 A payload is a document with four record lists (agents, campaigns, leads,
 activities). Reading goes through an explicit schema (no inference) and
 ``posexplode``, whose position becomes ``ingest_order`` for first-arrival
-semantics. A missing list is an empty DataFrame.
+semantics. A missing list is an empty DataFrame. The lists are exploded side by
+side, so that one parse of a document serves them all.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ class Payload:
     activities: DataFrame
     #: (record, file) of documents that could not be parsed; None where there are none to parse.
     corrupt: DataFrame | None = None
+    #: What all of the above select from: with it cached, the documents are parsed once. None where
+    #: each has a source of its own.
+    records: DataFrame | None = None
 
 
 #: Other names under which a source may send a field: (list, field) -> its names there.
@@ -43,16 +47,40 @@ def payload_schema(names: dict[tuple[str, str], tuple[str, ...]]) -> T.StructTyp
     return T.StructType([*lists, T.StructField("_corrupt", T.StringType())])
 
 
-def _explode(doc: DataFrame, field: str, schema, names) -> DataFrame:
-    """One row per record; ``ingest_order`` = (file time, file path, position)."""
-    rows = doc.select("_file", F.posexplode_outer(field).alias("_pos", "r")) \
-        .where(F.col("r").isNotNull())
-    order = F.struct(F.col("_file.file_modification_time").alias("t"),
-                     F.col("_file.file_path").alias("f"), F.col("_pos").alias("p"))
-    def value(name: str):
-        return F.coalesce(*[F.col(f"r.{n}") for n in (name, *names.get((field, name), ()))]).alias(name)
+LISTS = {"agents": AGENT_RECORD, "campaigns": CAMPAIGN_RECORD, "leads": LEAD_RECORD, "activities": ACTIVITY_BATCH}
 
-    return rows.select(*[value(f.name) for f in schema.fields], order.alias("ingest_order"))
+
+def _explode(raw: DataFrame, names) -> DataFrame:
+    """One row for each position of a document: its record of each list, null where the list has none.
+
+    The many activities come as columns, ``_activity`` says whether there is one, the
+    other records as structs. The text of a corrupt document is at its first position.
+    """
+    def filled(c, dtype):
+        return F.coalesce(c, F.array().cast(dtype))
+
+    text = F.when(F.col("_corrupt").isNotNull(), F.array("_corrupt"))
+    side_by_side = F.arrays_zip(*[filled(F.col(c), raw.schema[c].dataType).alias(c) for c in LISTS],
+                                filled(text, "array<string>").alias("_corrupt"))
+    rows = raw.select(F.col("_metadata.file_modification_time").alias("_time"),
+                      F.col("_metadata.file_path").alias("_path"), F.posexplode(side_by_side).alias("_pos", "r"))
+    return rows.select("_time", "_path", "_pos", "r._corrupt", *[f"r.{c}" for c in LISTS if c != "activities"],
+                       F.col("r.activities").isNotNull().alias("_activity"),
+                       *_values("activities", "r.activities", names))
+
+
+def _values(field: str, record: str, names) -> list:
+    """The fields of a list's record, each the first of its names that has a value."""
+    return [F.coalesce(*[F.col(f"{record}.{n}") for n in (f.name, *names.get((field, f.name), ()))]).alias(f.name)
+            for f in LISTS[field].fields]
+
+
+def _records(rows: DataFrame, field: str, names) -> DataFrame:
+    """The records of one list; ``ingest_order`` = (file time, file path, position)."""
+    order = F.struct(F.col("_time").alias("t"), F.col("_path").alias("f"), F.col("_pos").alias("p"))
+    if field == "activities":
+        return rows.where("_activity").select(*LISTS[field].names, order.alias("ingest_order"))
+    return rows.where(F.col(field).isNotNull()).select(*_values(field, field, names), order.alias("ingest_order"))
 
 
 def read_payload(spark: SparkSession, path: str, multi_line: bool = True,
@@ -71,14 +99,9 @@ def read_payload(spark: SparkSession, path: str, multi_line: bool = True,
     names = FIELD_NAMES if names is None else names
     raw = (spark.read.schema(payload_schema(names)).option("multiLine", multi_line)
            .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    doc = raw.select("*", F.col("_metadata").alias("_file"))
-    lists = [_explode(doc, field, schema, names) for field, schema in (
-        ("agents", AGENT_RECORD), ("campaigns", CAMPAIGN_RECORD), ("leads", LEAD_RECORD), ("activities", ACTIVITY_BATCH))]
-    # A scan of the corrupt text alone is refused: the first list is read beside it.
-    corrupt = doc.where(F.col("_corrupt").isNotNull()).select(
-        F.concat("_corrupt", F.when(F.size("agents") < 0, " ").otherwise("")).alias("record"),
-        F.col("_file.file_path").alias("file"))
-    return Payload(*lists, corrupt)
+    rows = _explode(raw, names)
+    corrupt = rows.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("record"), F.col("_path").alias("file"))
+    return Payload(**{field: _records(rows, field, names) for field in LISTS}, corrupt=corrupt, records=rows)
 
 
 def from_records(spark: SparkSession, agents=(), campaigns=(), leads=(), activities=()) -> Payload:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from activity_engine.plans import pipeline as pl
 from activity_engine.sources.payload import from_records, read_payload
-from activity_engine.sources.sinks import export_warehouse
+from activity_engine.sources.sinks import CORRUPT_REASON, export_warehouse, read_dead_letters
 from activity_engine.sources.tables import Warehouse
 
 from test_dq import BAD
@@ -217,3 +217,62 @@ def test_cli_steps(spark, tmp_path):
     assert (ingest["records_loaded"], ingest["records_quarantined_dlq"]) == (2, 3)
     assert risk_step["records_processed"] == 1
     assert "fact_outreach_activity" in export["tables"]
+
+
+def test_documents_are_parsed_once(spark, tmp_path, monkeypatch):
+    """Dimensions, activities and corrupt documents come from one read: the files may change after it."""
+    d = tmp_path / "once"
+    d.mkdir()
+    doc = {"agents": [AGENT], "campaigns": [CAMPAIGN], "leads": [LEAD], "activities": acts(BAD)}
+    (d / "a.json").write_text(json.dumps(doc) + '\n{"activities": [{"event_id": \n')
+    load = pl.load_dimensions
+
+    def after_the_read(*args):
+        (d / "a.json").write_text("{}\n")
+        return load(*args)
+
+    monkeypatch.setattr(pl, "load_dimensions", after_the_read)
+    w, dlq = new_wh(spark, tmp_path), str(tmp_path / "once-dlq")
+    out = pl.run_pipeline(w, read_payload(spark, str(d), multi_line=False), "once", dlq, now="2026-08-19 14:00:00")
+    assert (out["records_loaded"], out["records_quarantined_dlq"]) == (2, 3)
+    assert w.read("dim_agent").count() == w.read("dim_lead").count() == w.read("dim_campaign").count() == 1
+    assert read_dead_letters(spark, dlq).where(F.col("failure_reason") == CORRUPT_REASON).count() == 1
+
+
+def test_lists_of_unequal_length_side_by_side(spark, tmp_path):
+    """Records keep their own position; null records, lists that are null or missing give none."""
+    d = tmp_path / "uneven"
+    d.mkdir()
+    docs = [{"agents": [dict(AGENT, agent_id=f"A{i}") for i in range(3)], "leads": [None, LEAD], "activities": acts(BAD[:1])},
+            {"agents": None, "campaigns": [], "activities": [None, *acts(BAD[1:3])]}, {}]
+    (d / "a.json").write_text("\n".join(map(json.dumps, docs)))
+    p = read_payload(spark, str(d), multi_line=False)
+    places = {name: sorted((r[0], r.p) for r in getattr(p, name).select(key, "ingest_order.p").collect())
+              for name, key in (("agents", "agent_id"), ("leads", "lead_id"), ("campaigns", "campaign_id"), ("activities", "event_id"))}
+    assert places == {"agents": [("A0", 0), ("A1", 1), ("A2", 2)], "leads": [(LEAD["lead_id"], 1)], "campaigns": [],
+                      "activities": sorted([(BAD[0][0], 0), (BAD[1][0], 1), (BAD[2][0], 2)])}
+    assert p.corrupt.count() == 0
+
+
+def test_a_value_of_another_type_makes_its_document_corrupt_in_any_list(spark, tmp_path):
+    d = tmp_path / "typed"
+    d.mkdir()
+    rows = acts(BAD)
+    rows[1]["message_length"] = "long"
+    text = json.dumps({"leads": [LEAD], "activities": rows})
+    (d / "a.json").write_text(text)
+    p = read_payload(spark, str(d), multi_line=False)
+    assert [r.record for r in p.corrupt.collect()] == [text]
+    assert p.leads.count() == 1
+
+
+def test_a_cached_arrival_order_is_held_as_columns(spark):
+    df = spark.createDataFrame([("E1", (1, "f", 0), 5), ("E2", (1, "f", 1), 6)],
+                               "event_id string, ingest_order struct<t: long, f: string, p: int>, n int")
+    held, rows = pl._held(df)
+    try:
+        assert not [f.name for f in held.schema.fields if f.dataType.typeName() == "struct"]
+        assert rows.columns == df.columns and sorted(rows.collect()) == sorted(df.collect())
+        assert "InMemoryTableScan" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        held.unpersist()
